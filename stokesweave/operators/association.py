@@ -207,9 +207,6 @@ def reassign_fields(
 
 # --- blended components ------------------------------------------------------
 
-DENSE = 4096
-
-
 def blended_components(
     cat: DataFrame,
     source: str = "source_id",
@@ -229,10 +226,15 @@ def blended_components(
     Identical positions are merged into one weighted position first, and pairs
     are only formed between positions in touching beam-sized cells of a source,
     so neither copies nor a source with very many components multiplies out.
+    Cells are checked for hot ones only when a source is that large at all.
     """
     ra, dec = pos
     single = F.max(F.col(n_gaus) == 1) if n_gaus else F.count(F.lit(1)) == 1
     info = cat.groupBy(source).agg(F.max(beam).alias("_r"), single.alias("_single"))
+    if hot_rows is not None:
+        sizes = cat.groupBy(source).agg(F.count(F.lit(1)).alias("_n"))
+        if sizes.where(F.col("_n") > hot_rows).isEmpty():
+            hot_rows = None
     spots = (
         cat.groupBy(source, ra, dec)
         .agg(F.count(F.lit(1)).alias("_n"), F.sum(flux).alias("_f"))

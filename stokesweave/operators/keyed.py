@@ -8,7 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 2_000_000
+from stokesweave.session import cut_lineage
+
+HOT_ROWS = 200_000
 
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], aggregate) -> DataFrame:
@@ -65,28 +67,36 @@ def limit_sources(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.orderBy(key).limit(n)
 
 
-def split_hot_keys(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
-) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Prepare an inner equi-join whose hot keys are spread over many tasks.
+def hot_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows on a side and the slices each side
+    needs (``_cl``, ``_cr``); None when there are none.
 
-    A key with ``n`` rows on one side is cut into ceil(n / hot_rows) slices; the
-    other side is repeated once per slice, so every pair still meets exactly
-    once.  The table of cut keys holds at most total_rows / hot_rows rows, which
-    is what makes broadcasting it safe.
+    Only the key columns are read and counts are combined before the shuffle.
     """
-    keys = list(keys)
     n_left = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nl"))
     n_right = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nr"))
-    cuts = (
-        n_left.join(n_right, keys)
+    cuts = cut_lineage(
+        n_left.join(n_right, list(keys))
+        .where((F.col("_nl") > hot_rows) | (F.col("_nr") > hot_rows))
         .select(
             *keys,
             F.ceil(F.col("_nl") / hot_rows).cast("int").alias("_cl"),
             F.ceil(F.col("_nr") / hot_rows).cast("int").alias("_cr"),
         )
-        .where((F.col("_cl") > 1) | (F.col("_cr") > 1))
     )
+    return None if cuts.isEmpty() else cuts
+
+
+def slice_hot_keys(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], cuts: DataFrame
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Spread the hot keys of an inner equi-join over many tasks.
+
+    Each side of a hot key is cut into slices and repeated once per slice of the
+    other side, so every pair still meets exactly once.  ``cuts`` holds at most
+    total_rows / hot_rows rows, which is what makes broadcasting it safe.
+    """
+    keys = list(keys)
 
     def sliced(df: DataFrame, own: str, own_slice: str, other: str, other_slice: str) -> DataFrame:
         spread = F.pmod(F.xxhash64(*df.columns), F.coalesce(own, F.lit(1)).cast("long")).cast("int")
@@ -111,11 +121,16 @@ def skew_join(
     condition: Column | None = None,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Inner equi-join with hot keys split; ``hot_rows=None`` is a plain join."""
+    """Inner equi-join that slices hot keys.
+
+    One count per key decides; without hot keys, or with ``hot_rows=None``, it is
+    a plain join.
+    """
     keys = list(keys)
-    if hot_rows is None:
+    cuts = None if hot_rows is None else hot_keys(left, right, keys, hot_rows)
+    if cuts is None:
         out = left.join(right, keys)
     else:
-        a, b, on = split_hot_keys(left, right, keys, hot_rows)
+        a, b, on = slice_hot_keys(left, right, keys, cuts)
         out = a.join(b, on).drop("_sl", "_sr")
     return out if condition is None else out.where(condition)

@@ -257,21 +257,25 @@ def extract_spectrum(
     on: Sequence[str] = ("source_id",),
     ident: str = "cat_id",
 ) -> DataFrame:
-    """Spectrum of a component from its cubelet: long (ident, stokes, chan).
+    """Spectrum of every component from its source's cubelet: long (ident, stokes, chan)."""
+    return finish_spectrum(pixel_lookup(pixels, coords, on), noise, on, ident)
+
+
+def finish_spectrum(at: DataFrame, noise: DataFrame, on: Sequence[str] = ("source_id",), ident: str = "cat_id") -> DataFrame:
+    """Looked-up pixels as background-free spectra with noise.
 
     Zeros become missing, noise missing in a channel takes the median of the
-    cube's channels, noise and background are blanked with the data, and the
-    background is subtracted.
+    cube's channels, and noise and background are blanked with the data.
     """
     keys = [*on, "stokes"]
     mid = grouped_median(noise, keys, "noise", "_mid", bounded=True).drop("n")
     filled = noise.join(mid, keys, "left").withColumn(
         "noise", F.when(finite("noise"), F.col("noise")).otherwise(F.col("_mid"))
     )
-    at = pixel_lookup(pixels, coords, on).join(filled.select(*keys, "chan", "noise", "background"), [*keys, "chan"], "left")
+    joined = at.join(filled.select(*keys, "chan", "noise", "background"), [*keys, "chan"], "left")
     nan = F.lit(float("nan"))
     good = finite("value") & (F.col("value") != 0)
-    return at.select(
+    return joined.select(
         *on,
         ident,
         "stokes",
