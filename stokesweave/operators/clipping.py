@@ -73,12 +73,13 @@ def _pass_stats(rows: DataFrame, keys, center: str, scale: str, few_groups: bool
     return out.join(spread, list(keys))
 
 
-def _looped_limits(rows: DataFrame, keys, sigma, center, scale, maxiters, few_groups) -> DataFrame:
+def _looped_limits(rows: DataFrame, keys, sigma, center, scale, maxiters, few_groups, small_group) -> DataFrame:
     """Passes over the data with only (lo, hi) per group carried between them.
 
     Groups that did not change in a pass leave the loop, so later passes read
-    only what is still moving.  The per-group table is written to the shared
-    checkpoint folder each pass.
+    only what is still moving, and a group that has shrunk to ``small_group``
+    values is finished by the numpy helper.  The per-group table is written to
+    the shared checkpoint folder each pass.
     """
     key = ["_k"]
     rows = rows.select(F.struct(*keys).alias("_k") if keys else F.lit(1).alias("_k"), "_v")
@@ -102,7 +103,7 @@ def _looped_limits(rows: DataFrame, keys, sigma, center, scale, maxiters, few_gr
         after = (
             attach(kept, now.select("_k", "lo", "hi"), key, few_groups)
             .groupBy("_k")
-            .agg(F.count_if("_v between lo and hi").alias("_after"))
+            .agg(F.count_if(F.col("_v").between(F.col("lo"), F.col("hi"))).alias("_after"))
         )
         now = now.join(after, key).select(
             "_k",
@@ -121,6 +122,16 @@ def _looped_limits(rows: DataFrame, keys, sigma, center, scale, maxiters, few_gr
             finished.append(state)
             break
         finished.append(state.where(~F.col("_moving")))
+        shrunk = state.where(F.col("_moving") & (F.col("n_kept") <= small_group))
+        if not shrunk.isEmpty():
+            rest = attach(rows, shrunk.select("_k", "_min", "_max"), key, few_groups).where("_v between _min and _max")
+            left = None if maxiters is None else maxiters - passes
+            finished.append(_small_limits(rest.select("_k", "_v"), key, sigma, center, scale, left))
+            state = state.where(~F.col("_moving") | (F.col("n_kept") > small_group))
+            if state.where("_moving").isEmpty():
+                break
+    columns = ["_k", "centre", "scale", "lo", "hi", "n_kept"]
+    finished = [part.select(columns) for part in finished]
     out = finished[0]
     for part in finished[1:]:
         out = out.unionByName(part)
@@ -161,11 +172,11 @@ def clip_limits(
         if large.isEmpty():
             # one small group
             return _small_limits(rows.withColumn("_all", F.lit(1)), ["_all"], sigma, center, scale, maxiters).drop("_all")
-        return _looped_limits(rows, keys, sigma, center, scale, maxiters, True)
+        return _looped_limits(rows, keys, sigma, center, scale, maxiters, True, small_group)
     if large.isEmpty():
         return _small_limits(rows, keys, sigma, center, scale, maxiters)
     small = _small_limits(rows.join(large, keys, "left_anti"), keys, sigma, center, scale, maxiters)
-    big = _looped_limits(rows.join(large, keys, "left_semi"), keys, sigma, center, scale, maxiters, few_groups)
+    big = _looped_limits(rows.join(large, keys, "left_semi"), keys, sigma, center, scale, maxiters, few_groups, small_group)
     return small.unionByName(big)
 
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stokesweave.functions.numeric import NAN
 from stokesweave.functions.spectral import lognorm_params
 
 DRAWS = 1000
+BLOCK = 500
 INPUTS = (
     "sigma_add_Q",
     "sigma_add_U",
@@ -19,18 +21,49 @@ INPUTS = (
 )
 
 
-def _uniform(ident: Column, i: Column, stream: str) -> Column:
-    """Reproducible number in (0, 1) from the row's id, independent of partitioning."""
-    bits = F.shiftrightunsigned(F.xxhash64(ident, i, F.lit(stream)), 11)
-    return (bits.cast("double") + 0.5) / float(1 << 53)
+def uniforms(seeds: np.ndarray, count: int) -> np.ndarray:
+    """``count`` reproducible numbers in (0, 1) per seed (mixed counters)."""
+    with np.errstate(over="ignore"):
+        step = np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        z = seeds.astype(np.int64).view(np.uint64)[:, None] + step[None, :]
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        z ^= z >> np.uint64(31)
+    return ((z >> np.uint64(11)).astype(float) + 0.5) / float(1 << 53)
+
+
+def combined_moments(seeds, shape_q, scale_q, shape_u, scale_u, draws: int):
+    """Median and population deviation of hypot of two log-normal samples per row."""
+    u = uniforms(seeds, 2 * draws)
+    radius = np.sqrt(-2.0 * np.log(u[:, :draws]))
+    angle = 2.0 * np.pi * u[:, draws:]
+    q = scale_q[:, None] * np.exp(shape_q[:, None] * radius * np.cos(angle))
+    v = scale_u[:, None] * np.exp(shape_u[:, None] * radius * np.sin(angle))
+    p = np.hypot(q, v)
+    return np.median(p, axis=1), p.std(axis=1)
+
+
+def _moments_udf(draws: int):
+    @F.pandas_udf("sigma_add double, sigma_add_err double")
+    def run(seed: pd.Series, sq: pd.Series, cq: pd.Series, su: pd.Series, cu: pd.Series) -> pd.DataFrame:
+        par = [x.to_numpy(dtype=float) for x in (sq, cq, su, cu)]
+        ok = np.all([np.isfinite(x) & (x > 0) for x in par], axis=0)
+        out = np.full((len(seed), 2), np.nan)
+        rows = np.nonzero(ok)[0]
+        for at in range(0, rows.size, BLOCK):
+            part = rows[at : at + BLOCK]
+            out[part, 0], out[part, 1] = combined_moments(seed.to_numpy()[part], *[x[part] for x in par], draws)
+        return pd.DataFrame(out, columns=["sigma_add", "sigma_add_err"])
+
+    return run
 
 
 def sigma_add(cat: DataFrame, ident: str = "cat_id", draws: int = DRAWS, drop_inputs: bool = True) -> DataFrame:
     """Median (``sigma_add``) and deviation (``sigma_add_err``) of hypot(Q, U).
 
-    Q and U are log-normal, each read from its lower and upper error bar.  The
-    draws of a row are an array inside the row, so nothing is shuffled.  Invalid
-    parameters give NaN.
+    Q and U are log-normal, each read from its lower and upper error bar.  Draws
+    are seeded by a hash of the row's id, so they do not depend on partitioning,
+    and nothing is shuffled.  Invalid parameters give NaN.
     """
     shape_q, scale_q = lognorm_params(
         F.col("sigma_add_Q") - F.col("sigma_add_Q_err_minus"), F.col("sigma_add_Q") + F.col("sigma_add_Q_err_plus")
@@ -38,28 +71,7 @@ def sigma_add(cat: DataFrame, ident: str = "cat_id", draws: int = DRAWS, drop_in
     shape_u, scale_u = lognorm_params(
         F.col("sigma_add_U") - F.col("sigma_add_U_err_minus"), F.col("sigma_add_U") + F.col("sigma_add_U_err_plus")
     )
-    rows = cat.withColumns({"_sq": shape_q, "_cq": scale_q, "_su": shape_u, "_cu": scale_u})
-    ok = (F.col("_sq") > 0) & (F.col("_su") > 0) & (F.col("_cq") > 0) & (F.col("_cu") > 0)
-    ok = F.coalesce(ok & ~F.isnan("_sq") & ~F.isnan("_su") & ~F.isnan("_cq") & ~F.isnan("_cu"), F.lit(False))
-
-    def draw(i: Column) -> Column:
-        # two independent normals per pair of uniforms
-        radius = F.sqrt(-2.0 * F.ln(_uniform(F.col(ident), i, "r")))
-        angle = F.lit(6.283185307179586) * _uniform(F.col(ident), i, "a")
-        q = F.col("_cq") * F.exp(F.col("_sq") * radius * F.cos(angle))
-        u = F.col("_cu") * F.exp(F.col("_su") * radius * F.sin(angle))
-        return F.hypot(q, u)
-
-    sample = F.when(ok, F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(draws - 1)), draw)))
-    rows = rows.withColumn("_p", sample)
-    mid = (F.get("_p", F.lit((draws - 1) // 2)) + F.get("_p", F.lit(draws // 2))) / 2.0
-
-    def total(a: Column) -> Column:
-        return F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
-
-    rows = rows.withColumns({"_mid": mid, "_mean": total(F.col("_p")) / draws})
-    spread = F.sqrt(total(F.transform("_p", lambda x: (x - F.col("_mean")) * (x - F.col("_mean")))) / draws)
-    out = rows.withColumns(
-        {"sigma_add": F.coalesce("_mid", F.lit(NAN)), "sigma_add_err": F.coalesce(spread, F.lit(NAN))}
-    ).drop("_sq", "_cq", "_su", "_cu", "_p", "_mid", "_mean")
+    moments = _moments_udf(draws)(F.xxhash64(ident), shape_q, scale_q, shape_u, scale_u)
+    out = cat.withColumn("_m", moments).withColumns({c: F.col(f"_m.{c}") for c in ("sigma_add", "sigma_add_err")}).drop("_m")
     return out.drop(*INPUTS) if drop_inputs else out
+

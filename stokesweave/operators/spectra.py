@@ -68,12 +68,7 @@ def clip_channels(
     rest = [c for c in spectra.columns if c not in keys]
     packed = spectra.groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias("_rows"))
     limits = clip_udf(sigma, "median", "mad", maxiters)
-    for s in stokes:
-        noise = F.filter(
-            F.transform("_rows", lambda r, s=s: r[f"d{s}"].cast("double")),
-            lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")),
-        )
-        packed = packed.withColumn(f"_lim_{s}", limits(noise))
+    packed = packed.withColumns({f"_lim_{s}": limits(F.filter(F.col(f"_rows.d{s}").cast("array<double>"), finite)) for s in stokes})
     rows = packed.select(*keys, *[f"_lim_{s}" for s in stokes], F.inline("_rows"))
     bad = F.lit(False)
     for s in stokes:

@@ -100,7 +100,7 @@ def _(spark, d):
 @check("sigma_clip_converged")
 def _(spark, d):
     rows = table(spark, d, "lineitem").withColumn("v", F.col("l_extendedprice") * F.col("l_extendedprice"))
-    return clipping.clip_limits(rows, ["l_returnflag"], "v", 2.0, "median", "mad", small_group=1000)
+    return clipping.clip_limits(rows, ["l_returnflag"], "v", 1.9, "median", "std", small_group=18000)
 
 
 @check("local_outliers")
@@ -126,11 +126,11 @@ BINNED = f"""WITH m AS (SELECT AVG(ra) AS ra0, AVG(dec) AS dec0 FROM fx_cat),
     p AS (SELECT value, DEGREES(COS(d)*SIN(a))/(8.0/512)+255.0 AS x, DEGREES(COS(d0)*SIN(d)-SIN(d0)*COS(d)*COS(a))/(8.0/512)+255.0 AS y
       FROM t WHERE SIN(d0)*SIN(d)+COS(d0)*COS(d)*COS(a) >= 0),
     e AS (SELECT MIN(x) AS x0, MAX(x) AS x1, MIN(y) AS y0, MAX(y) AS y1 FROM p),
-    c AS (SELECT value, CAST(LEAST(FLOOR((x-x0)/((x1-x0)/15)),14) AS INT) AS bx, CAST(LEAST(FLOOR((y-y0)/((y1-y0)/15)),14) AS INT) AS by
+    c AS (SELECT value, CAST(LEAST(FLOOR((x-x0)/((x1-x0)/15)),14) AS INT) AS bx, CAST(LEAST(FLOOR((y-y0)/((y1-y0)/15)),14) AS INT) AS cy
       FROM p, e),
-    g AS (SELECT CAST(a.range AS INT) AS bx, CAST(b.range AS INT) AS by FROM RANGE(15) a, RANGE(15) b),
-    k AS (SELECT bx, by, MEDIAN(value) AS v, COUNT(*) AS n FROM c GROUP BY bx, by)
-    SELECT g.by AS y_bin, 14-g.bx AS x_bin, {s6('k.v')} AS value, COALESCE(k.n,0) AS n FROM g LEFT JOIN k ON g.bx=k.bx AND g.by=k.by"""
+    g AS (SELECT CAST(a.range AS INT) AS bx, CAST(b.range AS INT) AS cy FROM RANGE(15) a, RANGE(15) b),
+    k AS (SELECT bx, cy, MEDIAN(value) AS v, COUNT(*) AS n FROM c GROUP BY bx, cy)
+    SELECT g.cy AS y_bin, 14-g.bx AS x_bin, {s6('k.v')} AS value, COALESCE(k.n,0) AS n FROM g LEFT JOIN k ON g.bx=k.bx AND g.cy=k.cy"""
 
 
 @check("binned_map_unclipped", BINNED)
@@ -355,7 +355,7 @@ def _(spark, d):
 
 @check(
     "spectral_index",
-    """SELECT p_partkey, p_size/100.0 AS alpha, 0.5 AS alpha_err, p_retailprice AS beta, CAST(NULL AS DOUBLE) AS beta_err FROM part""",
+    """SELECT p_partkey, p_size/100.0 AS alpha, CAST(0.5 AS DOUBLE) AS alpha_err, p_retailprice AS beta, CAST(NULL AS DOUBLE) AS beta_err FROM part""",
 )
 def _(spark, d):
     coefs = F.concat_ws(",", F.lit("nan"), F.col("p_retailprice").cast("string"), (F.col("p_size") / 100.0).cast("string"), F.lit("7.5"))
@@ -375,14 +375,14 @@ def _(spark, d):
 @check(
     "epoch_and_poly",
     f"""SELECT cat_id, {s6('start_time+900.0/(2.0*86400.0)')} AS epoch, {s6('start_time+900.0')} AS ends,
-    {s6('0.5+0.25*beamdist-0.125*POWER(beamdist,2)')} AS leakage FROM fx_cat""",
+    {s6('0.5+0.25*beamdist-0.125*POWER(beamdist,2)',9)} AS leakage FROM fx_cat""",
 )
 def _(spark, d):
     return view(spark, d, "fx_cat").select(
         "cat_id",
         r6(spectral.epoch_mid("start_time", F.lit(900.0)), "epoch"),
         r6(spectral.observation_end("start_time", F.lit(900.0)), "ends"),
-        r6(spectral.eval_poly("beamdist", [0.5, 0.25, -0.125]), "leakage"),
+        r6(spectral.eval_poly("beamdist", [0.5, 0.25, -0.125]), "leakage", 9),
     )
 
 
