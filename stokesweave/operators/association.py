@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stokesweave.functions.numeric import as_col, ratio
-from stokesweave.functions.sky import offset_by, sep_deg, wrap180, wrap360
+from stokesweave.functions.sky import offset_by, position_angle, sep_deg, wrap180, wrap360
 from stokesweave.functions.text import normalise_field_name
-from stokesweave.operators.keyed import HOT_ROWS, skew_join
+from stokesweave.operators.keyed import HOT_ROWS, in_ids, skew_join
+from stokesweave.session import cut_lineage
 
 PAD = 1e-9
 ROW_BITS = 1 << 32
@@ -302,7 +303,8 @@ def widest_pair(points: DataFrame, source: str = "source_id", pos=("ra", "dec"))
     On one declination circle separation grows with the RA difference, so the
     widest pair is the pair of extreme RA offsets from any member.  That makes
     it two aggregates; no pairs are formed.  A source that does not fit into
-    half a circle (it surrounds a pole) spans the circle and gets ``wraps``.
+    half a circle (it surrounds a pole) gets ``wraps`` and the pair closest to
+    opposite.
     """
     ra, dec = pos
     anchor = points.groupBy(source).agg(
@@ -315,17 +317,73 @@ def widest_pair(points: DataFrame, source: str = "source_id", pos=("ra", "dec"))
         .agg(F.min(offset).alias("_west"), F.max(offset).alias("_east"))
     )
     boundary = F.when(F.abs("dec_max") > F.abs("dec_min"), F.col("dec_min")).otherwise(F.col("dec_max"))
-    left, right = wrap360(F.col("_ra0") + F.col("_east")), wrap360(F.col("_ra0") + F.col("_west"))
-    return ends.select(
+    ends = cut_lineage(
+        ends.select(
+            source,
+            wrap360(F.col("_ra0") + F.col("_east")).alias("ra_left"),
+            wrap360(F.col("_ra0") + F.col("_west")).alias("ra_right"),
+            boundary.alias("dec_boundary"),
+            "dec_min",
+            "dec_max",
+            (F.col("_east") - F.col("_west") >= 180.0).alias("wraps"),
+        )
+    )
+    around = ends.where("wraps")
+    if not around.isEmpty():
+        opposite = _most_opposite(in_ids(points, around, source).select(source, wrap360(F.col(ra)).alias("_ra")), source)
+        turned = position_angle("_ra", "dec_boundary", "_far", "dec_boundary") > 180.0
+        swapped = around.join(opposite, source).withColumns(
+            {
+                "ra_left": F.when(turned, F.col("_ra")).otherwise(F.col("_far")),
+                "ra_right": F.when(turned, F.col("_far")).otherwise(F.col("_ra")),
+            }
+        )
+        ends = ends.where("not wraps").unionByName(swapped.select(ends.columns))
+    return ends.withColumn("sep", sep_deg("ra_left", "dec_boundary", "ra_right", "dec_boundary"))
+
+
+def _most_opposite(points: DataFrame, source: str) -> DataFrame:
+    """Per source the two right ascensions closest to 180 degrees apart.
+
+    Every RA looks for the nearest RA to its antipode.  The search runs inside
+    one-degree bins; what lies outside a bin is carried in from a table of at
+    most 360 bins per source, so no task sorts a whole source.
+    """
+    spots = points.distinct()
+    seeds = spots.select(source, F.col("_ra").alias("_at"), F.col("_ra").alias("_point"), F.lit(None).cast("double").alias("_from"))
+    asks = spots.select(
+        source, wrap360(F.col("_ra") + 180.0).alias("_at"), F.lit(None).cast("double").alias("_point"), F.col("_ra").alias("_from")
+    )
+    rows = seeds.unionByName(asks).withColumn("_bin", F.floor("_at"))
+    bins = rows.groupBy(source, "_bin").agg(F.min("_point").alias("_lo"), F.max("_point").alias("_hi"))
+    ring = Window.partitionBy(source).orderBy("_bin")
+    whole = Window.partitionBy(source)
+    before = F.last("_hi", ignorenulls=True).over(ring.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.first("_lo", ignorenulls=True).over(ring.rowsBetween(1, Window.unboundedFollowing))
+    carried = bins.select(
         source,
-        left.alias("ra_left"),
-        right.alias("ra_right"),
-        boundary.alias("dec_boundary"),
-        sep_deg(left, boundary, right, boundary).alias("sep"),
-        "dec_min",
-        "dec_max",
-        (F.col("_east") - F.col("_west") >= 180.0).alias("wraps"),
+        "_bin",
+        F.coalesce(before, F.max("_hi").over(whole)).alias("_before"),
+        F.coalesce(after, F.min("_lo").over(whole)).alias("_after"),
+    )
+    inner = Window.partitionBy(source, "_bin").orderBy("_at")
+    below = F.last("_point", ignorenulls=True).over(inner.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    above = F.first("_point", ignorenulls=True).over(inner.rangeBetween(Window.currentRow, Window.unboundedFollowing))
+    found = (
+        rows.withColumns({"_below": below, "_above": above})
+        .where(F.col("_from").isNotNull())
+        .join(carried, [source, "_bin"])
+        .select(
+            source,
+            "_from",
+            F.explode(F.array(F.coalesce("_below", "_before"), F.coalesce("_above", "_after"))).alias("_far"),
+        )
+    )
+    apart = F.abs(wrap180(F.col("_far") - F.col("_from")))
+    best = found.groupBy(source).agg(
+        F.max_by(F.struct("_from", "_far"), F.struct(apart, -F.col("_from"), -F.col("_far"))).alias("_p")
     )
+    return best.select(source, F.col("_p._from").alias("_ra"), F.col("_p._far").alias("_far"))
 
 
 def source_box(

@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stokesweave.functions.numeric import NAN
 from stokesweave.functions.spectral import lognorm_params
 
 DRAWS = 1000
@@ -72,6 +73,6 @@ def sigma_add(cat: DataFrame, ident: str = "cat_id", draws: int = DRAWS, drop_in
         F.col("sigma_add_U") - F.col("sigma_add_U_err_minus"), F.col("sigma_add_U") + F.col("sigma_add_U_err_plus")
     )
     moments = _moments_udf(draws)(F.xxhash64(ident), shape_q, scale_q, shape_u, scale_u)
-    out = cat.withColumn("_m", moments).withColumns({c: F.col(f"_m.{c}") for c in ("sigma_add", "sigma_add_err")}).drop("_m")
+    out = cat.withColumn("_m", moments).withColumns({c: F.coalesce(f"_m.{c}", F.lit(NAN)) for c in ("sigma_add", "sigma_add_err")}).drop("_m")
     return out.drop(*INPUTS) if drop_inputs else out
 
