@@ -8,6 +8,7 @@ join is an equi-join on the cell, and the exact separation filters the rest.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -135,6 +136,11 @@ def nearest_match(
 MAX_CENTRES = 4096
 
 
+def _unit_vector(ra: float, dec: float) -> tuple[float, float, float]:
+    a, d = math.radians(ra), math.radians(dec)
+    return math.cos(d) * math.cos(a), math.cos(d) * math.sin(a), math.sin(d)
+
+
 def nearest_field(
     sources: DataFrame,
     fields: DataFrame,
@@ -163,6 +169,7 @@ def nearest_field(
     table = F.array(
         *[
             F.struct(
+                *[F.lit(x).alias(k) for k, x in zip(("_x", "_y", "_z"), _unit_vector(r[field_pos[0]], r[field_pos[1]]))],
                 F.lit(float(r[field_pos[0]])).alias("_ra"),
                 F.lit(float(r[field_pos[1]])).alias("_dec"),
                 *[F.lit(r[c]).cast(types[c]).alias(c) for c in names],
@@ -171,16 +178,23 @@ def nearest_field(
         ]
     )
     ra, dec = source_pos
+    flat = F.cos(F.radians(dec))
+    placed = sources.withColumns(
+        {"_sx": flat * F.cos(F.radians(ra)), "_sy": flat * F.sin(F.radians(ra)), "_sz": F.sin(F.radians(dec))}
+    )
+
+    def chord(c: Column) -> Column:
+        dx, dy, dz = c["_x"] - F.col("_sx"), c["_y"] - F.col("_sy"), c["_z"] - F.col("_sz")
+        return dx * dx + dy * dy + dz * dz
+
+    # the squared chord ranks like the separation and needs no trigonometry per centre
     ranked = F.transform(
-        table,
-        lambda c: F.struct(
-            sep_deg(c["_ra"], c["_dec"], ra, dec).alias("sep"), *[c[n].alias(n) for n in names]
-        ),
+        table, lambda c: F.struct(chord(c).alias("_d"), *[c[n].alias(n) for n in names], c["_ra"].alias("_ra"), c["_dec"].alias("_dec"))
     )
-    out = sources.withColumn("_near", F.array_min(ranked))
+    out = placed.withColumn("_near", F.array_min(ranked)).drop("_sx", "_sy", "_sz")
     for n in field_cols:
         out = out.withColumn(f"{prefix}{n}", F.col(f"_near.{n}"))
-    return out.withColumn(f"{prefix}sep", F.col("_near.sep")).drop("_near")
+    return out.withColumn(f"{prefix}sep", sep_deg("_near._ra", "_near._dec", ra, dec)).drop("_near")
 
 
 def reassign_fields(
@@ -231,11 +245,12 @@ def blended_components(
     """
     ra, dec = pos
     single = F.max(F.col(n_gaus) == 1) if n_gaus else F.count(F.lit(1)) == 1
-    info = cat.groupBy(source).agg(F.max(beam).alias("_r"), single.alias("_single"))
-    if hot_rows is not None:
-        sizes = cat.groupBy(source).agg(F.count(F.lit(1)).alias("_n"))
-        if sizes.where(F.col("_n") > hot_rows).isEmpty():
-            hot_rows = None
+    info = cut_lineage(
+        cat.groupBy(source).agg(F.max(beam).alias("_r"), single.alias("_single"), F.count(F.lit(1)).alias("_size"))
+    )
+    if hot_rows is not None and info.where(F.col("_size") > hot_rows).isEmpty():
+        hot_rows = None
+    info = info.drop("_size")
     spots = (
         cat.groupBy(source, ra, dec)
         .agg(F.count(F.lit(1)).alias("_n"), F.sum(flux).alias("_f"))

@@ -53,36 +53,39 @@ def order_statistics(
     """
     keys = list(keys)
     few_groups = few_groups or not keys
-    names = sorted(wanted, key=lambda k: wanted[k][0])
     rows = _with_keys(df, keys, value)
 
+    # one bracket per distinct fraction, in rising order
+    fractions = sorted({f for f, _ in wanted.values()})
     margin = 3.0 / SKETCH
-    fractions = [wanted[k][0] for k in names]
     lows = [max(0.0, f - margin) for f in fractions]
     highs = [min(1.0, f + margin) for f in fractions]
     sketch = F.percentile_approx("_v", lows + highs, SKETCH)
     group = (rows.groupBy(*keys) if keys else rows.groupBy()).agg(F.count("_v").alias("n"), sketch.alias("_b"))
-    t = len(names)
-    small = F.col("n") <= SMALL_GROUP
+    t = len(fractions)
 
-    def bound(index: int, fraction: float, edge: float, open_value: float) -> Column:
-        if fraction == edge:
+    def bound(index: int, is_open: bool, open_value: float) -> Column:
+        if is_open:
             return F.lit(open_value)
-        return F.when(small, F.lit(open_value)).otherwise(F.get("_b", F.lit(index)))
+        return F.when(F.col("n") <= SMALL_GROUP, F.lit(open_value)).otherwise(F.get("_b", F.lit(index)))
 
     group = group.select(
         *keys,
         "n",
-        F.array(*[bound(i, lows[i], 0.0, -INF) for i in range(t)]).alias("_lo"),
-        F.array(*[bound(t + i, highs[i], 1.0, INF) for i in range(t)]).alias("_hi"),
+        *[bound(i, lows[i] == 0.0, -INF).alias(f"_lo{i}") for i in range(t)],
+        *[bound(t + i, highs[i] == 1.0, INF).alias(f"_hi{i}") for i in range(t)],
     )
 
-    slot = F.size(F.filter("_hi", lambda h: h < F.col("_v")))
+    v = F.col("_v")
+    slot = sum((F.when(v > F.col(f"_hi{i}"), 1).otherwise(0) for i in range(t)), F.lit(0))
+    start = F.col("_lo0")
+    for i in range(1, t):
+        start = F.when(F.col("_g") == i, F.col(f"_lo{i}")).otherwise(start)
     placed = (
         attach(rows, group, keys, few_groups)
         .withColumn("_g", slot)
         .where(F.col("_g") < t)
-        .withColumn("_kept", F.when(F.col("_v") >= F.get("_lo", F.col("_g")), F.col("_v")))
+        .withColumn("_kept", F.when(v >= start, v))
         .groupBy(*keys, "n", "_g", "_kept")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
@@ -90,19 +93,14 @@ def order_statistics(
     running = placed.withColumn(
         "_cum", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
-    picked = []
-    for name in names:
-        rank = wanted[name][1]
-        hit = F.min(F.when((F.col("_cum") > rank), F.struct(F.col("_cum"), F.col("_kept").alias("v"))))
-        picked.append(hit.alias(name))
-    out = running.groupBy(*keys, "n").agg(*picked) if keys else running.groupBy("n").agg(*picked)
-    checked = [
-        F.when(F.col(name)["v"].isNotNull(), F.col(name)["v"])
-        .otherwise(F.raise_error(F.lit("order statistic fell outside its bracket")).cast("double"))
-        .alias(name)
-        for name in names
+    # the one collapsed row whose counts cover the rank; NULL where that row is outside all brackets
+    picked = [
+        F.max(F.when((F.col("_cum") > rank) & (F.col("_cum") - F.col("_c") <= rank), F.col("_kept"))).alias(name)
+        for name, (_, rank) in wanted.items()
     ]
-    return out.select(*keys, "n", *checked)
+    out = running.groupBy(*keys, "n").agg(*picked)
+    missed = F.raise_error(F.lit("order statistic fell outside its bracket")).cast("double")
+    return out.select(*keys, "n", *[F.coalesce(F.col(name), missed).alias(name) for name in wanted])
 
 
 def grouped_quantiles(

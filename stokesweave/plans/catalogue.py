@@ -98,9 +98,14 @@ def add_flags(
             "complex_M2_CC_flag": complex_width_flag("rm_width", "rmsf_fwhm"),
         }
     )
-    out = out.withColumn("_good", F.coalesce(good_rm()["good_rm"], F.lit(False)))
-    out = local_outliers(out, "_good", reference_compat=reference_compat).drop("_good")
-    out = blended_components(out, flux="total_I_flux", n_gaus="N_Gaus").withColumnRenamed("n_blended", "N_blended")
+    # outliers and blends read narrow copies, each once, and come back by id
+    narrow = out.select("cat_id", "ra", "dec", "rm", F.coalesce(good_rm()["good_rm"], F.lit(False)).alias("_good"))
+    local = local_outliers(narrow, "_good", reference_compat=reference_compat).select("cat_id", "local_rm_flag")
+    shape = cat.select("source_id", "cat_id", "ra", "dec", "total_I_flux", "beam_maj", "N_Gaus")
+    blends = blended_components(shape, flux="total_I_flux", n_gaus="N_Gaus").select(
+        "cat_id", "is_blended_flag", "blend_ratio", F.col("n_blended").alias("N_blended")
+    )
+    out = out.join(local, "cat_id").join(blends, "cat_id")
     return out, envelope
 
 
@@ -131,7 +136,7 @@ def make_catalogue(
     one_per_name = first_per_key(fields, ["field_name"], ["sbid", "ra", "dec"])
     placed = tile_separation(base.drop("separation_tile_centre"), one_per_name)
     placed = placed.withColumn("beamdist", F.coalesce("separation_tile_centre", "beamdist"))
-    placed = sigma_add(placed)
+    placed = sigma_add(int_time_lookup(placed, fields, sbid=sbid))
     # read several times from here on: bins, flags, outliers, blends
     placed = cut_lineage(placed)
     if placed.isEmpty():
@@ -140,7 +145,6 @@ def make_catalogue(
     out, envelope = add_flags(placed, leakage_degree, leakage_bins, leakage_snr, reference_compat)
     index = spectral_index("stokesI_model_coef", "stokesI_model_coef_err")
     out = out.withColumns({"spectral_index": index["alpha"], "spectral_index_err": index["alpha_err"]})
-    out = int_time_lookup(out, fields, sbid=sbid)
     lon, lat = to_galactic("ra", "dec")
     out = out.withColumns({"epoch": epoch_mid("start_time", "int_time"), "l": lon, "b": lat})
     out = pos_err(out)

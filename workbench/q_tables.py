@@ -381,12 +381,33 @@ def _catalogue(spark, d):
     return catalogue_plan.make_catalogue(comps, islands, per_field, flds, "ALL", catalogue_name="demo")
 
 
-@check("make_catalogue")
+_GAL = "RADIANS(c.dec) AS d, RADIANS(c.ra-192.85948) AS a, RADIANS(27.12825) AS p"
+
+
+@check(
+    "make_catalogue",
+    f"""WITH k AS (SELECT c.*, {_GAL}, f.scan_tint FROM fx_cat c JOIN fx_fields f ON c.field_name=f.field_name WHERE c.tax < 0.07),
+    n AS (SELECT x.cat_id, COUNT(*) AS n, SUM(y.total_i_flux) AS near FROM k x JOIN k y ON x.source_id=y.source_id
+      WHERE {s_sep('x.ra','x.dec','y.ra','y.dec')} > 0 AND {s_sep('x.ra','x.dec','y.ra','y.dec')} < 0.02 GROUP BY x.cat_id)
+    SELECT CAST(k.cat_id AS VARCHAR) AS cat_id, snr_polint < 8 AS snr_flag, nchan < FLOOR((SELECT MAX(nchan) FROM k)*0.5) AS channel_flag,
+      rm > 20.0 AS complex_width, COALESCE(n.n,0) > 0 AS is_blended_flag, CAST(COALESCE(n.n,0) AS BIGINT) AS "N_blended",
+      {s6('total_i_flux/(total_i_flux+COALESCE(n.near,0))')} AS blend_ratio, scan_tint AS int_time,
+      {s6('start_time+scan_tint/(2.0*86400.0)')} AS epoch, {s6('DEGREES(ASIN(SIN(d)*SIN(p)+COS(d)*COS(p)*COS(a)))')} AS b,
+      (SELECT MAX(GREATEST(ra_err, dec_err)) FROM k) AS pos_err, CAST(-0.8 AS DOUBLE) AS spectral_index
+    FROM k LEFT JOIN n ON k.cat_id=n.cat_id""",
+)
 def _(spark, d):
     out = _catalogue(spark, d)
     return out.select(
-        "cat_id", "source_id", "snr_flag", "channel_flag", "complex_flag", "local_rm_flag", "is_blended_flag", "N_blended", "leakage", "int_time", "sigma_add"
-    )
+        "cat_id", "snr_flag", "channel_flag", F.col("complex_M2_CC_flag").alias("complex_width"), "is_blended_flag", "N_blended", r6("blend_ratio"),
+        "int_time", r6("epoch"), r6("b"), "pos_err", "spectral_index",
+    )
+
+
+@check("make_catalogue_flags")
+def _(spark, d):
+    out = _catalogue(spark, d)
+    return out.select("cat_id", "leakage", "leakage_flag", "complex_sigma_add_flag", "local_rm_flag", "sigma_add", "sigma_add_err")
 
 
 @check("catalogue_checks")
@@ -410,7 +431,13 @@ def _(spark, d):
     return merged.select("source_id", "stokes", "chan", "y", "x", r6("value"), "weight")
 
 
-@check("validate_catalogue")
+@check(
+    "validate_catalogue",
+    f"""WITH p AS (SELECT c.cat_id, i.source_id AS ext_id, c.rm, i.isl_tax, {s_sep('c.ra','c.dec','i.ra','i.dec')} AS sep FROM fx_cat c
+      JOIN fx_islands i ON i.dec >= c.dec-0.0501 AND i.dec <= c.dec+0.0501),
+    k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY cat_id ORDER BY sep, ext_id) AS rn FROM p WHERE sep < 0.05)
+    SELECT cat_id, ext_id, rm, isl_tax AS ext_rm, {s6('sep')} AS sep FROM k WHERE rn=1""",
+)
 def _(spark, d):
     cat = view(spark, d, "fx_cat").select(
         "cat_id", "ra", "dec", "rm", "rm_err", F.col("snr_polint").alias("stokesI"), F.lit(0.5).alias("stokesI_err"), F.col("fracpol").alias("stokesQ"),
