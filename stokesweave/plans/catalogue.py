@@ -136,11 +136,13 @@ def make_catalogue(
     one_per_name = first_per_key(fields, ["field_name"], ["sbid", "ra", "dec"])
     placed = tile_separation(base.drop("separation_tile_centre"), one_per_name)
     placed = placed.withColumn("beamdist", F.coalesce("separation_tile_centre", "beamdist"))
-    placed = sigma_add(int_time_lookup(placed, fields, sbid=sbid))
+    placed = sigma_add(int_time_lookup(placed, fields, sbid=sbid, strict=False))
     # read several times from here on: bins, flags, outliers, blends
     placed = cut_lineage(placed)
     if placed.isEmpty():
         raise ValueError("no components found for this field")
+    if not placed.where(F.col("int_time").isNull()).isEmpty():
+        raise ValueError("some components have no integration time")
 
     out, envelope = add_flags(placed, leakage_degree, leakage_bins, leakage_snr, reference_compat)
     index = spectral_index("stokesI_model_coef", "stokesI_model_coef_err")
