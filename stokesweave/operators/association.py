@@ -222,6 +222,9 @@ def reassign_fields(
 
 # --- blended components ------------------------------------------------------
 
+DENSE = 2000
+
+
 def blended_components(
     cat: DataFrame,
     source: str = "source_id",
@@ -230,6 +233,7 @@ def blended_components(
     flux: str = "total_i_flux",
     beam: str = "beam_maj",
     n_gaus: str | None = None,
+    dense: int = DENSE,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Blend flag, neighbour count and flux ratio of every component.
@@ -238,51 +242,118 @@ def blended_components(
     the source's largest beam.  Components at one position are not neighbours of
     each other.  One-Gaussian sources get FALSE, 0 and NaN.
 
-    Identical positions are merged into one weighted position first, and pairs
-    are only formed between positions in touching beam-sized cells of a source,
-    so neither copies nor a source with very many components multiplies out.
-    Cells are checked for hot ones only when a source is that large at all.
+    Identical positions are merged into one weighted position first.  Sources of
+    up to ``dense`` components compare positions in touching beam-sized cells.
+    Larger ones compare small cells instead of components wherever a pair of
+    cells lies wholly inside or outside the beam.
     """
     ra, dec = pos
     single = F.max(F.col(n_gaus) == 1) if n_gaus else F.count(F.lit(1)) == 1
     info = cut_lineage(
         cat.groupBy(source).agg(F.max(beam).alias("_r"), single.alias("_single"), F.count(F.lit(1)).alias("_size"))
     )
-    if hot_rows is not None and info.where(F.col("_size") > hot_rows).isEmpty():
-        hot_rows = None
-    info = info.drop("_size")
     spots = (
         cat.groupBy(source, ra, dec)
         .agg(F.count(F.lit(1)).alias("_n"), F.sum(flux).alias("_f"))
         .join(info.where(~F.col("_single")).drop("_single"), source)
-        .withColumn("_size", F.greatest(2.0 * F.col("_r"), F.lit(1e-4)))
     )
-    probe = spots.select(source, ra, dec, "_r", F.explode(touched_cells(ra, dec, "_r", "_size")).alias("_cell"))
-    home = spots.select(
+    near = _near_totals(spots.where(F.col("_size") <= dense), source, pos)
+    if not info.where(F.col("_size") > dense).isEmpty():
+        near = near.unionByName(_dense_near_totals(spots.where(F.col("_size") > dense), source, pos, hot_rows))
+    out = cat.join(info.select(source, "_single"), source).join(near, [source, ra, dec], "left")
+    n = F.coalesce("n_blended", F.lit(0)).cast("long")
+    share = ratio(flux, F.col(flux) + F.coalesce("_near_flux", F.lit(0.0)))
+    return out.select(
+        *cat.columns,
+        (n > 0).alias("is_blended_flag"),
+        n.alias("n_blended"),
+        F.when(F.col("_single"), F.lit(float("nan"))).otherwise(share).alias("blend_ratio"),
+    )
+
+
+def _near_totals(spots: DataFrame, source: str, pos: tuple[str, str]) -> DataFrame:
+    """Neighbour count and flux per position; sources are bounded by the caller."""
+    ra, dec = pos
+    sized = spots.withColumn("_cell_size", F.greatest(2.0 * F.col("_r"), F.lit(1e-4)))
+    probe = sized.select(source, ra, dec, "_r", F.explode(touched_cells(ra, dec, "_r", "_cell_size")).alias("_cell"))
+    home = sized.select(
         source,
-        home_cell(ra, dec, "_size").alias("_cell"),
+        home_cell(ra, dec, "_cell_size").alias("_cell"),
         F.col(ra).alias("_ra2"),
         F.col(dec).alias("_dec2"),
         F.col("_n").alias("_n2"),
         F.col("_f").alias("_f2"),
     )
-    pairs = skew_join(probe, home, [source, "_cell"], hot_rows=hot_rows)
-    sep = sep_deg(ra, dec, "_ra2", "_dec2")
-    near = (
-        pairs.withColumn("_sep", sep)
+    return (
+        probe.join(home, [source, "_cell"])
+        .withColumn("_sep", sep_deg(ra, dec, "_ra2", "_dec2"))
         .where((F.col("_sep") > 0) & (F.col("_sep") < F.col("_r")))
         .groupBy(source, ra, dec)
         .agg(F.sum("_n2").alias("n_blended"), F.sum("_f2").alias("_near_flux"))
     )
-    out = cat.join(info.select(source, "_single"), source).join(near, [source, ra, dec], "left")
-    n = F.coalesce("n_blended", F.lit(0)).cast("long")
-    share = ratio(flux, F.col(flux) + F.coalesce("_near_flux", F.lit(0.0)))
-    return out.select(
-        *cat.columns,
-        (n > 0).alias("is_blended_flag"),
-        n.alias("n_blended"),
-        F.when(F.col("_single"), F.lit(float("nan"))).otherwise(share).alias("blend_ratio"),
+
+
+def _dense_near_totals(spots: DataFrame, source: str, pos: tuple[str, str], hot_rows: int | None) -> DataFrame:
+    """The same for sources with very many positions.
+
+    Positions fall into cells a fraction of the beam wide, and cells are compared
+    by their centres and the reach of their members.  A pair of cells within the
+    beam adds its totals once per cell; only pairs of cells that the beam's edge
+    crosses are compared position by position.
+    """
+    ra, dec = pos
+    parts = F.least(F.lit(256.0), F.greatest(F.lit(2.0), F.floor(F.pow(F.col("_size"), F.lit(0.4)) / 1.2)))
+    fine = spots.withColumn("_w", F.greatest(F.col("_r") / parts, F.lit(1e-6)))
+    zone = _zone_of(F.col(dec), F.col("_w"))
+    fine = fine.withColumn("_z", zone)
+    bins = _bins_in_zone(F.col("_z"), F.col("_w"), F.col("_w"))
+    fine = fine.withColumn("_nb", bins).withColumn("_b", F.least(F.floor(wrap360(F.col(ra)) / 360.0 * F.col("_nb")), F.col("_nb") - 1))
+    fine = fine.withColumns({"_cra": (F.col("_b") + 0.5) * 360.0 / F.col("_nb"), "_cdec": (F.col("_z") + 0.5) * F.col("_w") - 90.0})
+    fine = fine.withColumn("_h", sep_deg(ra, F.col(dec), "_cra", "_cdec"))
+    cell = [source, "_z", "_b"]
+    cells = fine.groupBy(*cell, "_r", "_w", "_cra", "_cdec").agg(
+        F.sum("_n").alias("_cn"), F.sum("_f").alias("_cf"), F.max("_h").alias("_h")
+    )
+    reach = F.col("_r") + 4.0 * F.col("_w")
+    size = F.greatest(2.0 * reach, F.lit(1e-4))
+    probe = cells.select(*cell, "_r", "_cra", "_cdec", "_h", F.explode(touched_cells("_cra", "_cdec", reach, size)).alias("_cell"))
+    home = cells.select(
+        source,
+        home_cell("_cra", "_cdec", size).alias("_cell"),
+        *[F.col(c).alias(f"{c}2") for c in ("_z", "_b", "_cra", "_cdec", "_h", "_cn", "_cf")],
+    )
+    met = skew_join(probe, home, [source, "_cell"], hot_rows=hot_rows).withColumn(
+        "_sep", sep_deg("_cra", "_cdec", "_cra2", "_cdec2")
+    )
+    slack = F.col("_h") + F.col("_h2")
+    within = F.col("_sep") + slack < F.col("_r") - PAD
+    apart = F.col("_sep") - slack > F.col("_r") + PAD
+    own = (F.col("_z") == F.col("_z2")) & (F.col("_b") == F.col("_b2"))
+    inside = met.where(within).groupBy(*cell).agg(
+        F.sum("_cn2").alias("_in_n"), F.sum("_cf2").alias("_in_f"), F.max(own).alias("_own")
+    )
+    # a cell that lies within the beam of itself has counted each of its positions once too often
+    whole = fine.join(inside, cell).select(
+        source,
+        ra,
+        dec,
+        (F.col("_in_n") - F.when(F.col("_own"), F.col("_n")).otherwise(0)).alias("_n2"),
+        (F.col("_in_f") - F.when(F.col("_own"), F.col("_f")).otherwise(0.0)).alias("_f2"),
+    )
+    edge = met.where(~within & ~apart).select(*cell, "_z2", "_b2")
+    mates = fine.select(
+        source, F.col("_z").alias("_z2"), F.col("_b").alias("_b2"), F.col(ra).alias("_ra2"), F.col(dec).alias("_dec2"),
+        F.col("_n").alias("_n2"), F.col("_f").alias("_f2"),
+    )
+    asking = fine.select(*cell, ra, dec, "_r").join(edge, cell).drop("_z", "_b")
+    crossed = (
+        skew_join(asking, mates, [source, "_z2", "_b2"], hot_rows=hot_rows)
+        .withColumn("_sep", sep_deg(ra, dec, "_ra2", "_dec2"))
+        .where((F.col("_sep") > 0) & (F.col("_sep") < F.col("_r")))
+        .select(source, ra, dec, "_n2", "_f2")
     )
+    totals = whole.unionByName(crossed).groupBy(source, ra, dec)
+    return totals.agg(F.sum("_n2").alias("n_blended"), F.sum("_f2").alias("_near_flux"))
 
 
 def close_pairs(

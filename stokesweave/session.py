@@ -30,11 +30,14 @@ def local_session(cores: str | int = "*", memory: str = "8g", name: str = "stoke
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it in its configuration.  Only where nothing is named (a
-    local test session) a temporary folder is set for the session.
+    A cluster names it in its configuration.  Only a local session that names
+    nothing (tests) gets a temporary folder.  Files stay until the folder's owner
+    removes them.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         current = tempfile.mkdtemp(prefix="stokesweave-")
         spark.sparkContext.setCheckpointDir(current)
     return current

@@ -90,19 +90,19 @@ def brute_blends(rows):
     return out
 
 
-@pytest.mark.parametrize("hot_rows", [None, 20])
-def test_blends_equal_brute_force(spark, hot_rows):
+@pytest.mark.parametrize("dense,hot_rows", [(2000, None), (20, None), (20, 15)])
+def test_blends_equal_brute_force(spark, dense, hot_rows):
     rng = np.random.default_rng(9)
     rows = []
     for i in range(300):
         s = 0 if i < 100 else int(rng.integers(1, 60))  # a third of all rows in one source
-        ra, dec = (s * 5.0 + rng.uniform(0, 0.05)) % 360, -30.0 + rng.uniform(0, 0.05)
+        ra, dec = (s * 5.0 + rng.uniform(-0.02, 0.02)) % 360, -30.0 + rng.uniform(0, 0.02)
         if i % 10 == 0:
             ra, dec = s * 5.0 % 360, -30.0  # copies at one position
         rows.append((s, i, float(ra), float(dec), float(rng.uniform(1, 9)), 0.01 + 0.001 * (i % 3)))
     cat = spark.createDataFrame(rows, "source_id long, cat_id long, ra double, dec double, total_i_flux double, beam_maj double")
     want = brute_blends(rows)
-    got = association.blended_components(cat, hot_rows=hot_rows).collect()
+    got = association.blended_components(cat, dense=dense, hot_rows=hot_rows).collect()
     assert len(got) == 300
     for r in got:
         flag, n, ratio = want[r.cat_id]

@@ -258,11 +258,19 @@ def _(spark, d):
     return out.select("cat_id", r6("rm"), r6("rm_err"), r6("polint"), r6("snr_polint", digits=4), r6("stokes_q"), r6("stokes_u"))
 
 
-@check("phi_grid")
+@check(
+    "phi_grid",
+    f"""WITH g AS (SELECT 3.8/(MAX(lambda_sq)-MIN(lambda_sq))/5 AS step FROM fx_spectra),
+    phi AS (SELECT (range-ROUND(400.0/step))*step AS phi FROM RANGE(1000), g WHERE range <= 2*ROUND(400.0/step)),
+    s AS (SELECT cat_id, lambda_sq AS l2, 1.0/(dqu*dqu) AS w, q, u FROM fx_spectra),
+    l AS (SELECT cat_id, SUM(w*l2)/SUM(w) AS l0 FROM s GROUP BY cat_id)
+    SELECT s.cat_id, {s6('phi')} AS phi, {s6('SUM(w*(q*COS(2*phi*(l2-l0))+u*SIN(2*phi*(l2-l0))))/SUM(w)')} AS re
+    FROM s JOIN l ON s.cat_id=l.cat_id, phi GROUP BY s.cat_id, phi""",
+)
 def _(spark, d):
     s = view(spark, d, "fx_spectra")
-    grid = faraday.phi_grid(s, phi_max=400.0)
-    return faraday.rm_synthesis(s, grid)
+    out = faraday.rm_synthesis(s, faraday.phi_grid(s, phi_max=400.0))
+    return out.select("cat_id", r6("phi"), r6("re"))
 
 
 def _cleaned(spark, d):

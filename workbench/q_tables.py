@@ -310,8 +310,11 @@ def _(spark, d):
 
 @check("field_dictionary")
 def _(spark, d):
+    """Dictionary of the catalogue beside the number of known values per column."""
     cat, exprs = _declared(spark, d)
-    return schema.field_dictionary(schema.fill_blank_units(schema.to_jy(schema.select_catalogue_columns(cat, exprs))))
+    out = schema.fill_blank_units(schema.to_jy(schema.select_catalogue_columns(cat, exprs)))
+    known = out.agg(*[F.count(c).alias(c) for c in out.columns]).unpivot([], out.columns, "name", "n_known")
+    return schema.field_dictionary(out).join(known, "name")
 
 
 @check("constant_columns", """SELECT cat_id, 'ASKAP' AS telescope, 'Peak' AS flux_type, CAST(0 AS DOUBLE) AS aperture, '8001' AS sbid, 'NATION_1' AS tile_id FROM fx_cat""")
