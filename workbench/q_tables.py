@@ -528,3 +528,22 @@ def _(spark, d):
     cat = view(spark, d, "fx_cat")
     keep = ("cat_id", "rm", *INPUTS)
     return tables.drop_columns(cat, [c for c in cat.columns if c not in keep])
+
+
+@check("write_catalogue", "SELECT cat_id, rm, 'demo' AS catalog_name FROM fx_cat")
+def _(spark, d):
+    path = scratch_path(spark, "catalogue")
+    cat = fields.constant_columns(view(spark, d, "fx_cat").select("cat_id", "rm"), "demo")
+    tables.write_catalogue(cat.select("cat_id", "rm", "catalog"), path)
+    return spark.read.parquet(f"{path}/catalogue")
+
+
+@check("rename_reserved", "SELECT source_id, isl_tax AS \"Maj_axis\", n_rows AS \"E_Min_axis\" FROM fx_islands")
+def _(spark, d):
+    return tables.rename_reserved(view(spark, d, "fx_islands").selectExpr("source_id", "isl_tax AS Maj", "n_rows AS E_Min"))
+
+
+@check("decode_bytes", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def _(spark, d):
+    raw = table(spark, d, "customer").select("c_custkey", F.encode("c_name", "UTF-8").alias("c_name"), F.encode("c_mktsegment", "UTF-8").alias("c_mktsegment"))
+    return tables.decode_bytes(raw)
