@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stokesweave.functions.numeric import as_col, ratio
+from stokesweave.functions.numeric import as_col, finite_or_null, ratio
 from stokesweave.functions.sky import offset_by, position_angle, sep_deg, wrap180, wrap360
 from stokesweave.functions.text import normalise_field_name
 from stokesweave.operators.keyed import HOT_ROWS, in_ids, skew_join
@@ -250,11 +250,13 @@ def blended_components(
     ra, dec = pos
     single = F.max(F.col(n_gaus) == 1) if n_gaus else F.count(F.lit(1)) == 1
     info = cut_lineage(
-        cat.groupBy(source).agg(F.max(beam).alias("_r"), single.alias("_single"), F.count(F.lit(1)).alias("_size"))
+        cat.groupBy(source).agg(
+            F.max(finite_or_null(beam)).alias("_r"), single.alias("_single"), F.count(F.lit(1)).alias("_size")
+        )
     )
     spots = (
         cat.groupBy(source, ra, dec)
-        .agg(F.count(F.lit(1)).alias("_n"), F.sum(flux).alias("_f"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.coalesce(F.sum(finite_or_null(flux)), F.lit(0.0)).alias("_f"))
         .join(info.where(~F.col("_single")).drop("_single"), source)
     )
     near = _near_totals(spots.where(F.col("_size") <= dense), source, pos)

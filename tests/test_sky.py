@@ -142,3 +142,15 @@ def test_widest_pair_around_the_pole(spark):
     r = association.widest_pair(pts).first()
     best = max(haversine(a, 89.0, b, 89.0) for a in ras for b in ras)
     assert r.wraps and math.isclose(r.sep, best, abs_tol=1e-9)
+
+
+def test_blends_ignore_missing_beam_and_flux(spark):
+    nan = float("nan")
+    cat = spark.createDataFrame(
+        [(1, 1, 10.0, 0.0, 2.0, nan), (1, 2, 10.001, 0.0, nan, 0.01), (2, 3, 20.0, 0.0, 1.0, nan), (2, 4, 20.001, 0.0, 1.0, nan)],
+        "source_id long, cat_id long, ra double, dec double, total_i_flux double, beam_maj double",
+    )
+    out = {r.cat_id: r for r in association.blended_components(cat).collect()}
+    assert out[1].n_blended == 1 and out[1].blend_ratio == 1.0
+    assert out[2].n_blended == 1 and math.isnan(out[2].blend_ratio)
+    assert out[3].n_blended == 0 and out[3].blend_ratio == 1.0 and not out[4].is_blended_flag
