@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -30,13 +31,12 @@ def local_session(cores: str | int = "*", memory: str = "8g", name: str = "stoke
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it in its configuration.  Only a local session that names
-    nothing (tests) gets a temporary folder.  Files stay until the folder's owner
-    removes them.
+    A cluster names it in its configuration.  Only a session that runs in one process
+    (tests) gets a folder of its own where nothing is named.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^,\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         current = tempfile.mkdtemp(prefix="stokesweave-")
         spark.sparkContext.setCheckpointDir(current)
@@ -48,12 +48,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and continue from the written copy.
+def written_stage(df: DataFrame) -> tuple[DataFrame, str]:
+    """Write ``df`` to the shared folder; the written copy and its path.
 
     Unlike executor-local storage the copy survives the loss of executors.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "stage")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def drop_stage(spark: SparkSession, path: str) -> None:
+    """Remove a stage that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and continue from the written copy."""
+    return written_stage(df)[0]
