@@ -70,9 +70,11 @@ def scan(
     phrases, notices = PHRASES if phrases is None else phrases, NOTICES if notices is None else notices
     templates = [*phrases, *notices]
     spark = df.sparkSession
-    pairs = spark.createDataFrame(template_pairs(templates), "tid int, tpos int, w1 string, w2 string").select(
-        F.xxhash64("w1", "w2").alias("gram"), "tid", "tpos", F.col("w1"), F.col("w2")
-    )
+    listed, seen = [], set()
+    for tid, tpos, w1, w2 in template_pairs(templates):
+        listed.append((tid, tpos, w1, w2, (w1, w2) not in seen))
+        seen.add((w1, w2))
+    pairs = spark.createDataFrame(listed, "tid int, tpos int, w1 string, w2 string, once boolean").withColumn("gram", F.xxhash64("w1", "w2"))
     lowered = F.lower(text_of(text))
     docs = (
         df.select(F.col(key).alias("key"), F.xxhash64(text_of(text)).alias("same"), F.split(lowered, BETWEEN).alias("parts"))
@@ -94,7 +96,8 @@ def scan(
         F.max("n_words").alias("n_words"),
         # rows that repeat vote on the same diagonal; places are counted once
         F.collect_set(F.when(F.col("hit"), F.col("tpos"))).alias("votes"),
-        F.sum(F.when(F.col("at") == 0, 1).otherwise(0)).alias("rows"),
+        # a pair of several templates joins more than once
+        F.sum(F.when((F.col("at") == 0) & F.coalesce(F.col("once"), F.lit(True)), 1).otherwise(0)).alias("rows"),
     )
     sizes = F.array(*[F.lit(len(words.split())) for _, words in templates])
     labels = F.array(*[F.lit(label) for label, _ in templates])
