@@ -63,7 +63,7 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    model = toxicity.train(labels.filter(~toxicity.held_out()).join(docs.select("doc_id", "text"), "doc_id"))
+    model = toxicity.train(docs, labels.filter(~toxicity.held_out()))
     return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", "worst_sentence", "sentence_score")
 
 

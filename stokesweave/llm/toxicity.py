@@ -80,10 +80,9 @@ class Model:
 def fit(texts: list[str], labels: list[int], weights: list[float], max_features: int = 20_000, least: int = 4, penalty: float = 0.2, steps: int = 400) -> Model:
     """Fit by proximal gradient steps with per-weight step sizes; ``weights`` are those of the documents."""
     y, dw = np.array(labels, dtype=np.float64), np.array(weights, dtype=np.float64)
-    bags = [[{f for w in set(WORD.findall(s)) for f in features(w)} for s in sentences(t.lower())] for t in texts]
     seen = [Counter(), Counter()]
-    for bag, label in zip(bags, labels):
-        seen[label].update(set().union(*bag))
+    for t, label in zip(texts, labels):
+        seen[label].update({f for w in set(WORD.findall(t.lower())) for f in features(w)})
     n = [max(1, labels.count(0)), max(1, labels.count(1))]
 
     def uneven(f: str) -> float:
@@ -97,12 +96,12 @@ def fit(texts: list[str], labels: list[int], weights: list[float], max_features:
     names = [f for f in names if uneven(f) >= 3.0]
     number = {f: i for i, f in enumerate(names)}
     doc, sent, feat = [], [], []
-    for d, bag in enumerate(bags):
-        for s in bag:
-            known = [number[f] for f in s if f in number]
+    for d, t in enumerate(texts):
+        for s in sentences(t.lower()):
+            known = {number[f] for w in set(WORD.findall(s)) for f in features(w) if f in number}
             if known:
                 sent.extend([len(doc)] * len(known))
-                feat.extend(known)
+                feat.extend(sorted(known))
                 doc.append(d)
     doc, sent, feat = np.array(doc, dtype=np.int64), np.array(sent, dtype=np.int64), np.array(feat, dtype=np.int64)
     w, offset = np.zeros(len(names)), -3.0
@@ -124,24 +123,31 @@ def fit(texts: list[str], labels: list[int], weights: list[float], max_features:
     return Model({f: float(x) for f, x in zip(names, w) if x}, float(offset))
 
 
-def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", per_class: int = 2500, longest: int = 20_000) -> Model:
-    """Fit on a bounded sample: of each label the ``per_class`` rows of the smallest key hashes.
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", per_class: int = 2500, longest: int = 20_000) -> Model:
+    """Fit on a bounded sample: of each label the ``per_class`` labelled keys of the smallest hashes.
 
-    Only texts of at most ``longest`` characters enter the sample, so it fits the driver.  Rows weigh as much
-    as their class has rows for each sampled one.  Without both labels the model scores 0.
+    Keys are chosen from ``labels (key, label)`` alone, then their texts are read; texts of more than ``longest``
+    characters leave the sample, so it fits the driver.  Rows weigh as much as their class
+    has labels for each sampled one.  Without both labels the model scores 0.
     """
-    rows = labelled.select(F.col(key).alias("key"), text_of(text).alias("text"), F.col(label).cast("int").alias("label")).filter("label in (0, 1)")
-    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    texts, labels, weights = [], [], []
-    for value in sorted(counts):
-        taken = rows.filter((F.col("label") == value) & (F.length("text") <= longest)).orderBy(F.xxhash64("key"), "key", "text").limit(per_class).collect()
-        texts += [r["text"] for r in taken]
-        labels += [value] * len(taken)
-        weights += [counts[value] / max(1, len(taken))] * len(taken)
-    if len(set(labels)) < 2:
+    marked = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).filter("label in (0, 1) and key is not null")
+    counts = {r["label"]: r["n"] for r in marked.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    chosen = [marked.filter(F.col("label") == value).orderBy(F.xxhash64("key"), "key").limit(per_class) for value in (0, 1)]
+    # two limits bound the broadcast
+    rows = (
+        docs.select(F.col(key).alias("key"), text_of(text).alias("text"))
+        .filter(F.length("text") <= longest)
+        .join(F.broadcast(chosen[0].unionByName(chosen[1])), "key")
+        .orderBy("key", "label", F.xxhash64("text"))
+        .limit(4 * per_class)  # over twice the sample: repeated keys stay bounded
+        .collect()
+    )
+    taken = Counter(r["label"] for r in rows)
+    if len(taken) < 2:
         return Model({}, -3.0)
+    weights = [counts[r["label"]] / taken[r["label"]] for r in rows]
     scale = len(weights) / sum(weights)
-    return fit(texts, labels, [x * scale for x in weights])
+    return fit([r["text"] for r in rows], [r["label"] for r in rows], [x * scale for x in weights])
 
 
 def score(df: DataFrame, model: Model, threshold: float = 0.7, key: str = "doc_id", text: str = "text") -> DataFrame:
