@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stokesweave.llm.common import map_texts, pieces_of
+from stokesweave.llm.common import map_texts, pieces_of, text_of
 from stokesweave.llm.components import components
 from stokesweave.session import cut_lineage
 
@@ -248,7 +248,8 @@ def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowd
     shingle sets are as similar.  Two texts at similarity 0.8 meet in some part with a chance of
     over 0.95, more similar ones nearly always.  A value of a part that more than ``crowded`` nodes share
     is not paired out: its nodes are compared with the ``leaders`` that share values with
-    most others, which are the texts that a group of edited copies has in common.
+    most others, which are the texts that a group of edited copies has in common.  Pairs
+    that leaders have joined are not looked at again.
 
     Null and empty texts have no shingles and form one group.  Rows with a null key take no part.
     """
@@ -284,18 +285,9 @@ def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowd
     pair = [F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")]
 
     flips = F.array(*[F.lit(f).cast("bigint") for f in [0, *[1 << b for b in range(bits)]]])
-    small = index.join(full.select("slot"), "slot", "left_anti").select("slot", F.col("node").alias("node2"), F.col("fp").alias("fp2"))
-    probes = index.select("node", "fp", F.explode(F.transform(flips, lambda f: F.col("slot").bitwiseXOR(f))).alias("slot"))
-    near = probes.join(small, "slot").filter(alike).select(*pair)
 
-    members = index.join(full, "slot")
-    weight = cut_lineage(members.groupBy("node").agg(F.sum("members").alias("weight")))
-    rank = F.row_number().over(Window.partitionBy("slot").orderBy(F.desc("weight"), "node"))
-    heads = cut_lineage(
-        members.join(weight, "node").withColumn("rank", rank).filter(F.col("rank") <= leaders).select("slot", F.col("node").alias("node2"), F.col("fp").alias("fp2"))
-    )
-    led = probes.join(heads, "slot").filter(alike).select(*pair)
-    pairs = cut_lineage(near.unionByName(led).distinct())
+    def probes(of: DataFrame) -> DataFrame:
+        return of.withColumn("slot", F.explode(F.transform(flips, lambda f: F.col("slot").bitwiseXOR(f))))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
@@ -306,18 +298,32 @@ def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowd
                 keep.append(both >= similarity * (len(s) + len(t) - both) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    # one text of each node that is in a pair
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select("node", F.col("least").alias("key"))
-    texts = cut_lineage(
-        df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(asked, "key").groupBy("node").agg(F.max("text").alias("text"))
-    )
-    links = (
-        pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
-        .join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
-        .select("a", "b", "x", "y")
-        .mapInArrow(verify, "a bigint, b bigint")
+    def links(found: DataFrame) -> DataFrame:
+        """The candidate pairs that are as similar, by the shingles of one text of each node."""
+        pairs = cut_lineage(found.distinct())
+        asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select("node", F.col("least").alias("key"))
+        texts = cut_lineage(df.select(F.col(key).alias("key"), text_of(text).alias("text")).join(asked, "key").groupBy("node").agg(F.max("text").alias("text")))
+        return cut_lineage(
+            pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
+            .join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
+            .select("a", "b", "x", "y")
+            .mapInArrow(verify, "a bigint, b bigint")
+        )
+
+    # crowded values first, against their leaders
+    members = index.join(full, "slot")
+    weight = cut_lineage(members.groupBy("node").agg(F.sum("members").alias("weight")))
+    rank = F.row_number().over(Window.partitionBy("slot").orderBy(F.desc("weight"), "node"))
+    heads = cut_lineage(
+        members.join(weight, "node").withColumn("rank", rank).filter(F.col("rank") <= leaders).select("slot", F.col("node").alias("node2"), F.col("fp").alias("fp2"))
     )
-    comp = components(links)
+    led = links(probes(index).join(heads, "slot").filter(alike).select(*pair))
+    # then the other values, for pairs that the leaders have not joined already
+    joined = components(led).withColumnRenamed("component", "group")
+    grouped = cut_lineage(index.join(joined, "node", "left").withColumn("group", F.coalesce("group", "node")))
+    small = grouped.join(full.select("slot"), "slot", "left_anti").select("slot", F.col("node").alias("node2"), F.col("fp").alias("fp2"), F.col("group").alias("group2"))
+    near = links(probes(grouped).join(small, "slot").filter(alike & (F.col("group") != F.col("group2"))).select(*pair))
+    comp = components(led.unionByName(near))
     linked = cut_lineage(comp.join(nodes.select("node", "least"), "node"))
     lowest = cut_lineage(linked.groupBy("component").agg(F.min("least").alias("component_id")))
     named = cut_lineage(linked.join(lowest, "component").select("node", "component_id"))
