@@ -16,6 +16,7 @@ Memory is bounded by the rows of a shard; the number of shards follows the numbe
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
 
@@ -29,7 +30,7 @@ from stokesweave.llm.byte_bpe import CHUNK
 from stokesweave.llm.common import pieces_of, text_of
 from stokesweave.session import cut_lineage
 
-LIMIT = 400_000  # cached chunks of a worker
+LIMIT = 1_200_000  # cached chunks of a worker, about 250 MB
 _IDS: dict[str, dict[str, bytes]] = {}
 _TOKENIZERS: dict[str, object] = {}
 
@@ -51,7 +52,7 @@ def _ids(path: str, texts: list[str]) -> list[np.ndarray]:
     cut = [CHUNK.findall(t) for t in texts]
     fresh = list(set().union(*cut).difference(known)) if cut else []
     for chunk, coded in zip(fresh, _TOKENIZERS[path].encode_batch(fresh, add_special_tokens=False)):
-        known[chunk] = np.array(coded.ids, dtype="<u4").tobytes()
+        known[chunk] = array("I", coded.ids).tobytes()
     get = known.__getitem__
     return [np.frombuffer(b"".join(map(get, c)), dtype="<u4") for c in cut]
 
