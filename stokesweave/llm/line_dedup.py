@@ -34,12 +34,13 @@ def boilerplate_lines(df: DataFrame, min_sites: int = 10, site: str = "source",
     if band is None:
         band = 5 * 1.04 / 2 ** (LG_K / 2)
     known = df.filter(F.col(text).isNotNull())
-    lines = _lines(known, site, text)
+    # a line on many documents leaves one row for each site and task
+    lines = _lines(known, site, text).select("line", "site").distinct()
     spread = lines.groupBy("line").agg(F.min("site").alias("low"), F.max("site").alias("high")).filter("low <> high").select("line")
-    pairs = lines.join(spread, "line", "left_semi").select("line", "site")
+    pairs = lines.join(spread, "line", "left_semi")
     estimated = cut_lineage(pairs.groupBy("line").agg(F.hll_sketch_agg("site", F.lit(LG_K)).alias("sketch")).select("line", F.hll_sketch_estimate("sketch").alias("sites")).filter(F.col("sites") >= min_sites * (1 - band)))
     unsure = estimated.filter(F.col("sites") <= min_sites * (1 + band)).select("line")
-    exact = pairs.join(unsure, "line", "left_semi").distinct().groupBy("line").agg(F.count("*").alias("sites")).filter(F.col("sites") >= min_sites)
+    exact = pairs.join(unsure, "line", "left_semi").groupBy("line").agg(F.count("*").alias("sites")).filter(F.col("sites") >= min_sites)
     return estimated.filter(F.col("sites") > min_sites * (1 + band)).unionByName(exact)
 
 
