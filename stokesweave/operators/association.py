@@ -248,7 +248,8 @@ def blended_components(
     cells lies wholly inside or outside the beam.
     """
     ra, dec = pos
-    single = F.max(F.col(n_gaus) == 1) if n_gaus else F.count(F.lit(1)) == 1
+    # an unknown number of Gaussians is not one
+    single = F.coalesce(F.max(F.col(n_gaus) == 1), F.lit(False)) if n_gaus else F.count(F.lit(1)) == 1
     info = cut_lineage(
         cat.groupBy(source).agg(
             F.max(finite_or_null(beam)).alias("_r"), single.alias("_single"), F.count(F.lit(1)).alias("_size")

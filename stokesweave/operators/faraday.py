@@ -244,7 +244,8 @@ def fdf_peak(fdf: DataFrame, scalars: DataFrame, keys: Sequence[str] = ("cat_id"
     eff = F.when(known_gt(snr, F.lit(5.0)), F.sqrt(a * a - 2.3 * noise * noise)).otherwise(a)
     angle = F.pmod(F.degrees(0.5 * F.atan2("im_fit", "re_fit")), F.lit(180.0))
     angle0 = F.pmod(angle - F.degrees(F.col("phi_fit") * F.col("lambda0_sq")), F.lit(180.0))
-    var0 = ratio(noise * noise, 4.0 * (n - 2) * a * a) * (
+    # the published form has the channel noise, which is sqrt(n) times that of the Faraday spectrum
+    var0 = ratio(n * noise * noise, 4.0 * (n - 2) * a * a) * (
         ratio(n - 1, n) + ratio(F.pow("lambda0_sq", F.lit(2.0)), "lambda_sq_var")
     )
     return p.select(
@@ -329,8 +330,10 @@ def _clean_frames(keys: list[str], cutoff: float, max_iter: int, gain: float, wi
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             blocks = []
-            shape = frame["phi"].map(len)
-            for n, block in frame.groupby(shape, sort=False):
+            # rows of other lengths go apart, so an odd one cannot spoil its block
+            parts = ["phi", "re", "im", "rmsf_re", "rmsf_im"]
+            shape = pd.Series([tuple(-1 if v is None else len(v) for v in row) for row in zip(*[frame[c] for c in parts])], index=frame.index)
+            for (n, *_), block in frame.groupby(shape, sort=False):
                 out = block[keys].copy()
                 phi = np.stack(block["phi"].to_numpy())
                 try:

@@ -112,8 +112,9 @@ def normality_p(z: np.ndarray) -> float:
 
 
 def aic_value(ssr: float, k: int, n: int) -> float:
-    if n - k - 1 <= 0 or ssr <= 0:
+    if n - k - 1 <= 0 or not ssr >= 0:
         return np.nan
+    ssr = max(ssr, n * np.finfo(float).tiny)  # an exact fit ranks before all others; of several the smallest model
     penalty = 2.0 * k if n / k >= 40 else 2.0 * k * n / (n - k - 1.0)
     return n * np.log(ssr / n) + penalty
 

@@ -151,17 +151,23 @@ def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = (), cl
 
 
 def upsert(
-    target: DataFrame, updates: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None
+    target: DataFrame, updates: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None, order: str | None = None
 ) -> DataFrame:
     """Unordered upsert of a column subset.
 
     A matched row takes the update's values (also NULL ones) for the updated
     columns and keeps the others; an unmatched update becomes a new row with
-    NULL in the columns it does not carry.  Keys must be unique in ``updates``.
+    NULL in the columns it does not carry.  Of several updates of one key the one
+    with the largest ``order`` counts; without ``order`` they are an error.
     """
     keys = list(keys)
     columns = [c for c in (columns or updates.columns) if c not in keys]
-    new = updates.select(*keys, F.struct(*columns).alias("_new"), F.lit(True).alias("_hit"))
+    value = F.struct(*columns)
+    if order:
+        one = F.max_by(value, order)
+    else:
+        one = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("several updates of one key"))).otherwise(F.first(value))
+    new = updates.groupBy(*keys).agg(one.alias("_new")).withColumn("_hit", F.lit(True))
     joined = target.join(new, keys, "full_outer")
     types = {f.name: f.dataType for f in target.schema.fields}
     out = []

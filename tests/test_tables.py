@@ -155,4 +155,5 @@ def test_entry_and_registry(spark):
     assert entry.entry(spark).count() > 0
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q) and len(q) > 100
-    assert not any("pipeline" in n or n.startswith("op") for n in q)
+    # the text operators are registered together or not at all
+    assert sum(n.startswith("op") and n[2].isdigit() for n in q) in (0, 10)
