@@ -221,7 +221,9 @@ def near_duplicates(df: DataFrame, width: int = 3, radius: int = 2, key: str = "
 
 # -- similar texts ----------------------------------------------------------------------
 
-WORDS64 = 4  # 64-bit words of a wide fingerprint
+
+
+WORDS64 = 4  # 64-bit words of a wide fingerprint, and of a parity map
 
 
 def wide_fingerprint(hashes: np.ndarray) -> list[int]:
@@ -239,28 +241,47 @@ def wide_fingerprint(hashes: np.ndarray) -> list[int]:
     return np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8").tolist()
 
 
+def parity_map(hashes: np.ndarray) -> list[int]:
+    """256 bits: whether each of 256 buckets holds an odd number of the distinct hashes.
+
+    The maps of two sets differ in at most as many bits as the sets differ in elements.
+    """
+    odd = np.bincount((hashes >> np.uint64(56)).astype(np.int64), minlength=WORDS64 * BITS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist()
+
+
+FP, ODD = [f"f{w}" for w in range(WORDS64)], [f"p{w}" for w in range(WORDS64)]
+CARRIED = ["node", "n", *FP, *ODD]
+
+
 def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowded: int = 32, leaders: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, component_id``: groups of texts that reach each other over links of a Jaccard similarity of word shingles.
 
     Texts of the same shingle set are one node.  Fingerprints of 256 bits are cut into parts of about
-    log2(number of nodes) bits; nodes that agree on a part, or differ there in one bit, are candidates if the
-    fingerprints differ in no more bits than the similarity makes likely, and links if their
-    shingle sets are as similar.  Two texts at similarity 0.8 meet in some part with a chance of
-    over 0.95, more similar ones nearly always.  A value of a part that more than ``crowded`` nodes share
-    is not paired out: its nodes are compared with the ``leaders`` that share values with
-    most others, which are the texts that a group of edited copies has in common.  Pairs
-    that leaders have joined are not looked at again.
+    log2(number of nodes) bits; nodes that agree on a part, or differ there in one bit, are compared.  They are
+    candidates if their shingle counts and parity maps allow the similarity (which no pair at the
+    similarity fails) and the fingerprints differ in no more bits than the similarity makes likely, and links if
+    their shingle sets are as similar.  Two texts at similarity 0.8 meet in some part with a chance of
+    over 0.95, more similar ones nearly always.
+
+    Values of a part that more than ``crowded`` nodes share are first compared with the ``leaders`` that share
+    values with most others, which are the texts that a group of edited copies has in common.  Most nodes of
+    such a value are then in one group; those that are not are compared with all that meet the value,
+    so nothing is left out.  Pairs that are in one group already are not looked at again.
 
     Null and empty texts have no shingles and form one group.  Rows with a null key take no part.
     """
 
     def run(keys: list, texts: list[str]) -> dict[str, list]:
         sets = [np.unique(shingle_hashes(t, width)) for t in texts]
-        return {"key": keys, "node": [xxhash.xxh64_intdigest(s.tobytes()) - 2**63 for s in sets], "fp": [wide_fingerprint(s) for s in sets], "n": [len(s) for s in sets]}
+        wide, odd = [wide_fingerprint(s) for s in sets], [parity_map(s) for s in sets]
+        out = {"key": keys, "node": [xxhash.xxh64_intdigest(s.tobytes()) - 2**63 for s in sets], "n": [len(s) for s in sets]}
+        return out | {c: [x[w] for x in wide] for w, c in enumerate(FP)} | {c: [x[w] for x in odd] for w, c in enumerate(ODD)}
 
     kind = df.schema[key].dataType.simpleString()
-    rows = cut_lineage(map_texts(df.filter(F.col(key).isNotNull()), run, f"key {kind}, node bigint, fp array<bigint>, n bigint", key, text))
-    nodes = cut_lineage(rows.groupBy("node").agg(F.min("key").alias("least"), F.first("fp").alias("fp"), F.first("n").alias("n")))
+    longs = ", ".join(f"{c} bigint" for c in CARRIED)
+    rows = cut_lineage(map_texts(df.filter(F.col(key).isNotNull()), run, f"key {kind}, {longs}", key, text))
+    nodes = cut_lineage(rows.groupBy("node").agg(F.min("key").alias("least"), *[F.first(c).alias(c) for c in CARRIED[1:]]))
     size = max(2, nodes.count())
     bits = min(30, max(12, (size - 1).bit_length()))
     parts = WORDS64 * BITS // bits
@@ -268,27 +289,38 @@ def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowd
     own = []
     for i in range(parts):
         word, shift = divmod(i * bits, BITS)
-        value = F.shiftrightunsigned(F.get("fp", F.lit(word)), shift)
+        value = F.shiftrightunsigned(F.col(FP[word]), shift)
         if shift + bits > BITS:
-            value = value.bitwiseOR(F.shiftleft(F.get("fp", F.lit(word + 1)), BITS - shift))
+            value = value.bitwiseOR(F.shiftleft(F.col(FP[word + 1]), BITS - shift))
         own.append(value.bitwiseAND(F.lit((1 << bits) - 1)).bitwiseXOR(F.lit(i << 32)))
-    index = nodes.filter("n > 0").select("node", "fp", F.explode(F.array(*own)).alias("slot"))
+    index = nodes.filter("n > 0").select(*CARRIED, F.explode(F.array(*own)).alias("slot"))
     counts = cut_lineage(index.groupBy("slot").agg(F.count("*").alias("members")))
     full = cut_lineage(counts.filter(F.col("members") > crowded))
     # the farthest that a pair at this similarity is likely to lie, four standard deviations out
     differ = np.arccos(2 * similarity / (1 + similarity)) / np.pi
     reach = int(WORDS64 * BITS * differ + 4 * np.sqrt(WORDS64 * BITS * differ * (1 - differ)))
-    apart = F.lit(0)
-    for w in range(WORDS64):
-        apart = apart + F.bit_count(F.get("fp", F.lit(w)).bitwiseXOR(F.get("fp2", F.lit(w))))
-    alike = (F.col("node") != F.col("node2")) & (apart <= reach)
-    pair = [F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")]
+
+    def apart(words: list[str]) -> Column:
+        return sum((F.bit_count(F.col(w).bitwiseXOR(F.col(f"{w}_2"))) for w in words), F.lit(0))
+
+    # sets at the similarity differ in at most this share of their summed sizes, and so do their parity maps
+    share = (1 - similarity) / (1 + similarity)
+    alike = (
+        (F.col("node") != F.col("node_2"))
+        & (F.least("n", "n_2") >= F.greatest("n", "n_2") * F.lit(similarity - 1e-9))
+        & (apart(ODD) <= (F.col("n") + F.col("n_2")) * F.lit(share) + F.lit(1e-6))
+        & (apart(FP) <= reach)
+    )
+    pair = [F.least("node", "node_2").alias("a"), F.greatest("node", "node_2").alias("b")]
 
     flips = F.array(*[F.lit(f).cast("bigint") for f in [0, *[1 << b for b in range(bits)]]])
 
     def probes(of: DataFrame) -> DataFrame:
         return of.withColumn("slot", F.explode(F.transform(flips, lambda f: F.col("slot").bitwiseXOR(f))))
 
+    def found_side(of: DataFrame, *more: str) -> DataFrame:
+        return of.select("slot", *[F.col(c).alias(f"{c}_2") for c in [*CARRIED, *more]])
+
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
             keep = []
@@ -314,15 +346,16 @@ def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowd
     members = index.join(full, "slot")
     weight = cut_lineage(members.groupBy("node").agg(F.sum("members").alias("weight")))
     rank = F.row_number().over(Window.partitionBy("slot").orderBy(F.desc("weight"), "node"))
-    heads = cut_lineage(
-        members.join(weight, "node").withColumn("rank", rank).filter(F.col("rank") <= leaders).select("slot", F.col("node").alias("node2"), F.col("fp").alias("fp2"))
-    )
+    heads = cut_lineage(found_side(members.join(weight, "node").withColumn("rank", rank).filter(F.col("rank") <= leaders)))
     led = links(probes(index).join(heads, "slot").filter(alike).select(*pair))
-    # then the other values, for pairs that the leaders have not joined already
+    # then all others that are not in the same group yet; of a crowded value those outside its largest group
     joined = components(led).withColumnRenamed("component", "group")
     grouped = cut_lineage(index.join(joined, "node", "left").withColumn("group", F.coalesce("group", "node")))
-    small = grouped.join(full.select("slot"), "slot", "left_anti").select("slot", F.col("node").alias("node2"), F.col("fp").alias("fp2"), F.col("group").alias("group2"))
-    near = links(probes(grouped).join(small, "slot").filter(alike & (F.col("group") != F.col("group2"))).select(*pair))
+    largest = cut_lineage(
+        grouped.join(full.select("slot"), "slot", "left_semi").groupBy("slot", "group").agg(F.count("*").alias("n")).groupBy("slot").agg(F.max_by("group", F.struct("n", "group")).alias("main"))
+    )
+    rest = found_side(grouped.join(largest, "slot", "left").filter("main is null or group <> main"), "group")
+    near = links(probes(grouped).join(rest, "slot").filter(alike & (F.col("group") != F.col("group_2"))).select(*pair))
     comp = components(led.unionByName(near))
     linked = cut_lineage(comp.join(nodes.select("node", "least"), "node"))
     lowest = cut_lineage(linked.groupBy("component").agg(F.min("least").alias("component_id")))
