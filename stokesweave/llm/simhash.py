@@ -9,7 +9,7 @@ are found by an equi-join on the part's value, probing all values within ``t`` b
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 from math import comb
 
@@ -293,33 +293,44 @@ def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowd
         if shift + bits > BITS:
             value = value.bitwiseOR(F.shiftleft(F.col(FP[word + 1]), BITS - shift))
         own.append(value.bitwiseAND(F.lit((1 << bits) - 1)).bitwiseXOR(F.lit(i << 32)))
-    index = nodes.filter("n > 0").select(*CARRIED, F.explode(F.array(*own)).alias("slot"))
-    counts = cut_lineage(index.groupBy("slot").agg(F.count("*").alias("members")))
+
+    def slots(of: DataFrame, *more: str) -> DataFrame:
+        """A row for each part of a node's fingerprint; only the columns named travel with it."""
+        return of.filter("n > 0").select("node", *more, F.explode(F.array(*own)).alias("slot"))
+
+    narrow = slots(nodes)
+    counts = cut_lineage(narrow.groupBy("slot").agg(F.count("*").alias("members")))
     full = cut_lineage(counts.filter(F.col("members") > crowded))
-    # the farthest that a pair at this similarity is likely to lie, four standard deviations out
-    differ = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    reach = int(WORDS64 * BITS * differ + 4 * np.sqrt(WORDS64 * BITS * differ * (1 - differ)))
+
+    def reach(words: int) -> int:
+        """The farthest that a pair at this similarity is likely to lie, four standard deviations out."""
+        differ = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+        return int(words * BITS * differ + 4 * np.sqrt(words * BITS * differ * (1 - differ)))
 
     def apart(words: list[str]) -> Column:
         return sum((F.bit_count(F.col(w).bitwiseXOR(F.col(f"{w}_2"))) for w in words), F.lit(0))
 
     # sets at the similarity differ in at most this share of their summed sizes, and so do their parity maps
     share = (1 - similarity) / (1 + similarity)
-    alike = (
-        (F.col("node") != F.col("node_2"))
-        & (F.least("n", "n_2") >= F.greatest("n", "n_2") * F.lit(similarity - 1e-9))
-        & (apart(ODD) <= (F.col("n") + F.col("n_2")) * F.lit(share) + F.lit(1e-6))
-        & (apart(FP) <= reach)
-    )
-    pair = [F.least("node", "node_2").alias("a"), F.greatest("node", "node_2").alias("b")]
 
-    flips = F.array(*[F.lit(f).cast("bigint") for f in [0, *[1 << b for b in range(bits)]]])
+    def alike(fp: list[str], odd: list[str]) -> Column:
+        return (
+            (F.col("node") != F.col("node_2"))
+            & (F.least("n", "n_2") >= F.greatest("n", "n_2") * F.lit(similarity - 1e-9))
+            & (apart(odd) <= (F.col("n") + F.col("n_2")) * F.lit(share) + F.lit(1e-6))
+            & (apart(fp) <= reach(len(fp)))
+        )
+
+    pair = [F.least("node", "node_2").alias("a"), F.greatest("node", "node_2").alias("b")]
+    ones = [1 << b for b in range(bits)]
 
-    def probes(of: DataFrame) -> DataFrame:
-        return of.withColumn("slot", F.explode(F.transform(flips, lambda f: F.col("slot").bitwiseXOR(f))))
+    def probes(of: DataFrame, flips: list[int], when: Callable[[Column], Column]) -> DataFrame:
+        """Rows at the values that ``flips`` lead to from their own, where ``when(flip)`` holds."""
+        some = F.filter(F.array(*[F.lit(f).cast("bigint") for f in flips]), when)
+        return of.withColumn("slot", F.explode(F.transform(some, lambda f: F.col("slot").bitwiseXOR(f))))
 
-    def found_side(of: DataFrame, *more: str) -> DataFrame:
-        return of.select("slot", *[F.col(c).alias(f"{c}_2") for c in [*CARRIED, *more]])
+    def other(of: DataFrame) -> DataFrame:
+        return of.select("slot", *[F.col(c).alias(f"{c}_2") for c in of.columns if c != "slot"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
@@ -342,20 +353,32 @@ def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowd
             .mapInArrow(verify, "a bigint, b bigint")
         )
 
-    # crowded values first, against their leaders
-    members = index.join(full, "slot")
+    # crowded values first: their leaders go to all values within one bit
+    members = narrow.join(full, "slot")
     weight = cut_lineage(members.groupBy("node").agg(F.sum("members").alias("weight")))
     rank = F.row_number().over(Window.partitionBy("slot").orderBy(F.desc("weight"), "node"))
-    heads = cut_lineage(found_side(members.join(weight, "node").withColumn("rank", rank).filter(F.col("rank") <= leaders)))
-    led = links(probes(index).join(heads, "slot").filter(alike).select(*pair))
-    # then all others that are not in the same group yet; of a crowded value those outside its largest group
+    chosen = cut_lineage(members.join(weight, "node").withColumn("rank", rank).filter(F.col("rank") <= leaders).select("slot", "node"))
+    heads = cut_lineage(chosen.join(nodes.select(*CARRIED), "node"))
+    led = links(slots(nodes, *CARRIED[1:]).join(other(probes(heads, [0, *ones], lambda f: F.lit(True))), "slot").filter(alike(FP, ODD)).select(*pair))
+
+    # then all others that are not in the same group yet; of a crowded value those outside its largest group.
+    # half of the fingerprint and of a parity map of half as many buckets travel, the whole is compared afterwards
     joined = components(led).withColumnRenamed("component", "group")
-    grouped = cut_lineage(index.join(joined, "node", "left").withColumn("group", F.coalesce("group", "node")))
+    half = [F.col(ODD[w]).bitwiseXOR(F.col(ODD[w + WORDS64 // 2])).alias(f"q{w}") for w in range(WORDS64 // 2)]
+    grouped = cut_lineage(nodes.join(joined, "node", "left").withColumn("group", F.coalesce("group", "node")).select("node", "group", "n", *FP, *half))
+    light = ["group", "n", *FP[: WORDS64 // 2], *[f"q{w}" for w in range(WORDS64 // 2)]]
     largest = cut_lineage(
-        grouped.join(full.select("slot"), "slot", "left_semi").groupBy("slot", "group").agg(F.count("*").alias("n")).groupBy("slot").agg(F.max_by("group", F.struct("n", "group")).alias("main"))
+        slots(grouped, "group").join(full.select("slot"), "slot", "left_semi").groupBy("slot", "group").agg(F.count("*").alias("n")).groupBy("slot").agg(F.max_by("group", F.struct("n", "group")).alias("main"))
     )
-    rest = found_side(grouped.join(largest, "slot", "left").filter("main is null or group <> main"), "group")
-    near = links(probes(grouped).join(rest, "slot").filter(alike & (F.col("group") != F.col("group_2"))).select(*pair))
+    rest = slots(grouped, *light).join(largest, "slot", "left").filter("main is null or group <> main").drop("main")
+    # of two values a bit apart the one without the bit asks; in the largest group of a crowded value, which is not asked, both do
+    asks = probes(slots(grouped, *light), [0, *ones], lambda f: F.col("slot").bitwiseAND(f) == 0)
+    main = slots(grouped, *light).join(largest, "slot").filter("group = main").drop("main")
+    asks = asks.unionByName(probes(main, ones, lambda f: F.col("slot").bitwiseAND(f) != 0))
+    met = cut_lineage(asks.join(other(rest), "slot").filter(alike(light[2 : 2 + WORDS64 // 2], light[2 + WORDS64 // 2 :]) & (F.col("group") != F.col("group_2"))).select(*pair).distinct())
+    signs = nodes.select(*CARRIED)
+    whole = met.join(signs.withColumnRenamed("node", "a"), "a").join(signs.select(*[F.col(c).alias("b" if c == "node" else f"{c}_2") for c in CARRIED]), "b")
+    near = links(whole.withColumns({"node": F.col("a"), "node_2": F.col("b")}).filter(alike(FP, ODD)).select("a", "b"))
     comp = components(led.unionByName(near))
     linked = cut_lineage(comp.join(nodes.select("node", "least"), "node"))
     lowest = cut_lineage(linked.groupBy("component").agg(F.min("least").alias("component_id")))
