@@ -9,6 +9,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(cores: str | int = "*", memory: str = "8g", name: str = "stokesweave") -> SparkSession:
     """A small local session; clusters bring their own configuration."""
@@ -51,11 +53,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def written_stage(df: DataFrame) -> tuple[DataFrame, str]:
     """Write ``df`` to the shared folder; the written copy and its path.
 
-    Unlike executor-local storage the copy survives the loss of executors.
+    Unlike executor-local storage the copy survives the loss of executors.  The shuffle files
+    behind it are given back once the copy stands, as nothing reads them again.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "stage")
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -68,3 +76,22 @@ def drop_stage(spark: SparkSession, path: str) -> None:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and continue from the written copy."""
     return written_stage(df)[0]
+
+
+class Stages:
+    """The written stages of one job, each of which can be removed once nothing reads it any more."""
+
+    def __init__(self) -> None:
+        self._written: list[tuple[DataFrame, str]] = []
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        """As ``cut_lineage``."""
+        self._written.append(written_stage(df))
+        return self._written[-1][0]
+
+    def drop(self, *stages: DataFrame) -> None:
+        """Remove these stages."""
+        for df, path in self._written:
+            if any(df is s for s in stages):
+                drop_stage(df.sparkSession, path)
+        self._written = [w for w in self._written if not any(w[0] is s for s in stages)]
