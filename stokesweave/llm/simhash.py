@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from stokesweave.llm.common import map_texts, pieces_of, text_of
 from stokesweave.llm.components import components
-from stokesweave.session import cut_lineage
+from stokesweave.session import Stages, cut_lineage
 
 BITS = 64
 
@@ -278,10 +278,11 @@ def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowd
         out = {"key": keys, "node": [xxhash.xxh64_intdigest(s.tobytes()) - 2**63 for s in sets], "n": [len(s) for s in sets]}
         return out | {c: [x[w] for x in wide] for w, c in enumerate(FP)} | {c: [x[w] for x in odd] for w, c in enumerate(ODD)}
 
+    stages = Stages()
     kind = df.schema[key].dataType.simpleString()
     longs = ", ".join(f"{c} bigint" for c in CARRIED)
-    rows = cut_lineage(map_texts(df.filter(F.col(key).isNotNull()), run, f"key {kind}, {longs}", key, text))
-    nodes = cut_lineage(rows.groupBy("node").agg(F.min("key").alias("least"), *[F.first(c).alias(c) for c in CARRIED[1:]]))
+    rows = stages.cut(map_texts(df.filter(F.col(key).isNotNull()), run, f"key {kind}, {longs}", key, text))
+    nodes = stages.cut(rows.groupBy("node").agg(F.min("key").alias("least"), *[F.first(c).alias(c) for c in CARRIED[1:]]))
     size = max(2, nodes.count())
     bits = min(30, max(12, (size - 1).bit_length()))
     parts = WORDS64 * BITS // bits
@@ -299,8 +300,9 @@ def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowd
         return of.filter("n > 0").select("node", *more, F.explode(F.array(*own)).alias("slot"))
 
     narrow = slots(nodes)
-    counts = cut_lineage(narrow.groupBy("slot").agg(F.count("*").alias("members")))
-    full = cut_lineage(counts.filter(F.col("members") > crowded))
+    counts = stages.cut(narrow.groupBy("slot").agg(F.count("*").alias("members")))
+    full = stages.cut(counts.filter(F.col("members") > crowded))
+    stages.drop(counts)
 
     def reach(words: int) -> int:
         """The farthest that a pair at this similarity is likely to lie, four standard deviations out."""
@@ -343,31 +345,34 @@ def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowd
 
     def links(found: DataFrame) -> DataFrame:
         """The candidate pairs that are as similar, by the shingles of one text of each node."""
-        pairs = cut_lineage(found.distinct())
+        pairs = stages.cut(found.distinct())
         asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select("node", F.col("least").alias("key"))
-        texts = cut_lineage(df.select(F.col(key).alias("key"), text_of(text).alias("text")).join(asked, "key").groupBy("node").agg(F.max("text").alias("text")))
-        return cut_lineage(
+        texts = stages.cut(df.select(F.col(key).alias("key"), text_of(text).alias("text")).join(asked, "key").groupBy("node").agg(F.max("text").alias("text")))
+        similar = stages.cut(
             pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
             .select("a", "b", "x", "y")
             .mapInArrow(verify, "a bigint, b bigint")
         )
+        stages.drop(pairs, texts)
+        return similar
 
     # crowded values first: their leaders go to all values within one bit
     members = narrow.join(full, "slot")
-    weight = cut_lineage(members.groupBy("node").agg(F.sum("members").alias("weight")))
+    weight = stages.cut(members.groupBy("node").agg(F.sum("members").alias("weight")))
     rank = F.row_number().over(Window.partitionBy("slot").orderBy(F.desc("weight"), "node"))
-    chosen = cut_lineage(members.join(weight, "node").withColumn("rank", rank).filter(F.col("rank") <= leaders).select("slot", "node"))
-    heads = cut_lineage(chosen.join(nodes.select(*CARRIED), "node"))
+    chosen = stages.cut(members.join(weight, "node").withColumn("rank", rank).filter(F.col("rank") <= leaders).select("slot", "node"))
+    heads = stages.cut(chosen.join(nodes.select(*CARRIED), "node"))
     led = links(slots(nodes, *CARRIED[1:]).join(other(probes(heads, [0, *ones], lambda f: F.lit(True))), "slot").filter(alike(FP, ODD)).select(*pair))
+    stages.drop(weight, chosen, heads)
 
     # then all others that are not in the same group yet; of a crowded value those outside its largest group.
     # half of the fingerprint and of a parity map of half as many buckets travel, the whole is compared afterwards
     joined = components(led).withColumnRenamed("component", "group")
     half = [F.col(ODD[w]).bitwiseXOR(F.col(ODD[w + WORDS64 // 2])).alias(f"q{w}") for w in range(WORDS64 // 2)]
-    grouped = cut_lineage(nodes.join(joined, "node", "left").withColumn("group", F.coalesce("group", "node")).select("node", "group", "n", *FP, *half))
+    grouped = stages.cut(nodes.join(joined, "node", "left").withColumn("group", F.coalesce("group", "node")).select("node", "group", "n", *FP, *half))
     light = ["group", "n", *FP[: WORDS64 // 2], *[f"q{w}" for w in range(WORDS64 // 2)]]
-    largest = cut_lineage(
+    largest = stages.cut(
         slots(grouped, "group").join(full.select("slot"), "slot", "left_semi").groupBy("slot", "group").agg(F.count("*").alias("n")).groupBy("slot").agg(F.max_by("group", F.struct("n", "group")).alias("main"))
     )
     rest = slots(grouped, *light).join(largest, "slot", "left").filter("main is null or group <> main").drop("main")
@@ -375,15 +380,18 @@ def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowd
     asks = probes(slots(grouped, *light), [0, *ones], lambda f: F.col("slot").bitwiseAND(f) == 0)
     main = slots(grouped, *light).join(largest, "slot").filter("group = main").drop("main")
     asks = asks.unionByName(probes(main, ones, lambda f: F.col("slot").bitwiseAND(f) != 0))
-    met = cut_lineage(asks.join(other(rest), "slot").filter(alike(light[2 : 2 + WORDS64 // 2], light[2 + WORDS64 // 2 :]) & (F.col("group") != F.col("group_2"))).select(*pair).distinct())
+    met = stages.cut(asks.join(other(rest), "slot").filter(alike(light[2 : 2 + WORDS64 // 2], light[2 + WORDS64 // 2 :]) & (F.col("group") != F.col("group_2"))).select(*pair).distinct())
+    stages.drop(grouped, largest, full)
     signs = nodes.select(*CARRIED)
     whole = met.join(signs.withColumnRenamed("node", "a"), "a").join(signs.select(*[F.col(c).alias("b" if c == "node" else f"{c}_2") for c in CARRIED]), "b")
     near = links(whole.withColumns({"node": F.col("a"), "node_2": F.col("b")}).filter(alike(FP, ODD)).select("a", "b"))
     comp = components(led.unionByName(near))
-    linked = cut_lineage(comp.join(nodes.select("node", "least"), "node"))
-    lowest = cut_lineage(linked.groupBy("component").agg(F.min("least").alias("component_id")))
-    named = cut_lineage(linked.join(lowest, "component").select("node", "component_id"))
-    all_named = cut_lineage(nodes.join(named, "node", "left").select("node", F.coalesce("component_id", "least").alias("component_id")))
+    linked = stages.cut(comp.join(nodes.select("node", "least"), "node"))
+    stages.drop(met, led, near)
+    lowest = stages.cut(linked.groupBy("component").agg(F.min("least").alias("component_id")))
+    named = stages.cut(linked.join(lowest, "component").select("node", "component_id"))
+    all_named = stages.cut(nodes.join(named, "node", "left").select("node", F.coalesce("component_id", "least").alias("component_id")))
+    stages.drop(nodes, linked, lowest, named)
     return rows.join(all_named, "node").select(F.col("key").alias(key), "component_id")
 
 
