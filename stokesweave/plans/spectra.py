@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stokesweave.functions.numeric import finite
-from stokesweave.functions.spectral import lambda_sq
+from stokesweave.functions.spectral import curved_power_law, flat_power_law, lambda_sq, power_law
 from stokesweave.operators.faraday import (
     cc_moment2,
     clean_components,
@@ -41,7 +41,8 @@ def spectral_measurements(
 
     ``spectra`` is long: keys, chan, freq, i, q, u, di, dq, du and optionally
     bi, bq, bu.  Components that fail a stage keep NULL measurements and FALSE
-    status; a failure never stops the job.
+    status; a failure never stops the job.  Amplitudes are fluxes whether or not the
+    Stokes I model could be fitted; ``ifreq0`` and ``fracpol`` are NULL where it could not.
     """
     keys = list(keys)
     has_bkg = {"bi", "bq", "bu"} <= set(spectra.columns)
@@ -65,7 +66,7 @@ def spectral_measurements(
     )
     fdf = cut_lineage(rm_synthesis(fractional, grid, keys, weight))
     scalars = cut_lineage(synthesis_scalars(fractional, keys, weight))
-    peaks = fdf_peak(fdf, scalars, keys)
+    peaks = in_flux_units(fdf_peak(fdf, scalars, keys), fit, keys)
 
     out = status.withColumnRenamed("ok", "rmsynth1d").join(band_noise(ready, keys), keys, "left")
     shape = fit.select(
@@ -89,6 +90,26 @@ def spectral_measurements(
     return out.withColumn("rmclean1d", F.coalesce("rmclean1d", F.lit(False)))
 
 
+def in_flux_units(peaks: DataFrame, fit: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Peak measurements of fractional spectra as fluxes: amplitudes times the I model at the reference frequency.
+
+    Adds ``ifreq0``, that model value, and ``fracpol``.  A spectrum without a fit was divided by a
+    unit model, so its amplitudes are fluxes already.
+    """
+    norm, alpha, beta = (F.get("best_p", F.lit(i)) for i in range(3))
+    model = (
+        F.when(F.col("best_n") == 0, flat_power_law(norm, "ref_nu"))
+        .when(F.col("best_n") == 1, power_law("reffreq_pol", norm, alpha, "ref_nu"))
+        .when(F.col("best_n") == 2, curved_power_law("reffreq_pol", norm, alpha, beta, "ref_nu"))
+    )
+    scaled = peaks.join(fit.select(*keys, "best_n", "best_p", "ref_nu"), list(keys)).withColumn("ifreq0", model)
+    fluxes = ("polint", "polint_err", "stokes_q", "stokes_u", "fdf_noise_th")
+    times = F.coalesce("ifreq0", F.lit(1.0))
+    return scaled.withColumns(
+        {"fracpol": F.when(F.col("ifreq0").isNotNull(), F.col("polint")), **{c: F.col(c) * times for c in fluxes}}
+    ).select(*peaks.columns, "ifreq0", "fracpol")
+
+
 def pixel_spectra(pixels: DataFrame, noise: DataFrame, freqs: DataFrame, source: str = "source_id") -> DataFrame:
     """Q/U spectra of every pixel with the shared channel noise: input of pixel synthesis.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,24 +84,37 @@ def read_beam_pointings(
 ) -> DataFrame:
     """All per-(SBID, field) beam files of the wanted fields as one table.
 
-    One scan over the folder: SBID and field come from the file name, missing or
-    unreadable files are skipped, and the wanted fields filter by a join.
+    One scan over the folder, a file (the beams of one pointing) a row: SBID and field come from
+    the file name, columns from each file's own header by name.  A column that a file
+    lacks and a value that is not of the column's type are NULL.  Missing or unreadable files
+    are skipped, and the wanted fields filter by a join.
     """
     path = f"{root.rstrip('/')}/db/epoch_{epoch}"
-    rows = (
-        spark.read.option("header", True)
-        .option("pathGlobFilter", "beam_inf_*.csv")
+    files = (
+        spark.read.option("pathGlobFilter", "beam_inf_*.csv")
         .option("ignoreMissingFiles", True)
         .option("ignoreCorruptFiles", True)
-        .option("enforceSchema", True)
-        .schema(schema)
-        .csv(path)
+        .text(path, wholetext=True)
     )
-    name = F.col("_metadata.file_name")
-    tagged = rows.select(
+    # the name comes percent-encoded, with a plus sign left as it is
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+    def cells(line: Column) -> Column:
+        """Fields of a CSV line; a comma inside quotes does not part them."""
+        return F.transform(F.split(line, r',(?=(?:[^"]*"[^"]*")*[^"]*$)'), lambda c: F.regexp_replace(F.trim(c), '^"|"$', ""))
+
+    lines = F.filter(F.split(F.regexp_replace("value", "^\ufeff", ""), r"\r?\n"), lambda x: F.trim(x) != "")
+    rows = files.select(
         F.regexp_extract(name, r"^beam_inf_\d+-(.+)\.csv$", 1).alias("FIELD_NAME"),
         F.regexp_extract(name, r"^beam_inf_(\d+)-", 1).cast("long").alias("SBID"),
-        *[F.col(f.name) for f in schema.fields],
+        cells(F.get(lines, F.lit(0))).alias("_header"),
+        F.explode(F.slice(lines, F.lit(2), F.greatest(F.size(lines), F.lit(1)))).alias("_line"),
+    ).withColumn("_cells", cells(F.col("_line")))
+    at = {f.name: F.array_position("_header", f.name).cast("int") for f in schema.fields}
+    tagged = rows.select(
+        "FIELD_NAME",
+        "SBID",
+        *[F.when(at[f.name] > 0, F.get("_cells", at[f.name] - 1)).try_cast(f.dataType).alias(f.name) for f in schema.fields],
     )
     wanted = valid_sbid(fields).select("FIELD_NAME", F.col("SBID").cast("long").alias("SBID")).distinct()
     return tagged.join(wanted, ["FIELD_NAME", "SBID"], "left_semi")
