@@ -223,16 +223,42 @@ def near_duplicates(df: DataFrame, width: int = 3, radius: int = 2, key: str = "
 
 
 
-WORDS64 = 4  # 64-bit words of a wide fingerprint, and of a parity map
+WORDS64 = 4  # 64-bit words of a fingerprint that are compared, and of a parity map
+RECALL = 0.99  # chance that two texts at the similarity meet in some part, whatever the number of texts
 
 
-def wide_fingerprint(hashes: np.ndarray) -> list[int]:
-    """A fingerprint of 256 bits from shingle hashes: the hashes and three remixed copies of them, 64 bits each."""
-    ones = np.zeros(WORDS64 * BITS, dtype=np.int64)
-    for at in range(0, len(hashes), 65536):
-        part = hashes[at : at + 65536]
+def bits_apart(similarity: float) -> float:
+    """Share of bits in which the fingerprints of two texts at this similarity differ."""
+    return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+
+
+def layout(nodes: int, similarity: float, recall: float = RECALL) -> tuple[int, int]:
+    """Width of a part in bits, and how many parts a fingerprint has, for so many nodes.
+
+    A part grows with log2(nodes), so that few nodes share its value by chance; wider parts meet more
+    rarely, so the number of parts grows with them until two texts at the similarity agree in some part, or
+    differ there in one bit, with a chance of ``recall``.
+    """
+    bits = min(30, max(12, (max(2, nodes) - 1).bit_length()))
+    meet = near_probability(np.full(bits, bits_apart(similarity)), 1)[1]
+    needed = int(np.ceil(np.log(1 - recall) / np.log(1 - meet))) if meet < 1 else 1
+    return bits, max(WORDS64 * BITS // bits, needed)
+
+
+def words_needed(nodes: int, similarity: float) -> int:
+    """64-bit words that the parts of this or any smaller number of nodes take."""
+    sizes = {1 << e for e in range(1, max(2, nodes).bit_length())} | {nodes}
+    return max(WORDS64, *[-(-bits * parts // BITS) for bits, parts in (layout(n, similarity) for n in sizes)])
+
+
+def wide_fingerprint(hashes: np.ndarray, words: int = WORDS64) -> list[int]:
+    """A fingerprint of 64 bits a word from shingle hashes: the hashes and remixed copies of them, 64 bits each."""
+    ones = np.zeros(words * BITS, dtype=np.int64)
+    step = 65536 * WORDS64 // words
+    for at in range(0, len(hashes), step):
+        part = hashes[at : at + step]
         streams = []
-        for i in range(WORDS64):
+        for i in range(words):
             x = part ^ np.uint64(0x9E3779B97F4A7C15 * i % 2**64)
             for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
                 x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
@@ -257,12 +283,12 @@ CARRIED = ["node", "n", *FP, *ODD]
 def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowded: int = 32, leaders: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, component_id``: groups of texts that reach each other over links of a Jaccard similarity of word shingles.
 
-    Texts of the same shingle set are one node.  Fingerprints of 256 bits are cut into parts of about
-    log2(number of nodes) bits; nodes that agree on a part, or differ there in one bit, are compared.  They are
+    Texts of the same shingle set are one node.  Fingerprints are cut into parts of about log2(number of nodes)
+    bits; nodes that agree on a part, or differ there in one bit, are compared.  They are
     candidates if their shingle counts and parity maps allow the similarity (which no pair at the
-    similarity fails) and the fingerprints differ in no more bits than the similarity makes likely, and links if
-    their shingle sets are as similar.  Two texts at similarity 0.8 meet in some part with a chance of
-    over 0.95, more similar ones nearly always.
+    similarity fails) and the first 256 bits of the fingerprints differ in no more bits than the similarity makes likely, and
+    links if their shingle sets are as similar.  Fingerprints are longer the more nodes there are (``layout``), so two texts at
+    the similarity meet in some part with a chance of ``RECALL`` at any size, more similar ones nearly always.
 
     Values of a part that more than ``crowded`` nodes share are first compared with the ``leaders`` that share
     values with most others, which are the texts that a group of edited copies has in common.  Most nodes of
@@ -274,25 +300,26 @@ def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowd
 
     def run(keys: list, texts: list[str]) -> dict[str, list]:
         sets = [np.unique(shingle_hashes(t, width)) for t in texts]
-        wide, odd = [wide_fingerprint(s) for s in sets], [parity_map(s) for s in sets]
+        wide, odd = [wide_fingerprint(s, len(all_words)) for s in sets], [parity_map(s) for s in sets]
         out = {"key": keys, "node": [xxhash.xxh64_intdigest(s.tobytes()) - 2**63 for s in sets], "n": [len(s) for s in sets]}
-        return out | {c: [x[w] for x in wide] for w, c in enumerate(FP)} | {c: [x[w] for x in odd] for w, c in enumerate(ODD)}
+        return out | {c: [x[w] for x in wide] for w, c in enumerate(all_words)} | {c: [x[w] for x in odd] for w, c in enumerate(ODD)}
 
     stages = Stages()
     kind = df.schema[key].dataType.simpleString()
-    longs = ", ".join(f"{c} bigint" for c in CARRIED)
-    rows = stages.cut(map_texts(df.filter(F.col(key).isNotNull()), run, f"key {kind}, {longs}", key, text))
-    nodes = stages.cut(rows.groupBy("node").agg(F.min("key").alias("least"), *[F.first(c).alias(c) for c in CARRIED[1:]]))
-    size = max(2, nodes.count())
-    bits = min(30, max(12, (size - 1).bit_length()))
-    parts = WORDS64 * BITS // bits
+    known = df.filter(F.col(key).isNotNull())
+    all_words = [f"f{w}" for w in range(words_needed(known.count(), similarity))]
+    stored = ["node", "n", *all_words, *ODD]
+    longs = ", ".join(f"{c} bigint" for c in stored)
+    rows = stages.cut(map_texts(known, run, f"key {kind}, {longs}", key, text))
+    nodes = stages.cut(rows.groupBy("node").agg(F.min("key").alias("least"), *[F.first(c).alias(c) for c in stored[1:]]))
+    bits, parts = layout(nodes.count(), similarity)
     # a part is a run of bits, taken from one or two words
     own = []
     for i in range(parts):
         word, shift = divmod(i * bits, BITS)
-        value = F.shiftrightunsigned(F.col(FP[word]), shift)
+        value = F.shiftrightunsigned(F.col(all_words[word]), shift)
         if shift + bits > BITS:
-            value = value.bitwiseOR(F.shiftleft(F.col(FP[word + 1]), BITS - shift))
+            value = value.bitwiseOR(F.shiftleft(F.col(all_words[word + 1]), BITS - shift))
         own.append(value.bitwiseAND(F.lit((1 << bits) - 1)).bitwiseXOR(F.lit(i << 32)))
 
     def slots(of: DataFrame, *more: str) -> DataFrame:
@@ -306,7 +333,7 @@ def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowd
 
     def reach(words: int) -> int:
         """The farthest that a pair at this similarity is likely to lie, four standard deviations out."""
-        differ = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+        differ = bits_apart(similarity)
         return int(words * BITS * differ + 4 * np.sqrt(words * BITS * differ * (1 - differ)))
 
     def apart(words: list[str]) -> Column:
@@ -370,7 +397,7 @@ def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowd
     # half of the fingerprint and of a parity map of half as many buckets travel, the whole is compared afterwards
     joined = components(led).withColumnRenamed("component", "group")
     half = [F.col(ODD[w]).bitwiseXOR(F.col(ODD[w + WORDS64 // 2])).alias(f"q{w}") for w in range(WORDS64 // 2)]
-    grouped = stages.cut(nodes.join(joined, "node", "left").withColumn("group", F.coalesce("group", "node")).select("node", "group", "n", *FP, *half))
+    grouped = stages.cut(nodes.join(joined, "node", "left").withColumn("group", F.coalesce("group", "node")).select("node", "group", "n", *all_words, *half))
     light = ["group", "n", *FP[: WORDS64 // 2], *[f"q{w}" for w in range(WORDS64 // 2)]]
     largest = stages.cut(
         slots(grouped, "group").join(full.select("slot"), "slot", "left_semi").groupBy("slot", "group").agg(F.count("*").alias("n")).groupBy("slot").agg(F.max_by("group", F.struct("n", "group")).alias("main"))

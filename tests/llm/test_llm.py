@@ -194,6 +194,20 @@ def test_similar_groups_keep_one(spark, nothing):
     assert simhash.similar_groups(nothing).count() == 0
 
 
+def test_similar_texts_meet_whatever_the_size():
+    rng = np.random.default_rng(11)
+    for nodes in (4_000, 1_000_000, 300_000_000):
+        bits, parts = simhash.layout(nodes, 0.8)
+        words, met = simhash.words_needed(nodes, 0.8), 0
+        assert bits * parts <= 64 * words and all(simhash.words_needed(n, 0.8) <= words for n in (2, nodes // 3))
+        for _ in range(400):
+            # 160 common hashes of 180 each: a similarity of exactly 0.8
+            pool = rng.integers(0, 2**64, 200, dtype=np.uint64)
+            x, y = (sum(v % 2**64 << 64 * i for i, v in enumerate(simhash.wide_fingerprint(h, words))) for h in (pool[:180], pool[20:]))
+            met += any(((x ^ y) >> bits * i & (1 << bits) - 1).bit_count() <= 1 for i in range(parts))
+        assert met >= 0.97 * 400, nodes
+
+
 def test_bottom_k(docs, nothing):
     out = {r["doc_id"]: r for r in bottom_k.edited_likeness(docs, ranges=3).collect()}
     rows = sorted((r["doc_id"], r["text"] or "") for r in docs.collect())
