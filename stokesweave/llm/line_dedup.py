@@ -44,12 +44,13 @@ def boilerplate_lines(df: DataFrame, min_sites: int = 10, site: str = "source",
     return estimated.filter(F.col("sites") > min_sites * (1 + band)).unionByName(exact)
 
 
-def remove_boilerplate(df: DataFrame, min_sites: int = 10, most_removed: float = 0.5, site: str = "source", text: str = "text") -> DataFrame:
+def remove_boilerplate(df: DataFrame, min_sites: int = 10, most_removed: float | None = None, site: str = "source", text: str = "text") -> DataFrame:
     """All rows and columns of ``df``, boilerplate lines removed from the text, with ``n_lines`` and ``n_removed``.
 
-    A document of which the boilerplate lines make up more than ``most_removed`` of the characters is a copy of
-    other documents rather than a page with boilerplate on it; it keeps its lines, so no document is
-    emptied, and the near-duplicate stage decides on it.  Blank lines stay.  Null texts stay null
+    A document all of whose visible lines are boilerplate is a copy of other documents rather than a page with
+    boilerplate on it; it keeps its lines, so no document is emptied, and the near-duplicate stage decides on it.
+    With ``most_removed``, so does every document of which the removed lines make up more than that share of the
+    characters, lines of its own or not.  Blank lines stay.  Null texts stay null
     with no lines; repeated rows are handled alike.  Columns named ``n_lines`` or ``n_removed`` in the input
     are replaced.
     """
@@ -66,9 +67,11 @@ def remove_boilerplate(df: DataFrame, min_sites: int = 10, most_removed: float =
     parts = F.split(F.col(text), "\n")
     joined = df.select(*names).withColumn("__text", value).join(where, "__text", "left").withColumn("__parts", parts)
     kept = F.filter("__parts", lambda line, at: F.col("__at").isNull() | ~F.array_contains("__at", at))
-    shorter = joined.withColumn("__new", F.array_join(kept, "\n")).withColumn(
-        "__cut", F.coalesce(F.col("__at").isNotNull() & (F.length(text) - F.length("__new") <= most_removed * F.length(text)), F.lit(False))
-    )
+    if most_removed is None:
+        cut = F.exists("__kept", lambda line: F.trim(line) != "")
+    else:
+        cut = F.length(text) - F.length("__new") <= most_removed * F.length(text)
+    shorter = joined.withColumn("__kept", kept).withColumn("__new", F.array_join("__kept", "\n")).withColumn("__cut", F.coalesce(F.col("__at").isNotNull() & cut, F.lit(False)))
     return shorter.select(
         *[F.when(F.col("__cut"), F.col("__new")).otherwise(F.col(c)).alias(c) if c == text else F.col(c) for c in names],
         F.coalesce(F.size("__parts"), F.lit(0)).cast("bigint").alias("n_lines"),

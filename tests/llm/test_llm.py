@@ -147,6 +147,16 @@ def test_line_dedup(spark, nothing):
     assert line_dedup.remove_boilerplate(nothing).count() == 0
 
 
+def test_line_dedup_of_documents_that_are_mostly_boilerplate(spark):
+    passage = "a long passage that stands on many sites " * 5
+    rows = [(i, f"{passage}\nown {i}", f"s{i}") for i in range(12)] + [(98, f"{passage}\n \n", "s1"), (99, f"{passage}\n{passage}", "s2")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {r["doc_id"]: r for r in line_dedup.remove_boilerplate(df).collect()}
+    assert all(out[i]["text"] == f"own {i}" and out[i]["n_removed"] == 1 and out[i]["n_lines"] == 2 for i in range(12))
+    assert all(out[i]["text"] == rows[i - 86][1] and out[i]["n_removed"] == 0 for i in (98, 99))
+    assert {r["n_removed"] for r in line_dedup.remove_boilerplate(df, most_removed=0.5).collect()} == {0}
+
+
 def test_simhash_against_brute_force(docs, nothing):
     rows = docs.collect()
     out = simhash.near_duplicates(docs).collect()
