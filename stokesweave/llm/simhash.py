@@ -400,15 +400,28 @@ def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowd
     grouped = stages.cut(nodes.join(joined, "node", "left").withColumn("group", F.coalesce("group", "node")).select("node", "group", "n", *all_words, *half))
     light = ["group", "n", *FP[: WORDS64 // 2], *[f"q{w}" for w in range(WORDS64 // 2)]]
     largest = stages.cut(
-        slots(grouped, "group").join(full.select("slot"), "slot", "left_semi").groupBy("slot", "group").agg(F.count("*").alias("n")).groupBy("slot").agg(F.max_by("group", F.struct("n", "group")).alias("main"))
+        slots(grouped, "group").join(full.select("slot"), "slot", "left_semi").groupBy("slot", "group").agg(F.count("*").alias("n")).groupBy("slot").agg(F.max_by("group", F.struct("n", "group")).alias("main"), F.max("n").alias("held"))
     )
-    rest = slots(grouped, *light).join(largest, "slot", "left").filter("main is null or group <> main").drop("main")
+    mains = largest.select("slot", "main")
+    rest = slots(grouped, *light).join(mains, "slot", "left").filter("main is null or group <> main").drop("main")
     # of two values a bit apart the one without the bit asks; in the largest group of a crowded value, which is not asked, both do
     asks = probes(slots(grouped, *light), [0, *ones], lambda f: F.col("slot").bitwiseAND(f) == 0)
-    main = slots(grouped, *light).join(largest, "slot").filter("group = main").drop("main")
+    main = slots(grouped, *light).join(mains, "slot").filter("group = main").drop("main")
     asks = asks.unionByName(probes(main, ones, lambda f: F.col("slot").bitwiseAND(f) != 0))
-    met = stages.cut(asks.join(other(rest), "slot").filter(alike(light[2 : 2 + WORDS64 // 2], light[2 + WORDS64 // 2 :]) & (F.col("group") != F.col("group_2"))).select(*pair).distinct())
-    stages.drop(grouped, largest, full)
+
+    def meeting(asking: DataFrame, asked: DataFrame) -> DataFrame:
+        return asking.join(other(asked), "slot").filter(alike(light[2 : 2 + WORDS64 // 2], light[2 + WORDS64 // 2 :]) & (F.col("group") != F.col("group_2"))).select(*pair)
+
+    found = meeting(asks, rest)
+    # the largest groups of two crowded values a bit apart are asked by neither; where they differ, the larger asks the smaller
+    near_by = probes(largest.withColumn("at", F.col("slot")), ones, lambda f: F.col("slot").bitwiseAND(f) == 0).join(other(largest), "slot").filter("main <> main_2")
+    first = F.col("held") >= F.col("held_2")
+    bridges = stages.cut(near_by.select(F.when(first, F.col("at")).otherwise(F.col("slot")).alias("from"), F.when(first, F.col("slot")).otherwise(F.col("at")).alias("to")))
+    if not bridges.isEmpty():
+        across = main.join(bridges, F.col("slot") == F.col("from")).withColumn("slot", F.col("to")).drop("from", "to")
+        found = found.unionByName(meeting(across, main.join(bridges.select(F.col("to").alias("slot")).distinct(), "slot", "left_semi")))
+    met = stages.cut(found.distinct())
+    stages.drop(grouped, largest, full, bridges)
     signs = nodes.select(*CARRIED)
     whole = met.join(signs.withColumnRenamed("node", "a"), "a").join(signs.select(*[F.col(c).alias("b" if c == "node" else f"{c}_2") for c in CARRIED]), "b")
     near = links(whole.withColumns({"node": F.col("a"), "node_2": F.col("b")}).filter(alike(FP, ODD)).select("a", "b"))

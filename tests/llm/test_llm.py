@@ -218,6 +218,43 @@ def test_similar_texts_meet_whatever_the_size():
         assert met >= 0.97 * 400, nodes
 
 
+def test_crowded_values_a_bit_apart(spark, monkeypatch):
+    """Two groups, each at one crowded value, a bit apart; the only pair that links them agrees nowhere else."""
+    import xxhash
+    from pyspark import cloudpickle
+
+    def changed(words, at):
+        return [at.get(i, w) for i, w in enumerate(words)]
+
+    def node(t):
+        return xxhash.xxh64_intdigest(np.unique(simhash.shingle_hashes(" ".join(t), 5)).tobytes()) - 2**63
+
+    x = [f"w{i}" for i in range(104)]
+    y = changed(x, {20: "left", 35: "right"})
+    groups = []
+    for name, head in (("a", x), ("b", y)):
+        # the group's leader is its smallest node, and not the one that the pair has
+        spare = [c for c in (changed(head, {60 + 10 * (name == "b"): f"{name}{i}"}) for i in range(60)) if node(c) < node(head)]
+        others = [c for c in (changed(head, {60 + 10 * (name == "b"): f"{name}{i}"}) for i in range(60, 67))]
+        groups.append([head, spare[0], *others])
+    mine = random.Random(3).getrandbits(252)
+    yours = mine ^ 1
+    for part in range(1, 21):
+        yours ^= 3 << 12 * part
+    prints = {}
+    for group, value in zip(groups, (mine, yours)):
+        for t in group:
+            prints[np.unique(simhash.shingle_hashes(" ".join(t), 5)).tobytes()] = np.array([value >> 64 * i & 2**64 - 1 for i in range(4)], dtype="<u8").view("<i8").tolist()
+    monkeypatch.setattr(simhash, "wide_fingerprint", lambda hashes, words=4: prints[hashes.tobytes()])
+    cloudpickle.register_pickle_by_value(simhash)
+    try:
+        df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(groups[0] + groups[1])], "doc_id long, text string")
+        got = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(df, crowded=4, leaders=1).collect()}
+    finally:
+        cloudpickle.unregister_pickle_by_value(simhash)
+    assert len(got) == 18 and set(got.values()) == {0}
+
+
 def test_bottom_k(docs, nothing):
     out = {r["doc_id"]: r for r in bottom_k.edited_likeness(docs, ranges=3).collect()}
     rows = sorted((r["doc_id"], r["text"] or "") for r in docs.collect())
