@@ -281,7 +281,9 @@ CARRIED = ["node", "n", *FP, *ODD]
 
 
 def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowded: int = 32, leaders: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, component_id``: groups of texts that reach each other over links of a Jaccard similarity of word shingles.
+    """``key, component_id, text_hash, component_hash``: groups of texts that reach each other over links of a Jaccard similarity of word shingles.
+
+    ``component_id`` is the group's smallest key, and ``component_hash`` the hash of its text, as two texts may share a key.
 
     Texts of the same shingle set are one node.  Fingerprints are cut into parts of about log2(number of nodes)
     bits; nodes that agree on a part, or differ there in one bit, are compared.  They are
@@ -301,7 +303,7 @@ def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowd
     def run(keys: list, texts: list[str]) -> dict[str, list]:
         sets = [np.unique(shingle_hashes(t, width)) for t in texts]
         wide, odd = [wide_fingerprint(s, len(all_words)) for s in sets], [parity_map(s) for s in sets]
-        out = {"key": keys, "node": [xxhash.xxh64_intdigest(s.tobytes()) - 2**63 for s in sets], "n": [len(s) for s in sets]}
+        out = {"key": keys, "text_hash": [signed(xxhash.xxh64_intdigest(t, 42)) for t in texts], "node": [xxhash.xxh64_intdigest(s.tobytes()) - 2**63 for s in sets], "n": [len(s) for s in sets]}
         return out | {c: [x[w] for x in wide] for w, c in enumerate(all_words)} | {c: [x[w] for x in odd] for w, c in enumerate(ODD)}
 
     stages = Stages()
@@ -310,8 +312,9 @@ def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowd
     all_words = [f"f{w}" for w in range(words_needed(known.count(), similarity))]
     stored = ["node", "n", *all_words, *ODD]
     longs = ", ".join(f"{c} bigint" for c in stored)
-    rows = stages.cut(map_texts(known, run, f"key {kind}, {longs}", key, text))
-    nodes = stages.cut(rows.groupBy("node").agg(F.min("key").alias("least"), *[F.first(c).alias(c) for c in stored[1:]]))
+    rows = stages.cut(map_texts(known, run, f"key {kind}, text_hash bigint, {longs}", key, text))
+    lowest_row = F.min(F.struct("key", "text_hash")).alias("row")
+    nodes = stages.cut(rows.groupBy("node").agg(lowest_row, *[F.first(c).alias(c) for c in stored[1:]]))
     bits, parts = layout(nodes.count(), similarity)
     # a part is a run of bits, taken from one or two words
     own = []
@@ -373,8 +376,9 @@ def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowd
     def links(found: DataFrame) -> DataFrame:
         """The candidate pairs that are as similar, by the shingles of one text of each node."""
         pairs = stages.cut(found.distinct())
-        asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select("node", F.col("least").alias("key"))
-        texts = stages.cut(df.select(F.col(key).alias("key"), text_of(text).alias("text")).join(asked, "key").groupBy("node").agg(F.max("text").alias("text")))
+        asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select("node", "row.key", "row.text_hash")
+        named = df.select(F.col(key).alias("key"), text_of(text).alias("text")).withColumn("text_hash", F.xxhash64("text"))
+        texts = stages.cut(named.join(asked, ["key", "text_hash"]).groupBy("node").agg(F.max("text").alias("text")))
         similar = stages.cut(
             pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
@@ -426,18 +430,19 @@ def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowd
     whole = met.join(signs.withColumnRenamed("node", "a"), "a").join(signs.select(*[F.col(c).alias("b" if c == "node" else f"{c}_2") for c in CARRIED]), "b")
     near = links(whole.withColumns({"node": F.col("a"), "node_2": F.col("b")}).filter(alike(FP, ODD)).select("a", "b"))
     comp = components(led.unionByName(near))
-    linked = stages.cut(comp.join(nodes.select("node", "least"), "node"))
+    linked = stages.cut(comp.join(nodes.select("node", "row"), "node"))
     stages.drop(met, led, near)
-    lowest = stages.cut(linked.groupBy("component").agg(F.min("least").alias("component_id")))
-    named = stages.cut(linked.join(lowest, "component").select("node", "component_id"))
-    all_named = stages.cut(nodes.join(named, "node", "left").select("node", F.coalesce("component_id", "least").alias("component_id")))
+    lowest = stages.cut(linked.groupBy("component").agg(F.min("row").alias("first")))
+    named = stages.cut(linked.join(lowest, "component").select("node", "first"))
+    all_named = stages.cut(nodes.join(named, "node", "left").select("node", F.coalesce("first", "row").alias("first")))
     stages.drop(nodes, linked, lowest, named)
-    return rows.join(all_named, "node").select(F.col("key").alias(key), "component_id")
+    return rows.join(all_named, "node").select(F.col("key").alias(key), F.col("first.key").alias("component_id"), "text_hash", F.col("first.text_hash").alias("component_hash"))
 
 
-def keep_one(df: DataFrame, groups: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The row of each group whose key names it, all columns; of repeated rows one.  Rows with a null key are kept."""
-    named = groups.filter(F.col(key) == F.col("component_id")).select(key).distinct()
-    first = F.row_number().over(Window.partitionBy(key).orderBy(F.lit(1)))
-    kept = df.join(named, key, "left_semi").withColumn("__first", first).filter("__first = 1").select(*df.columns)
+def keep_one(df: DataFrame, groups: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The row of each group whose key and text name it, all columns; of repeated rows one.  Rows with a null key are kept."""
+    named = groups.filter((F.col(key) == F.col("component_id")) & (F.col("text_hash") == F.col("component_hash"))).select(key, F.col("text_hash").alias("__hash")).distinct()
+    first = F.row_number().over(Window.partitionBy(key, "__hash").orderBy(F.lit(1)))
+    hashed = df.withColumn("__hash", F.xxhash64(text_of(text)))
+    kept = hashed.join(named, [key, "__hash"], "left_semi").withColumn("__first", first).filter("__first = 1").select(*df.columns)
     return kept.unionByName(df.filter(F.col(key).isNull()))

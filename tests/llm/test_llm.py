@@ -204,6 +204,14 @@ def test_similar_groups_keep_one(spark, nothing):
     assert simhash.similar_groups(nothing).count() == 0
 
 
+def test_texts_that_share_a_key(spark):
+    one, two = (" ".join(f"{name}{i}" for i in range(60)) for name in ("one", "twoä"))
+    rows = [(1, one), (1, two), (1, two), (2, one + " more"), (0, two + " more"), (3, None), (3, "other")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = simhash.keep_one(df, simhash.similar_groups(df)).collect()
+    assert sorted((r["doc_id"], r["text"] or "") for r in kept) == [(0, two + " more"), (1, one), (3, ""), (3, "other")]
+
+
 def test_similar_texts_meet_whatever_the_size():
     rng = np.random.default_rng(11)
     for nodes in (4_000, 1_000_000, 300_000_000):
