@@ -61,6 +61,27 @@ def table_part(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
 
 
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as a byte string of less than 8 bytes each: the steps between them by byte places, the upper ones compressed."""
+    if not len(keys):
+        return b""
+    steps = np.diff(keys)
+    places = np.ascontiguousarray(steps.astype("<u8")).view(np.uint8).reshape(-1, 8).T
+    low, high = places[:4].tobytes(), zlib.compress(places[4:].tobytes(), 1)
+    return len(keys).to_bytes(8, "little") + int(keys[0]).to_bytes(8, "little") + low + high
+
+
+def unpack_keys(packed: bytes) -> np.ndarray:
+    """The keys that ``pack_keys`` packed."""
+    if not packed:
+        return np.zeros(0, dtype="<u8")
+    n, first = (int.from_bytes(packed[a : a + 8], "little") for a in (0, 8))
+    low = packed[16 : 16 + 4 * (n - 1)]
+    places = np.frombuffer(low + zlib.decompress(packed[16 + len(low) :]), dtype=np.uint8).reshape(8, n - 1)
+    steps = np.ascontiguousarray(places.T).view("<u8").ravel()
+    return np.concatenate([np.array([first], dtype="<u8"), steps]).cumsum(dtype=np.uint64)
+
+
 def distinct_grams(texts: list[str], order: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
     """Keys by order and text ends; sorted distinct keys and their counts."""
     words, ends = word_keys(texts)
@@ -124,13 +145,13 @@ def score(
             {
                 "part": held,
                 "batch": pdf["batch"].iloc[0],
-                "keys": [keys[cuts[p] : cuts[p + 1]].tobytes() for p in held],
+                "keys": [pack_keys(keys[cuts[p] : cuts[p + 1]]) for p in held],
                 "counts": [zlib.compress(counts[cuts[p] : cuts[p + 1]].astype("<u4").tobytes(), 1) for p in held],
             }
         )
 
     def add_up(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys = [np.frombuffer(k, dtype="<u8") for k in pdf["keys"]]
+        keys = [unpack_keys(k) for k in pdf["keys"]]
         counts = np.concatenate([np.frombuffer(zlib.decompress(c), dtype="<u4") for c in pdf["counts"]])
         every, where = np.unique(np.concatenate(keys), return_inverse=True)
         totals = np.bincount(where, counts, len(every)).astype("<u8")[where]

@@ -85,4 +85,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "n_words", (F.round("log_score", 4) + F.lit(0.0)).alias("log_score"))
 
 
+@query
+def op10_lm_scoring_three_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = ngram_lm.score(table(spark, sf_dir, "documents"), order=3)
+    return scored.select("doc_id", "n_words", (F.round("log_score", 4) + F.lit(0.0)).alias("log_score"))
+
+
 ORACLES["op10_lm_scoring"] = ngram_lm.oracle()

@@ -335,6 +335,31 @@ def test_stupid_backoff_against_counts(docs, nothing):
     assert out[7]["mean_log_score"] is None and ngram_lm.score(nothing).count() == 0
 
 
+def test_three_words_are_scored(spark):
+    from collections import Counter
+
+    from stokesweave.llm.queries import QUERIES
+
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 2, 5000):
+        keys = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        assert (ngram_lm.unpack_keys(ngram_lm.pack_keys(keys)) == keys).all()
+    folder = "/root/testdata/sf0.001"
+    ws = {r["doc_id"]: re.findall("[^ \\t\\n\\x0b\\f\\r]+", re.sub("[A-Z]+", lambda m: m[0].lower(), r["text"] or "")) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    n = [Counter(tuple(w[i : i + k]) for w in ws.values() for i in range(len(w) - k + 1)) for k in (1, 2, 3)]
+    total = sum(n[0].values())
+
+    def word(w, i):
+        for k in (3, 2):
+            if i >= k - 1 and n[k - 1][tuple(w[i - k + 1 : i + 1])] >= 2:
+                return np.log(n[k - 1][tuple(w[i - k + 1 : i + 1])] / n[k - 2][tuple(w[i - k + 1 : i])]) + np.log(0.4) * (min(i, 2) + 1 - k)
+        return np.log(n[0][(w[i],)] / total) + np.log(0.4) * min(i, 2)
+
+    for r in QUERIES["op10_lm_scoring_three_words"](spark, folder).collect():
+        w = ws[r["doc_id"]]
+        assert r["n_words"] == len(w) and r["log_score"] == pytest.approx(sum(word(w, i) for i in range(len(w))), abs=1e-3)
+
+
 def test_pipeline_on_the_smallest_tables(spark):
     import corpus_pipeline as C
 
