@@ -156,3 +156,11 @@ def test_clip_channels_blanks_all_stokes(spark, bad):
     rows = {r.chan: r for r in spectra.clip_channels(s, ["cat_id"]).collect()}
     assert rows[bad].clipped and math.isnan(rows[bad].i) and math.isnan(rows[bad].u)
     assert not rows[bad + 1].clipped and rows[bad + 1].i == 1.0
+
+
+def test_cleaning_queries_reach_the_noise(spark):
+    from workbench.registry import QUERIES
+    import workbench.q_spectra  # noqa: F401 - importing registers queries
+
+    rows = QUERIES["rm_clean"](spark, "/root/testdata/sf0.001").collect()
+    assert rows and sum(r.n_iter > 0 for r in rows) > 0.5 * len(rows)

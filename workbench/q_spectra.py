@@ -276,7 +276,7 @@ def _(spark, d):
 def _cleaned(spark, d):
     s = view(spark, d, "fx_spectra")
     return faraday.rm_clean(
-        faraday.rm_synthesis(s, PHI).drop("lambda0_sq"), faraday.rmsf(s, PHI).drop("lambda0_sq"), faraday.synthesis_scalars(s), cutoff=-30.0, max_iter=500
+        faraday.rm_synthesis(s, PHI).drop("lambda0_sq"), faraday.rmsf(s, PHI).drop("lambda0_sq"), faraday.synthesis_scalars(s), cutoff=-3.0, max_iter=10_000
     )
 
 
@@ -338,7 +338,7 @@ def _(spark, d):
 
 @check("rm_clean_pixels")
 def _(spark, d):
-    out = spectra_plan.pixel_clean(_pixel_spectra(spark, d), _PIX_PHI, cutoff=-3.0, max_iter=200)
+    out = spectra_plan.pixel_clean(_pixel_spectra(spark, d), _PIX_PHI, cutoff=-3.0, max_iter=10_000)
     return out.select("source_id", "y", "x", "n_iter", "ok")
 
 
@@ -374,7 +374,7 @@ def _(spark, d):
 @check("spectral_measurements")
 def _(spark, d):
     s = view(spark, d, "fx_spectra").drop("source_id", "lambda_sq", "dqu")
-    out = spectra_plan.spectral_measurements(s, PHI, cutoff=-30.0, max_iter=300)
+    out = spectra_plan.spectral_measurements(s, PHI, cutoff=-3.0, max_iter=10_000)
     return out.select("cat_id", "rmsynth1d", "rmclean1d", "rm", "polint", "rm_width", "best_n")
 
 

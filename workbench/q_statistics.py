@@ -145,7 +145,7 @@ def _(spark, d):
 
 @check("gridded_map")
 def _(spark, d):
-    return maps.gridded_map(view(spark, d, "fx_cat"), "rm", "cat_id", npix=64, map_size=100.0)
+    return maps.gridded_map(view(spark, d, "fx_cat"), "rm", "cat_id", npix=512, map_size=100.0)
 
 
 @check(
@@ -197,6 +197,13 @@ def _(spark, d):
     return out.select("node_id", r6("x"), r6("y"), "n", r6("q"), r6("u"), r6("p"))
 
 
+@check("leakage_map_quarter_radius")
+def _(spark, d):
+    pts = view(spark, d, "fx_cat").select(F.col("ra").alias("x"), F.col("dec").alias("y"), F.col("fracpol").alias("q"), F.col("tax").alias("u"))
+    out = leakage.leakage_map(pts, 5.0)
+    return out.select("node_id", r6("x"), r6("y"), "n", r6("q"), r6("u"), r6("p"))
+
+
 # --- flags and scalar columns --------------------------------------------------
 
 

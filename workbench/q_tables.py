@@ -449,7 +449,7 @@ def _(spark, d):
         *[F.lit(False).alias(f) for f in ("snr_flag", "leakage_flag", "channel_flag", "stokesI_fit_flag", "local_rm_flag")],
     )
     other = view(spark, d, "fx_islands").select(F.col("source_id").alias("ext_id"), "ra", "dec", F.col("isl_tax").alias("rm"), F.lit(1.0).alias("rm_err"))
-    out = validate.validate(cat, {"islands": other}, npix=32, map_size=100.0, radius_deg=0.05)
+    out = validate.validate(cat, {"islands": other}, npix=512, map_size=100.0, radius_deg=0.05)
     return out["match_islands"].select("cat_id", "ext_id", "rm", "ext_rm", r6("sep"))
 
 
