@@ -43,7 +43,7 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def op4_line_dedup_own_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def line_dedup_own_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.remove_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
@@ -86,7 +86,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def op10_lm_scoring_three_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lm_scoring_three_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = ngram_lm.score(table(spark, sf_dir, "documents"), order=3)
     return scored.select("doc_id", "n_words", (F.round("log_score", 4) + F.lit(0.0)).alias("log_score"))
 

@@ -355,7 +355,7 @@ def test_three_words_are_scored(spark):
                 return np.log(n[k - 1][tuple(w[i - k + 1 : i + 1])] / n[k - 2][tuple(w[i - k + 1 : i])]) + np.log(0.4) * (min(i, 2) + 1 - k)
         return np.log(n[0][(w[i],)] / total) + np.log(0.4) * min(i, 2)
 
-    for r in QUERIES["op10_lm_scoring_three_words"](spark, folder).collect():
+    for r in QUERIES["lm_scoring_three_words"](spark, folder).collect():
         w = ws[r["doc_id"]]
         assert r["n_words"] == len(w) and r["log_score"] == pytest.approx(sum(word(w, i) for i in range(len(w))), abs=1e-3)
 
