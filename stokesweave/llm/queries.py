@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stokesweave.llm import bottom_k, byte_bpe, html_mincut, licenses, line_dedup, ngram_lm, packing, simhash, topk, toxicity
+from stokesweave.llm import bottom_k, byte_bpe, divergence, html_mincut, licenses, line_dedup, ngram_lm, packing, simhash, topk, toxicity
 from stokesweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,11 @@ def lm_scoring_three_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op10_lm_scoring"] = ngram_lm.oracle()
+
+
+@query
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_source_divergence"] = divergence.oracle()
