@@ -113,8 +113,8 @@ def shares(counts: np.ndarray, total: int) -> np.ndarray:
     rest = counts.astype(object if total > (1 << 62) // 1000 else np.int64) + ADDED
     out = np.zeros_like(rest)
     for _ in range(3):
-        digits, rest = np.divmod(rest * 1000, total)
-        out = out * 1000 + digits
+        out = out * 1000 + rest * 1000 // total
+        rest = rest * 1000 % total
     return (out + 1).astype(np.int64)
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stokesweave.llm import bottom_k, byte_bpe, divergence, html_mincut, licenses, line_dedup, ngram_lm, packing, simhash, topk, toxicity
+from stokesweave.llm import bottom_k, byte_bpe, conversations, divergence, html_mincut, licenses, line_dedup, ngram_lm, packing, simhash, topk, toxicity
 from stokesweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,8 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op11_source_divergence"] = divergence.oracle()
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(table(spark, sf_dir, "conversations"))

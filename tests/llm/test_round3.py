@@ -12,7 +12,7 @@ import pytest
 
 P = pytest.importorskip("public_tokenizers")
 
-from stokesweave.llm import divergence  # noqa: E402
+from stokesweave.llm import conversations, divergence  # noqa: E402
 
 # --- source divergence ---------------------------------------------------------
 
@@ -96,3 +96,129 @@ def test_terms_of_long_texts():
     text = ("Wort" * 700_000 + " ab-c " + "ñ x" * 600_000 + "z" * 10).encode()
     whole = TERM.findall(text.decode().translate(FOLD))
     assert [t.decode() for part in divergence.term_lists(text) for t in part] == whole
+
+
+# --- conversation repair ---------------------------------------------------------
+
+SPACE = " \t\n\x0b\x0c\r"
+NEXT = {"": "u", "s": "u", "u": "a", "a": "u"}
+
+
+def cheapest(rows):
+    """Cost and audit of the cheapest edits of (role, fault) rows, ASCII-least: every choice at every place."""
+    memo = {}
+
+    def best(k, state, inserted):
+        if (k, state, inserted) not in memo:
+            ways = []
+            if k == len(rows) and state in ("", "a"):
+                ways.append((0, ""))
+            if inserted < 4:
+                c, a = best(k, NEXT[state], inserted + 1)
+                ways.append((c + 5, "I" + a))
+            if k < len(rows):
+                role, fault = rows[k]
+                c, a = best(k + 1, state, 0)
+                ways.append((c + 2, "D" + a))
+                if fault not in ("blank", "duplicate"):
+                    extra = 5 if fault == "truncated" else 0
+                    c, a = best(k + 1, NEXT[state], 0)
+                    ways.append((c + 1 + extra, "R" + a))
+                    first = role[:1]
+                    if first == NEXT[state] or (first == "s" and state == ""):
+                        c, a = best(k + 1, first, 0)
+                        ways.append((c + extra, "K" + a))
+            memo[k, state, inserted] = min(ways) if ways else (10**9, "")
+        return memo[k, state, inserted]
+
+    return best(0, "", 0)
+
+
+def repair_by_hand(rows):
+    out = {}
+    for conv in {r[0] for r in rows}:
+        damaged = []
+        for _, turn, role, text in (r for r in rows if r[0] == conv):
+            name = ":".join(" " if v is None else str(v) for v in (conv, turn))
+            role, text = " " if role is None else role, " " if text is None else text
+            fault = zlib.crc32(name.encode()) % 20
+            if fault == 0:
+                continue
+            text = "" if fault == 1 else re.sub("[.!?]", "", text) if fault == 2 else text
+            role = "user" if fault == 4 else role
+            damaged += [(turn, role, text)] * (2 if fault == 3 else 1)
+        damaged.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), hashlib.md5(r[2].encode()).hexdigest()))
+        faults, seen = [], set()
+        for _, role, text in damaged:
+            body = text.rstrip(SPACE)
+            faults.append("blank" if not body else "duplicate" if (role, text) in seen else "truncated" if body[-1] not in ".!?" else None)
+            seen.add((role, text))
+        turns = {r[0] for r in damaged} - {None}
+        cost, audit = cheapest([(r[1], f) for r, f in zip(damaged, faults)])
+        lines, state, k = [], "", 0
+        for edit in audit:
+            if edit in "IR":
+                state = NEXT[state]
+                lines.append({"u": "user", "a": "assistant"}[state] + ":" + ("" if edit == "I" else damaged[k][2]))
+            elif edit == "K":
+                state = damaged[k][1][0]
+                lines.append(f"{damaged[k][1]}:{damaged[k][2]}")
+            k += edit != "I"
+        out[conv] = (
+            max(turns) - min(turns) + 1 - len(turns) if turns else 0,
+            *[faults.count(f) for f in ("blank", "duplicate", "truncated")],
+            sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in itertools.pairwise(damaged)),
+            cost,
+            audit,
+            hashlib.sha256("\n".join(lines).encode()).hexdigest(),
+        )
+    return out
+
+
+def conversation_rows(seed=5):
+    rng = random.Random(seed)
+    said = ["Yes.", "No", "Why?", "", " \t", None, "Ok.", "Né !  ", "x" * 20_000 + ".", "\u00a0", "日本。"]
+    rows = []
+    for conv in [*range(60), None]:
+        for turn in range(rng.choice([1, 2, 5, 9, 40])):
+            role = rng.choice(["user", "assistant", "user", "assistant", "system", "tool", None, ""])
+            role = role if rng.random() < 0.4 else "ua"[turn % 2] and ("user", "assistant")[turn % 2]
+            turn = rng.choice([turn, turn, turn, turn + 3, None])
+            rows.append((conv, turn, role, f"{rng.random()}." if rng.random() < 0.5 else rng.choice(said)))
+    # a conversation whose only row is dropped
+    lone = next(c for c in range(1000, 2000) if zlib.crc32(f"{c}:0".encode()) % 20 == 0)
+    return rows + [(lone, 0, "user", "gone.")] + rows[10:30] + [(77, 4, "assistant", "Again.")] * 50
+
+
+TALKS = "conv_id long, turn long, role string, text string, kind string, at string, copies string"
+
+
+@pytest.mark.parametrize("piece", [4096, 3])
+def test_repair_equals_brute_force(spark, monkeypatch, piece):
+    monkeypatch.setattr(conversations, "PIECE", piece)
+    rows = conversation_rows()
+    df = spark.createDataFrame([(*r, "clash", "clash", "clash") for r in rows], TALKS)
+    got = conversations.repair(df)
+    assert got.columns == ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+    got = got.collect()
+    want = repair_by_hand(rows)
+    assert len(got) == len(want)
+    assert {r[0]: tuple(r[1:]) for r in got} == want
+
+
+def test_repair_of_nothing(spark):
+    assert conversations.repair(spark.createDataFrame([], TALKS)).collect() == []
+
+
+def test_halves_give_the_least_audit():
+    rng = random.Random(9)
+    names = {"s": "system", "u": "user", "a": "assistant", "o": "tool"}
+    faults = {"-": None, "b": "blank", "d": "duplicate", "t": "truncated"}
+    for _ in range(1500):
+        rows = [(rng.choice("suao" if rng.random() < 0.3 else "ua"), rng.choice("----bdt")) for _ in range(rng.randint(1, 14))]
+        kinds = "".join(conversations.KINDS[r] for r in rows)
+        cuts = sorted(rng.sample(range(1, len(rows)), rng.randint(0, min(3, len(rows) - 1)))) if len(rows) > 1 else []
+        runs = [kinds[a:b] for a, b in itertools.pairwise([0, *cuts, len(kinds)])]
+        cost, borders = conversations.chain([conversations.matrix(k) for k in runs])
+        audit = "".join(conversations.between(k, s, t) for k, (s, t) in zip(runs, itertools.pairwise(borders))) + conversations.ENDING[borders[-1]][1]
+        assert (cost, audit) == cheapest([(names[i], faults[f]) for i, f in rows])
