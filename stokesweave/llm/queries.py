@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stokesweave.llm import bottom_k, byte_bpe, conversations, divergence, html_mincut, licenses, line_dedup, ngram_lm, packing, simhash, topk, toxicity
+from stokesweave.llm import bottom_k, byte_bpe, conversations, divergence, html_mincut, language_id, licenses, line_dedup, ngram_lm, packing, simhash, topk, toxicity
 from stokesweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,10 @@ ORACLES["op11_source_divergence"] = divergence.oracle()
 @query
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.train(docs), spans=False)
+    return found.select("doc_id", toxicity.held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")

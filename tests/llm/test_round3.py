@@ -12,7 +12,7 @@ import pytest
 
 P = pytest.importorskip("public_tokenizers")
 
-from stokesweave.llm import conversations, divergence  # noqa: E402
+from stokesweave.llm import conversations, divergence, language_id  # noqa: E402
 
 # --- source divergence ---------------------------------------------------------
 
@@ -222,3 +222,114 @@ def test_halves_give_the_least_audit():
         cost, borders = conversations.chain([conversations.matrix(k) for k in runs])
         audit = "".join(conversations.between(k, s, t) for k, (s, t) in zip(runs, itertools.pairwise(borders))) + conversations.ENDING[borders[-1]][1]
         assert (cost, audit) == cheapest([(names[i], faults[f]) for i, f in rows])
+
+
+# --- language identification -----------------------------------------------------
+
+VOICES = {
+    "en": "the of and to that with thing shore blend house water other thought wind night".split(),
+    "de": "der die und nicht schön zwischen straße wasser haus licht über kein auch noch wenig".split(),
+    "fr": "le les des une être château eau maison où très avec pour dans chez jour".split(),
+    "ru": "и не что дом вода ночь свет ветер слово время очень быть когда город река".split(),
+    "ja": ["これは水です", "夜の町", "言葉と時間", "かぜがふく", "ひかり"],
+}
+
+
+def speech(rng, lang, n):
+    return " ".join(rng.choice(VOICES[lang]) for _ in range(n)).capitalize() + "."
+
+
+PAGES = "doc_id long, text string, lang string, source string, score string, lang_pred string, spans string, key string"
+
+
+@pytest.fixture(scope="module")
+def speakers(spark):
+    rng = random.Random(4)
+    rows = []
+    for k in range(600):
+        lang = rng.choice(list(VOICES))
+        rows.append((k, speech(rng, lang, rng.randint(4, 60)), lang))
+    # held-out rows carry wrong labels: learning from them would show
+    wrong = [(k, t, rng.choice(list(VOICES)) if zlib.crc32(str(k).encode()) % 4 == 2 else lang) for k, t, lang in rows]
+    wrong += [(None, "der die und", "xx"), (9001, None, "en"), (9002, "", "de"), (9003, "der die", None)]
+    df = spark.createDataFrame([(*r, "c", "c", "c", "c", "c") for r in wrong], PAGES)
+    return rows, language_id.train(df)
+
+
+def answers(spark, model, texts, **more):
+    df = spark.createDataFrame([(k, t, "zz", "c", "c", "c", "c", "c") for k, t in enumerate(texts)], PAGES)
+    return {r["doc_id"]: r for r in language_id.identify(df, model, **more).collect()}
+
+
+def test_language_of_held_out_texts(spark, speakers):
+    rows, model = speakers
+    assert model.langs == sorted(VOICES)
+    kept = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 == 2]
+    found = answers(spark, model, [r[1] for r in kept])
+    assert np.mean([found[k]["lang_pred"] == r[2] for k, r in enumerate(kept)]) >= 0.99
+    assert all(0 <= r["score"] <= 1 for r in found.values())
+
+
+def test_spans_of_mixed_texts(spark, speakers):
+    rng = random.Random(8)
+    for _ in range(5):
+        parts = [speech(rng, lang, 30) for lang in ("en", "fr", "ru", "de")]
+        text = "\n".join(parts)
+        got = answers(spark, speakers[1], [text])[0]["spans"]
+        assert [s["lang"] for s in got] == ["en", "fr", "ru", "de"]
+        for part, s in zip(parts, got):
+            assert abs(text.index(part) - s["start"]) <= 12 and abs(len(part) - s["length"]) <= 24
+
+
+def test_odd_texts(spark, speakers):
+    long = speech(random.Random(1), "de", 150_000)
+    texts = [None, "", " 12 – ½ _ …", "\u0301", "Ωμέγα και άλφα", "the", long, long, "x" * 100_000, "noch ḱ", "水水水水", "the der " * 400]
+    got = answers(spark, speakers[1], texts)
+    assert [(got[k]["lang_pred"], got[k]["score"], got[k]["spans"]) for k in range(4)] == [("und", 0.0, [])] * 4
+    assert got[4]["lang_pred"] in VOICES and got[4]["score"] < 0.5
+    assert got[5]["lang_pred"] == "en" and got[6] [1:] == got[7][1:] and got[6]["lang_pred"] == "de"
+    assert got[10]["lang_pred"] == "ja"
+    again = answers(spark, speakers[1], texts, spans=False, block=1)
+    assert {k: r[1:3] for k, r in again.items()} == {k: r[1:3] for k, r in got.items()}
+
+
+def test_language_of_nothing(spark, speakers):
+    empty = spark.createDataFrame([], PAGES)
+    assert language_id.identify(empty, speakers[1]).collect() == []
+    blank = language_id.train(empty)
+    assert [r["lang_pred"] for r in answers(spark, blank, ["the der", None]).values()] == ["und", "und"]
+
+
+def test_viterbi_equals_every_labelling():
+    rng = np.random.default_rng(6)
+    scores = rng.normal(0, 2, (30, 3)).astype(np.float32)
+    words = [rng.integers(0, 30, n) for n in (0, 1, 6, 3, 5, 6, 2)]
+    start = np.log(np.array([0.5, 0.3, 0.2]))
+    for w, got in zip(words, language_id.viterbi(words, scores, start, 1.5)):
+        if not len(w):
+            assert not len(got)
+            continue
+
+        def value(y):
+            return start[y[0]] + sum(scores[a, b] for a, b in zip(w, y)) - 1.5 * sum(a != b for a, b in itertools.pairwise(y))
+
+        assert value(got) == pytest.approx(max(value(y) for y in itertools.product(range(3), repeat=len(w))), abs=1e-4)
+
+
+def test_letter_probabilities_sum_to_one(speakers):
+    model = speakers[1]
+    for before in ("\n\n", "\nd", "ch", "zz", "qu"):
+        letters = [g for g in model.rows if len(g) == 1 and g != "-"]
+        sums = np.zeros(len(model.langs))
+        for c in letters:
+            out, rows = np.zeros(len(model.langs)), model.rows
+            g = before + c
+            for k in range(3):
+                if g[k:] in rows:
+                    out += model.table[rows[g[k:]]]
+                    break
+                left = rows.get("-" + g[k:2])
+                if left is not None:
+                    out += model.table[left]
+            sums += np.exp(out)
+        assert (sums <= 1 + 1e-9).all() and (sums > 0.6).all()
