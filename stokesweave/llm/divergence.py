@@ -280,6 +280,22 @@ def _ranked(rows: DataFrame, part: str, best: int | None = None) -> DataFrame:
     return out.select("lang", "source", F.lit(part).alias("part"), "item", "value", "rank")
 
 
+def _numbered(stages: Stages, terms: DataFrame, parts: int) -> DataFrame:
+    """``lang, term, n, block, place``: every term's number in its language, by count, in blocks.
+
+    Numbers are gapless however the rows are partitioned: a range partition tells a term's place among its neighbours, the sizes of the partitions
+    before it, a short list, the rest.
+    """
+    order = ["lang", F.desc("n"), "term"]
+    placed = stages.cut(terms.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()))
+    placed = placed.withColumn("part", F.shiftright("at", 33))
+    starts = placed.groupBy("lang", "part").agg(F.min("at").alias("start"), F.count("*").alias("size"))
+    earlier = Window.partitionBy("lang").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = starts.select("lang", "part", "start", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
+    number = F.col("before") + F.col("at") - F.col("start")
+    return placed.join(starts, ["lang", "part"]).select("lang", "term", "n", F.floor(number / BLOCK).alias("block"), (number % BLOCK).cast("int").alias("place"))
+
+
 def _slot(n: Column, of: Column) -> Column:
     return F.pmod(F.xxhash64(of), F.greatest(F.lit(1), F.ceil(n / F.lit(TILE)))).cast("long")
 
@@ -301,11 +317,7 @@ def audit(docs: DataFrame, least: int = 30, best: int = 50, lang: str = "lang",
     terms = real.groupBy("lang", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")).where(F.col("docs") >= least).drop("docs")
     terms = stages.cut(terms)
     rows = terms.agg(F.count("*").alias("n")).first()["n"]
-    # a term's number is its place in this order; a block never reaches over a partition or a language
-    parts = max(1, math.ceil(rows / (8 * BLOCK)))
-    ordered = terms.repartitionByRange(parts, "lang", F.desc("n"), "term").sortWithinPartitions("lang", F.desc("n"), "term")
-    number = F.monotonically_increasing_id()
-    numbered = stages.cut(ordered.select("lang", "term", "n", (number / BLOCK).cast("long").alias("block"), (number % BLOCK).cast("int").alias("place")))
+    numbered = stages.cut(_numbered(stages, terms, max(1, math.ceil(rows / (8 * BLOCK)))))
     kept = numbered.groupBy("lang").agg(F.count("*").alias("v"), F.sum("n").alias("n"))
     cells = stages.cut(real.select("lang", "source", "term", "n").join(numbered.select("lang", "term", "block", "place"), ["lang", "term"]).drop("term"))
 
