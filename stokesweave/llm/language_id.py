@@ -18,7 +18,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stokesweave.llm.common import pieces_of, text_of
@@ -182,16 +182,20 @@ def _gram_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def train(docs: DataFrame, per_lang: int = 2000, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
-    """Fit on a bounded sample: of each language the ``per_lang`` keys of the smallest hashes, outside the held-out fold.
+    """Fit on a bounded sample: of each language the rows outside the held-out fold whose key's hash is among the first
+    ``per_lang`` in as many as the language has, so about that many.
 
-    Keys are chosen from key and language alone, then their texts are read whole and counted by Spark.  What reaches the driver are the
-    sample's distinct letter triples and its words of ``COMMON`` or more occurrences.  Rows with a null key, text or language teach nothing.
+    The share is taken from a count of keys and languages; texts are then read in place, whole, and counted by Spark, so nothing is
+    sorted, joined or shuffled but counts.  What reaches the driver are the languages, the sample's distinct letter triples and its words of ``COMMON`` or more
+    occurrences.  Rows with a null key, text or language teach nothing.
     """
-    marked = docs.where(~held_out(key, 4, 2) & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(lang).cast("string").alias("lang"))
+    marked = docs.where(~held_out(key, 4, 2) & F.col(lang).isNotNull() & F.col(text).isNotNull())
+    marked = marked.select(F.xxhash64(key).alias("hash"), F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
     documents = {r["lang"]: r["n"] for r in marked.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key"))
-    chosen = marked.withColumn("place", place).where(F.col("place") <= per_lang).select("key", "lang").distinct()
-    texts = docs.select(F.col(key).alias("key"), F.col(lang).cast("string").alias("lang"), text_of(text).alias("text")).join(chosen, ["key", "lang"]).select("lang", "text")
+    if not documents:
+        return build({}, {}, {})
+    share = F.create_map(*[F.lit(v) for name, n in documents.items() for v in (name, min(1.0, per_lang / n))])
+    texts = marked.where(F.pmod("hash", F.lit(1 << 30)) < F.element_at(share, F.col("lang")) * (1 << 30)).select("lang", "text")
     words = texts.mapInArrow(_count_batches, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     triples = words.mapInArrow(_gram_batches, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     both = words.where(F.col("n") >= COMMON).withColumn("whole", F.lit(True)).unionByName(triples.withColumn("whole", F.lit(False)))
