@@ -6,30 +6,34 @@ Bruyn (2005), RM-CLEAN after Heald (2009).  With P = Q + iU and weights w,
     lambda0^2 = sum(w lambda^2) / sum(w)
     F(phi)    = sum(w P exp(-2i phi (lambda^2 - lambda0^2))) / sum(w)
     R(phi)    = sum(w   exp(-2i phi (lambda^2 - lambda0^2))) / sum(w)
+
+A spectrum travels once: its channels are nested under its key by one exchange, then blocks of spectra that share a band are
+multiplied by that band's matrix of depths.  Peaks, responses and deconvolution follow in the same stage.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stokesweave.functions.numeric import finite, known_gt, ratio
 from stokesweave.functions.spectral import SPEED_OF_LIGHT, lambda_sq
 
-MAX_DEPTHS = 100_000
+GAP_BUCKETS = 4096
+BLOCK = 128  # spectra that are transformed together
+MATRIX_CELLS = 1 << 21  # channels times depths that are held at once
 FWHM_FACTOR = 3.8  # RMSF width over lambda^2 coverage for a top-hat band
 
 
 def regular_grid(phi_max: float, dphi: float) -> list[float]:
     """Symmetric Faraday depths -phi_max..phi_max including zero."""
     half = int(round(abs(phi_max / dphi)))
-    if 2 * half + 1 > MAX_DEPTHS:
-        raise ValueError("Faraday depth grid too long")
     return [i * dphi for i in range(-half, half + 1)]
 
 
@@ -56,19 +60,25 @@ def phi_grid(
     sensitivity halves for the widest channel, at least ten RMSF widths.
     """
     lam = channels.select(lambda_sq(freq).alias("l2")).where(finite("l2")).distinct()
-    # distinct channel frequencies of a band: a short list
-    gaps = lam.select("l2", (F.lead("l2").over(Window.orderBy("l2")) - F.col("l2")).alias("gap"))
-    row = gaps.agg(F.min("l2").alias("lo"), F.max("l2").alias("hi"), F.max("gap").alias("gap")).first()
-    fwhm = rmsf_width(row.lo, row.hi)
+    span = lam.agg(F.min("l2").alias("lo"), F.max("l2").alias("hi")).first()
+    fwhm = rmsf_width(span.lo, span.hi)
     step = dphi or fwhm / n_samples
-    reach = phi_max or max(math.sqrt(3.0) / row.gap, 10.0 * fwhm)
+    reach = phi_max or max(math.sqrt(3.0) / widest_gap(lam, "l2", span.lo, span.hi), 10.0 * fwhm)
     return regular_grid(reach, step)
 
 
-def _depths(phi: Sequence[float]) -> Column:
-    if len(phi) > MAX_DEPTHS:
-        raise ValueError("Faraday depth grid too long")
-    return F.explode(F.array(*[F.lit(float(p)) for p in phi]))
+def widest_gap(values: DataFrame, column: str, lo: float, hi: float) -> float:
+    """Largest difference of neighbouring values between ``lo`` and ``hi``.
+
+    Values are dealt to buckets of equal width: gaps within a bucket need its values only, those between buckets the
+    ends of at most ``GAP_BUCKETS`` of them.
+    """
+    x = F.col(column)
+    placed = values.select(x.alias("x"), F.floor((x - lo) / ((hi - lo) / GAP_BUCKETS)).alias("b"))
+    inside = placed.select((F.lead("x").over(Window.partitionBy("b").orderBy("x")) - F.col("x")).alias("gap"))
+    ends = placed.groupBy("b").agg(F.min("x").alias("first"), F.max("x").alias("last"))
+    across = ends.select((F.lead("first").over(Window.orderBy("b")) - F.col("last")).alias("gap"))
+    return inside.unionByName(across).agg(F.max("gap")).first()[0]
 
 
 def _weights(weight: str, noise: str | None) -> Column:
@@ -81,34 +91,177 @@ def _weights(weight: str, noise: str | None) -> Column:
     return 1.0 / (F.col(noise) * F.col(noise))
 
 
-def _transform(rows: DataFrame, keys: Sequence[str], phi: Sequence[float]) -> DataFrame:
-    """Weighted Fourier sums over (_l2, _w, _re, _im) rows at every depth.
+def nest_channels(
+    spectra: DataFrame,
+    keys: Sequence[str] = ("cat_id",),
+    weight: str = "variance",
+    noise: str | None = "dqu",
+    lam: str = "lambda_sq",
+    model: str | None = None,
+) -> DataFrame:
+    """One row per spectrum: arrays ``l2, w, q, u, noise`` of its usable channels by wavelength.
 
-    The reference wavelength factors out of the sum as one rotation, so a single
-    pass is enough: depths are a literal array, rows are multiplied inside the
-    task, and partial aggregation leaves one row per (key, depth) and task.
+    Channels with a missing Q, U, wavelength or noise do not take part; a spectrum without any leaves.  The exchange
+    by key moves channels, whatever the number of depths that follow.
     """
-    spread = rows.select(*keys, "_l2", "_w", "_re", "_im", _depths(phi).alias("phi"))
-    angle = 2.0 * F.col("phi") * F.col("_l2")
-    terms = spread.select(
-        *keys, "phi", "_w", "_re", "_im", "_l2", F.cos(angle).alias("_c"), F.sin(angle).alias("_s")
-    )
-    sums = terms.groupBy(*keys, "phi").agg(
-        F.sum(F.col("_w") * (F.col("_re") * F.col("_c") + F.col("_im") * F.col("_s"))).alias("_sr"),
-        F.sum(F.col("_w") * (F.col("_im") * F.col("_c") - F.col("_re") * F.col("_s"))).alias("_si"),
-        F.sum("_w").alias("_sw"),
-        F.sum(F.col("_w") * F.col("_l2")).alias("_swl"),
-    )
-    lam0 = F.col("_swl") / F.col("_sw")
-    turn = 2.0 * F.col("phi") * lam0
-    c, s = F.cos(turn), F.sin(turn)
-    return sums.select(
-        *keys,
-        "phi",
-        ((F.col("_sr") * c - F.col("_si") * s) / F.col("_sw")).alias("re"),
-        ((F.col("_sr") * s + F.col("_si") * c) / F.col("_sw")).alias("im"),
-        lam0.alias("lambda0_sq"),
-    )
+    usable = finite("q") & finite("u") & finite(lam)
+    if weight == "variance":
+        usable = usable & finite(noise) & (F.col(noise) > 0)
+    q, u = F.col("q"), F.col("u")
+    if model is not None:
+        usable = usable & finite(model) & (F.col(model) != 0)
+        q, u = ratio(q, model), ratio(u, model)
+    sigma = F.col(noise) if noise is not None and noise in spectra.columns else F.lit(None)
+    channel = F.struct(*[c.cast("double").alias(n) for n, c in (("l2", F.col(lam)), ("w", _weights(weight, noise)), ("q", q), ("u", u), ("noise", sigma))])
+    packed = spectra.where(usable).groupBy(*keys).agg(F.array_sort(F.collect_list(channel)).alias("_c"))
+    return packed.select(*keys, *[F.col(f"_c.{c}").alias(c) for c in ("l2", "w", "q", "u", "noise")])
+
+
+class Depths:
+    """Sums over channels at every depth for blocks of spectra of one band; the last band's matrix is kept if it is small."""
+
+    def __init__(self, phi: Sequence[float]) -> None:
+        self.phi = np.asarray(phi, dtype=float)
+        self.band, self.matrix = b"", None
+
+    def _turns(self, l2: np.ndarray, phi: np.ndarray) -> np.ndarray:
+        return np.exp(-2j * np.outer(l2, phi))
+
+    def transform(self, l2: np.ndarray, weighted: np.ndarray, lam0: np.ndarray) -> np.ndarray:
+        """``sum(weighted exp(-2i phi (l2 - lam0)))``: rows are spectra, ``weighted`` their channels."""
+        # the band's middle is taken out first, so phases stay small; the rest is one rotation per spectrum
+        middle = l2.mean()
+        small = len(l2) * len(self.phi) <= MATRIX_CELLS
+        if small and self.band != l2.tobytes():
+            self.band, self.matrix = l2.tobytes(), self._turns(l2 - middle, self.phi)
+        out = np.empty((len(weighted), len(self.phi)), dtype=complex)
+        step = len(self.phi) if small else max(1, MATRIX_CELLS // len(l2))
+        for at in range(0, len(self.phi), step):
+            part = self.phi[at : at + step]
+            turns = self.matrix if small else self._turns(l2 - middle, part)
+            out[:, at : at + step] = (weighted @ turns) * np.exp(2j * np.outer(lam0 - middle, part))
+        return out
+
+
+def _rows_of(column: pa.ListArray) -> list[np.ndarray]:
+    values = column.flatten().to_numpy(zero_copy_only=False)
+    ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+    return np.split(values, ends[:-1]) if len(ends) else []
+
+
+def _bands(batch: pa.RecordBatch, first: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Row numbers, wavelengths, weights, Q + iU and noise of the spectra of each band in a batch."""
+    columns = [_rows_of(batch.column(first + k)) for k in range(5)]
+    rows: dict[bytes, list[int]] = {}
+    for n, l2 in enumerate(columns[0]):
+        rows.setdefault(l2.tobytes(), []).append(n)
+    for at in rows.values():
+        l2, w, q, u, noise = (np.stack([c[n] for n in at]).astype(float) for c in columns)
+        yield np.array(at), l2[0], w, q + 1j * u, noise
+
+
+SCALARS = ("n_chan", "lambda0_sq", "fdf_noise", "rmsf_fwhm", "lambda_sq_var", "freq0", "min_freq", "max_freq")
+PEAK = ("phi", "amp", "phi_fit", "amp_fit", "re_fit", "im_fit")
+ARRAYS = ("phi", "re", "im", "rmsf_re", "rmsf_im")
+
+
+def _ratio(a, b) -> np.ndarray:
+    """As ``ratio`` of columns: NaN where the quotient is not finite."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        out = np.divide(a, b)
+    return np.where(np.isfinite(out), out, np.nan)
+
+
+def _scalars(l2: np.ndarray, w: np.ndarray, noise: np.ndarray) -> dict[str, np.ndarray]:
+    total = w.sum(axis=1)
+    lam0 = (w * l2).sum(axis=1) / total
+    ones = np.ones(len(w))
+    # only uniform weights let channels without a noise in
+    known = np.isfinite(noise)
+    return {
+        "n_chan": ones * len(l2),
+        "lambda0_sq": lam0,
+        "fdf_noise": _ratio(np.sqrt((np.where(known, w * noise, 0.0) ** 2).sum(axis=1)), (w * known).sum(axis=1)),
+        "rmsf_fwhm": _ratio(FWHM_FACTOR, ones * (l2.max() - l2.min())),
+        "lambda_sq_var": ones * l2.var(),
+        "freq0": _ratio(SPEED_OF_LIGHT, np.sqrt(lam0)),
+        "min_freq": _ratio(SPEED_OF_LIGHT, ones * np.sqrt(l2.max())),
+        "max_freq": _ratio(SPEED_OF_LIGHT, ones * np.sqrt(l2.min())),
+    }
+
+
+def _peaks(phi: np.ndarray, fdf: np.ndarray) -> dict[str, np.ndarray]:
+    """As :func:`peak3`, for the rows of a block."""
+    amp = np.abs(fdf)
+    at, rows = amp.argmax(axis=1), np.arange(len(fdf))
+    lo, up = np.maximum(at - 1, 0), np.minimum(at + 1, len(phi) - 1)
+    whole = (at > 0) & (at < len(phi) - 1)
+    curve = amp[rows, lo] - 2.0 * amp[rows, at] + amp[rows, up]
+    s = np.where(whole, _ratio(0.5 * (amp[rows, lo] - amp[rows, up]), curve), 0.0)
+    s = np.where(np.isfinite(s), s, 0.0)
+
+    def along(v: np.ndarray) -> np.ndarray:
+        a, b, c = v[rows, lo], v[rows, at], v[rows, up]
+        return np.where(whole, b + 0.5 * (c - a) * s + 0.5 * (a - 2.0 * b + c) * s * s, b)
+
+    step = np.where(at < len(phi) - 1, phi[up] - phi[at], phi[at] - phi[lo])
+    return dict(zip(PEAK, (phi[at], amp[rows, at], phi[at] + s * step, along(amp), along(fdf.real), along(fdf.imag))))
+
+
+def _lists(values: np.ndarray) -> pa.ListArray:
+    offsets = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(values).ravel()))
+
+
+def _spectrum_batches(phi: list[float], n_keys: int, wanted: list[str], unit: bool) -> Callable:
+    """Transform of nested spectra; ``wanted`` columns follow the keys.  ``unit`` puts a unit source at zero depth in place of the data."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        depths, response = Depths(phi), Depths(double_grid(phi) if {"rmsf_re", "rmsf_im"} & set(wanted) else [])
+        for whole in batches:
+            for at in range(0, whole.num_rows, BLOCK):
+                batch = whole.slice(at, BLOCK)
+                for rows, l2, w, p, noise in _bands(batch, n_keys):
+                    found: dict[str, np.ndarray] = _scalars(l2, w, noise)
+                    lam0, total = found["lambda0_sq"], w.sum(axis=1)[:, None]
+                    fdf = depths.transform(l2, w * (np.ones_like(p) if unit else p), lam0) / total
+                    found |= {"re": fdf.real, "im": fdf.imag}
+                    if len(response.phi):
+                        r = response.transform(l2, w, lam0) / total
+                        found |= {"rmsf_re": r.real, "rmsf_im": r.imag}
+                    found |= {f"peak_{c}": v for c, v in _peaks(depths.phi, fdf).items()}
+                    found["phi"] = np.broadcast_to(depths.phi, fdf.shape)
+                    arrays = [
+                        pa.array(found[c].astype(np.int64)) if c == "n_chan" else _lists(found[c]) if found[c].ndim == 2 else pa.array(found[c], from_pandas=True) for c in wanted
+                    ]
+                    keys = [batch.column(k).take(pa.array(rows)) for k in range(n_keys)]
+                    yield pa.RecordBatch.from_arrays(keys + arrays, names=batch.schema.names[:n_keys] + wanted)
+
+    return run
+
+
+def faraday_spectra(
+    spectra: DataFrame,
+    phi: Sequence[float],
+    keys: Sequence[str] = ("cat_id",),
+    weight: str = "variance",
+    noise: str | None = "dqu",
+    lam: str = "lambda_sq",
+    model: str | None = None,
+    columns: Sequence[str] = (*ARRAYS, *SCALARS, *(f"peak_{c}" for c in PEAK)),
+    unit: bool = False,
+) -> DataFrame:
+    """One nested row per spectrum: Faraday spectrum, response, scalars and fitted peak, as ``columns`` asks.
+
+    Arrays are ``phi, re, im`` on the given depths and ``rmsf_re, rmsf_im`` on the doubled grid.  One exchange by key; the
+    number of depths is not limited, as long grids are worked off in parts.  Spectra of one band share their matrix.
+    """
+    keys, wanted = list(keys), list(columns)
+    phi = sorted(float(p) for p in phi)
+    types = {c: "array<double>" for c in ARRAYS} | {c: "long" if c == "n_chan" else "double" for c in (*SCALARS, *(f"peak_{c}" for c in PEAK))}
+    nested = nest_channels(spectra, keys, weight, noise, lam, model)
+    schema = ", ".join([f"`{k}` {spectra.schema[k].dataType.simpleString()}" for k in keys] + [f"{c} {types[c]}" for c in wanted])
+    return nested.mapInArrow(_spectrum_batches(phi, len(keys), wanted, unit), schema)
 
 
 def rm_synthesis(
@@ -120,26 +273,17 @@ def rm_synthesis(
     lam: str = "lambda_sq",
     model: str | None = None,
 ) -> DataFrame:
-    """Faraday spectrum per key: phi, re, im, lambda0_sq.
+    """Faraday spectrum per key in long form: phi, re, im, lambda0_sq.
 
     Channels with a missing Q, U, wavelength or noise do not take part.
     ``model`` names a Stokes I model column to divide by (fractional spectrum).
     """
-    usable = finite("q") & finite("u") & finite(lam)
-    if weight == "variance":
-        usable = usable & finite(noise) & (F.col(noise) > 0)
-    q, u = F.col("q"), F.col("u")
-    if model is not None:
-        usable = usable & finite(model) & (F.col(model) != 0)
-        q, u = ratio(q, model), ratio(u, model)
-    rows = spectra.where(usable).select(
-        *keys,
-        F.col(lam).alias("_l2"),
-        _weights(weight, noise).alias("_w"),
-        q.alias("_re"),
-        u.alias("_im"),
-    )
-    return _transform(rows, keys, phi)
+    return _long(faraday_spectra(spectra, phi, keys, weight, noise, lam, model, ("phi", "re", "im", "lambda0_sq")), keys)
+
+
+def _long(nested: DataFrame, keys: Sequence[str]) -> DataFrame:
+    rows = nested.select(*keys, F.explode(F.arrays_zip("phi", "re", "im")).alias("_f"), "lambda0_sq")
+    return rows.select(*keys, *[F.col(f"_f.{c}").alias(c) for c in ("phi", "re", "im")], "lambda0_sq")
 
 
 def rmsf(
@@ -150,9 +294,9 @@ def rmsf(
     noise: str | None = "dqu",
     lam: str = "lambda_sq",
 ) -> DataFrame:
-    """Response to a unit source at zero depth, on the doubled grid."""
-    ones = spectra.where(finite("q") & finite("u")).withColumns({"q": F.lit(1.0), "u": F.lit(0.0)})
-    return rm_synthesis(ones, double_grid(phi), keys, weight, noise, lam)
+    """Response to a unit source at zero depth, on the doubled grid, in long form."""
+    grid = double_grid(phi)
+    return _long(faraday_spectra(spectra, grid, keys, weight, noise, lam, None, ("phi", "re", "im", "lambda0_sq"), unit=True), keys)
 
 
 def synthesis_scalars(
@@ -238,7 +382,20 @@ def fdf_peak(fdf: DataFrame, scalars: DataFrame, keys: Sequence[str] = ("cat_id"
     of five; angles are in degrees modulo 180; the intrinsic angle is
     chi0 = chi - RM lambda0^2.
     """
-    p = peak3(fdf.drop("lambda0_sq"), keys).join(scalars, list(keys))
+    return _measurements(peak3(fdf.drop("lambda0_sq"), keys).join(scalars, list(keys)), keys)
+
+
+def spectrum_peaks(spectra: DataFrame, phi: Sequence[float], keys: Sequence[str] = ("cat_id",), **options) -> DataFrame:
+    """:func:`fdf_peak` straight from the channels: one exchange by key, no Faraday spectrum leaves its task."""
+    return peak_measurements(faraday_spectra(spectra, phi, keys, columns=(*SCALARS, *(f"peak_{c}" for c in PEAK)), **options), keys)
+
+
+def peak_measurements(nested: DataFrame, keys: Sequence[str] = ("cat_id",)) -> DataFrame:
+    """The columns of :func:`fdf_peak` for rows of :func:`faraday_spectra`."""
+    return _measurements(nested.select(*keys, *SCALARS, *[F.col(f"peak_{c}").alias(c) for c in PEAK]), keys)
+
+
+def _measurements(p: DataFrame, keys: Sequence[str]) -> DataFrame:
     a, noise, n = F.col("amp_fit"), F.col("fdf_noise"), F.col("n_chan")
     snr = ratio(a, noise)
     eff = F.when(known_gt(snr, F.lit(5.0)), F.sqrt(a * a - 2.3 * noise * noise)).otherwise(a)
@@ -328,7 +485,8 @@ def clean_batch(
 
 def _clean_frames(keys: list[str], cutoff: float, max_iter: int, gain: float, window: float | None):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for whole, at in ((f, at) for f in frames for at in range(0, len(f), BLOCK)):
+            frame = whole.iloc[at : at + BLOCK]
             blocks = []
             # rows of other lengths go apart, so an odd one cannot spoil its block
             parts = ["phi", "re", "im", "rmsf_re", "rmsf_im"]
@@ -402,10 +560,24 @@ def rm_clean(
         .join(scalars.select(*keys, "fdf_noise", "rmsf_fwhm"), keys, "left")
         .withColumns({c: F.coalesce(c, F.array().cast("array<double>")) for c in ("rmsf_re", "rmsf_im")})
     )
-    key_types = ", ".join(f"`{k}` {fdf.schema[k].dataType.simpleString()}" for k in keys)
+    return clean_nested(rows, keys, cutoff, max_iter, gain, window)
+
+
+def clean_nested(
+    nested: DataFrame, keys: Sequence[str] = ("cat_id",), cutoff: float = -3.0, max_iter: int = 10_000, gain: float = 0.1, window: float | None = None
+) -> DataFrame:
+    """:func:`rm_clean` of the rows of :func:`faraday_spectra`, which hold all it needs: no exchange."""
+    keys = list(keys)
+    rows = nested.select(*keys, "phi", "re", "im", "rmsf_re", "rmsf_im", "fdf_noise", "rmsf_fwhm")
+    key_types = ", ".join(f"`{k}` {nested.schema[k].dataType.simpleString()}" for k in keys)
     return rows.mapInPandas(_clean_frames(keys, cutoff, max_iter, gain, window), f"{key_types}, {CLEAN_FIELDS}")
 
 
+def clean_spectra(spectra: DataFrame, phi: Sequence[float], keys: Sequence[str] = ("cat_id",), weight: str = "variance", noise: str = "dqu", lam: str = "lambda_sq", **options) -> DataFrame:
+    """Synthesis, response and RM-CLEAN of every spectrum behind one exchange by key."""
+    return clean_nested(faraday_spectra(spectra, phi, keys, weight, noise, lam, columns=(*ARRAYS, "fdf_noise", "rmsf_fwhm")), keys, **options)
+
+
 def clean_components(cleaned: DataFrame, keys: Sequence[str] = ("cat_id",)) -> DataFrame:
     """Long form of the clean components: phi, re, im."""
     zipped = F.arrays_zip("phi", "model_re", "model_im")

@@ -12,12 +12,12 @@ from stokesweave.functions.spectral import curved_power_law, flat_power_law, lam
 from stokesweave.operators.faraday import (
     cc_moment2,
     clean_components,
-    fdf_peak,
+    clean_nested,
+    clean_spectra,
+    faraday_spectra,
+    peak_measurements,
     phi_grid,
-    rm_clean,
     rm_synthesis,
-    rmsf,
-    synthesis_scalars,
 )
 from stokesweave.operators.keyed import not_in_ids
 from stokesweave.operators.pixels import shared_noise
@@ -64,9 +64,8 @@ def spectral_measurements(
     fractional = modelled.where(finite("i_model") & (F.col("i_model") != 0)).withColumns(
         {c: F.col(c) / F.col("i_model") for c in ("q", "u", "dqu")}
     )
-    fdf = cut_lineage(rm_synthesis(fractional, grid, keys, weight))
-    scalars = cut_lineage(synthesis_scalars(fractional, keys, weight))
-    peaks = in_flux_units(fdf_peak(fdf, scalars, keys), fit, keys)
+    fdf = cut_lineage(faraday_spectra(fractional, grid, keys, weight))
+    peaks = in_flux_units(peak_measurements(fdf, keys), fit, keys)
 
     out = status.withColumnRenamed("ok", "rmsynth1d").join(band_noise(ready, keys), keys, "left")
     shape = fit.select(
@@ -82,8 +81,7 @@ def spectral_measurements(
     out = out.withColumn("rmsynth1d", F.col("rmsynth1d") & F.col("rm").isNotNull())
     if not clean:
         return out
-    response = rmsf(fractional, grid, keys, weight)
-    cleaned = cut_lineage(rm_clean(fdf, response, scalars, keys, cutoff, **clean_options))
+    cleaned = cut_lineage(clean_nested(fdf, keys, cutoff, **clean_options))
     width = cc_moment2(clean_components(cleaned, keys), keys).select(*keys, F.col("mom2").alias("rm_width"))
     done = cleaned.select(*keys, F.col("ok").alias("rmclean1d"), "n_iter")
     out = out.join(done, keys, "left").join(width, keys, "left")
@@ -130,14 +128,7 @@ def pixel_synthesis(pixels: DataFrame, phi: Sequence[float], source: str = "sour
 
 def pixel_clean(pixels: DataFrame, phi: Sequence[float], source: str = "source_id", weight: str = "variance", **options) -> DataFrame:
     """RM-CLEAN of every pixel."""
-    keys = [source, "y", "x"]
-    return rm_clean(
-        rm_synthesis(pixels, phi, keys, weight),
-        rmsf(pixels, phi, keys, weight),
-        synthesis_scalars(pixels, keys, weight),
-        keys,
-        **options,
-    )
+    return clean_spectra(pixels, phi, [source, "y", "x"], weight, **options)
 
 
 def record_stage(results: DataFrame, target: DataFrame, stage: str, keys: Sequence[str]) -> DataFrame:

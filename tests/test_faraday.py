@@ -164,3 +164,65 @@ def test_cleaning_queries_reach_the_noise(spark):
 
     rows = QUERIES["rm_clean"](spark, "/root/testdata/sf0.001").collect()
     assert rows and sum(r.n_iter > 0 for r in rows) > 0.5 * len(rows)
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_one_exchange_whatever_the_depths(spark):
+    s = thin(spark, SOURCES)
+    grid = faraday.regular_grid(1000.0, 1.0)
+    peaks = faraday.spectrum_peaks(s, grid)
+    assert exchanges(peaks) == exchanges(faraday.clean_spectra(s, grid)) == exchanges(faraday.rm_synthesis(s, grid)) == 1
+    assert len(peaks.columns) == 19
+    assert all(abs(r.rm - SOURCES[r.cat_id][2]) < 0.5 for r in peaks.collect())
+
+
+def test_nested_peaks_equal_long_ones(spark):
+    s = thin(spark, SOURCES)
+    # other channels are missing from each spectrum, so every one has a band of its own
+    s = s.withColumn("q", F.when((F.col("chan") * 7 + F.col("cat_id")) % 11 == 0, F.lit(None)).otherwise(F.col("q"))).where("chan <> 3 + cat_id")
+    long = faraday.fdf_peak(faraday.rm_synthesis(s, PHI), faraday.synthesis_scalars(s)).orderBy("cat_id").collect()
+    nested = faraday.spectrum_peaks(s, PHI).orderBy("cat_id").collect()
+    assert len(long) == len(nested) == 3
+    for a, b in zip(long, nested):
+        assert a.asDict().keys() == b.asDict().keys()
+        assert all(math.isclose(x, y, rel_tol=1e-7, abs_tol=1e-9) for x, y in zip(a, b))
+
+
+def test_long_grids_are_worked_off_in_parts(spark, monkeypatch):
+    s = thin(spark, {2: SOURCES[2]})
+    row = faraday.faraday_spectra(s, faraday.regular_grid(60_000.0, 1.0), columns=("peak_phi", "n_chan")).first()
+    assert abs(row.peak_phi + 128.0) <= 1.0 and row.n_chan == 72
+    whole = faraday.Depths(PHI)
+    monkeypatch.setattr(faraday, "MATRIX_CELLS", 500)
+    w = np.random.default_rng(1).normal(size=(3, 72)) + 0j
+    lam0 = np.array([0.1, 0.11, 0.12])
+    direct = np.stack([(v[:, None] * np.exp(-2j * np.outer(L2 - l, PHI))).sum(axis=0) for v, l in zip(w, lam0)])
+    assert np.allclose(faraday.Depths(PHI).transform(L2, w, lam0), direct) and np.allclose(whole.transform(L2, w, lam0), direct)
+
+
+def test_nested_clean_equals_the_joined_one(spark):
+    s = thin(spark, SOURCES)
+    joined = faraday.rm_clean(faraday.rm_synthesis(s, PHI), faraday.rmsf(s, PHI), faraday.synthesis_scalars(s)).orderBy("cat_id").collect()
+    nested = faraday.clean_spectra(s, PHI).orderBy("cat_id").collect()
+    for a, b in zip(joined, nested):
+        assert a.ok and b.ok and a.n_iter == b.n_iter and np.allclose(a.clean_re, b.clean_re) and np.allclose(a.model_im, b.model_im)
+
+
+def test_spectra_without_a_usable_channel_leave(spark):
+    s = thin(spark, SOURCES).withColumn("u", F.when(F.col("cat_id") == 2, F.lit(float("nan"))).otherwise(F.col("u")))
+    assert {r.cat_id for r in faraday.spectrum_peaks(s, PHI).collect()} == {1, 3}
+    assert faraday.spectrum_peaks(s.where("false"), PHI).collect() == []
+
+
+def test_widest_gap_of_uneven_values(spark):
+    rng = np.random.default_rng(3)
+    v = np.sort(np.concatenate([rng.uniform(0, 1e-3, 20_000), rng.uniform(0.4, 1.0, 300), [0.0, 1.0]]))
+    df = spark.createDataFrame([(float(x),) for x in v], "x double")
+    assert faraday.widest_gap(df, "x", 0.0, 1.0) == pytest.approx(np.diff(v).max(), abs=1e-15)
+    close = np.sort(rng.uniform(0, 1, 30_000))
+    close[10_000:] += 1e-9
+    df = spark.createDataFrame([(float(x),) for x in close], "x double")
+    assert faraday.widest_gap(df, "x", close[0], close[-1]) == pytest.approx(np.diff(close).max(), abs=1e-15)

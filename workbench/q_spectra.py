@@ -253,11 +253,59 @@ def _(spark, d):
     ),
 )
 def _(spark, d):
-    s = view(spark, d, "fx_spectra")
-    out = faraday.fdf_peak(faraday.rm_synthesis(s, PHI), faraday.synthesis_scalars(s))
+    out = faraday.spectrum_peaks(view(spark, d, "fx_spectra"), PHI)
     return out.select("cat_id", r6("rm"), r6("rm_err"), r6("polint"), r6("snr_polint", digits=4), r6("stokes_q"), r6("stokes_u"))
 
 
+def _half_turn(expr: str) -> str:
+    return f"(({expr})-180.0*FLOOR(({expr})/180.0))"
+
+
+def _measurements_sql(phi: list[float], step: float) -> str:
+    """All columns of the peak measurements, from the synthesis up."""
+    chi, var0 = "DEGREES(0.5*ATAN2(i,r))", "n*nz*nz/(4.0*(n-2)*a*a)*((n-1.0)/n+l0*l0/vl)"
+    return _rm_sql(
+        VARIANCE,
+        "q",
+        "u",
+        phi,
+        f""", a AS (SELECT *, SQRT(re*re+im*im) AS amp FROM f),
+    n AS (SELECT *, LAG(amp) OVER w AS lo, LEAD(amp) OVER w AS up, LAG(re) OVER w AS rlo, LEAD(re) OVER w AS rup,
+      LAG(im) OVER w AS ilo, LEAD(im) OVER w AS iup FROM a WINDOW w AS (PARTITION BY cat_id ORDER BY phi)),
+    k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY cat_id ORDER BY amp DESC, phi) AS rn FROM n),
+    t AS (SELECT *, COALESCE(0.5*(lo-up)/(lo-2*amp+up),0) AS s FROM k WHERE rn=1),
+    z AS (SELECT cat_id, SUM(w*lambda_sq)/SUM(w) AS l0, SQRT(SUM(w*w*dqu*dqu))/SUM(w) AS nz, 3.8/(MAX(lambda_sq)-MIN(lambda_sq)) AS fw,
+      VAR_POP(lambda_sq) AS vl, COUNT(*) AS n, MIN(lambda_sq) AS l1, MAX(lambda_sq) AS l2 FROM (SELECT *, {VARIANCE} AS w FROM fx_spectra) GROUP BY cat_id),
+    y AS (SELECT t.cat_id, z.l0, nz, fw, vl, z.n, l1, l2, phi+{step!r}*s AS rm, COALESCE(amp+0.5*(up-lo)*s+0.5*(lo-2*amp+up)*s*s, amp) AS a,
+      COALESCE(re+0.5*(rup-rlo)*s+0.5*(rlo-2*re+rup)*s*s, re) AS r, COALESCE(im+0.5*(iup-ilo)*s+0.5*(ilo-2*im+iup)*s*s, im) AS i
+      FROM t JOIN z ON t.cat_id=z.cat_id)
+    SELECT cat_id, {s6('rm', 5)} AS rm, {s6('fw*0.5*nz/a')} AS rm_err, {s6('CASE WHEN a/nz > 5 THEN SQRT(a*a-2.3*nz*nz) ELSE a END')} AS polint,
+      {s6('nz')} AS polint_err, {s6('r')} AS stokes_q, {s6('i')} AS stokes_u, {s6(_half_turn(chi), 4)} AS polangle, {s6('DEGREES(0.5*nz/a)')} AS polangle_err,
+      {s6(_half_turn(f'{_half_turn(chi)}-DEGREES(rm*l0)'), 3)} AS derot_polangle, {s6(f'DEGREES(SQRT({var0}))')} AS derot_polangle_err, {s6('a/nz', 4)} AS snr_polint,
+      {s6('nz')} AS fdf_noise_th, {s6('fw')} AS rmsf_fwhm, {s6('l0')} AS refwave_sq_pol, {s6('299792458.0/SQRT(l0)', 2)} AS reffreq_pol,
+      {s6('299792458.0/SQRT(l2)', 2)} AS minfreq, {s6('299792458.0/SQRT(l1)', 2)} AS maxfreq, n AS nchan FROM y""",
+    )
+
+
+def _measured(spark, d, phi):
+    out = faraday.spectrum_peaks(view(spark, d, "fx_spectra"), phi)
+    digits = {"rm": 5, "polangle": 4, "derot_polangle": 3, "snr_polint": 4, "reffreq_pol": 2, "minfreq": 2, "maxfreq": 2}
+    return out.select(*[F.col(c) if c in ("cat_id", "nchan") else r6(c, digits=digits.get(c, 6)) for c in out.columns])
+
+
+@check("peak_measurements", _measurements_sql(PHI, 5.0))
+def _(spark, d):
+    return _measured(spark, d, PHI)
+
+
+FINE_PHI = faraday.regular_grid(500.0, 0.5)  # 2001 depths
+
+
+@check("peak_measurements_fine", _measurements_sql(FINE_PHI, 0.5))
+def _(spark, d):
+    return _measured(spark, d, FINE_PHI)
+
+
 @check(
     "phi_grid",
     f"""WITH g AS (SELECT 3.8/(MAX(lambda_sq)-MIN(lambda_sq))/5 AS step FROM fx_spectra),
@@ -274,10 +322,7 @@ def _(spark, d):
 
 
 def _cleaned(spark, d):
-    s = view(spark, d, "fx_spectra")
-    return faraday.rm_clean(
-        faraday.rm_synthesis(s, PHI).drop("lambda0_sq"), faraday.rmsf(s, PHI).drop("lambda0_sq"), faraday.synthesis_scalars(s), cutoff=-3.0, max_iter=10_000
-    )
+    return faraday.clean_spectra(view(spark, d, "fx_spectra"), PHI, cutoff=-3.0, max_iter=10_000)
 
 
 @check("rm_clean")
