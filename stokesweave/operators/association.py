@@ -14,11 +14,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stokesweave.functions.numeric import as_col, finite_or_null, ratio
+from stokesweave.functions.numeric import as_col, finite, finite_or_null, ratio
 from stokesweave.functions.sky import offset_by, position_angle, sep_deg, wrap180, wrap360
 from stokesweave.functions.text import normalise_field_name
+from stokesweave.operators import nearest
 from stokesweave.operators.keyed import HOT_ROWS, in_ids, skew_join
-from stokesweave.session import cut_lineage
+from stokesweave.session import Stages, cut_lineage
 
 PAD = 1e-9
 ROW_BITS = 1 << 32
@@ -133,14 +134,6 @@ def nearest_match(
     )
 
 
-MAX_CENTRES = 4096
-
-
-def _unit_vector(ra: float, dec: float) -> tuple[float, float, float]:
-    a, d = math.radians(ra), math.radians(dec)
-    return math.cos(d) * math.cos(a), math.cos(d) * math.sin(a), math.sin(d)
-
-
 def nearest_field(
     sources: DataFrame,
     fields: DataFrame,
@@ -149,52 +142,40 @@ def nearest_field(
     source_pos=("ra", "dec"),
     field_pos=("ra", "dec"),
     prefix: str = "near_",
-    max_centres: int = MAX_CENTRES,
 ) -> DataFrame:
-    """Nearest of a short list of field centres for every source.
+    """Nearest of any number of field centres for every source.
 
-    The list is checked against ``max_centres`` and becomes a literal array, so
-    the sources are neither shuffled nor joined.  A longer list is refused: use
-    :func:`nearest_match` with a radius then.  Adds ``{prefix}{col}`` for each
-    field column and ``{prefix}sep``.
+    The sky is cut into cells until few centres may be nearest to a place in a cell; a source then ranks the short list of its
+    own cell.  Adds ``{prefix}{col}`` for each field column and ``{prefix}sep``.  Equal distances take the lowest ``tie``; sources or
+    fields without a position take no part, and such sources get nulls.
     """
-    centres = fields.select(tie, *[c for c in field_cols if c != tie], *field_pos).limit(max_centres + 1).collect()
-    if len(centres) > max_centres:
-        raise ValueError(f"more than {max_centres} field centres; use nearest_match")
-    if not centres:
-        raise ValueError("no field centres")
-    types = {f.name: f.dataType for f in fields.schema.fields}
-
     names = list(dict.fromkeys([tie, *field_cols]))
-    table = F.array(
-        *[
-            F.struct(
-                *[F.lit(x).alias(k) for k, x in zip(("_x", "_y", "_z"), _unit_vector(r[field_pos[0]], r[field_pos[1]]))],
-                F.lit(float(r[field_pos[0]])).alias("_ra"),
-                F.lit(float(r[field_pos[1]])).alias("_dec"),
-                *[F.lit(r[c]).cast(types[c]).alias(c) for c in names],
-            )
-            for r in centres
-        ]
-    )
+    fra, fdec = field_pos
+    placed = fields.where(finite(fra) & finite(fdec)).select(F.struct(*names).alias("_v"), F.col(fra).cast("double").alias("_ra"), F.col(fdec).cast("double").alias("_dec"))
+    # centres at one position: the lowest stands for all
+    centres = placed.groupBy("_ra", "_dec").agg(F.min("_v").alias("_v")).withColumns(nearest.unit_vector("_ra", "_dec"))
+    stages = Stages()
+    centres = stages.cut(centres)
+    if centres.isEmpty():
+        raise ValueError("no field centres")
     ra, dec = source_pos
-    flat = F.cos(F.radians(dec))
-    placed = sources.withColumns(
-        {"_sx": flat * F.cos(F.radians(ra)), "_sy": flat * F.sin(F.radians(ra)), "_sz": F.sin(F.radians(dec))}
-    )
+    places = sources.where(finite(ra) & finite(dec)).select(*[c.alias(a) for a, c in nearest.unit_vector(ra, dec).items()])
+    lists, depth = nearest.nearest_lists(stages, places, centres, F.struct(*nearest.AXES, "_ra", "_dec", "_v"))
+    lo, side = nearest.SPHERE
+    unit = {f"_s{a}": c for a, c in nearest.unit_vector(ra, dec).items()}
+    cell = {f"_i{a}": nearest.cell_index(f"_s{a}", b, side, depth) for a, b in zip(nearest.AXES, lo)}
+    lists = lists.select(*[F.col(f"i{a}").alias(f"_i{a}") for a in nearest.AXES], "near")
+    joined = sources.withColumns(unit).withColumns(cell).join(lists, list(cell), "left")
 
     def chord(c: Column) -> Column:
-        dx, dy, dz = c["_x"] - F.col("_sx"), c["_y"] - F.col("_sy"), c["_z"] - F.col("_sz")
+        dx, dy, dz = c["x"] - F.col("_sx"), c["y"] - F.col("_sy"), c["z"] - F.col("_sz")
         return dx * dx + dy * dy + dz * dz
 
     # the squared chord ranks like the separation and needs no trigonometry per centre
-    ranked = F.transform(
-        table, lambda c: F.struct(chord(c).alias("_d"), *[c[n].alias(n) for n in names], c["_ra"].alias("_ra"), c["_dec"].alias("_dec"))
-    )
-    out = placed.withColumn("_near", F.array_min(ranked)).drop("_sx", "_sy", "_sz")
-    for n in field_cols:
-        out = out.withColumn(f"{prefix}{n}", F.col(f"_near.{n}"))
-    return out.withColumn(f"{prefix}sep", sep_deg("_near._ra", "_near._dec", ra, dec)).drop("_near")
+    ranked = F.transform("near", lambda c: F.struct(chord(c).alias("_d"), *[c["_v"][n].alias(n) for n in names], c["_ra"].alias("_ra"), c["_dec"].alias("_dec")))
+    out = joined.withColumn("_near", F.array_min(ranked))
+    added = [F.col(f"_near.{n}").alias(f"{prefix}{n}") for n in field_cols]
+    return out.select(*sources.columns, *added, sep_deg("_near._ra", "_near._dec", ra, dec).alias(f"{prefix}sep"))
 
 
 def reassign_fields(

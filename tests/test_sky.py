@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,11 +118,36 @@ def test_nearest_match_takes_lowest_id_on_ties(spark):
     assert row.rid in (5, 6) and math.isclose(row.sep, 0.1, abs_tol=1e-9)
 
 
-def test_nearest_field_refuses_long_lists(spark):
-    pts = spark.createDataFrame([(1, 0.0, 0.0)], "cat_id long, ra double, dec double")
-    many = spark.range(20).selectExpr("id AS k", "double(id) AS ra", "double(id) AS dec")
+def test_nearest_of_a_hundred_thousand_fields(spark):
+    rng = np.random.default_rng(12)
+    n = 100_000
+    # half of the centres crowd two degrees of sky, one stands at each pole
+    ra = np.r_[rng.uniform(0, 360, n // 2), rng.uniform(359, 361, n // 2) % 360, 10.0, 200.0]
+    dec = np.r_[np.degrees(np.arcsin(rng.uniform(-1, 1, n // 2))), rng.uniform(-1, 1, n // 2), 90.0, -90.0]
+    sra = np.r_[rng.uniform(0, 360, 1500), rng.uniform(359.5, 360.5, 1500) % 360, 0.0, 77.0, np.nan]
+    sdec = np.r_[np.degrees(np.arcsin(rng.uniform(-1, 1, 1500))), rng.uniform(-0.5, 0.5, 1500), 89.999, -90.0, 0.0]
+    fields = spark.createDataFrame(pd.DataFrame({"k": np.arange(ra.size), "ra": ra, "dec": dec}))
+    pts = spark.createDataFrame(pd.DataFrame({"cat_id": np.arange(sra.size), "ra": sra, "dec": sdec}))
+    got = {r.cat_id: r for r in association.nearest_field(pts, fields, ["k"], "k").collect()}
+
+    def vectors(a, d):
+        a, d = np.radians(a), np.radians(d)
+        return np.stack([np.cos(d) * np.cos(a), np.cos(d) * np.sin(a), np.sin(d)], axis=1)
+
+    centres, places = vectors(ra, dec), vectors(sra[:-1], sdec[:-1])
+    assert len(got) == sra.size and got[sra.size - 1].near_k is None
+    for at in range(0, len(places), 200):
+        d = ((places[at : at + 200, None, :] - centres[None]) ** 2).sum(axis=2)
+        for k, row in enumerate(d):
+            assert row[got[at + k].near_k] <= row.min() * (1 + 1e-9) + 1e-18
+
+
+def test_nearest_field_takes_the_lowest_of_equals(spark):
+    pts = spark.createDataFrame([(1, 10.0, 0.0), (2, 200.0, 5.0)], "cat_id long, ra double, dec double")
+    fields = spark.createDataFrame([("b", 11.0, 0.0), ("a", 9.0, 0.0), ("d", 200.0, 5.0), ("c", 200.0, 5.0), ("z", None, 1.0)], "name string, ra double, dec double")
+    assert {r.cat_id: r.near_name for r in association.nearest_field(pts, fields, ["name"], "name").collect()} == {1: "a", 2: "c"}
     with pytest.raises(ValueError):
-        association.nearest_field(pts, many, ["k"], "k", max_centres=10)
+        association.nearest_field(pts, fields.where("false"), ["name"], "name")
 
 
 def test_widest_pair_matches_all_pairs(spark):

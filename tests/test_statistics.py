@@ -181,6 +181,49 @@ def test_gridded_map_is_nearest_inside_hull(spark):
             assert r.value in val[d <= d.min() + 1e-9]
 
 
+def brute_map(ra, dec, npix, size, hull):
+    """Index of the nearest point of each pixel by (y, x), -1 outside the hull; ties to the first."""
+    ra0, dec0, step = np.mean(ra), np.radians(np.mean(dec)), size / npix
+    y, ix = (v.ravel() for v in np.mgrid[0:npix, 0:npix])
+    ex, ny = np.radians((ix - (npix / 2 - 1)) * step), np.radians((y - (npix / 2 - 1)) * step)
+    c = np.sqrt(np.maximum(0, 1 - ex**2 - ny**2))
+    nra = (ra0 + np.degrees(np.arctan2(ex, np.cos(dec0) * c - ny * np.sin(dec0)))) % 360
+    ndec = np.degrees(np.arcsin(np.clip(c * np.sin(dec0) + ny * np.cos(dec0), -1, 1)))
+    near = np.array([np.hypot(ra - a, dec - d).argmin() for a, d in zip(nra, ndec)])
+    near[(ex**2 + ny**2 > 1) | ~maps._inside(hull, nra, ndec)] = -1
+    return {(int(a), int(npix - 1 - b)): int(n) for a, b, n in zip(y, ix, near)}
+
+
+@pytest.mark.parametrize(("limit", "tile"), [(2000, 64), (8, 16), (1, 4)])
+def test_gridded_map_equals_brute_force(spark, monkeypatch, limit, tile):
+    monkeypatch.setattr(maps, "TILE", tile)
+    rng = np.random.default_rng(5)
+    npix, size = 48, 150.0  # the corners are off the sphere
+    # a crowd far finer than a pixel, copies at one position, both sides of RA 0
+    ra = np.r_[rng.uniform(0, 360, 300), 40 + rng.normal(0, 0.01, 300), np.full(40, 90.0), 359.999, 0.001]
+    dec = np.r_[rng.uniform(-80, 80, 300), 10 + rng.normal(0, 0.01, 300), np.full(40, -20.0), 0.0, 0.0]
+    rows = [(i, float(a), float(d), float(i), f"s{i}") for i, (a, d) in enumerate(zip(ra, dec))]
+    cat = spark.createDataFrame(rows + [(-1, None, 3.0, -1.0, "none"), (-2, 5.0, float("nan"), -2.0, "none")], "cat_id long, ra double, dec double, v double, w string")
+    got = {(r.y, r.x): (r.v, r.w) for r in maps.gridded_map(cat, ["v", "w"], "cat_id", npix, size, limit=limit).collect()}
+    hull = maps.convex_hull(cat.where("cat_id >= 0").selectExpr("ra AS x", "dec AS y"))
+    assert {tuple(h) for h in hull} == {tuple(h) for h in maps.hull_vertices(np.stack([ra, dec], axis=1))}
+    want = brute_map(ra, dec, npix, size, hull)
+    assert len(got) == npix * npix
+    assert all(got[k] == ((None, None) if n < 0 else (float(n), f"s{n}")) for k, n in want.items())
+
+
+def test_gridded_map_of_nothing(spark):
+    empty = spark.createDataFrame([], "cat_id long, ra double, dec double, v double")
+    rows = maps.gridded_map(empty, "v", "cat_id", 10, 8.0).collect()
+    assert len(rows) == 100 and all(r.value is None for r in rows)
+
+
+def test_inside_hull_edges():
+    square = maps.hull_vertices(np.array([(0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 2.0), (1.0, 1.0)]))
+    x, y = np.array([0, 2, 0, 2, 1, 0, -0.1, 2.1, 1, 1, 0]), np.array([0, 2, 1, 1, 2, 2.1, 1, 1, -0.1, 2.1, -0.1])
+    assert maps._inside(square, x.astype(float), y.astype(float)).tolist() == [True] * 5 + [False] * 6
+
+
 def test_leakage_map_needs_five_points(spark):
     pts = spark.createDataFrame([(0.1 * i, 0.0, 0.01 * i, 0.0) for i in range(4)] + [(5.0 + 0.01 * i, 0.0, 0.02, 0.01) for i in range(6)], "x double, y double, q double, u double")
     nodes = spark.createDataFrame([(1, 0.1, 0.0), (2, 5.0, 0.0)], "node_id long, x double, y double")
