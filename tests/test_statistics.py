@@ -133,17 +133,58 @@ def test_local_outliers_find_planted_values(spark):
     assert not any(r.local_rm_flag for r in outliers.local_outliers(cat, "good", reference_compat=True).collect())
 
 
-def test_neighbour_bins_hold_the_target(spark):
+def bins_of(spark, ra, dec, target=30, subtree=100_000):
+    df = spark.createDataFrame([(i, float(a), float(d)) for i, (a, d) in enumerate(zip(ra, dec))], "cat_id long, ra double, dec double")
+    out = {}
+    for r in outliers.neighbour_bins(df, "cat_id", target=target).collect():
+        out.setdefault(r.sky_bin, set()).add(r.cat_id)
+    return sorted(out.values(), key=min)
+
+
+@pytest.mark.parametrize("subtree", [100_000, 40])
+def test_neighbour_bins_hold_the_target(spark, monkeypatch, subtree):
+    monkeypatch.setattr(outliers, "SUBTREE", subtree)
     rng = np.random.default_rng(12)
-    rows = [(i, float(rng.uniform(0, 360)), float(rng.uniform(-80, 80))) for i in range(900)]
-    rows += [(1000 + i, 200.0, -45.0) for i in range(450)]  # a third at one position
-    df = spark.createDataFrame(rows, "cat_id long, ra double, dec double")
-    sizes = [r["count"] for r in outliers.neighbour_bins(df, "cat_id").groupBy("sky_bin").count().collect()]
-    assert sum(sizes) == 1350 and max(sizes) < 100
-    tiny = df.limit(4)
+    ra, dec = rng.uniform(0, 360, 900), np.degrees(np.arcsin(rng.uniform(-0.98, 0.98, 900)))
+    even = bins_of(spark, ra, dec)
+    assert sum(map(len, even)) == 900 and all(30 <= len(b) < 60 for b in even)
+    # rows at one position are neighbours, so they stay together
+    piled = bins_of(spark, np.r_[ra, np.full(450, 200.0)], np.r_[dec, np.full(450, -45.0)])
+    assert sum(map(len, piled)) == 1350 and any(set(range(900, 1350)) <= b for b in piled)
+    tiny = spark.createDataFrame([(i, float(i), 0.0) for i in range(4)], "cat_id long, ra double, dec double")
     assert outliers.neighbour_bins(tiny, "cat_id") is None
 
 
+def test_histograms_and_tasks_cut_alike(spark, monkeypatch):
+    rng = np.random.default_rng(31)
+    ra = np.r_[rng.uniform(0, 360, 300), rng.normal(120, 0.3, 400), rng.normal(300, 1, 200), [5.0] * 70, 121.0, 122.5]
+    dec = np.r_[rng.uniform(-60, 60, 300), rng.normal(10, 0.3, 400), rng.normal(-70, 1, 200), [1.0] * 70, 10.0, 15.0]
+    want = bins_of(spark, ra, dec)
+    monkeypatch.setattr(outliers, "SUBTREE", 25)
+    assert bins_of(spark, ra, dec) == want
+
+
+def test_no_bin_spans_a_gap(spark):
+    rng = np.random.default_rng(7)
+    # small fields far apart, one with a few rows only, one over RA 0
+    centres = [(40.0, 0.0, 200), (47.0, 0.0, 21), (200.0, -50.0, 90), (200.0, -58.0, 45), (0.0, 30.0, 120), (90.0, 70.0, 3)]
+    field = np.concatenate([[k] * n for k, (_, _, n) in enumerate(centres)])
+    ra = np.concatenate([a + rng.uniform(-1, 1, n) for a, _, n in centres]) % 360
+    dec = np.concatenate([d + rng.uniform(-1, 1, n) for _, d, n in centres])
+    for b in bins_of(spark, ra, dec):
+        assert len({field[i] for i in b}) == 1
+
+
+def test_outliers_of_distant_fields_are_found(spark):
+    rng = np.random.default_rng(17)
+    ra, dec = np.r_[rng.uniform(10, 12, 45), rng.uniform(190, 192, 45), rng.uniform(60, 64, 200)], np.r_[rng.uniform(-31, -29, 45), rng.uniform(40, 42, 45), rng.uniform(0, 4, 200)]
+    rm = np.r_[rng.normal(300, 3, 45), rng.normal(-300, 3, 45), rng.normal(0, 3, 200)]
+    rm[7], rm[60], rm[150] = -290.0, 295.0, 60.0  # each is ordinary elsewhere
+    cat = spark.createDataFrame([(i, float(a), float(d), float(v), True) for i, (a, d, v) in enumerate(zip(ra, dec, rm))], "cat_id long, ra double, dec double, rm double, good boolean")
+    found = {r.cat_id for r in outliers.local_outliers(cat, "good").where("local_rm_flag").collect()}
+    assert {7, 60, 150} <= found and len(found) <= 8
+
+
 def test_sigma_add_moments(spark):
     names = "cat_id long, " + ", ".join(f"{c} double" for c in complexity.INPUTS)
     good = (1, 1.0, 1.0, 0.01, 0.01, 0.01, 0.01)

@@ -103,7 +103,31 @@ def _(spark, d):
     return clipping.clip_limits(rows, ["l_returnflag"], "v", 1.9, "median", "std", small_group=18000)
 
 
-@check("local_outliers")
+# the tree by rows, a level per step: gaps first, then medians; then clipping to the end
+OUTLIERS_SQL = """WITH RECURSIVE g AS MATERIALIZED (SELECT cat_id, rm, LEAST(CAST(FLOOR((ra-360.0*FLOOR(ra/360.0))/360.0*1048576) AS BIGINT), 1048575) AS ix,
+      LEAST(CAST(FLOOR((SIN(RADIANS(dec))+1.0)/2.0*1048576) AS BIGINT), 1048575) AS iy FROM fx_cat WHERE NOT si_flag AND isfinite(rm)),
+    t AS (SELECT cat_id, rm, ix, iy, '' AS node, FALSE AS leaf FROM g
+      UNION ALL SELECT cat_id, rm, ix, iy,
+        CASE WHEN axis IS NULL THEN node WHEN CASE WHEN axis='x' THEN ix ELSE iy END > edge THEN node||'1' ELSE node||'0' END, axis IS NULL
+      FROM (SELECT *, CASE WHEN xg IS NOT NULL THEN 'x' WHEN yg IS NOT NULL THEN 'y' WHEN n>=60 AND (x1>x0 OR y1>y0) THEN CASE WHEN lx THEN 'x' ELSE 'y' END END AS axis,
+          COALESCE(xg, yg, CASE WHEN lx THEN LEAST(xm, x1-1) ELSE LEAST(ym, y1-1) END) AS edge
+        FROM (SELECT *, ((x1-x0)*360.0*(1.0-(CAST(y1+y0 AS DOUBLE)/1048576-1.0)*(CAST(y1+y0 AS DOUBLE)/1048576-1.0)) >= (y1-y0)*(360.0/PI()) AND x1>x0) OR y1=y0 AS lx,
+            CASE WHEN xs > GREATEST(xv-x0, x1-xv-xs, 1) THEN xv END AS xg, CASE WHEN ys > GREATEST(yv-y0, y1-yv-ys, 1) THEN yv END AS yg
+          FROM (SELECT *, MIN(CASE WHEN sx=xs THEN ix END) OVER w AS xv, MIN(CASE WHEN sy=ys THEN iy END) OVER w AS yv,
+              MIN(CASE WHEN rx>=(n+1)//2 THEN ix END) OVER w AS xm, MIN(CASE WHEN ry>=(n+1)//2 THEN iy END) OVER w AS ym
+            FROM (SELECT *, MAX(sx) OVER w AS xs, MAX(sy) OVER w AS ys FROM (SELECT *, COUNT(*) OVER w AS n, MIN(ix) OVER w AS x0, MAX(ix) OVER w AS x1, MIN(iy) OVER w AS y0,
+                MAX(iy) OVER w AS y1, LEAD(ix) OVER (PARTITION BY node ORDER BY ix) - ix AS sx, LEAD(iy) OVER (PARTITION BY node ORDER BY iy) - iy AS sy,
+                ROW_NUMBER() OVER (PARTITION BY node ORDER BY ix) AS rx, ROW_NUMBER() OVER (PARTITION BY node ORDER BY iy) AS ry
+              FROM t WHERE NOT leaf WINDOW w AS (PARTITION BY node)) WINDOW w AS (PARTITION BY node)) WINDOW w AS (PARTITION BY node))))),
+    k AS (SELECT cat_id, rm, node, 0 AS pass FROM t WHERE leaf
+      UNION ALL SELECT cat_id, rm, node, pass+1 FROM (SELECT *, MEDIAN(rm) OVER w AS m, STDDEV_POP(rm) OVER w AS s FROM k WHERE pass < 40 WINDOW w AS (PARTITION BY node))
+      WHERE rm BETWEEN m-3.0*s AND m+3.0*s),
+    l AS (SELECT node, MEDIAN(rm) AS m, STDDEV_POP(rm) AS s FROM k WHERE pass=40 GROUP BY node),
+    b AS (SELECT t.cat_id FROM t JOIN l ON t.node=l.node WHERE t.leaf AND NOT (t.rm BETWEEN l.m-3.0*l.s AND l.m+3.0*l.s))
+    SELECT c.field_name, b.cat_id IS NOT NULL AS local_rm_flag, COUNT(*) AS n FROM fx_cat c LEFT JOIN b ON c.cat_id=b.cat_id GROUP BY ALL"""
+
+
+@check("local_outliers", OUTLIERS_SQL)
 def _(spark, d):
     cat = view(spark, d, "fx_cat").withColumn("good", ~F.col("si_flag"))
     return outliers.local_outliers(cat, "good").groupBy("field_name", "local_rm_flag").agg(F.count("*").alias("n"))

@@ -128,6 +128,8 @@ def cte(statement: str) -> str:
         return statement
     body = statement.strip()
     head = ", ".join(f"{n} AS ({_duck(n)})" for n in order)
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {head}, {body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {head}, {body[5:]}"
     return f"WITH {head} {body}"
