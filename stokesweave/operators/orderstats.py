@@ -1,10 +1,8 @@
 """Exact grouped order statistics whose cost does not depend on key skew.
 
-``percentile`` keeps every distinct value of a group in one task.  Here a group
-of any size is narrowed first: an approximate sketch brackets each wanted rank,
-rows outside the brackets collapse to counts before the shuffle, and only the
-bracketed values are sorted.  The result is exact; a bracket that misses its
-rank (outside the sketch's guarantee) raises instead of returning a wrong value.
+``percentile`` keeps every distinct value of a group in one task.  Here a rank is found by distributed selection: a histogram between the
+least and the greatest value tells the bucket that holds it, and so on within that bucket, until few values are left.  Rows collapse to
+counts before every shuffle; no task sorts a group.
 """
 
 from __future__ import annotations
@@ -14,12 +12,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stokesweave.functions.numeric import INF, finite
+from stokesweave.functions.numeric import finite
 from stokesweave.operators.keyed import with_scalars
+from stokesweave.session import Stages
 
 MAD_TO_STD = 1.482602218505602  # 1 / (0.75 quantile of the standard normal)
-SMALL_GROUP = 50_000
-SKETCH = 10_000
+SMALL_BRACKET = 50_000  # values that are put in order at the end
+BUCKETS = 4096
 
 
 def _with_keys(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -38,69 +37,70 @@ def attach(rows: DataFrame, stats: DataFrame, keys: Sequence[str], few_groups: b
     return rows.join(F.broadcast(stats) if few_groups else stats, list(keys))
 
 
+def _narrowed(rows: DataFrame, keys: list[str], state: DataFrame, few_groups: bool) -> DataFrame:
+    """Brackets of more than ``SMALL_BRACKET`` values, opened once: each rank goes on in its bucket of ``BUCKETS``.
+
+    Buckets divide a bracket evenly between its least and its greatest value, so both ends are in different ones and every round narrows.
+    """
+    wide = state.where((F.col("inside") > SMALL_BRACKET) & (F.col("lo") < F.col("hi")))
+    brackets = wide.select(*keys, "lo", "hi").distinct()
+    v, lo, hi = (F.col(c) / 2 for c in ("_v", "lo", "hi"))  # halves: the difference of the ends is finite
+    inside = attach(rows, brackets, keys, few_groups).where(F.col("_v").between(F.col("lo"), F.col("hi")))
+    part = F.least(F.floor((v - lo) / (hi - lo) * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
+    bucket = F.when(hi - lo > 0, part).otherwise((F.col("_v") > F.col("lo")).cast("int"))
+    found = inside.groupBy(*keys, "lo", "hi", bucket.alias("_k")).agg(F.count("*").alias("_n"), F.min("_v").alias("_a"), F.max("_v").alias("_b"))
+    # at most ``BUCKETS`` rows a bracket
+    over = Window.partitionBy(*keys, "lo", "hi").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+    found = found.withColumn("_below", F.coalesce(F.sum("_n").over(over), F.lit(0)))
+    here = F.col("rank") - F.col("before")
+    picked = wide.join(found, [*keys, "lo", "hi"]).where((here >= F.col("_below")) & (here < F.col("_below") + F.col("_n")))
+    opened = picked.select(*keys, "n", "w", "rank", F.col("_a").alias("lo"), F.col("_b").alias("hi"), (F.col("before") + F.col("_below")).alias("before"), F.col("_n").alias("inside"))
+    return state.where((F.col("inside") <= SMALL_BRACKET) | (F.col("lo") >= F.col("hi"))).unionByName(opened)
+
+
 def order_statistics(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
-    wanted: Mapping[str, tuple[float, Column]],
+    wanted: Mapping[str, Column],
     few_groups: bool = False,
 ) -> DataFrame:
     """Values at 0-based ranks of the finite values of each group.
 
-    ``wanted`` maps an output name to ``(fraction, rank)``; ``rank`` may use the
-    group size ``n`` and must lie within one of ``fraction * n``.
-    Returns the keys, ``n`` and one column per wanted rank.
+    ``wanted`` maps an output name to a rank, which may use the group size ``n``.  Returns the keys, ``n`` and one column
+    per rank.  Every rank has a bracket, at first the whole group.  While any holds more than ``SMALL_BRACKET`` values the wide ones are narrowed by a
+    histogram of the values in them; then the few that are left are counted in order.
     """
-    keys = list(keys)
-    few_groups = few_groups or not keys
-    rows = _with_keys(df, keys, value)
-
-    # one bracket per distinct fraction, in rising order
-    fractions = sorted({f for f, _ in wanted.values()})
-    margin = 3.0 / SKETCH
-    lows = [max(0.0, f - margin) for f in fractions]
-    highs = [min(1.0, f + margin) for f in fractions]
-    sketch = F.percentile_approx("_v", lows + highs, SKETCH)
-    group = (rows.groupBy(*keys) if keys else rows.groupBy()).agg(F.count("_v").alias("n"), sketch.alias("_b"))
-    t = len(fractions)
-
-    def bound(index: int, is_open: bool, open_value: float) -> Column:
-        if is_open:
-            return F.lit(open_value)
-        return F.when(F.col("n") <= SMALL_GROUP, F.lit(open_value)).otherwise(F.get("_b", F.lit(index)))
-
-    group = group.select(
-        *keys,
-        "n",
-        *[bound(i, lows[i] == 0.0, -INF).alias(f"_lo{i}") for i in range(t)],
-        *[bound(t + i, highs[i] == 1.0, INF).alias(f"_hi{i}") for i in range(t)],
-    )
-
-    v = F.col("_v")
-    slot = sum((F.when(v > F.col(f"_hi{i}"), 1).otherwise(0) for i in range(t)), F.lit(0))
-    start = F.col("_lo0")
-    for i in range(1, t):
-        start = F.when(F.col("_g") == i, F.col(f"_lo{i}")).otherwise(start)
-    placed = (
-        attach(rows, group, keys, few_groups)
-        .withColumn("_g", slot)
-        .where(F.col("_g") < t)
-        .withColumn("_kept", F.when(v >= start, v))
-        .groupBy(*keys, "n", "_g", "_kept")
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    order = Window.partitionBy(*keys).orderBy("_g", F.col("_kept").asc_nulls_first())
-    running = placed.withColumn(
-        "_cum", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    )
-    # the one collapsed row whose counts cover the rank; NULL where that row is outside all brackets
-    picked = [
-        F.max(F.when((F.col("_cum") > rank) & (F.col("_cum") - F.col("_c") <= rank), F.col("_kept"))).alias(name)
-        for name, (_, rank) in wanted.items()
-    ]
-    out = running.groupBy(*keys, "n").agg(*picked)
-    missed = F.raise_error(F.lit("order statistic fell outside its bracket")).cast("double")
-    return out.select(*keys, "n", *[F.coalesce(F.col(name), missed).alias(name) for name in wanted])
+    group_keys = list(keys)
+    few_groups = few_groups or not group_keys
+    rows = _with_keys(df, group_keys, value)
+    keys = group_keys or ["_all"]
+    if not group_keys:
+        rows = rows.withColumn("_all", F.lit(1))
+    ends = rows.groupBy(*keys).agg(F.count("_v").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    asked = F.explode(F.array(*[F.struct(F.lit(i).alias("w"), rank.cast("long").alias("rank")) for i, rank in enumerate(wanted.values())]))
+    state = ends.select(*keys, "n", "lo", "hi", asked.alias("_r")).select(*keys, "n", "_r.*", "lo", "hi", F.lit(0).cast("long").alias("before"), F.col("n").alias("inside"))
+    stages = Stages()
+    state = stages.cut(state)
+    narrow = None
+    while not state.where((F.col("inside") > SMALL_BRACKET) & (F.col("lo") < F.col("hi"))).isEmpty():
+        if narrow is None:  # later rounds read two columns
+            rows = narrow = stages.cut(rows)
+        state = stages.cut(_narrowed(rows, keys, state, few_groups))
+
+    # ranks in one bracket share its values; a bracket of equal values needs none
+    shared = state.where("lo < hi").groupBy(*keys, "lo", "hi", "before").agg(F.collect_list(F.struct("w", "rank")).alias("_r"))
+    kept = attach(rows, shared, keys, few_groups).where(F.col("_v").between(F.col("lo"), F.col("hi")))
+    counted = kept.groupBy(*keys, "lo", "hi", "before", "_r", "_v").agg(F.count("*").alias("_c"))
+    over = Window.partitionBy(*keys, "lo", "hi", "before").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counted.withColumn("_upto", F.col("before") + F.sum("_c").over(over))
+    mine = F.filter("_r", lambda r: (r["rank"] < F.col("_upto")) & (r["rank"] >= F.col("_upto") - F.col("_c")))
+    met = ranked.select(*keys, F.explode(mine).alias("_r"), "_v").select(*keys, F.col("_r.w").alias("w"), "_v")
+    found = met.unionByName(state.where("lo >= hi").select(*keys, "w", F.col("lo").alias("_v")))
+    names = list(wanted)
+    values = found.groupBy(*keys).agg(*[F.max(F.when(F.col("w") == i, F.col("_v"))).alias(name) for i, name in enumerate(names)])
+    sizes = state.select(*keys, "n").distinct()
+    return sizes.join(values, keys).select(*group_keys, "n", *names)
 
 
 def grouped_quantiles(
@@ -126,10 +126,10 @@ def grouped_quantiles(
         return agg.select(*keys, "n", *[F.get("_q", F.lit(i)).alias(k) for i, k in enumerate(names)])
 
     n1 = F.col("n") - 1
-    wanted: dict[str, tuple[float, Column]] = {}
+    wanted: dict[str, Column] = {}
     for name, p in quantiles.items():
-        wanted[f"_lo_{name}"] = (p, F.floor(n1 * F.lit(float(p))))
-        wanted[f"_up_{name}"] = (p, F.ceil(n1 * F.lit(float(p))))
+        wanted[f"_lo_{name}"] = F.floor(n1 * F.lit(float(p)))
+        wanted[f"_up_{name}"] = F.ceil(n1 * F.lit(float(p)))
     stats = order_statistics(df, keys, value, wanted, few_groups)
     out = []
     for name, p in quantiles.items():
@@ -171,7 +171,7 @@ def trimmed_mean(
         df,
         keys,
         value,
-        {"_cut_lo": (fraction, k), "_cut_hi": (1.0 - fraction, F.col("n") - 1 - k)},
+        {"_cut_lo": k, "_cut_hi": F.col("n") - 1 - k},
         few_groups,
     )
     rows = attach(_with_keys(df, keys, value), cuts, keys, few_groups or not keys)

@@ -26,9 +26,9 @@ def samples():
 
 @pytest.fixture
 def tight_brackets(monkeypatch):
-    """Send every group with more than ten values through the bracket path."""
-    monkeypatch.setattr(orderstats, "SMALL_GROUP", 10)
-    monkeypatch.setattr(orderstats, "SKETCH", 100)
+    """Narrow every bracket of more than ten values."""
+    monkeypatch.setattr(orderstats, "SMALL_BRACKET", 10)
+    monkeypatch.setattr(orderstats, "BUCKETS", 16)
 
 
 def check_quantiles(spark):
@@ -49,6 +49,21 @@ def test_bracketed_quantiles_match_numpy(spark, tight_brackets):
     check_quantiles(spark)
 
 
+def test_selection_among_ten_million_values(spark):
+    n = 10_000_000
+    mixed = np.arange(n, dtype=np.int64) * 2654435761 % (1 << 32)
+    # crowded about 180, with far ends and a value that many rows share
+    values = np.where(mixed % 7 == 0, 180.0, 180.0 + (mixed - (1 << 31)) * 1e-13)
+    values[:4] = [-1e300, 1e300, 0.0, 5e-324]
+    h = F.col("id") * F.lit(2654435761) % F.lit(1 << 32)
+    v = F.when(h % 7 == 0, F.lit(180.0)).otherwise(F.lit(180.0) + (h - F.lit(1 << 31)) * F.lit(1e-13))
+    v = F.when(F.col("id") == 0, F.lit(-1e300)).when(F.col("id") == 1, F.lit(1e300)).when(F.col("id") == 2, F.lit(0.0)).when(F.col("id") == 3, F.lit(5e-324)).otherwise(v)
+    out = orderstats.order_statistics(spark.range(n).select(v.alias("v")), [], "v", {"low": F.lit(1), "a": F.col("n") / 100, "m": F.col("n") / 2, "b": F.col("n") - 1000, "top": F.col("n") - 1})
+    values.sort()
+    r = out.first()
+    assert (r.low, r.a, r.m, r.b, r.top) == (values[1], values[n // 100], values[n // 2], values[n - 1000], values[-1])
+
+
 def test_global_quantile_and_missing_values(spark, tight_brackets):
     vals = list(np.random.default_rng(2).normal(5, 2, 300))
     df = frame(spark, {"x": [*vals, float("nan"), float("inf")]})
