@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from stokesweave.functions.numeric import finite, known_gt, ratio
 from stokesweave.functions.spectral import SPEED_OF_LIGHT, lambda_sq
+from stokesweave.operators.keyed import skew_join
 
 GAP_BUCKETS = 4096
 BLOCK = 128  # spectra that are transformed together
@@ -602,6 +603,73 @@ def cc_moment2(components: DataFrame, keys: Sequence[str] = ("cat_id",)) -> Data
 # --- ionosphere --------------------------------------------------------------
 
 
+MODULATION_BLOCK = 4096  # readings whose phasors are summed at once
+
+
+def _phasor_batches(n_keys: int):
+    """Sums of exp(2i RM lambda^2) over each row's readings and over each group's channels; arrays stay as long as the band."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bands, readings = _rows_of(batch.column(n_keys)), _rows_of(batch.column(n_keys + 1))
+            re, im = [], []
+            for l2, rm in zip(bands, readings):
+                total = np.zeros(len(l2), complex)
+                for at in range(0, len(rm), MODULATION_BLOCK):
+                    total += np.exp(2j * np.outer(rm[at : at + MODULATION_BLOCK], l2)).sum(axis=0)
+                re.append(total.real)
+                im.append(total.imag)
+            kind = pa.list_(pa.float64())
+            arrays = [*(batch.column(k) for k in range(n_keys)), pa.array(re, kind), pa.array(im, kind), pa.array([len(r) for r in readings], pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names[:n_keys], "re", "im", "n"])
+
+    return run
+
+
+def window_modulation(
+    iono: DataFrame,
+    windows: DataFrame,
+    bands: DataFrame,
+    key: str = "source_id",
+    rm: str = "rm",
+    time: str = "t",
+    start: str = "start",
+    length: str = "length",
+    band: str = "band",
+    bucket: float | None = None,
+) -> DataFrame:
+    """theta(channel) of every row of ``windows``: mean of exp(2i RM(t) lambda^2) over its own time and band.
+
+    ``iono`` is a series ``key, time, rm``; ``windows`` has ``key``, ``start``, ``length`` (the units of ``time``), ``band`` and any other columns, which are kept; ``bands``
+    lists ``band, chan, freq``.  Returns the columns of ``windows`` with ``chan, re, im, n``; both ends of a window belong to it, and
+    windows without a finite reading, without a length or a start have no rows.  Rows that are equal count as one window.
+
+    The range join is an equi-join on (key, bucket of time): a window is repeated over the buckets it touches, a reading is in one.  Buckets are as
+    long as the mean window, so a window meets few readings beside its own; a long series is spread over its buckets, and its readings are gathered a bucket at a time.
+    """
+    rows = windows.where(finite(start) & finite(length) & (F.col(length) >= 0)).distinct()
+    if bucket is None:
+        bucket = rows.agg(F.avg(length)).first()[0] or 0.0
+    step = float(bucket) if bucket and bucket > 0 else 1.0
+    begin, end = F.col(start).cast("double"), F.col(start).cast("double") + F.col(length)
+    names = windows.columns
+    packed = rows.select(F.struct(*names).alias("_w"), F.col(key).alias("_key"), F.col(band).alias("_band"), begin.alias("_from"), end.alias("_to"))
+    probe = packed.withColumn("_slot", F.explode(F.sequence(F.floor(F.col("_from") / step), F.floor(F.col("_to") / step))))
+    series = iono.where(finite(rm) & finite(time)).select(F.col(key).alias("_key"), F.col(time).cast("double").alias("_t"), F.col(rm).cast("double").alias("_rm"))
+    met = skew_join(probe, series.withColumn("_slot", F.floor(F.col("_t") / step)), ["_key", "_slot"], F.col("_t").between(F.col("_from"), F.col("_to")))
+    # the share of a window in a bucket, cut once more where a bucket is crowded
+    share = met.withColumn("_part", F.pmod(F.xxhash64("_t", "_rm"), F.lit(16)))
+    gathered = share.groupBy("_w", "_band", "_slot", "_part").agg(F.collect_list("_rm").alias("_rms"))
+    lists = bands.where(finite("freq")).groupBy(F.col(band).alias("_band")).agg(F.array_sort(F.collect_list(F.struct("chan", lambda_sq("freq").alias("l2")))).alias("_c"))
+    ready = gathered.join(lists, "_band").select("_w", "_c.chan", F.col("_c.l2").alias("l2"), "_rms")
+    whole = windows.select(F.struct(*names).alias("_w")).schema["_w"].dataType.simpleString()
+    chan = bands.schema["chan"].dataType.simpleString()
+    sums = ready.mapInArrow(_phasor_batches(2), f"_w {whole}, chan array<{chan}>, re array<double>, im array<double>, n long")
+    each = sums.select("_w", "n", F.explode(F.arrays_zip("chan", "re", "im")).alias("_s"))
+    mean = each.groupBy("_w", F.col("_s.chan").alias("chan")).agg((F.sum("_s.re") / F.sum("n")).alias("re"), (F.sum("_s.im") / F.sum("n")).alias("im"), F.sum("n").alias("n"))
+    return mean.select("_w.*", "chan", "re", "im", "n")
+
+
 def faraday_modulation(
     iono: DataFrame,
     freqs: Sequence[float],

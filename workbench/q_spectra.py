@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from stokesweave.operators import faraday, pixels, powerlaw, spectra
 from stokesweave.plans import spectra as spectra_plan
+from workbench.q_statistics import s_clipped
 from workbench.registry import check, r6, s6, s_pa, s_sep
 from workbench.views import table, view
 
@@ -397,6 +398,27 @@ def _(spark, d):
     return out.select("source_id", "chan", r6("re"), r6("im"))
 
 
+# every observation has its own start, length and one of two bands; readings are the events' values over the observations' days
+_WINDOWS = """SELECT CAST(o.sbid AS BIGINT) AS sbid, o.sbid%10 AS source_id, 58600.0+CAST(o.sbid%100 AS DOUBLE)/10.0 AS start, o.scan_tint/600.0 AS length, CAST(o.sbid%2 AS INT) AS band
+    FROM fx_obs o"""
+_READINGS = "SELECT source_id, 58600.0+CAST(event_id%1200 AS DOUBLE)/100.0 AS t, rm FROM fx_iono"
+_BANDS = "SELECT CAST(b.range AS INT) AS band, CAST(c.range AS INT) AS chan, 8e8+1e8*b.range+9e6*c.range AS freq FROM RANGE(2) b, RANGE(32) c"
+
+
+@check(
+    "window_modulation",
+    f"""WITH w AS (SELECT DISTINCT * FROM ({_WINDOWS})), r AS ({_READINGS}), b AS ({_BANDS})
+    SELECT w.sbid, w.source_id, b.chan, {s6('AVG(COS(2*r.rm*POWER(299792458.0/b.freq,2)))')} AS re, {s6('AVG(SIN(2*r.rm*POWER(299792458.0/b.freq,2)))')} AS im, COUNT(*) AS n
+    FROM w JOIN r ON w.source_id=r.source_id AND r.t BETWEEN w.start AND w.start+w.length JOIN b ON w.band=b.band GROUP BY w.sbid, w.source_id, b.chan""",
+)
+def _(spark, d):
+    windows = spark.sql(_WINDOWS.replace("fx_obs", "{o}"), o=view(spark, d, "fx_obs"))
+    readings = spark.sql(_READINGS.replace("fx_iono", "{i}"), i=view(spark, d, "fx_iono"))
+    bands = spark.sql(_BANDS.replace(".range", ".id"))
+    out = faraday.window_modulation(readings, windows, bands)
+    return out.select("sbid", "source_id", "chan", r6("re"), r6("im"), "n")
+
+
 @check(
     "derotate",
     f"""WITH c AS (SELECT CAST(range AS INT) AS chan, POWER(299792458.0/(8e8+9e6*range),2) AS l2 FROM RANGE(32)),
@@ -457,9 +479,18 @@ def _(spark, d):
     return out.select("source_id", "stokes", "chan", r6("background"), r6("noise"), "n")
 
 
-@check("annulus_noise_clipped")
+_RING = "(SELECT * FROM fx_pixels WHERE SQRT(POWER(x-4,2)+POWER(y-4,2)) > 1.5*0.8 AND SQRT(POWER(x-4,2)+POWER(y-4,2)) < 4.0)"
+
+
+@check(
+    "annulus_noise_clipped",
+    f"""WITH RECURSIVE {s_clipped(_RING, 'source_id stokes chan', 'value', 2.0, 'mean', 'std', 25)}
+    SELECT p.source_id, p.stokes, p.chan, {s6('AVG(value)')} AS background, {s6('STDDEV_POP(value)')} AS noise, COUNT(*) AS n
+    FROM {_RING} p JOIN l ON p.source_id=l.source_id AND p.stokes=l.stokes AND p.chan=l.chan WHERE value BETWEEN lo AND hi GROUP BY ALL""",
+)
 def _(spark, d):
-    return pixels.annulus_noise(view(spark, d, "fx_pixels"), ["source_id", "stokes", "chan"], 0.8, 8, 8, sigma=2.0)
+    out = pixels.annulus_noise(view(spark, d, "fx_pixels"), ["source_id", "stokes", "chan"], 0.8, 8, 8, sigma=2.0)
+    return out.select("source_id", "stokes", "chan", r6("background"), r6("noise"), "n")
 
 
 def _boxes(spark, d):

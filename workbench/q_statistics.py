@@ -97,10 +97,33 @@ def _(spark, d):
     return lim.select("l_suppkey", "n_kept")
 
 
-@check("sigma_clip_converged")
+def s_clipped(source: str, keys: str, value: str, sigma: float, centre: str, scale: str, passes: int = 60) -> str:
+    """CTEs ``k`` and ``l``: clipping pass by pass until nothing can change, and the limits of what is left by key.
+
+    ``source`` has the columns ``keys``, at least one of them, and the value; ``mad`` is the normal-consistent deviation.
+    """
+    mid = f"{'MEDIAN' if centre == 'median' else 'AVG'}(v)"
+    per = ",".join(keys.split())
+    spread = "1.482602218505602*MEDIAN(ABS(v-med)) OVER w" if scale == "mad" else "STDDEV_POP(v) OVER w"
+    whole = "1.482602218505602*MEDIAN(ABS(v-med))" if scale == "mad" else "STDDEV_POP(v)"
+    return f"""k AS (SELECT {per}, {value} AS v, 0 AS pass FROM {source}
+      UNION ALL SELECT {per}, v, pass+1 FROM (SELECT *, {spread} AS s FROM (SELECT *, {mid} OVER w AS m, MEDIAN(v) OVER w AS med FROM k WHERE pass < {passes}
+        WINDOW w AS (PARTITION BY {per})) WINDOW w AS (PARTITION BY {per})) WHERE v BETWEEN m-{sigma}*s AND m+{sigma}*s),
+    l AS (SELECT {per}, ANY_VALUE(m) AS centre, {whole} AS scale, ANY_VALUE(m)-{sigma}*{whole} AS lo, ANY_VALUE(m)+{sigma}*{whole} AS hi, COUNT(*) AS n_kept
+      FROM (SELECT *, {mid} OVER w AS m, MEDIAN(v) OVER w AS med FROM k WHERE pass={passes} WINDOW w AS (PARTITION BY {per})) GROUP BY {per})"""
+
+
+_CONVERGED = s_clipped("(SELECT l_returnflag, l_extendedprice*l_extendedprice AS x FROM lineitem)", "l_returnflag", "x", 1.9, "median", "std", 250)
+
+
+@check(
+    "sigma_clip_converged",
+    f"WITH RECURSIVE {_CONVERGED} SELECT l_returnflag, {s6('centre', 2)} AS centre, {s6('scale', 2)} AS scale, {s6('lo', 2)} AS lo, {s6('hi', 2)} AS hi, n_kept FROM l",
+)
 def _(spark, d):
     rows = table(spark, d, "lineitem").withColumn("v", F.col("l_extendedprice") * F.col("l_extendedprice"))
-    return clipping.clip_limits(rows, ["l_returnflag"], "v", 1.9, "median", "std", small_group=18000)
+    out = clipping.clip_limits(rows, ["l_returnflag"], "v", 1.9, "median", "std", small_group=18000)
+    return out.select("l_returnflag", *[r6(c, digits=2) for c in ("centre", "scale", "lo", "hi")], "n_kept")
 
 
 # the tree by rows, a level per step: gaps first, then medians; then clipping to the end
@@ -162,9 +185,17 @@ def _(spark, d):
     return maps.binned_map(view(spark, d, "fx_cat"), "rm", clip=False).select("y_bin", "x_bin", r6("value"), "n")
 
 
-@check("binned_map")
+_CELLS = BINNED.index("k AS (")
+
+
+@check(
+    "binned_map",
+    f"""WITH RECURSIVE {BINNED[5:_CELLS]}{s_clipped('c', 'bx cy', 'value', 3.0, 'median', 'mad')},
+    r AS (SELECT c.bx, c.cy, MEDIAN(value) AS v, COUNT(*) AS n FROM c JOIN l ON c.bx=l.bx AND c.cy=l.cy WHERE value BETWEEN lo AND hi GROUP BY ALL)
+    SELECT g.cy AS y_bin, 14-g.bx AS x_bin, {s6('r.v')} AS value, COALESCE(r.n,0) AS n FROM g LEFT JOIN r ON g.bx=r.bx AND g.cy=r.cy""",
+)
 def _(spark, d):
-    return maps.binned_map(view(spark, d, "fx_cat"), "rm")
+    return maps.binned_map(view(spark, d, "fx_cat"), "rm").select("y_bin", "x_bin", r6("value"), "n")
 
 
 @check("gridded_map")
