@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stokesweave.functions.numeric import as_col, finite, ratio
-from stokesweave.functions.sky import position_angle, sep_deg
+from stokesweave.functions.sky import offset_by, position_angle, sep_deg, sin_plane
 from stokesweave.operators.clipping import clip_limits
 from stokesweave.operators.keyed import HOT_ROWS, skew_join, with_scalars
 from stokesweave.operators.orderstats import grouped_median, mad_std
@@ -48,6 +48,43 @@ def cutout(
     return skew_join(probe, home, [*keys, "_tx", "_ty"], inside, hot_rows).drop("_tx", "_ty")
 
 
+#: columns of an image's place on the sky, as its header has them; reference pixels count from one
+WCS = ("ra0", "dec0", "crpix_x", "crpix_y", "cdelt_x", "cdelt_y", "nx", "ny")
+
+
+def sky_to_pixel(ra, dec) -> tuple[Column, Column]:
+    """Fractional pixel, counted from zero, of a position on the SIN image of the row's ``WCS`` columns; NULL beyond its horizon."""
+    east, north = sin_plane(ra, dec, "ra0", "dec0")
+    return east / F.col("cdelt_x") + F.col("crpix_x") - 1.0, north / F.col("cdelt_y") + F.col("crpix_y") - 1.0
+
+
+def pixel_boxes(boxes: DataFrame, images: DataFrame, on: str | Sequence[str], beam: str = "beam_maj", pad: float = 3.0) -> DataFrame:
+    """Pixel box of every source's sky box (``dec_low, dec_high, ra_left, ra_right``) on each image joined by ``on``.
+
+    The corners move out by ``pad`` beams along the diagonals and are projected; the box runs from the floor of the least to the ceiling of
+    the greatest of all four, since near a pole the left corners need not be on the left.  It ends at the image; boxes with a
+    corner beyond the image's horizon, or without a pixel in the image, have no row.  Returns the columns of both tables and ``x_lo, x_hi, y_lo,
+    y_hi`` as :func:`cutout` takes them.
+    """
+    out_by = F.col(beam) * F.lit(pad) * F.sqrt(F.lit(2.0))
+    joined = boxes.join(images, on)
+    corners = [("ra_right", "dec_high", -45.0), ("ra_left", "dec_low", 135.0), ("ra_left", "dec_high", 45.0), ("ra_right", "dec_low", -135.0)]
+    sky = F.array(*[F.struct(F.col(ra).alias("ra"), F.col(dec).alias("dec"), F.lit(angle).alias("angle")) for ra, dec, angle in corners])
+
+    def pixel(c: Column) -> Column:
+        x, y = sky_to_pixel(*offset_by(c["ra"], c["dec"], c["angle"], out_by))
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    placed = joined.withColumn("_c", F.transform(sky, pixel))
+    seen = placed.where(~F.exists("_c", lambda c: c["x"].isNull() | c["y"].isNull()))
+    ends = {}
+    for a, n in (("x", "nx"), ("y", "ny")):
+        along = F.col(f"_c.{a}")  # of all corners
+        ends[f"{a}_lo"] = F.greatest(F.floor(F.array_min(along)), F.lit(0)).cast("int")
+        ends[f"{a}_hi"] = F.least(F.ceil(F.array_max(along)), F.col(n)).cast("int")
+    return seen.withColumns(ends).where("x_lo < x_hi AND y_lo < y_hi").drop("_c")
+
+
 def pixel_lookup(pixels: DataFrame, coords: DataFrame, on: Sequence[str] = ("source_id",)) -> DataFrame:
     """Pixel rows (a spectrum) nearest to each coordinate.
 

@@ -226,3 +226,23 @@ def test_widest_gap_of_uneven_values(spark):
     close[10_000:] += 1e-9
     df = spark.createDataFrame([(float(x),) for x in close], "x double")
     assert faraday.widest_gap(df, "x", close[0], close[-1]) == pytest.approx(np.diff(close).max(), abs=1e-15)
+
+
+def test_modulation_of_own_windows_and_bands(spark, monkeypatch):
+    monkeypatch.setattr(faraday, "MODULATION_BLOCK", 7)
+    rng = np.random.default_rng(2)
+    readings = [(int(s), float(t), float(r)) for s, t, r in zip(rng.integers(0, 4, 3000), rng.uniform(-5, 50, 3000), rng.normal(2, 1, 3000))]
+    windows = [(k, int(rng.integers(0, 4)), float(rng.uniform(-5, 40)), float(rng.choice([0.5, 3.0, 40.0])), "ab"[k % 2], "kept") for k in range(25)]
+    odd = [(90, 1, None, 1.0, "a", "x"), (91, 1, 3.0, None, "a", "x"), (92, 9, 3.0, 1.0, "a", "x"), (93, 1, 3.0, -1.0, "a", "x"), (94, 1, 3.0, 2.0, "none", "x")]
+    bands = {"a": FREQ[:5], "b": FREQ[30:33]}
+    iono = spark.createDataFrame(readings + [(1, 3.5, float("nan")), (1, None, 2.0)], "source_id int, t double, rm double")
+    wins = spark.createDataFrame(windows + odd, "field int, source_id int, start double, length double, band string, note string")
+    band = spark.createDataFrame([(b, c, float(f)) for b, fs in bands.items() for c, f in enumerate(fs)], "band string, chan int, freq double")
+    got = {(r.field, r.chan): r for r in faraday.window_modulation(iono, wins, band).collect()}
+    want = {}
+    for field, source, start, length, b, _ in windows:
+        rm = np.array([r for s, t, r in readings if s == source and start <= t <= start + length])
+        if rm.size:
+            want |= {(field, c): (np.exp(2j * rm * (299792458.0 / f) ** 2).mean(), rm.size) for c, f in enumerate(bands[b])}
+    assert got.keys() == want.keys()
+    assert all(abs(complex(got[k].re, got[k].im) - v) < 1e-9 and got[k].n == n and got[k].note == "kept" for k, (v, n) in want.items())

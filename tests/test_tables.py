@@ -157,3 +157,45 @@ def test_entry_and_registry(spark):
     assert set(o) <= set(q) and len(q) > 100
     # the text operators are registered together or not at all
     assert sum(n.startswith("op") and n[2].isdigit() for n in q) in (0, 10)
+
+
+def near_pole(box, step):
+    """Pixel box on an image about the north pole: RA runs about its middle, so corners are moved and seen as vectors."""
+    import numpy as np
+
+    xs, ys = [], []
+    out = np.radians(0.001 * 3.0 * np.sqrt(2.0))
+    for ra, dec, angle in ((box.ra_right, box.dec_high, -45), (box.ra_left, box.dec_low, 135), (box.ra_left, box.dec_high, 45), (box.ra_right, box.dec_low, -135)):
+        a, d, t = np.radians([ra, dec, angle])
+        at = np.array([np.cos(d) * np.cos(a), np.cos(d) * np.sin(a), np.sin(d)])
+        east, north = np.array([-np.sin(a), np.cos(a), 0]), np.array([-np.sin(d) * np.cos(a), -np.sin(d) * np.sin(a), np.cos(d)])
+        to = np.cos(out) * at + np.sin(out) * (np.cos(t) * north + np.sin(t) * east)
+        xs.append(np.degrees(to[1]) / -step + 50)
+        ys.append(np.degrees(-to[0]) / step + 50)
+    return int(np.floor(min(xs))), int(np.ceil(max(xs))), int(np.floor(min(ys))), int(np.ceil(max(ys)))
+
+
+def test_sky_boxes_become_pixel_boxes(spark):
+    from pyspark.sql import functions as F
+
+    from stokesweave.operators import association, pixels
+
+    step = 0.001
+    # a source across RA 0, one whose components stand around the pole, one off its image
+    rows = [(1, 359.999, 10.0), (1, 0.001, 10.002), (2, 0.0, 89.999), (2, 120.0, 89.999), (2, 240.0, 89.999), (3, 50.0, 0.0)]
+    parts = spark.createDataFrame([(*r, 2.0) for r in rows], "source_id long, ra double, dec double, maj double")
+    images = spark.createDataFrame(
+        [(1, 0.0, 10.0), (2, 0.0, 90.0), (3, 60.0, 0.0), (3, 240.0, 0.0)], "source_id long, ra0 double, dec0 double"
+    ).withColumns({"crpix_x": F.lit(51.0), "crpix_y": F.lit(51.0), "cdelt_x": F.lit(-step), "cdelt_y": F.lit(step), "nx": F.lit(101), "ny": F.lit(101), "beam_maj": F.lit(0.001)})
+    boxes = association.source_box(parts)
+    found = {r.source_id: r for r in pixels.pixel_boxes(boxes, images, "source_id").collect()}
+    assert set(found) == {1, 2}
+    a = found[1]
+    # components within two pixels of the middle, two arc seconds and three beams of margin
+    assert 42 <= a.x_lo <= 46 and 54 <= a.x_hi <= 58 and 43 <= a.y_lo <= 47 and 55 <= a.y_hi <= 59
+    # all four corners count: the left ones are not on the left here
+    p = found[2]
+    assert (p.x_lo, p.x_hi, p.y_lo, p.y_hi) == near_pole(boxes.where("source_id = 2").first(), step)
+    grid = spark.range(101 * 101).select((F.col("id") % 101).cast("int").alias("x"), F.floor(F.col("id") / 101).cast("int").alias("y"), F.lit(1).cast("long").alias("source_id"))
+    box = pixels.pixel_boxes(boxes, images, "source_id").select("source_id", "x_lo", "x_hi", "y_lo", "y_hi")
+    assert pixels.cutout(grid, box, ["source_id"]).count() == (a.x_hi - a.x_lo) * (a.y_hi - a.y_lo)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from stokesweave.functions import numeric, sky, text
-from stokesweave.operators import association, fields, keyed, release
+from stokesweave.operators import association, fields, keyed, pixels, release
 from workbench.registry import check, r6, s6, s_pa, s_sep, s_wrap
 from workbench.views import table, view
 
@@ -576,3 +576,35 @@ def _(spark, d):
 @check("table_counts", "SELECT COUNT(*) AS n_rows, COUNT(DISTINCT l_orderkey) AS n_distinct FROM lineitem")
 def _(spark, d):
     return release.counts(table(spark, d, "lineitem"), "l_orderkey")
+
+
+def s_pixel(ra, dec):
+    d, a, d0 = f"RADIANS({dec})", f"RADIANS(({ra})-ra0)", "RADIANS(dec0)"
+    return f"DEGREES(COS({d})*SIN({a}))/(-0.02)+4.5-1.0", f"DEGREES(COS({d0})*SIN({d})-SIN({d0})*COS({d})*COS({a}))/0.02+4.5-1.0"
+
+
+# an image of 8 x 8 pixels about the island of its number
+_IMAGES = """SELECT v.beam, i.source_id, i.ra AS ra0, i.dec AS dec0, CAST(4.5 AS DOUBLE) AS crpix_x, CAST(4.5 AS DOUBLE) AS crpix_y, CAST(-0.02 AS DOUBLE) AS cdelt_x,
+    CAST(0.02 AS DOUBLE) AS cdelt_y, 8 AS nx, 8 AS ny, CAST(0.002 AS DOUBLE) AS beam_maj FROM (SELECT DISTINCT vec_id AS beam FROM embeddings) v JOIN fx_islands i ON v.beam=i.source_id"""
+_OUT = "0.002*3.0*SQRT(2.0)"
+_CORNERS = [s_offset("ra_right", "dec_high", "-45.0", _OUT), s_offset("ra_left", "dec_low", "135.0", _OUT), s_offset("ra_left", "dec_high", "45.0", _OUT), s_offset("ra_right", "dec_low", "-135.0", _OUT)]
+_XS, _YS = zip(*[s_pixel(*c) for c in _CORNERS])
+
+
+@check(
+    "sky_cutout",
+    f"""WITH e AS (SELECT source_id, dec, f0, ra - 360.0*ROUND((ra-f0)/360.0) AS ra2, maj FROM (
+      SELECT source_id, ra, dec, snr_polint AS maj, FIRST_VALUE(ra) OVER (PARTITION BY source_id ORDER BY ra, dec) AS f0 FROM fx_components)),
+    p AS (SELECT source_id, MIN(dec) AS lo, MAX(dec) AS hi, MAX(ra2) AS l, MIN(ra2) AS r, MAX(maj)/3600.0*SQRT(2.0) AS pad FROM e GROUP BY source_id),
+    b AS (SELECT source_id, LEAST({_BL[1]},{_BR[1]}) AS dec_low, GREATEST({_TL[1]},{_TR[1]}) AS dec_high, {_TL[0]} AS ra_left, {_TR[0]} AS ra_right FROM p),
+    m AS ({_IMAGES}), c AS (SELECT b.*, m.beam, m.ra0, m.dec0 FROM b JOIN m ON b.source_id=m.source_id),
+    x AS (SELECT source_id, beam, GREATEST(FLOOR(LEAST({','.join(_XS)})),0) AS x_lo, LEAST(CEIL(GREATEST({','.join(_XS)})),8) AS x_hi,
+      GREATEST(FLOOR(LEAST({','.join(_YS)})),0) AS y_lo, LEAST(CEIL(GREATEST({','.join(_YS)})),8) AS y_hi FROM c)
+    SELECT x.source_id, x.beam, q.stokes, q.y, q.x, q.value FROM x JOIN fx_pixels q ON q.beam=x.beam AND q.x>=x_lo AND q.x<x_hi AND q.y>=y_lo AND q.y<y_hi""",
+)
+def _(spark, d):
+    boxes = association.source_box(view(spark, d, "fx_components"), maj_arcsec="snr_polint")
+    images = spark.sql(_IMAGES.replace("fx_islands", "{i}").replace("embeddings", "{e}"), i=view(spark, d, "fx_islands"), e=table(spark, d, "embeddings"))
+    placed = pixels.pixel_boxes(boxes, images, "source_id").select("source_id", "beam", "x_lo", "x_hi", "y_lo", "y_hi")
+    image = view(spark, d, "fx_pixels").select("beam", "stokes", "y", "x", "value")
+    return pixels.cutout(image, placed, keys=["beam"], tile=4).select("source_id", "beam", "stokes", "y", "x", "value")
