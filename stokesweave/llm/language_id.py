@@ -14,7 +14,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +45,8 @@ SCRIPTS = {
 UNSPACED = {"thai", "kana", "han"}  # written without spaces: cut into short pieces
 OTHER = "other"
 LONGEST, LONGEST_UNSPACED = 40, 6
-WORD = re.compile("|".join([f"[{ranges}]{{1,{LONGEST_UNSPACED if s in UNSPACED else LONGEST}}}" for s, ranges in SCRIPTS.items()] + [rf"[^\W\d_]{{1,{LONGEST}}}"]))
+# a word begins with a letter; where none stands, no script is tried
+WORD = re.compile(r"(?=[^\W\d_])(?:" + "|".join([f"[{ranges}]{{1,{LONGEST_UNSPACED if s in UNSPACED else LONGEST}}}" for s, ranges in SCRIPTS.items()] + [rf"[^\W\d_]{{1,{LONGEST}}}"]) + ")")
 SCRIPT_OF = [(s, re.compile(f"[{ranges}]")) for s, ranges in SCRIPTS.items()]
 EDGE = "\n"  # stands before and after a word
 PULL = 2.0  # weight of the shorter context's estimate, in observations
@@ -53,6 +54,7 @@ COMMON = 5  # occurrences in the sample from which a word has a score of its own
 WORST = 12.0  # no single word tells more than this many nats
 SWITCH = 8.0  # nats that a change of language costs
 USED = 0.01  # share of a language's letters from which a script counts as its own
+SHORT = 1 << 20  # code points of a text whose words are listed at once
 TABLE = 200_000  # words whose scores a worker keeps between blocks
 
 
@@ -102,18 +104,21 @@ class Model:
         """Evidence of each word: log probability by language, less the best, never under ``-WORST``."""
         if not words or not self.langs:
             return np.zeros((len(words), len(self.langs)), np.float32)
-        rows = [self.letter_rows(w.lower()) for w in words]
+        lowered, get, rows = [w.lower() for w in words], self.rows.get, []
+        for w in lowered:
+            found = [get(g) for g in grams(w)]
+            rows.append(self.letter_rows(w) if None in found else found)
         starts = np.cumsum([0] + [len(r) for r in rows[:-1]])
-        out = np.add.reduceat(self.table[np.concatenate(rows)], starts, axis=0)
-        for k, w in enumerate(words):
-            own = self.words.get(w.lower())
-            if own is not None:
-                out[k] = np.logaddexp(out[k], own) - np.log(2)
-            allowed = self.scripts.get(script_of(w))
-            if allowed is None:
-                out[k] = 0
-            else:
-                out[k] = np.where(allowed, out[k], -np.inf)
+        out = np.add.reduceat(self.table[list(chain.from_iterable(rows))], starts, axis=0)
+        named = [(k, own) for k, w in enumerate(lowered) if (own := self.words.get(w)) is not None]
+        if named:
+            at = [k for k, _ in named]
+            out[at] = np.logaddexp(out[at], np.array([own for _, own in named])) - np.log(2)
+        written = np.array([script_of(w) for w in words])
+        for script in np.unique(written):
+            at = written == script
+            allowed = self.scripts.get(str(script))
+            out[at] = 0 if allowed is None else np.where(allowed, out[at], -np.inf)
         return np.maximum(out - out.max(axis=1, keepdims=True), -WORST).astype(np.float32)
 
 
@@ -273,6 +278,9 @@ def viterbi(words: list[np.ndarray], scores: np.ndarray, start: np.ndarray, swit
 
 def word_numbers(text: str, table: Table, places: list | None = None) -> np.ndarray:
     """Numbers of a text's words; their first and last code points go to ``places``."""
+    if places is None and len(text) <= SHORT:
+        words = WORD.findall(text)
+        return np.fromiter(map(table.__getitem__, words), np.int32, len(words))
     found, parts = WORD.finditer(text), []
     while part := list(islice(found, 50_000)):
         parts.append(np.fromiter((table[m.group()] for m in part), np.int32, len(part)))
