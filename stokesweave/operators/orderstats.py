@@ -89,18 +89,22 @@ def order_statistics(
         state = stages.cut(_narrowed(rows, keys, state, few_groups))
 
     # ranks in one bracket share its values; a bracket of equal values needs none
-    shared = state.where("lo < hi").groupBy(*keys, "lo", "hi", "before").agg(F.collect_list(F.struct("w", "rank")).alias("_r"))
+    names = list(wanted)
+    ranks = [F.max(F.when(F.col("w") == i, F.col("rank"))).alias(f"_r{i}") for i in range(len(names))]
+    shared = state.where("lo < hi").groupBy(*keys, "lo", "hi").agg(F.max("n").alias("n"), F.max("before").alias("before"), *ranks)
     kept = attach(rows, shared, keys, few_groups).where(F.col("_v").between(F.col("lo"), F.col("hi")))
-    counted = kept.groupBy(*keys, "lo", "hi", "before", "_r", "_v").agg(F.count("*").alias("_c"))
-    over = Window.partitionBy(*keys, "lo", "hi", "before").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    told = ["n", "before", *[f"_r{i}" for i in range(len(names))]]
+    counted = kept.groupBy(*keys, "lo", "_v").agg(F.count("*").alias("_c"), *[F.max(c).alias(c) for c in told])
+    over = Window.partitionBy(*keys, "lo").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = counted.withColumn("_upto", F.col("before") + F.sum("_c").over(over))
-    mine = F.filter("_r", lambda r: (r["rank"] < F.col("_upto")) & (r["rank"] >= F.col("_upto") - F.col("_c")))
-    met = ranked.select(*keys, F.explode(mine).alias("_r"), "_v").select(*keys, F.col("_r.w").alias("w"), "_v")
-    found = met.unionByName(state.where("lo >= hi").select(*keys, "w", F.col("lo").alias("_v")))
-    names = list(wanted)
-    values = found.groupBy(*keys).agg(*[F.max(F.when(F.col("w") == i, F.col("_v"))).alias(name) for i, name in enumerate(names)])
-    sizes = state.select(*keys, "n").distinct()
-    return sizes.join(values, keys).select(*group_keys, "n", *names)
+
+    def here(i: int) -> Column:
+        return F.when((F.col(f"_r{i}") < F.col("_upto")) & (F.col(f"_r{i}") >= F.col("_upto") - F.col("_c")), F.col("_v"))
+
+    met = ranked.groupBy(*keys).agg(F.max("n").alias("n"), *[F.max(here(i)).alias(name) for i, name in enumerate(names)])
+    equal = state.where("lo >= hi").groupBy(*keys).agg(F.max("n").alias("n"), *[F.max(F.when(F.col("w") == i, F.col("lo"))).alias(name) for i, name in enumerate(names)])
+    both = met.unionByName(equal).groupBy(*keys).agg(F.max("n").alias("n"), *[F.max(name).alias(name) for name in names])
+    return both.select(*group_keys, "n", *names)
 
 
 def grouped_quantiles(
