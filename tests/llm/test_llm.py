@@ -303,17 +303,66 @@ def test_toxicity_learns_from_documents(spark):
     assert kept == {i for i in out if not out[i]["predicted"]}
 
 
+def best_rows(held, asked, k):
+    """Scores and keys of the best rows of each distinct query, by comparing it with every row."""
+    return sorted((i, tuple(sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in held if j != i)[:k])) for i, v in {(i, tuple(v)) for i, v in asked})
+
+
+def answers(out, k):
+    """The answers in the same form; queries of one key with several vectors are told apart by their ranks."""
+    rows = sorted((r["query_id"], r["rank"], -r["score"], r["vec_id"]) for r in out.collect())
+    return {q: [tuple(r[2:]) for r in rows if r[0] == q] for q in {r[0] for r in rows}}
+
+
 def test_top_k_against_brute_force(spark):
     rng = np.random.default_rng(3)
-    rows = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(300)] + [(300, None), (301, [1.0, None] + [0.0] * 6), (302, [float("nan")] * 8), (303, [0.0] * 8), (7, [0.5] * 8)]
-    vectors = topk.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
-    got = topk.top_k(vectors.filter("key % 20 = 0"), vectors, k=5, block_rows=64, group_queries=4).collect()
+    rows = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(300)] + [(300, None), (301, [1.0, None] + [0.0] * 6), (302, [float("nan")] * 8), (303, [0.0] * 8), (7, [0.5] * 8), (340, [0.25] * 5), (None, [1.0] * 8)]
+    # ties: whole-number vectors of few values, one of them many times, and a query that scores 0 everywhere
+    rows += [(1000 + i, [float(i % 3 - 1), float(i % 2)] + [0.0] * 6) for i in range(150)] + [(2000, [0.0] * 8), (2001, [1.0] * 8), (2001, [1.0] * 8)]
+    frame = spark.createDataFrame([(i, v, "clash") for i, v in rows], "vec_id long, embedding array<double>, key string")
+    vectors = topk.integer_vectors(frame)
     held = [(r["key"], r["v"]) for r in vectors.collect()]
-    for q, v in held:
-        if q % 20 == 0:
-            best = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in held if i != q)[:5]
-            assert [(-r["score"], r["vec_id"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] == best
+    asked = [(i, v) for i, v in held if i % 20 == 0]
+    for sizes in ({"block_rows": 64, "group_queries": 4, "stripe_rows": 100}, {"block_rows": 16, "group_queries": 1000}, {}):
+        got = answers(topk.top_k(vectors.filter("key % 20 = 0"), vectors, k=5, **sizes), 5)
+        assert sorted((q, tuple(a)) for q, a in got.items()) == best_rows(held, asked, 5)
     assert topk.top_k(vectors.limit(0), vectors.limit(0)).count() == 0
+    assert topk.top_k(vectors.filter("key = 20"), vectors.limit(0)).count() == 0
+    assert topk.top_k(vectors.filter("key = 20"), vectors.filter("key = 20")).count() == 0
+    assert topk.top_k(vectors.filter("key = 20"), vectors, k=10_000).count() == sum(i != 20 for i, _ in held)
+
+
+def test_top_k_of_queries_that_share_a_key(spark):
+    rows = spark.createDataFrame([(1, [1, 0]), (1, [0, 1]), (1, [0, 1]), (2, [5, 0]), (3, [0, 7]), (4, [1, 1])], "key long, v array<long>")
+    got = topk.top_k(rows.filter("key = 1"), rows, k=2).collect()
+    assert sorted((r["rank"], r["vec_id"], r["score"]) for r in got) == [(1, 2, 5), (1, 3, 7), (2, 4, 1), (2, 4, 1)]
+
+
+def test_top_k_scores_are_integers_of_any_size(spark):
+    for size in (2**26, 2**30, 2**40):
+        # neighbouring scores differ by 1 where doubles would not tell them apart
+        rows = [(i, [size, size + i % 7, i]) for i in range(60)] + [(60, [1, 1, 0]), (80, [size // 2**10, -size, 1])]
+        frame = spark.createDataFrame(rows, "key long, v array<long>")
+        asked = [r for r in rows if r[0] in ((60,) if size == 2**40 else (20, 60, 80))]
+        got = answers(topk.top_k(frame.filter(f"key in ({','.join(str(i) for i, _ in asked)})"), frame, k=9, block_rows=8), 9)
+        assert sorted((q, tuple(a)) for q, a in got.items()) == best_rows(rows, asked, 9)
+    wide = spark.createDataFrame([(20, [2**40]), (21, [2**40])], "key long, v array<long>")
+    with pytest.raises(Exception, match="(?i)int|large"):
+        topk.top_k(wide.filter("key = 20"), wide).collect()
+    with pytest.raises(Exception, match="64 bits"):
+        topk.integer_vectors(spark.createDataFrame([(1, [1e30])], "vec_id long, embedding array<double>")).collect()
+
+
+def test_queries_stop_at_their_bound():
+    """Where one component decides, the lists are read no further than needed; a kth score of an earlier block ends a later one at once."""
+    rng = np.random.default_rng(4)
+    rows = np.floor(rng.normal(size=(4000, 6)) * np.array([400, 4, 4, 2, 2, 2]))
+    asks = topk.TopK(np.array([-1, -2]), np.array([[9.0, 1, 0, 0, 0, 0], [-9.0, 0, 1, 0, 0, 0]]), 5)
+    assert asks.search(topk.SortedLists(np.arange(4000), rows)) < 4000
+    assert asks.search(topk.SortedLists(np.arange(4000, 8000), rows // 4)) < 400
+    for q in range(2):
+        scores = rows @ asks.vectors[q]
+        assert asks.found[q].tolist() == np.lexsort((np.arange(4000), -scores))[:5].tolist()
 
 
 def test_stupid_backoff_against_counts(docs, nothing):
