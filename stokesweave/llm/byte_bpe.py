@@ -30,7 +30,8 @@ WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: pattern reaches over the start of such a chunk, and the pattern looks ahead no further than its end.
 CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 LONGEST_ROW = 64  # bytes of a piece that shares a matrix
-LIMIT = 400_000  # cached chunks; the cache is emptied when it is full
+CACHE_BYTES = 300_000_000  # cached chunks and pieces of a worker, dictionaries included; emptied when full
+LONG_CHUNK = 256  # characters of a chunk or piece that is too long to be met again
 NONE = np.int64(2**62)
 
 
@@ -64,6 +65,7 @@ class SegmentTreeBpe:
         self.pair = dict(zip(key.tolist(), merged))
         self.pieces: dict[str, list[int]] = {}
         self.chunks: dict[str, tuple[int, str, bytes]] = {}
+        self.held = 0  # bytes of both caches
 
     # -- one long piece ---------------------------------------------------
 
@@ -193,17 +195,30 @@ class SegmentTreeBpe:
 
     def encode_texts(self, texts: list[str]) -> list[list[tuple[int, str, bytes]]]:
         """For each text its chunks as (number of ids, ids as text, bytes that the ids decode to)."""
-        if len(self.chunks) > LIMIT or len(self.pieces) > LIMIT:
-            self.chunks, self.pieces = {}, {}
+        if self.held > CACHE_BYTES:
+            self.chunks, self.pieces, self.held = {}, {}, 0
         cut = [CHUNK.findall(t) for t in texts]
         fresh = set().union(*cut).difference(self.chunks) if cut else set()
         split = {c: self.pattern.findall(c) for c in fresh}
-        self.encode_pieces({p for ps in split.values() for p in ps}.difference(self.pieces))
+        new = {p for ps in split.values() for p in ps}.difference(self.pieces)
+        self.encode_pieces(new)
         for chunk, pieces in split.items():
             ids = [i for p in pieces for i in self.pieces[p]]
             self.chunks[chunk] = (len(ids), ",".join(map(str, ids)), self.decode(ids))
         get = self.chunks.__getitem__
-        return [list(map(get, c)) for c in cut]
+        out = [list(map(get, c)) for c in cut]
+        # estimates with the objects' own size and a place in the dictionary
+        for piece in new:
+            if len(piece) > LONG_CHUNK:
+                del self.pieces[piece]
+            else:
+                self.held += 200 + 36 * len(self.pieces[piece]) + 4 * len(piece)
+        for chunk in fresh:
+            if len(chunk) > LONG_CHUNK:
+                del self.chunks[chunk]
+            else:
+                self.held += 400 + 8 * self.chunks[chunk][0] + 5 * len(chunk)
+        return out
 
     def encode(self, text: str) -> list[int]:
         ids = ",".join(c[1] for c in self.encode_texts([text])[0])

@@ -15,14 +15,17 @@ Memory is bounded by the rows of a shard; the number of shards follows the numbe
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from array import array
 from collections import deque
 from collections.abc import Iterator
+from sys import getsizeof
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,31 +33,57 @@ from stokesweave.llm.byte_bpe import CHUNK
 from stokesweave.llm.common import pieces_of, text_of
 from stokesweave.session import cut_lineage
 
-LIMIT = 1_200_000  # cached chunks of a worker, about 250 MB
-_IDS: dict[str, dict[str, bytes]] = {}
-_TOKENIZERS: dict[str, object] = {}
+CACHE_BYTES = 260_000_000  # cached chunks of a worker and their ids, dictionary included; emptied when full
+LONG_CHUNK = 256  # characters of a chunk that is too long to be met again
 
 
-def _ids(path: str, texts: list[str]) -> list[np.ndarray]:
-    """Ids of each text.  A chunk (white space and the word after it) is encoded once and then looked up."""
-    import os
+class ChunkEncoder:
+    """Ids as the library gives them without special tokens of its own.
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if path not in _TOKENIZERS:
+    A chunk (white space and the word after it) is encoded once and then looked up.  A text that holds an added
+    token of the tokenizer, such as its end mark, is encoded whole, as added tokens are cut out before
+    all else and may reach over chunks; with a normalizer every text is.
+    """
+
+    def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _TOKENIZERS[path] = Tokenizer.from_file(path)
-        _TOKENIZERS[path].encode_special_tokens = True
-        _IDS[path] = {}
-    known = _IDS[path]
-    if len(known) > LIMIT:
-        known.clear()
-    cut = [CHUNK.findall(t) for t in texts]
-    fresh = list(set().union(*cut).difference(known)) if cut else []
-    for chunk, coded in zip(fresh, _TOKENIZERS[path].encode_batch(fresh, add_special_tokens=False)):
-        known[chunk] = array("I", coded.ids).tobytes()
-    get = known.__getitem__
-    return [np.frombuffer(b"".join(map(get, c)), dtype="<u4") for c in cut]
+        self.tokenizer = Tokenizer.from_file(path)
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = re.compile("" if self.tokenizer.normalizer is not None else "|".join(map(re.escape, added)) or r"(?!)")
+        self.known: dict[str, bytes] = {}
+        self.held = 0
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        if self.held > CACHE_BYTES:
+            self.known, self.held = {}, 0
+        known, whole = self.known, self.whole.search
+        # a whole text is one chunk, under a key that no chunk has
+        cut = [[(t,)] if whole(t) else CHUNK.findall(t) for t in texts]
+        fresh = list(set().union(*cut).difference(known)) if cut else []
+        passing = []
+        for chunk, coded in zip(fresh, self.tokenizer.encode_batch([c if isinstance(c, str) else c[0] for c in fresh], add_special_tokens=False)):
+            known[chunk] = ids = array("I", coded.ids).tobytes()
+            if isinstance(chunk, str) and len(chunk) <= LONG_CHUNK:
+                self.held += getsizeof(chunk) + getsizeof(ids) + 100
+            else:
+                passing.append(chunk)
+        get = known.__getitem__
+        out = [np.frombuffer(b"".join(map(get, c)), dtype="<u4") for c in cut]
+        for chunk in passing:
+            del known[chunk]
+        return out
+
+
+_ENCODERS: dict[str, ChunkEncoder] = {}
+
+
+def encoder(path: str) -> ChunkEncoder:
+    """The encoder of this Python worker for a tokenizer file."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = ChunkEncoder(path)
+    return _ENCODERS[path]
 
 
 def best_fill(counts: list[int], capacity: int, longest: int) -> tuple[dict[int, int], int]:
@@ -162,14 +191,14 @@ def pack(
     Returns ``key, start, length, ids_crc32, doc_tokens, sequence_id, offset``; pieces of a
     document cover its ids and the closing id once, pieces of a sequence lie gapless from 0.
     Null and empty texts are documents of the closing id alone.  Rows with equal keys are
-    packed each for itself.  ``sequence_id`` holds the shard in its high bits.
+    packed each for itself, and so are rows with a null key.  ``sequence_id`` holds the shard in its high bits.
     """
     kind = df.schema[key].dataType.simpleString()
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
             rows: dict[str, list] = {n: [] for n in ("key", "uid", "doc_tokens", "full", "rest", "crc", "ids")}
-            for k, uid, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _ids(tokenizer, batch.column(2).to_pylist())):
+            for k, uid, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), encoder(tokenizer).ids(batch.column(2).to_pylist())):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 at = len(ids) // window * window
                 rest = ids[at:].tobytes()
@@ -201,24 +230,25 @@ def pack(
         F.lit(0).cast("bigint").alias("offset"),
     )
 
-    def packed(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["rest", "uid"], ascending=[False, True], kind="stable", ignore_index=True)
-        lengths = pdf["rest"].to_numpy(dtype=np.int64)
-        ids = pdf["ids"].to_list()
+    # Arrow throughout: a key column with a null keeps its type
+    def packed(shard: pa.Table) -> pa.Table:
+        shard = shard.take(pc.sort_indices(shard, [("rest", "descending"), ("uid", "ascending")])).combine_chunks()
+        lengths = shard["rest"].to_numpy()
+        ids = shard["ids"].to_pylist()
         placed = pack_lengths(lengths, window, np.array([i is not None for i in ids], dtype=bool))
         piece, start, length, sequence, offset = (np.array(c, dtype=np.int64) for c in zip(*placed))
-        crc = pdf["crc"].to_numpy(dtype=np.int64)[piece]
+        crc = shard["crc"].to_numpy()[piece]
         for i in np.flatnonzero(length < lengths[piece]).tolist():
             crc[i] = zlib.crc32(ids[piece[i]][4 * start[i] : 4 * (start[i] + length[i])])
-        doc_tokens = pdf["doc_tokens"].to_numpy(dtype=np.int64)[piece]
-        return pd.DataFrame(
+        doc_tokens = shard["doc_tokens"].to_numpy()[piece]
+        return pa.table(
             {
-                key: pdf["key"].take(piece).to_numpy(),
+                key: shard["key"].take(pa.array(piece)),
                 "start": doc_tokens - lengths[piece] + start,
                 "length": length,
                 "ids_crc32": crc,
                 "doc_tokens": doc_tokens,
-                "sequence_id": (pdf["shard"].to_numpy(dtype=np.int64)[piece] << 32) + sequence,
+                "sequence_id": (shard["shard"].to_numpy()[piece] << 32) + sequence,
                 "offset": offset,
             }
         )
@@ -227,6 +257,6 @@ def pack(
         rows.filter("rest > 0")
         .select("key", "uid", "doc_tokens", "rest", "crc", "ids", F.pmod(F.xxhash64("uid"), F.lit(shards)).alias("shard"))
         .groupBy("shard")
-        .applyInPandas(packed, f"`{key}` {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint")
+        .applyInArrow(packed, f"`{key}` {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint")
     )
     return full.unionByName(rest)

@@ -129,6 +129,39 @@ def test_packing_covers_each_id_once(docs, nothing):
     assert packing.pack(nothing, path).count() == 0
 
 
+def test_packing_ids_are_the_library_s(spark):
+    """End marks inside texts, text without white space, and null keys beside keys that no double holds."""
+    tokenizers = pytest.importorskip("tokenizers")
+    path = P.path("byte_bpe_50k.json")
+    tok = tokenizers.Tokenizer.from_file(path)
+    mark = "<|endoftext|>"
+    big = 2**60
+    body = {big + 1: f"one {mark} two", big + 2: mark, big + 3: f"x{mark}{mark}\n y", big + 4: "<|endof text|> <|endoftext |>", big + 5: "日本語の文章" * 300, big + 6: "a" * 3000, None: f"  {mark} nothing keyed"}
+    rows = spark.createDataFrame([(k, t, 1, "x") for k, t in body.items()], "doc_id long, text string, start int, uid string")
+    out = packing.pack(rows, path, window=64, spare_share=2).collect()
+    ids = {k: [*tok.encode(t, add_special_tokens=False).ids, 1] for k, t in body.items()}
+    assert 50256 in ids[big + 1] and 50256 not in ids[big + 4]
+    for r in out:
+        part = ids[r["doc_id"]][r["start"] : r["start"] + r["length"]]
+        assert zlib.crc32(np.array(part, dtype="<u4").tobytes()) == r["ids_crc32"] and r["doc_tokens"] == len(ids[r["doc_id"]])
+    assert {k: sum(r["length"] for r in out if r["doc_id"] == k) for k in body} == {k: len(v) for k, v in ids.items()}
+
+
+def test_caches_are_bounded_by_bytes(monkeypatch):
+    path = P.path("byte_bpe_50k.json")
+    coder = packing.ChunkEncoder(path)
+    first = coder.ids(["long" * 500 + " word", "word"])
+    assert set(coder.known) == {" word", "word"} and coder.held > 0
+    monkeypatch.setattr(packing, "CACHE_BYTES", 1)
+    assert [a.tolist() for a in coder.ids(["long" * 500 + " word", "word"])] == [a.tolist() for a in first]
+    assert coder.ids([]) == [] and coder.held == 0
+    enc = byte_bpe.SegmentTreeBpe(byte_bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken")), P.PATTERN)
+    ids = enc.encode("字" * 400 + " word")
+    assert max(map(len, [*enc.chunks, *enc.pieces])) <= byte_bpe.LONG_CHUNK and enc.held > 0
+    monkeypatch.setattr(byte_bpe, "CACHE_BYTES", 1)
+    assert enc.encode("字" * 400 + " word") == ids
+
+
 def test_license_scan(spark, nothing):
     rows = [(1, "  MIT  License, mit-license and the General\nPublic license"), (2, None), (3, ""), (4, "Licensed under the Apache License, Version 2.0."), (4, "Licensed under the Apache License, Version 2.0."), (None, "mit licenseé mit license")]
     out = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
