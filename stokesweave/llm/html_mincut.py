@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import re
 from collections import deque
+from collections.abc import Iterable
 from html import unescape
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +42,7 @@ CLOSES = {
 }
 #: closing an element of these names from inside stops at these
 SCOPES = {"li": frozenset(["ul", "ol", "menu"]), "dt": frozenset(["dl"]), "dd": frozenset(["dl"]), "tr": frozenset(["table"]), "td": frozenset(["tr", "table"]), "th": frozenset(["tr", "table"])}
+DIVISIONS = frozenset(["", "body", "div", "section"])
 ASIDE = frozenset("nav footer aside form menu dialog".split())
 STRONG = frozenset("article main".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form status".split())
@@ -52,6 +55,8 @@ ASIDE_WORDS = frozenset(
 )
 #: such a class tells of a layout, not of the element's own role
 ABOUT = frozenset("has with no without".split())
+#: of these an inline element is left out of the text around it
+ADVERT_WORDS = frozenset("ad ads adv advert adverts advertisement advertising promo promoted promotion sponsor sponsored sponsors".split())
 CONTENT_WORDS = frozenset("article articlebody body content entry main post story text".split())
 
 # fixed values: the classifier, log-odds of content
@@ -63,20 +68,77 @@ PER_WORD = 0.05  # up to 40 words
 SENTENCE = 0.7  # ends like a sentence
 LINKED = -3.5  # times the share of characters inside links
 TINY = -0.3  # under three words
-ADJACENT, SAME_PARENT, NEAR = 0.25, 0.45, 0.2
-
-TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
-LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>")
+UNMARKED = -0.8  # directly in a division, not in a paragraph or the like
+# of the size of a block's own log-odds where no name tells its kind
+ADJACENT, SAME_PARENT, NEAR = 1.0, 1.8, 0.8
+BOTH_UNNAMED = 0.3
+
+TAG_START = re.compile(r"</?[a-zA-Z]")
+TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
+LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 WORDS = re.compile(r"[a-z]+|[A-Z]+[a-z]*")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Block:
-    __slots__ = ("text", "linked", "name", "path", "aside", "content")
+    """Text of a block element.  ``parent`` numbers the element around it, ``depth`` is its own depth and ``shared`` that down to which it shares its ancestors with the block before."""
+
+    __slots__ = ("text", "linked", "name", "parent", "depth", "shared", "aside", "content")
+
+    def __init__(self, text: str, linked: int, name: str, parent: int, depth: int, shared: int, aside: bool, content: bool) -> None:
+        self.text, self.linked, self.name, self.aside, self.content = text, linked, name, aside, content
+        self.parent, self.depth, self.shared = parent, depth, shared
+
+
+class Element(NamedTuple):
+    """An open element; inline ones stand in the block around them."""
+
+    name: str
+    block: int  # place of the innermost block element on the stack, its own if it is one
+    number: int
+    parent: int
+    depth: int  # of that block element
+    aside: bool
+    content: bool
+    silent: bool
+    linked: bool
+
 
-    def __init__(self, text: str, linked: int, name: str, path: tuple[int, ...], aside: bool, content: bool) -> None:
-        self.text, self.linked, self.name, self.path, self.aside, self.content = text, linked, name, path, aside, content
+class OpenElements:
+    """The stack of open elements; the innermost one of a name is found without a search."""
+
+    def __init__(self) -> None:
+        self.stack = [Element("", 0, 0, 0, 0, False, False, False, False)]
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, element: Element) -> None:
+        self.places.setdefault(element.name, []).append(len(self.stack))
+        self.stack.append(element)
+
+    def last(self, names: Iterable[str]) -> int:
+        """Place of the innermost open element of these names, 0 if there is none."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+
+    def cut(self, place: int) -> None:
+        """Close the element at this place and all inside it."""
+        while len(self.stack) > place:
+            self.places[self.stack.pop().name].pop()
+
+
+def inline_silent(name: str, attributes: str) -> bool:
+    """Whether an inline element is hidden, or an advert by its class."""
+    if name in SILENT or name in RAW:
+        return True
+    for found in ATTRIBUTE.finditer(attributes):
+        key, value = found[1].lower(), found[2] or found[3] or found[4] or ""
+        if key in ("class", "id"):
+            words = {w.lower() for w in WORDS.findall(value)}
+            if not words.isdisjoint(ADVERT_WORDS) and words.isdisjoint(ABOUT):
+                return True
+        elif key == "style" and HIDDEN.search(value) or key == "hidden" or key == "aria-hidden" and value.lower() == "true":
+            return True
+    return False
 
 
 def element_kind(name: str, attributes: str, within_content: bool) -> tuple[bool, bool, bool]:
@@ -105,29 +167,39 @@ def element_kind(name: str, attributes: str, within_content: bool) -> tuple[bool
 def blocks_of(html: str) -> list[Block]:
     """Visible text of a page, cut at block elements, with its place in the tree.
 
-    A comment, a declaration and the content of silent elements give nothing; a tag
-    that never ends is dropped with what it holds up to the next one.
+    A comment, a declaration and the content of silent elements give nothing and do not part the text around them,
+    nor do inline elements that are hidden or adverts.  A tag that never ends is dropped with what it holds up
+    to the next one.  From a tag on whose quotes never close, tags end at the next ``>``.  Time and memory grow with
+    the length of the page, however broken or deeply nested it is.
     """
     out: list[Block] = []
-    # open block elements: name, number, aside, content, silent
-    stack: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]
-    number, links = 0, 0
+    open_elements = OpenElements()
+    stack = open_elements.stack
+    number = lowest = 0  # elements so far; least depth since the last block
     parts: list[str] = []
     linked_parts: list[str] = []
+    last_end, quoted = html.rfind(">"), True
 
     def close_block() -> None:
-        nonlocal parts, linked_parts
+        nonlocal parts, linked_parts, lowest
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                name, _, aside, content, _ = stack[-1]
-                out.append(Block(text, len(" ".join(unescape("".join(linked_parts)).split())), name, tuple(s[1] for s in stack), aside, content))
+                top = stack[-1]
+                lowest = min(lowest, top.depth)
+                out.append(Block(text, len(" ".join(unescape("".join(linked_parts)).split())), stack[top.block].name, top.parent, top.depth, lowest, top.aside, top.content))
+                lowest = top.depth
         parts, linked_parts = [], []
 
+    def cut(place: int) -> None:
+        nonlocal lowest
+        open_elements.cut(place)
+        lowest = min(lowest, stack[-1].depth)
+
     def take(text: str) -> None:
-        if not stack[-1][4]:
+        if not stack[-1].silent:
             parts.append(text)
-            if links:
+            if stack[-1].linked:
                 linked_parts.append(text)
 
     at, end = 0, len(html)
@@ -146,7 +218,13 @@ def blocks_of(html: str) -> list[Block]:
             stop = html.find(">", lt)
             at = end if stop < 0 else stop + 1
             continue
-        tag = TAG.match(html, lt) or LOOSE_TAG.match(html, lt)
+        tag = None
+        named = TAG_START.match(html, lt) if lt < last_end else None
+        if named:
+            tag = TAG.match(html, lt) if quoted else None
+            if tag is None:
+                quoted = False
+                tag = LOOSE_TAG.match(html, lt)
         if tag is None:
             if lt + 1 < end and (html[lt + 1].isalpha() or html[lt + 1] == "/"):
                 nxt = html.find("<", lt + 1)
@@ -157,42 +235,48 @@ def blocks_of(html: str) -> list[Block]:
             continue
         at = tag.end()
         closing, name, attributes = tag[1], tag[2].lower(), tag[3]
+        top = stack[-1]
         if name == "br":
             take(" ")
-        elif name in INLINE:
-            if name == "a":
-                links = max(0, links - 1) if closing else 1
+        elif name in VOID and name != "hr":
+            pass
         elif closing:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
-            if depth:
+            place = open_elements.last((name,))
+            if name in INLINE or name in SILENT or name in RAW:
+                if place > top.block or place and name not in INLINE:
+                    cut(place)
+            elif place:
+                if not stack[place - 1].silent:
+                    close_block()
+                cut(place)
+            elif not top.silent:
                 close_block()
-                del stack[depth:]
-                links = 0
-            elif name not in VOID:
-                close_block()
-        else:
-            close_block()
-            links = 0
-            if name in CLOSES:
-                stops = SCOPES.get(name, frozenset())
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] in CLOSES[name]:
-                        del stack[i:]
-                        break
-                    if name == "p" or stack[i][0] in stops:
-                        break
-            elif stack[-1][0] in CLOSES["p"] and name not in VOID:
-                stack.pop()  # a block ends a paragraph
-            if name in VOID or attributes.rstrip().endswith("/") and name not in RAW:
+        elif name in INLINE or name in SILENT or name in RAW:
+            if name in CLOSES and open_elements.last(CLOSES[name]) > top.block:
+                cut(open_elements.last(CLOSES[name]))
+                top = stack[-1]
+            if attributes.rstrip().endswith("/") and name not in RAW and name not in INLINE:
                 continue
-            top = stack[-1]
-            aside, content, hidden = element_kind(name, attributes, top[3])
-            number += 1
-            stack.append((name, number, top[2] or aside, top[3] or content, top[4] or hidden or name in SILENT))
+            silent = top.silent or inline_silent(name, attributes)
+            open_elements.push(top._replace(name=name, silent=silent, linked=top.linked or name == "a"))
             if name in RAW:
                 shut = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(html, at)
-                stop = end if shut is None else shut.start()
-                at = stop
+                at = end if shut is None else shut.start()
+        else:
+            if not top.silent:
+                close_block()
+            # a new item or cell ends the one before it in the same list or table; any block ends a paragraph
+            ended = open_elements.last(CLOSES.get(name, ()))
+            if name in SCOPES and ended > open_elements.last(SCOPES[name]) or name not in SCOPES and stack[top.block].name in CLOSES["p"]:
+                place = ended if name in SCOPES else top.block
+                if stack[place].silent or not top.silent:
+                    cut(place)
+                    top = stack[-1]
+            if name in VOID or attributes.rstrip().endswith("/"):
+                continue
+            aside, content, hidden = element_kind(name, attributes, top.content)
+            number += 1
+            open_elements.push(Element(name, len(stack), number, top.number, top.depth + 1, top.aside or aside, top.content or content, top.silent or hidden, False))
     close_block()
     return out
 
@@ -208,32 +292,38 @@ def log_odds(block: Block) -> float:
         + SENTENCE * (block.text[-1] in ".!?\"'”»…:")
         + LINKED * min(1.0, block.linked / len(block.text))
         + TINY * (words < 3)
+        + UNMARKED * (block.name in DIVISIONS)
     )
 
 
-def nearness(a: Block, b: Block) -> float:
-    """Strength of the tie of two blocks by the place where their paths part."""
-    if a.aside != b.aside:
-        return 0.0
-    if a.path[:-1] == b.path[:-1]:
-        return SAME_PARENT
-    shared = sum(1 for x, y in zip(a.path, b.path) if x == y)
-    return NEAR * shared / max(len(a.path), len(b.path))
+def kind(block: Block) -> int:
+    """-1 under an element named as something beside the text, 1 under one named as content, else 0."""
+    return -1 if block.aside else int(block.content)
+
+
+def tie(a: Block, b: Block) -> float:
+    kinds = kind(a), kind(b)
+    if kinds == (0, 0):
+        return BOTH_UNNAMED * (a.parent == b.parent)
+    return float(kinds[0] * kinds[1] >= 0)
 
 
 def smoothness(blocks: list[Block]) -> list[tuple[int, int, float]]:
-    """Edges of the graph: each block to the one before it, and to the last one under the same parent."""
+    """Edges of the graph: each block to the one before it, and to the last one under the same parent.
+
+    Blocks of no kind take the side of the named ones round them; what is named content is not tied to what is
+    named as beside it.  Two blocks of no kind tell each other little, and nothing across parents.
+    """
     edges, last = [], {}
     for i, block in enumerate(blocks):
-        if i:
-            near = nearness(blocks[i - 1], block)
-            if near:
-                edges.append((i - 1, i, ADJACENT + near))
-        j = last.get(block.path[:-1])
-        if j is not None and j < i - 1 and blocks[j].aside == block.aside:
-            edges.append((j, i, SAME_PARENT))
-        last[block.path[:-1]] = i
-    return edges
+        before, sibling = blocks[i - 1] if i else None, last.get(block.parent)
+        if before is not None:
+            near = SAME_PARENT if before.parent == block.parent else NEAR * (block.shared + 1) / (max(before.depth, block.depth) + 1)
+            edges.append((i - 1, i, (ADJACENT + near) * tie(before, block)))
+        if sibling is not None and sibling < i - 1:
+            edges.append((sibling, i, SAME_PARENT * tie(blocks[sibling], block)))
+        last[block.parent] = i
+    return [e for e in edges if e[2]]
 
 
 def minimum_cut(odds: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
@@ -315,9 +405,15 @@ def _flow(nodes: list[int], odds: list[float], near: list[dict[int, float]]) ->
 
 def main_text(html: str) -> str:
     """Content blocks in page order, one a line."""
+    return labelled(html)[0]
+
+
+def labelled(html: str) -> tuple[str, int]:
+    """The main text, and how many blocks the cut labels against their own log-odds."""
     blocks = blocks_of(html)
-    content = minimum_cut([log_odds(b) for b in blocks], smoothness(blocks))
-    return "\n".join(b.text for b, keep in zip(blocks, content) if keep)
+    odds = [log_odds(b) for b in blocks]
+    content = minimum_cut(odds, smoothness(blocks))
+    return "\n".join(b.text for b, keep in zip(blocks, content) if keep), sum((o > 0) != keep for o, keep in zip(odds, content))
 
 
 def extract(df: DataFrame, key: str = "page_id", html: str = "html", also: str = "url") -> DataFrame:
