@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from stokesweave.session import cut_lineage
 
 HOT_ROWS = 200_000
+PAIRS_PER_ROW = 500  # pairs of a task, as a multiple of the rows of a slice: 10**8
+BROADCAST_KEYS = 500_000  # hot keys that are broadcast; more of them are joined by a shuffle
+SALTS = 64
 
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], aggregate) -> DataFrame:
@@ -68,42 +71,54 @@ def limit_sources(df: DataFrame, key: str, n: int) -> DataFrame:
 
 
 def hot_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows on a side and the slices each side
+    """Keys whose rows on a side, or whose pairs, are too many for one task, and the slices each side
     needs (``_cl``, ``_cr``); None when there are none.
 
+    A pair of slices holds at most ``hot_rows`` rows of a side and ``hot_rows * PAIRS_PER_ROW`` pairs.  Where both
+    sides are large they are cut alike, which repeats the fewest rows; else the larger one is.
     Only the key columns are read and counts are combined before the shuffle.
     """
+    pairs = float(hot_rows * PAIRS_PER_ROW)
     n_left = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nl"))
     n_right = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nr"))
+
+    def slices(own: str, other: str) -> Column:
+        rows = F.least(F.lit(float(hot_rows)), F.greatest(F.lit(pairs**0.5), F.lit(pairs) / F.col(other)))
+        return F.ceil(F.col(own) / rows).cast("int")
+
     cuts = cut_lineage(
         n_left.join(n_right, list(keys))
-        .where((F.col("_nl") > hot_rows) | (F.col("_nr") > hot_rows))
-        .select(
-            *keys,
-            F.ceil(F.col("_nl") / hot_rows).cast("int").alias("_cl"),
-            F.ceil(F.col("_nr") / hot_rows).cast("int").alias("_cr"),
-        )
+        .where((F.col("_nl") > hot_rows) | (F.col("_nr") > hot_rows) | (F.col("_nl").cast("double") * F.col("_nr") > pairs))
+        .select(*keys, slices("_nl", "_nr").alias("_cl"), slices("_nr", "_nl").alias("_cr"))
     )
     return None if cuts.isEmpty() else cuts
 
 
+def join_hot(df: DataFrame, keys: Sequence[str], cuts: DataFrame, small: bool, how: str) -> DataFrame:
+    """Join rows with the table of hot keys: by broadcast where its size was found small, else salted, as its keys are the hot ones."""
+    if small:
+        return df.join(F.broadcast(cuts), list(keys), how)
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+    spread = cuts.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    return salted.join(spread, [*keys, "_salt"], how).drop("_salt")
+
+
 def slice_hot_keys(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], cuts: DataFrame
+    left: DataFrame, right: DataFrame, keys: Sequence[str], cuts: DataFrame, small: bool = True
 ) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Spread the hot keys of an inner equi-join over many tasks.
+    """The rows of hot keys, spread over many tasks for an inner equi-join.
 
     Each side of a hot key is cut into slices and repeated once per slice of the
-    other side, so every pair still meets exactly once.  ``cuts`` holds at most
-    total_rows / hot_rows rows, which is what makes broadcasting it safe.
+    other side, so every pair still meets exactly once.  Slices go by a row's number in a written stage, so
+    equal rows spread too and a task that runs twice cuts alike.
     """
     keys = list(keys)
 
     def sliced(df: DataFrame, own: str, own_slice: str, other: str, other_slice: str) -> DataFrame:
-        spread = F.pmod(F.xxhash64(*df.columns), F.coalesce(own, F.lit(1)).cast("long")).cast("int")
+        rows = cut_lineage(join_hot(df, keys, cuts, small, "inner"))
         return (
-            df.join(F.broadcast(cuts), keys, "left")
-            .withColumn(own_slice, spread)
-            .withColumn(other_slice, F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1)))
+            rows.withColumn(own_slice, F.pmod(F.monotonically_increasing_id(), F.col(own).cast("long")).cast("int"))
+            .withColumn(other_slice, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
             .drop("_cl", "_cr")
         )
 
@@ -124,13 +139,16 @@ def skew_join(
     """Inner equi-join that slices hot keys.
 
     One count per key decides; without hot keys, or with ``hot_rows=None``, it is
-    a plain join.
+    a plain join.  Else the rows of hot keys are joined apart from the others.
     """
     keys = list(keys)
     cuts = None if hot_rows is None else hot_keys(left, right, keys, hot_rows)
     if cuts is None:
         out = left.join(right, keys)
     else:
-        a, b, on = slice_hot_keys(left, right, keys, cuts)
-        out = a.join(b, on).drop("_sl", "_sr")
+        small = cuts.count() <= BROADCAST_KEYS
+        a, b, on = slice_hot_keys(left, right, keys, cuts, small)
+        hot = a.join(b, on).drop("_sl", "_sr")
+        cold = [join_hot(df, keys, cuts.select(*keys), small, "left_anti") for df in (left, right)]
+        out = cold[0].join(cold[1], keys).unionByName(hot)
     return out if condition is None else out.where(condition)

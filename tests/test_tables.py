@@ -151,6 +151,24 @@ def test_skew_join_keeps_every_pair(spark, hot):
     assert got == want and len(got) == len(set(got))
 
 
+@pytest.mark.parametrize("broadcast_keys", [500_000, 0])
+def test_skew_join_of_equal_rows_and_of_many_pairs(spark, monkeypatch, broadcast_keys):
+    """Keys hot by their product alone, with rows that are all equal: every pair once, slices of even size."""
+    from collections import Counter
+
+    monkeypatch.setattr(keyed, "BROADCAST_KEYS", broadcast_keys)
+    monkeypatch.setattr(keyed, "PAIRS_PER_ROW", 1)
+    a = spark.createDataFrame([(1, "x")] * 90 + [(2, "y")] * 3 + [(None, "n"), (4, "z")], "k int, a string").repartition(3)
+    b = spark.createDataFrame([(1, "u")] * 80 + [(1, "v")] * 10 + [(2, "w")] * 99 + [(None, "n"), (3, "t")], "k int, b string").repartition(3)
+    got = Counter(tuple(r) for r in keyed.skew_join(a, b, ["k"], hot_rows=100).select("k", "a", "b").collect())
+    assert got == {(1, "x", "u"): 7200, (1, "x", "v"): 900, (2, "y", "w"): 297}
+    cuts = keyed.hot_keys(a, b, ["k"], 100)
+    assert sorted(tuple(r) for r in cuts.collect()) == [(1, 9, 9), (2, 1, 3)]
+    left, right, on = keyed.slice_hot_keys(a, b, ["k"], cuts, small=bool(broadcast_keys))
+    pairs = [r["count"] for r in left.join(right, on).groupBy(*on).count().collect()]
+    assert sum(pairs) == 8397 and max(pairs) <= 200 and len(pairs) == 84
+
+
 def test_entry_and_registry(spark):
     assert entry.entry(spark).count() > 0
     q, o = entry.queries(), entry.oracle_sql()
