@@ -44,18 +44,26 @@ def _jacobian(params: np.ndarray, x: np.ndarray, ref: np.ndarray) -> np.ndarray:
     return np.stack(cols, axis=2)
 
 
-def fit_block(x, ref, flux, weight, start, max_steps: int = 60):
+def fit_block(x, ref, flux, weight, start, max_steps: int = 1000):
     """Levenberg-damped weighted least squares for a block of spectra.
 
     ``weight`` is the inverse variance, zero on unusable channels.
-    Returns parameters, their standard errors and a success mask.
+    Returns parameters, their standard errors and a success mask: a spectrum is fitted until its own steps vanish,
+    and one that has not come to rest after ``max_steps`` is no success.
     """
     p = start.copy()
     k = p.shape[1]
     damp = np.full(len(p), 1e-3)
     cost = (weight * (flux - _model(p, x, ref)) ** 2).sum(axis=1)
     eye = np.eye(k)
+    rested = np.zeros(len(p), dtype=bool)
+    everything = (x, ref, flux, weight, p, damp, cost)
     for _ in range(max_steps):
+        # only spectra that still move are worked on
+        open_ = np.flatnonzero(~rested)
+        if not len(open_):
+            break
+        x, ref, flux, weight, p, damp, cost = (a[open_] for a in everything)
         jac = _jacobian(p, x, ref)
         wj = jac * weight[:, :, None]
         normal = np.einsum("bci,bcj->bij", wj, jac)
@@ -71,11 +79,11 @@ def fit_block(x, ref, flux, weight, start, max_steps: int = 60):
             new_cost = (weight * (flux - _model(trial, x, ref)) ** 2).sum(axis=1)
         better = np.isfinite(new_cost) & (new_cost <= cost)
         scale = np.abs(move) <= 1e-12 * (np.abs(p) + 1e-12)
-        p = np.where(better[:, None], trial, p)
-        cost = np.where(better, new_cost, cost)
-        damp = np.where(better, damp * 0.2, np.minimum(damp * 8.0, 1e12))
-        if scale.all():
-            break
+        everything[4][open_] = np.where(better[:, None], trial, p)
+        everything[6][open_] = np.where(better, new_cost, cost)
+        everything[5][open_] = np.where(better, damp * 0.2, np.minimum(damp * 8.0, 1e12))
+        rested[open_] = scale.all(axis=1)
+    x, ref, flux, weight, p, damp, cost = everything
     jac = _jacobian(p, x, ref)
     normal = np.einsum("bci,bcj->bij", jac * weight[:, :, None], jac)
     err = np.full_like(p, np.nan)
@@ -84,7 +92,7 @@ def fit_block(x, ref, flux, weight, start, max_steps: int = 60):
             err[b] = np.sqrt(np.diag(np.linalg.inv(normal[b])))
         except np.linalg.LinAlgError:
             continue
-    good = np.isfinite(p).all(axis=1) & np.isfinite(err).all(axis=1)
+    good = rested & np.isfinite(p).all(axis=1) & np.isfinite(err).all(axis=1)
     return p, err, good
 
 

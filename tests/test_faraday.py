@@ -246,3 +246,23 @@ def test_modulation_of_own_windows_and_bands(spark, monkeypatch):
             want |= {(field, c): (np.exp(2j * rm * (299792458.0 / f) ** 2).mean(), rm.size) for c, f in enumerate(bands[b])}
     assert got.keys() == want.keys()
     assert all(abs(complex(got[k].re, got[k].im) - v) < 1e-9 and got[k].n == n and got[k].note == "kept" for k, (v, n) in want.items())
+
+
+def test_power_law_fits_come_to_rest_each_for_itself():
+    """A block of spectra gives what each spectrum gives alone; one that is cut short is no success."""
+    rng = np.random.default_rng(8)
+    x = np.tile(np.linspace(0.8, 1.2, 40), (30, 1))  # frequency over the reference
+    ref = np.full(30, 0.95e9)
+    true = np.stack([rng.uniform(0.01, 2, 30), rng.normal(-0.7, 0.5, 30), rng.normal(0, 0.5, 30)], axis=1)
+    flux = powerlaw._model(true, x, ref) * (1 + 0.01 * rng.normal(size=x.shape))
+    weight = np.full(x.shape, 1e4)
+    start = np.stack([flux.mean(axis=1), np.zeros(30), np.zeros(30)], axis=1)
+    p, err, good = powerlaw.fit_block(x, ref, flux, weight, start)
+    assert good.all() and (start[:, 1:] == 0).all()
+    for i in range(0, 30, 7):
+        one = powerlaw.fit_block(x[i : i + 1], ref[i : i + 1], flux[i : i + 1], weight[i : i + 1], start[i : i + 1])
+        assert np.allclose(one[0][0], p[i], rtol=1e-6, atol=1e-9) and np.allclose(one[1][0], err[i], rtol=1e-6)
+        # least squares: no gradient is left
+        grad = np.einsum("bci,bc->bi", powerlaw._jacobian(p[i : i + 1], x[i : i + 1], ref[i : i + 1]) * 1e4, flux[i : i + 1] - powerlaw._model(p[i : i + 1], x[i : i + 1], ref[i : i + 1]))
+        assert (np.abs(grad * err[i]) < 1e-3).all()
+    assert not powerlaw.fit_block(x, ref, flux, weight, start, max_steps=1)[2].any()
