@@ -78,3 +78,10 @@ def floor_to(c: str | Column, precision: int = 0) -> Column:
     """Round down at a decimal precision."""
     scale = float(10**precision)
     return F.floor(as_col(c) * scale).cast("double") / scale
+
+
+def array_median(values: str | Column) -> Column:
+    """Median of an array's values, NULL elements left out; NULL for an array without values."""
+    kept = F.array_sort(F.filter(as_col(values), lambda v: v.isNotNull()))
+    n = F.size(kept)
+    return (F.get(kept, F.floor((n - 1) / 2).cast("int")) + F.get(kept, F.floor(n / 2).cast("int"))) / 2.0

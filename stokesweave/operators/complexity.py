@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stokesweave.functions.numeric import NAN
+from stokesweave.functions.numeric import NAN, finite, ratio
 from stokesweave.functions.spectral import lognorm_params
 
 DRAWS = 1000
 BLOCK = 500
+PERCENTS = (0.1572, 0.5, 0.8427)  # points of a distribution that stand for its lower bar, middle and upper bar
 INPUTS = (
     "sigma_add_Q",
     "sigma_add_U",
@@ -76,3 +79,77 @@ def sigma_add(cat: DataFrame, ident: str = "cat_id", draws: int = DRAWS, drop_in
     out = cat.withColumn("_m", moments).withColumns({c: F.coalesce(f"_m.{c}", F.lit(NAN)) for c in ("sigma_add", "sigma_add_err")}).drop("_m")
     return out.drop(*INPUTS) if drop_inputs else out
 
+
+# --- added noise of one spectrum ----------------------------------------------
+
+STEPS = 1000  # noise values tried per spectrum
+FAR = 12.0  # log likelihood below its peak beyond which noise values are left out
+
+
+def thin_residuals(fractional: DataFrame, peaks: DataFrame, keys: Sequence[str] = ("cat_id",)) -> DataFrame:
+    """What a Faraday-thin source leaves over: ``n_q, chi_q, n_u, chi_u`` per spectrum.
+
+    The source has the ``polint``, ``derot_polangle`` and ``rm`` of ``peaks``, in the units of ``fractional`` (``q, u, dq, du,
+    lambda_sq``).  ``chi`` sums squared residuals over noise, ``n`` counts channels with finite values and noise above zero.
+    """
+    keys = list(keys)
+    model = peaks.select(*keys, F.col("polint").alias("_p"), F.radians("derot_polangle").alias("_a"), F.col("rm").alias("_rm"))
+    angle = 2.0 * (F.col("_a") + F.col("_rm") * F.col("lambda_sq"))
+    rows = fractional.join(model, keys)
+    out = []
+    for s, wave in (("q", F.cos(angle)), ("u", F.sin(angle))):
+        left = ratio(F.col(s) - F.col("_p") * wave, F.abs(f"d{s}"))
+        out += [F.count(F.when(finite(left), left)).alias(f"n_{s}"), F.coalesce(F.sum(F.when(finite(left), left * left)), F.lit(0.0)).alias(f"chi_{s}")]
+    return rows.groupBy(*keys).agg(*out)
+
+
+def noise_posterior(n: np.ndarray, chi: np.ndarray) -> np.ndarray:
+    """Median and its distances to the 15.72 and 84.27 % points of the noise added to unit noise; a row each.
+
+    ``n`` normal residuals with squares that sum to ``chi`` have a likelihood that needs no more than these two, so a
+    spectrum takes one vector of noise values whatever its number of channels.  The prior is flat.  NaN for fewer than three.
+    """
+    out = np.full((len(n), 3), np.nan)
+    rows = np.nonzero((n >= 3) & np.isfinite(chi))[0]
+    if not rows.size:
+        return out
+    n, chi = n[rows, None].astype(float), chi[rows, None].astype(float)
+
+    def log_like(s):
+        t = 1.0 + s * s
+        return -0.5 * (n * np.log(t) + chi / t)
+
+    best = np.sqrt(np.maximum(chi / n - 1.0, 0.0))
+    top = log_like(best)
+    reach = np.maximum(best, 0.1)
+    while True:
+        near = log_like(best + reach) > top - FAR
+        if not near.any():
+            break
+        reach = np.where(near, reach * 1.5, reach)
+    low = np.maximum(best - reach, 0.0)
+    s = low + (best + reach - low) * np.linspace(0.0, 1.0, STEPS)[None, :]
+    mass = np.exp(log_like(s) - top)
+    total = np.concatenate([np.zeros((len(n), 1)), np.cumsum((mass[:, 1:] + mass[:, :-1]) * np.diff(s, axis=1) / 2.0, axis=1)], axis=1)
+    total /= total[:, -1:]
+    ends = [np.array([np.interp(p, total[i], s[i]) for i in range(len(s))]) for p in PERCENTS]
+    out[rows] = np.stack([ends[1], ends[1] - ends[0], ends[2] - ends[1]], axis=1)
+    return out
+
+
+def added_noise(fractional: DataFrame, peaks: DataFrame, keys: Sequence[str] = ("cat_id",)) -> DataFrame:
+    """``sigma_add_q, sigma_add_q_minus, sigma_add_q_plus`` and the like of U per spectrum: noise beyond the stated one
+    that a Faraday-thin source leaves in it, in units of the stated noise.  NULL for fewer than three channels.
+    """
+
+    @F.pandas_udf("value double, minus double, plus double")
+    def run(n: pd.Series, chi: pd.Series) -> pd.DataFrame:
+        parts = [noise_posterior(n.to_numpy()[at : at + BLOCK], chi.to_numpy(float)[at : at + BLOCK]) for at in range(0, len(n), BLOCK)]
+        return pd.DataFrame(np.concatenate(parts) if parts else np.empty((0, 3)), columns=["value", "minus", "plus"])
+
+    def known(c: str) -> Column:
+        return F.when(finite(c), F.col(c))
+
+    sums = thin_residuals(fractional, peaks, keys)
+    found = sums.select(*keys, *[run(f"n_{s}", f"chi_{s}").alias(f"_{s}") for s in ("q", "u")])
+    return found.select(*keys, *[known(f"_{s}.{part}").alias(f"sigma_add_{s}{end}") for s in ("q", "u") for part, end in (("value", ""), ("minus", "_minus"), ("plus", "_plus"))])
