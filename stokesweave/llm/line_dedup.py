@@ -1,15 +1,13 @@
 """Removal of boilerplate lines by the number of distinct sites they stand on.
 
-1. Lines that stand on one site only are set aside by the least and the greatest site hash of a line,
-   which aggregate before the shuffle.
-2. For the others a HyperLogLog sketch of the sites per line hash is merged by aggregation.
-3. Lines whose estimate lies near the threshold get an exact distinct count.
-4. Lines at or over the threshold are removed from their documents.
+1. A HyperLogLog sketch of the sites per line hash is built from the raw lines and merged by one aggregation.
+2. Lines whose estimate lies near the threshold get an exact distinct count; no other line does.
+3. Lines at or over the threshold are removed from their documents.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stokesweave.llm.common import text_of
@@ -18,11 +16,11 @@ from stokesweave.session import cut_lineage
 LG_K = 10  # registers of a sketch, as a power of two; standard error about 1.04 / sqrt(2**LG_K)
 
 
-def _lines(df: DataFrame, site: str, text: str, *more: str) -> DataFrame:
-    """Position, hash of the trimmed line and of the site for each line with visible characters."""
-    return df.select(*more, F.xxhash64(F.col(site)).alias("site"), F.posexplode(F.split(text_of(text), "\n")).alias("at", "line")).filter(F.trim("line") != "").select(
-        *more, "site", "at", F.xxhash64(F.trim("line")).alias("line")
-    )
+def _lines(df: DataFrame, site: str, text: str, *more: Column) -> DataFrame:
+    """``more``, position, hash of the trimmed line and of the site for each line with visible characters."""
+    names = df.select(*more).columns
+    rows = df.select(*more, F.xxhash64(F.col(site)).alias("site"), F.posexplode(F.split(text_of(text), "\n")).alias("at", "line"))
+    return rows.filter(F.trim("line") != "").select(*names, "site", "at", F.xxhash64(F.trim("line")).alias("line"))
 
 
 def boilerplate_lines(df: DataFrame, min_sites: int = 10, site: str = "source", text: str = "text", band: float | None = None) -> DataFrame:
@@ -34,13 +32,12 @@ def boilerplate_lines(df: DataFrame, min_sites: int = 10, site: str = "source",
     if band is None:
         band = 5 * 1.04 / 2 ** (LG_K / 2)
     known = df.filter(F.col(text).isNotNull())
-    # a line on many documents leaves one row for each site and task
-    lines = _lines(known, site, text).select("line", "site").distinct()
-    spread = lines.groupBy("line").agg(F.min("site").alias("low"), F.max("site").alias("high")).filter("low <> high").select("line")
-    pairs = lines.join(spread, "line", "left_semi")
-    estimated = cut_lineage(pairs.groupBy("line").agg(F.hll_sketch_agg("site", F.lit(LG_K)).alias("sketch")).select("line", F.hll_sketch_estimate("sketch").alias("sites")).filter(F.col("sites") >= min_sites * (1 - band)))
+    lines = _lines(known, site, text).select("line", "site")
+    # sketches merge before the shuffle, so a line on many documents leaves one row for each task
+    sketches = lines.groupBy("line").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG_K))).alias("sites"))
+    estimated = cut_lineage(sketches.filter(F.col("sites") >= min_sites * (1 - band)))
     unsure = estimated.filter(F.col("sites") <= min_sites * (1 + band)).select("line")
-    exact = pairs.join(unsure, "line", "left_semi").groupBy("line").agg(F.count("*").alias("sites")).filter(F.col("sites") >= min_sites)
+    exact = lines.join(unsure, "line", "left_semi").distinct().groupBy("line").agg(F.count("*").alias("sites")).filter(F.col("sites") >= min_sites)
     return estimated.filter(F.col("sites") > min_sites * (1 + band)).unionByName(exact)
 
 
@@ -57,25 +54,21 @@ def remove_boilerplate(df: DataFrame, min_sites: int = 10, most_removed: float |
     lines = boilerplate_lines(df, min_sites, site, text).select("line")
     found = cut_lineage(lines)
     value = F.xxhash64(text_of(text))
-    where = (
-        _lines(df.withColumn("__text", value), site, text, "__text")
-        .join(found, "line", "left_semi")
-        .groupBy("__text")
-        .agg(F.collect_set("at").alias("__at"))
-    )
+    where = _lines(df, site, text, value.alias("key")).join(found, "line", "left_semi").groupBy("key").agg(F.collect_set("at").alias("marked"))
     names = [c for c in df.columns if c not in ("n_lines", "n_removed")]
-    parts = F.split(F.col(text), "\n")
-    joined = df.select(*names).withColumn("__text", value).join(where, "__text", "left").withColumn("__parts", parts)
-    kept = F.filter("__parts", lambda line, at: F.col("__at").isNull() | ~F.array_contains("__at", at))
+    # the row travels as one column, so its names meet no others
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), value.alias("key"), F.col(text).alias("whole"), F.split(F.col(text), "\n").alias("parts"))
+    left = F.filter("parts", lambda line, at: F.col("marked").isNull() | ~F.array_contains("marked", at))
+    joined = rows.join(where, "key", "left").withColumn("left", left).withColumn("shorter", F.array_join("left", "\n"))
     if most_removed is None:
-        cut = F.exists("__kept", lambda line: F.trim(line) != "")
+        fits = F.exists("left", lambda line: F.trim(line) != "")
     else:
-        cut = F.length(text) - F.length("__new") <= most_removed * F.length(text)
-    shorter = joined.withColumn("__kept", kept).withColumn("__new", F.array_join("__kept", "\n")).withColumn("__cut", F.coalesce(F.col("__at").isNotNull() & cut, F.lit(False)))
-    return shorter.select(
-        *[F.when(F.col("__cut"), F.col("__new")).otherwise(F.col(c)).alias(c) if c == text else F.col(c) for c in names],
-        F.coalesce(F.size("__parts"), F.lit(0)).cast("bigint").alias("n_lines"),
-        F.when(F.col("__cut"), F.size("__at")).otherwise(0).cast("bigint").alias("n_removed"),
+        fits = F.length("whole") - F.length("shorter") <= most_removed * F.length("whole")
+    decided = joined.withColumn("cut", F.coalesce(F.col("marked").isNotNull() & fits, F.lit(False)))
+    return decided.select(
+        *[F.when(F.col("cut"), F.col("shorter")).otherwise(F.col("whole")).alias(c) if c == text else F.col("row").getField(c).alias(c) for c in names],
+        F.coalesce(F.size("parts"), F.lit(0)).cast("bigint").alias("n_lines"),
+        F.when(F.col("cut"), F.size("marked")).otherwise(0).cast("bigint").alias("n_removed"),
     )
 
 
