@@ -56,10 +56,10 @@ def remove_boilerplate(df: DataFrame, min_sites: int = 10, most_removed: float |
     value = F.xxhash64(text_of(text))
     where = _lines(df, site, text, value.alias("key")).join(found, "line", "left_semi").groupBy("key").agg(F.collect_set("at").alias("marked"))
     names = [c for c in df.columns if c not in ("n_lines", "n_removed")]
-    # the row travels as one column, so its names meet no others
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), value.alias("key"), F.col(text).alias("whole"), F.split(F.col(text), "\n").alias("parts"))
+    # the row travels as one column, so its names meet no others; its text is split only behind the join
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), value.alias("key"))
     left = F.filter("parts", lambda line, at: F.col("marked").isNull() | ~F.array_contains("marked", at))
-    joined = rows.join(where, "key", "left").withColumn("left", left).withColumn("shorter", F.array_join("left", "\n"))
+    joined = rows.join(where, "key", "left").withColumn("whole", F.col("row").getField(text)).withColumn("parts", F.split("whole", "\n")).withColumn("left", left).withColumn("shorter", F.array_join("left", "\n"))
     if most_removed is None:
         fits = F.exists("left", lambda line: F.trim(line) != "")
     else:
