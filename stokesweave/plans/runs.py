@@ -155,8 +155,9 @@ def store_runs(spark: SparkSession, path: str, results: DataFrame, parts: int, k
     """Merge a run's elements into the stored table; the parts written.
 
     Only parts that hold a result are read (partition pruning) and overwritten (dynamic overwrite).  The merged
-    rows are written to the shared folder first, so that a lost executor never leaves the table to be
-    read and replaced at once; repeating the call is safe.  ``parts`` is that of ``store_components``.
+    rows are written to the shared folder first, so the table is never read and replaced at once, and repeating a
+    finished call is safe.  The swap of files is not atomic: if it breaks off, the error names the folder that keeps the merged rows,
+    from which ``write_upsert`` completes the table.  ``parts`` is that of ``store_components``.
     """
     keys = list(keys)
     # no more numbers than the table has parts
@@ -165,6 +166,9 @@ def store_runs(spark: SparkSession, path: str, results: DataFrame, parts: int, k
         return []
     whole = spark.read.parquet(path)
     merged, stage = written_stage(merge_runs(whole.where(F.col(PART).isin(touched)), results, keys, arr))
-    write_upsert(merged.repartition(min(len(touched), parts), PART), path, PART)
+    try:
+        write_upsert(merged.repartition(min(len(touched), parts), PART), path, PART)
+    except Exception as broken:
+        raise RuntimeError(f"{path} may lack rows of this run's parts; all of them are kept in {stage}") from broken
     drop_stage(spark, stage)
     return touched

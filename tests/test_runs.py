@@ -163,6 +163,23 @@ def test_store_runs_touches_only_its_parts_and_repeats_safely(spark):
     assert runs.store_runs(spark, path, results.limit(0), 64) == []
 
 
+def test_broken_write_names_the_folder_that_keeps_the_rows(spark, monkeypatch):
+    target, results = tables_of(spark)
+    path = scratch_path(spark, "stored")
+    runs.store_components(target, path, 4)
+
+    def broken(*_):
+        raise OSError("disk")
+
+    with monkeypatch.context() as m:
+        m.setattr(runs, "write_upsert", broken)
+        with pytest.raises(RuntimeError, match="kept in") as failure:
+            runs.store_runs(spark, path, results, 4)
+    kept = spark.read.parquet(str(failure.value).rsplit(" ", 1)[1])
+    runs.write_upsert(kept, path, runs.PART)
+    assert as_dict(spark.read.parquet(path)) == brute_merge(ROWS, RESULTS)
+
+
 def test_elements_carry_the_catalogue_keys(spark):
     measured = spectra_plan.spectral_measurements(lines(spark, SOURCES), PHI, max_iter=200)
     dead = measured.limit(0)
