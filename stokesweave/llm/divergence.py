@@ -225,8 +225,11 @@ def _price_block(best: int):
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         first, second = key[2].as_py(), key[3].as_py()
         names = rows["source"].combine_chunks().dictionary_encode()
-        group = names.indices.to_numpy(zero_copy_only=False) if names.null_count == 0 else names.indices.fill_null(len(names.dictionary)).to_numpy()
-        labels = names.dictionary.to_pylist()
+        found = names.dictionary.to_pylist()
+        # sources in order, so that every block names the two of a pair alike, however its rows come
+        labels = sorted(found)
+        order = {label: g for g, label in enumerate(labels)}
+        group = np.array([*(order[label] for label in found), len(labels)], np.int64)[names.indices.fill_null(len(found)).to_numpy()]
         place, n, tile = rows["place"].to_numpy(), rows["n"].to_numpy(), rows["tile"].to_numpy()
         whole = len(labels)
         width = rows["width"][0].as_py()

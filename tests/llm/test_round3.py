@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 P = pytest.importorskip("public_tokenizers")
@@ -66,6 +67,22 @@ def test_divergence_equals_brute_force(spark, monkeypatch, tile, block):
     assert got == divergence_by_hand(rows, 4, 5)
 
 
+def test_divergence_names_a_pair_alike_in_every_block():
+    # a shuffle brings the rows of one block in another order than those of the next
+    heads = [(s, -1, 20) for s in ("b", "ü", "a", "")]
+    cells = [("b", 0, 3), ("a", 0, 1), ("", 0, 2), (None, -1, 30), (None, 0, 6)]
+    key = ("en", 0, 0, 0)
+    named = []
+    for block, rows in enumerate([heads + cells, (heads + cells)[::-1]]):
+        table = pa.table(
+            {"source": pa.array([r[0] for r in rows], pa.string()), "tile": [0] * len(rows), "place": pa.array([r[1] for r in rows], pa.int32()), "n": [r[2] for r in rows], "width": pa.array([1] * len(rows), pa.int32())}
+        )
+        out = divergence._price_block(5)(tuple(pa.scalar(k) for k in (key[0], block, *key[2:])), table).to_pylist()
+        named.append(sorted((r["kind"], r["source"], r["other"] or "", r["value"]) for r in out))
+    assert named[0] == named[1]
+    assert len({(r[1], r[2]) for r in named[0] if r[0] == 0}) == 6
+
+
 def test_divergence_of_nothing(spark):
     assert divergence.audit(spark.createDataFrame([], DOCS)).collect() == []
 
