@@ -49,6 +49,21 @@ def test_bracketed_quantiles_match_numpy(spark, tight_brackets):
     check_quantiles(spark)
 
 
+def test_wide_brackets_under_any_key_name(spark, tight_brackets):
+    names = ["_k", "_n", "_a", "lo", "hi", "rank", "w", "before", "inside"]
+    values = {k: [float(i * i % 97) for i in range(60 * k)] for k in (1, 2)}
+    df = spark.createDataFrame([(k, v) for k, vs in values.items() for v in vs], "key int, x double")
+    df = df.select(*[F.col("key").alias(c) for c in names], "x")
+    for r in orderstats.grouped_median(df, names, "x").collect():
+        assert r.median == np.median(values[r["_k"]])
+
+
+def test_large_groups_are_clipped_with_wide_brackets(spark, tight_brackets):
+    g = {"normal": samples()["normal"]}
+    for r in clipping.clip_limits(frame(spark, g), ["g"], "v", 2.5, "median", "std", maxiters=1, small_group=50).collect():
+        assert np.allclose([r.centre, r.scale, r.lo, r.hi, r.n_kept], clipping.clip_array(np.array(g[r.g]), 2.5, "median", "std", 1))
+
+
 def test_selection_among_ten_million_values(spark):
     n = 10_000_000
     mixed = np.arange(n, dtype=np.int64) * 2654435761 % (1 << 32)
