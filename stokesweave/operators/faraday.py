@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from stokesweave.functions.numeric import finite, known_gt, ratio
 from stokesweave.functions.spectral import SPEED_OF_LIGHT, lambda_sq
 from stokesweave.operators.keyed import skew_join
+from stokesweave.session import cut_lineage
 
 GAP_BUCKETS = 4096
 BLOCK = 128  # spectra that are transformed together
@@ -603,27 +604,9 @@ def cc_moment2(components: DataFrame, keys: Sequence[str] = ("cat_id",)) -> Data
 # --- ionosphere --------------------------------------------------------------
 
 
-MODULATION_BLOCK = 4096  # readings whose phasors are summed at once
-
-
-def _phasor_batches(n_keys: int):
-    """Sums of exp(2i RM lambda^2) over each row's readings and over each group's channels; arrays stay as long as the band."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bands, readings = _rows_of(batch.column(n_keys)), _rows_of(batch.column(n_keys + 1))
-            re, im = [], []
-            for l2, rm in zip(bands, readings):
-                total = np.zeros(len(l2), complex)
-                for at in range(0, len(rm), MODULATION_BLOCK):
-                    total += np.exp(2j * np.outer(rm[at : at + MODULATION_BLOCK], l2)).sum(axis=0)
-                re.append(total.real)
-                im.append(total.imag)
-            kind = pa.list_(pa.float64())
-            arrays = [*(batch.column(k) for k in range(n_keys)), pa.array(re, kind), pa.array(im, kind), pa.array([len(r) for r in readings], pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names[:n_keys], "re", "im", "n"])
-
-    return run
+MODULATION_BLOCK = 64  # readings that a short cell of time holds on average
+CELL_RADIX = 4  # short cells in a cell of the next level
+MOST_LEVELS = 12
 
 
 def window_modulation(
@@ -644,30 +627,63 @@ def window_modulation(
     lists ``band, chan, freq``.  Returns the columns of ``windows`` with ``chan, re, im, n``; both ends of a window belong to it, and
     windows without a finite reading, without a length or a start have no rows.  Rows that are equal count as one window.
 
-    The range join is an equi-join on (key, bucket of time): a window is repeated over the buckets it touches, a reading is in one.  Buckets are as
-    long as the mean window, so a window meets few readings beside its own; a long series is spread over its buckets, and its readings are gathered a bucket at a time.
+    Readings are summed, by channel, over short cells of time and over cells ``CELL_RADIX`` times as long, and so on up to the mean window.  A window takes
+    the longest cells that lie in it, so it meets few of them however many readings it holds; single readings are
+    looked at only in a short cell that an end of the window cuts.  A short cell (``bucket``) holds ``MODULATION_BLOCK`` on average.
     """
     rows = windows.where(finite(start) & finite(length) & (F.col(length) >= 0)).distinct()
-    if bucket is None:
-        bucket = rows.agg(F.avg(length)).first()[0] or 0.0
-    step = float(bucket) if bucket and bucket > 0 else 1.0
-    begin, end = F.col(start).cast("double"), F.col(start).cast("double") + F.col(length)
+    series = iono.where(finite(rm) & finite(time)).select(F.col(key).alias("_key"), F.col(time).cast("double").alias("_t"), F.col(rm).cast("double").alias("_rm"))
+    mean = rows.agg(F.avg(length)).first()[0] or 1.0
+    if bucket and bucket > 0:
+        depth = max(0, math.ceil(math.log(mean / bucket, CELL_RADIX)))
+        step = float(bucket)
+    else:
+        crowd = series.groupBy("_key").agg(F.count("*").cast("double").alias("_n"), F.greatest(F.max("_t") - F.min("_t"), F.lit(mean)).alias("_span"))
+        held = (crowd.agg(F.sum(F.col("_n") * F.col("_n") / F.col("_span")) / F.sum("_n")).first()[0] or 0.0) * mean
+        depth = min(MOST_LEVELS, max(0, math.ceil(math.log(max(held / MODULATION_BLOCK, 1.0), CELL_RADIX))))
+        step = mean / CELL_RADIX**depth
+    series = series.withColumn("_slot", F.floor(F.col("_t") / step))
     names = windows.columns
+    begin, end = F.col(start).cast("double"), F.col(start).cast("double") + F.col(length)
     packed = rows.select(F.struct(*names).alias("_w"), F.col(key).alias("_key"), F.col(band).alias("_band"), begin.alias("_from"), end.alias("_to"))
-    probe = packed.withColumn("_slot", F.explode(F.sequence(F.floor(F.col("_from") / step), F.floor(F.col("_to") / step))))
-    series = iono.where(finite(rm) & finite(time)).select(F.col(key).alias("_key"), F.col(time).cast("double").alias("_t"), F.col(rm).cast("double").alias("_rm"))
-    met = skew_join(probe, series.withColumn("_slot", F.floor(F.col("_t") / step)), ["_key", "_slot"], F.col("_t").between(F.col("_from"), F.col("_to")))
-    # the share of a window in a bucket, cut once more where a bucket is crowded
-    share = met.withColumn("_part", F.pmod(F.xxhash64("_t", "_rm"), F.lit(16)))
-    gathered = share.groupBy("_w", "_band", "_slot", "_part").agg(F.collect_list("_rm").alias("_rms"))
-    lists = bands.where(finite("freq")).groupBy(F.col(band).alias("_band")).agg(F.array_sort(F.collect_list(F.struct("chan", lambda_sq("freq").alias("l2")))).alias("_c"))
-    ready = gathered.join(lists, "_band").select("_w", "_c.chan", F.col("_c.l2").alias("l2"), "_rms")
-    whole = windows.select(F.struct(*names).alias("_w")).schema["_w"].dataType.simpleString()
-    chan = bands.schema["chan"].dataType.simpleString()
-    sums = ready.mapInArrow(_phasor_batches(2), f"_w {whole}, chan array<{chan}>, re array<double>, im array<double>, n long")
-    each = sums.select("_w", "n", F.explode(F.arrays_zip("chan", "re", "im")).alias("_s"))
-    mean = each.groupBy("_w", F.col("_s.chan").alias("chan")).agg((F.sum("_s.re") / F.sum("n")).alias("re"), (F.sum("_s.im") / F.sum("n")).alias("im"), F.sum("n").alias("n"))
-    return mean.select("_w.*", "chan", "re", "im", "n")
+    packed = packed.withColumns({"_first": F.floor(F.col("_from") / step), "_last": F.floor(F.col("_to") / step)})
+
+    # sums of the cells of every level; the channels are a band's
+    listed = bands.where(finite("freq")).select(F.col(band).alias("_band"), "chan", lambda_sq("freq").alias("_l2"))
+    angle = 2.0 * F.col("_rm") * F.col("_l2")
+    phasors = [F.sum(F.cos(angle)).alias("_re"), F.sum(F.sin(angle)).alias("_im"), F.count("*").alias("_n")]
+    totals = [F.sum(c).alias(c) for c in ("_re", "_im", "_n")]
+    short = cut_lineage(series.crossJoin(F.broadcast(listed)).groupBy("_key", "_slot", "_band", "chan").agg(*phasors))
+    wide = F.array(*[F.struct(F.lit(k).alias("_level"), F.floor(F.col("_slot") / CELL_RADIX**k).alias("_cell")) for k in range(depth + 1)])
+    cells = short.select("*", F.explode(wide).alias("_c")).select("*", "_c.*").groupBy("_key", "_level", "_cell", "_band", "chan").agg(*totals)
+
+    def level(k: int, lo: Column, hi: Column) -> Column:
+        """Cells from ``lo`` up to but not including ``hi``."""
+        item = F.transform(F.sequence(lo, hi - 1), lambda c: F.struct(F.lit(k).alias("_level"), c.alias("_cell")))
+        return F.when(lo < hi, item).otherwise(F.filter(item, lambda _: F.lit(False)))
+
+    taken, lo, hi = [], F.col("_first") + 1, F.col("_last")
+    for k in range(depth):
+        # up to the next border of a longer cell, and from the last one on
+        up, down = F.ceil(lo / CELL_RADIX), F.floor(hi / CELL_RADIX)
+        apart = up <= down
+        taken += [level(k, lo, F.when(apart, up * CELL_RADIX).otherwise(hi)), level(k, F.when(apart, down * CELL_RADIX).otherwise(hi), hi)]
+        lo, hi = up, down
+    taken.append(level(depth, lo, hi))
+    inner = packed.select("_w", "_key", "_band", F.explode(F.flatten(F.array(*taken))).alias("_c")).select("_w", "_key", "_band", "_c.*")
+    # the cells at the ends: whole where all their readings are in the window, else reading by reading
+    ends = packed.withColumn("_slot", F.explode(F.array_distinct(F.array("_first", "_last"))))
+    spans = series.groupBy("_key", "_slot").agg(F.min("_t").alias("_t0"), F.max("_t").alias("_t1"))
+    ends = cut_lineage(ends.join(spans, ["_key", "_slot"]).where((F.col("_t1") >= F.col("_from")) & (F.col("_t0") <= F.col("_to"))))
+    whole = (F.col("_t0") >= F.col("_from")) & (F.col("_t1") <= F.col("_to"))
+    asked = inner.unionByName(ends.where(whole).select("_w", "_key", "_band", F.lit(0).alias("_level"), F.col("_slot").alias("_cell")))
+    parts = ["_w", "chan", "_re", "_im", "_n"]
+    sums = asked.join(cells, ["_key", "_level", "_cell", "_band"]).select(*parts)
+    crossed = ends.where(~whole).select("_w", "_key", "_band", "_from", "_to", "_slot")
+    met = skew_join(crossed, series, ["_key", "_slot"], F.col("_t").between(F.col("_from"), F.col("_to"))).select("_w", "_band", "_rm")
+    sums = sums.unionByName(met.join(F.broadcast(listed), "_band").groupBy("_w", "chan").agg(*phasors).select(*parts))
+    out = sums.groupBy("_w", "chan").agg(*totals)
+    return out.select("_w.*", "chan", (F.col("_re") / F.col("_n")).alias("re"), (F.col("_im") / F.col("_n")).alias("im"), F.col("_n").alias("n"))
 
 
 def faraday_modulation(

@@ -248,6 +248,30 @@ def test_modulation_of_own_windows_and_bands(spark, monkeypatch):
     assert all(abs(complex(got[k].re, got[k].im) - v) < 1e-9 and got[k].n == n and got[k].note == "kept" for k, (v, n) in want.items())
 
 
+def test_modulation_meets_few_cells_a_window(spark, monkeypatch):
+    """Windows are made of sums over long cells; single readings are met at their ends alone."""
+    met = []
+
+    def counted(left, right, *rest):
+        out = skew_join(left, right, *rest)
+        met.append(out.count())
+        return out
+
+    skew_join = faraday.skew_join
+    monkeypatch.setattr(faraday, "skew_join", counted)
+    iono = spark.range(40_000).select(F.lit(1).alias("source_id"), (F.col("id") / 400.0).alias("t"), (F.col("id") % 7).cast("double").alias("rm"))
+    wins = spark.range(60).select("id", F.lit(1).alias("source_id"), (F.col("id") * 0.9 + 0.001).alias("start"), (F.lit(20.0) + F.col("id") % 13).alias("length"), F.lit(0).alias("band"))
+    band = spark.createDataFrame([(0, 0, 1e9), (0, 1, 1.2e9)], "band int, chan int, freq double")
+    got = faraday.window_modulation(iono, wins, band).collect()
+    t, rm = np.arange(40_000) / 400.0, np.arange(40_000) % 7.0
+    assert len(got) == 120
+    for r in got:
+        inside = (t >= r.start) & (t <= r.start + r.length)
+        want = np.exp(2j * rm[inside] * (299792458.0 / (1e9, 1.2e9)[r.chan]) ** 2).mean()
+        assert r.n == inside.sum() and abs(complex(r.re, r.im) - want) < 1e-9
+    assert sum(met) < 60 * 2 * 4 * faraday.MODULATION_BLOCK  # 60 windows of 8,000 and more readings each
+
+
 def test_power_law_fits_come_to_rest_each_for_itself():
     """A block of spectra gives what each spectrum gives alone; one that is cut short is no success."""
     rng = np.random.default_rng(8)
