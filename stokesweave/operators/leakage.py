@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +13,9 @@ from stokesweave.functions.numeric import finite
 from stokesweave.functions.spectral import hi_snr
 from stokesweave.operators.keyed import HOT_ROWS, skew_join, with_scalars
 from stokesweave.operators.orderstats import grouped_quantiles, trimmed_mean
+from stokesweave.session import Stages
+
+TILE_POINTS = 4_000_000  # points around a tile that one task gathers, 160 MB
 
 # Percent levels of the envelope bins: two- and one-sigma bounds and the median.
 LEVELS = {"s2_lo": 0.023, "s1_lo": 0.16, "med": 0.5, "s1_up": 0.84, "s2_up": 0.976}
@@ -130,20 +134,84 @@ def leakage_map(
     fraction: float = 0.2,
     min_points: int = 5,
     grid: DataFrame | None = None,
+    tile_points: int = TILE_POINTS,
 ) -> DataFrame:
     """Trimmed means of q, u and p around each node: node_id, x, y, n, q, u, p.
 
-    Nodes with fewer than ``min_points`` points get NULL estimates.  The trimming
-    is exact and does not gather an aperture in one task.
+    Nodes with fewer than ``min_points`` points get NULL estimates.  The trimming is exact.  The plane is cut into tiles two radii
+    wide; a tile's nodes share one copy of the points around it, so a point is repeated for about four tiles whatever the number of nodes.  Tiles with
+    more than ``tile_points`` points around them, and nodes that share an id, are trimmed by distributed selection instead.
     """
-    good = points.where(finite("q") & finite("u")).select("x", "y", "q", "u", F.hypot("q", "u").alias("p"))
-    nodes = grid if grid is not None else estimator_grid(good, step or radius / 4.0)
+    stages = Stages()
+    good = stages.cut(points.where(finite("q") & finite("u")).select("x", "y", "q", "u", F.hypot("q", "u").alias("p")))
+    nodes = stages.cut(grid if grid is not None else estimator_grid(good, step or radius / 4.0))
+    side = 2.0 * radius
+
+    def tile(c: str, reach: float) -> Column:
+        first, last = F.floor((F.col(c) - reach) / side), F.floor((F.col(c) + reach) / side)
+        return F.explode(F.sequence(first, last))
+
+    def placed(df: DataFrame, reach: float) -> DataFrame:
+        near = df.where(finite("x") & finite("y"))
+        return near.withColumn("_tx", tile("x", reach)).withColumn("_ty", tile("y", reach))
+
+    # a node with an id of its own; rows that share one share an aperture, which may span tiles
+    alone = nodes.groupBy("node_id").agg(F.count(F.lit(1)).alias("_n")).where("_n = 1").select("node_id")
+    asking = placed(nodes.join(alone, "node_id", "left_semi").select("node_id", "x", "y"), 0.0)
+    around = placed(good, float(radius))
+    busy = stages.cut(around.groupBy("_tx", "_ty").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > tile_points).select("_tx", "_ty"))
+    shared = nodes.join(alone, "node_id", "left_anti").select("node_id", "x", "y")
+    far = shared.unionByName(asking.join(busy, ["_tx", "_ty"], "left_semi").select("node_id", "x", "y"))
+    tiled, met = (df if busy.isEmpty() else df.join(busy, ["_tx", "_ty"], "left_anti") for df in (asking, around))
+    kind = nodes.schema["node_id"].dataType.simpleString()
+    wide = (
+        tiled.groupBy("_tx", "_ty")
+        .cogroup(met.groupBy("_tx", "_ty"))
+        .applyInArrow(_tile_means(float(radius), fraction), f"node_id {kind}, n bigint, q double, u double, p double")
+    )
+    if not far.isEmpty():
+        wide = wide.unionByName(_selected_means(far, good, radius, fraction))
+    out = nodes.join(wide, "node_id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return out.withColumns({s: F.when(F.col("n") >= min_points, F.col(s)) for s in "qup"})
+
+
+def _selected_means(nodes: DataFrame, good: DataFrame, radius: float, fraction: float) -> DataFrame:
+    """Trimmed means around nodes by distributed selection over the pairs of node and point; no task gathers an aperture."""
     pairs = aperture_join(nodes, good, radius, ["node_id"]).select(
         "node_id", F.explode(F.array(*[F.struct(F.lit(s).alias("s"), F.col(s).alias("v")) for s in "qup"])).alias("_e")
     )
     means = trimmed_mean(pairs.select("node_id", "_e.s", "_e.v"), ["node_id", "s"], "v", fraction)
-    wide = means.groupBy("node_id").agg(
+    return means.groupBy("node_id").agg(
         F.max("n").alias("n"), *[F.max(F.when(F.col("s") == s, F.col("trimmed_mean"))).alias(s) for s in "qup"]
     )
-    out = nodes.join(wide, "node_id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    return out.withColumns({s: F.when(F.col("n") >= min_points, F.col(s)) for s in "qup"})
+
+
+def _tile_means(radius: float, fraction: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The function that gives the trimmed means around the nodes of one tile from the points around it."""
+
+    def trimmed(values: np.ndarray) -> tuple[int, float | None]:
+        values = values[np.isfinite(values)]
+        n = len(values)
+        if not n:
+            return 0, None
+        cut = int(np.floor(n * fraction))
+        ranked = np.partition(values, [cut, n - 1 - cut])
+        lo, hi = ranked[cut], ranked[n - 1 - cut]
+        return n, float(lo if lo == hi else ranked[cut : n - cut].mean())
+
+    def run(nodes: pa.Table, points: pa.Table) -> pa.Table:
+        x = points["x"].to_numpy()
+        order = np.argsort(x, kind="stable")
+        x, y, *values = (points[c].to_numpy()[order] for c in ("x", "y", "q", "u", "p"))
+        rows: list[list] = []
+        for gx, gy in zip(nodes["x"].to_pylist(), nodes["y"].to_pylist()):
+            # a strip a little wider than the aperture, then the distance itself
+            first, last = np.searchsorted(x, gx - 1.001 * radius), np.searchsorted(x, gx + 1.001 * radius, "right")
+            inside = first + np.flatnonzero(np.hypot(x[first:last] - gx, y[first:last] - gy) < radius)
+            found = [trimmed(v[inside]) for v in values]
+            rows.append([max(n for n, _ in found), *[mean for _, mean in found]])
+        out = dict(zip("nqup", zip(*rows))) if rows else dict.fromkeys("nqup", ())
+        types = {"n": pa.int64()} | dict.fromkeys("qup", pa.float64())
+        return pa.table({"node_id": nodes["node_id"]} | {c: pa.array(out[c], t) for c, t in types.items()})
+
+    return run

@@ -303,6 +303,38 @@ def test_leakage_map_needs_five_points(spark):
     assert rows[2].n == 6 and math.isclose(rows[2].q, 0.02)
 
 
+def test_leakage_map_shares_points_by_tile(spark, monkeypatch):
+    """Nodes of a tile share its points, no pair of node and point is a row; crowded tiles and shared ids give the same by selection."""
+    rng = np.random.default_rng(5)
+    xy, qu = rng.uniform(-7, 7, (400, 2)), rng.normal(0, 0.1, (400, 2))
+    rows = [(*map(float, a), *map(float, b)) for a, b in zip(xy, qu)]
+    pts = spark.createDataFrame([*rows, (0.0, 0.0, float("nan"), 0.1), (float("inf"), 0.0, 0.1, 0.1)], "x double, y double, q double, u double")
+    nodes = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(-8, 8, (30, 2)))] + [(99, float("nan"), 0.0)]
+    grid = spark.createDataFrame(nodes, "node_id long, x double, y double")
+
+    def means(**more) -> dict:
+        return {r.node_id: (r.n, r.q, r.u, r.p) for r in leakage.leakage_map(pts, 2.0, **{"grid": grid, **more}).collect()}
+
+    selected = means(tile_points=0)
+    twice = leakage.leakage_map(pts, 2.0, grid=grid.unionByName(grid.where("node_id = 3"))).where("node_id = 3").collect()
+    assert [r.n for r in twice] == [2 * selected[3][0]] * 2
+
+    def no_pairs(*args, **more):
+        raise AssertionError("pairs of nodes and points")
+
+    monkeypatch.setattr(leakage, "aperture_join", no_pairs)
+    tiled = means()
+    for i, gx, gy in nodes:
+        inside = np.flatnonzero(np.hypot(xy[:, 0] - gx, xy[:, 1] - gy) < 2.0)
+        want = [len(inside)]
+        for v in (qu[inside, 0], qu[inside, 1], np.hypot(*qu[inside].T)):
+            cut = int(len(v) * 0.2)
+            want.append(float(np.sort(v)[cut : len(v) - cut].mean()) if len(v) >= 5 else None)
+        for got in (tiled[i], selected[i]):
+            assert got[0] == want[0]
+            assert all(a is b is None or math.isclose(a, b, abs_tol=1e-12) for a, b in zip(got[1:], want[1:]))
+
+
 def test_fit_flags_and_poly(spark):
     row = spark.range(1).select(spectral.eval_poly(F.lit(2.0), [1.0, 2.0, 3.0]).alias("p"), *[c.alias(n) for n, c in spectral.fit_status_flags(F.lit(64)).items()]).first()
     assert row.p == 17.0 and not row.is_negative and row.is_close_to_zero and row.is_not_finite and row.is_not_normal
