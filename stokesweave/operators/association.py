@@ -18,11 +18,12 @@ from stokesweave.functions.numeric import as_col, finite, finite_or_null, ratio
 from stokesweave.functions.sky import offset_by, position_angle, sep_deg, wrap180, wrap360
 from stokesweave.functions.text import normalise_field_name
 from stokesweave.operators import nearest
-from stokesweave.operators.keyed import HOT_ROWS, in_ids, skew_join
+from stokesweave.operators.keyed import HOT_ROWS, in_ids, skew_join, with_scalars
 from stokesweave.session import Stages, cut_lineage
 
 PAD = 1e-9
 ROW_BITS = 1 << 32
+LONGEST_LIST = 20_000  # pointings that travel to the sources of a cell as one list
 
 
 def _zone_of(dec: Column, height: Column) -> Column:
@@ -488,10 +489,61 @@ def source_box(
 
 
 def beam_pairs(
-    islands: DataFrame, pointings: DataFrame, radius_deg: float = 1.0, hot_rows: int | None = HOT_ROWS
+    islands: DataFrame,
+    pointings: DataFrame,
+    radius_deg: float = 1.0,
+    hot_rows: int | None = HOT_ROWS,
+    nested: bool = False,
+    source: str = "source_id",
+    longest: int = LONGEST_LIST,
 ) -> DataFrame:
-    """(source, beam pointing) pairs within a radius; columns of both tables."""
-    return sky_radius_join(pointings, islands, radius_deg, hot_rows=hot_rows)
+    """(source, beam pointing) pairs within a radius; columns of both tables.
+
+    ``nested`` gives one row per source instead, with its pointings by field: ``source, pointings``.  A cell's pointings then
+    travel as one list to the sources of the cell, so no pair is a row and none is shuffled.  Sources that have several rows, and those in
+    cells with more than ``longest`` pointings, take the way over pairs.
+    """
+    if not nested:
+        return sky_radius_join(pointings, islands, radius_deg, hot_rows=hot_rows)
+    size = F.lit(max(0.5 * radius_deg, 1e-4))
+    beam = ["beam_num", "sbid"]
+    rows = islands.select(source, "ra", "dec").withColumn("_cell", home_cell("ra", "dec", size))
+    reached = pointings.withColumn("_cell", F.explode(touched_cells("ra", "dec", F.lit(float(radius_deg)), size)))
+    again = cut_lineage(rows.groupBy(source).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col(source).alias("_again")))
+    hot = cut_lineage(reached.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > longest).select("_cell"))
+    apart = []
+    if not again.isEmpty():
+        same = F.col(source).eqNullSafe(F.col("_again"))
+        apart.append(rows.join(again, same, "left_semi"))
+        rows = rows.join(again, same, "left_anti")
+    if not hot.isEmpty():
+        apart.append(rows.join(hot, "_cell", "left_semi").select(source, "ra", "dec", "_cell"))
+        rows = rows.join(hot, "_cell", "left_anti")
+        reached = reached.join(hot, "_cell", "left_anti")
+    # the cosine of the separation settles all pairs but those next to the radius
+    unit = nearest.unit_vector("ra", "dec")
+    rows = rows.withColumns({f"_{a}": c for a, c in unit.items()})
+    place = [*[c.alias(f"_{a}") for a, c in unit.items()], "ra", "dec"]
+    limit = math.cos(math.radians(radius_deg))
+    lists = reached.groupBy("_cell", "field_name").agg(F.collect_list(F.struct(*beam, *place)).alias("beams"))
+    lists = lists.groupBy("_cell").agg(F.collect_list(F.struct("field_name", "beams")).alias("_lists"))
+
+    def close(b: Column) -> Column:
+        cosine = sum(b[f"_{a}"] * F.col(f"_{a}") for a in unit)
+        inside = (cosine > limit + PAD) & (cosine < 2.0)  # NaN is neither
+        return inside | ((cosine > limit - PAD) & (sep_deg(b["ra"], b["dec"], "ra", "dec") < radius_deg))
+
+    def near(f: Column) -> Column:
+        found = F.transform(F.filter(f["beams"], close), lambda b: F.struct(*[b[c].alias(c) for c in beam]))
+        return F.struct(f["field_name"].alias("field_name"), found.alias("beams"))
+
+    met = F.filter(F.transform("_lists", near), lambda f: F.size(f["beams"]) > 0)
+    out = rows.join(lists, "_cell").select(source, met.alias("pointings")).where(F.size("pointings") > 0)
+    for part in apart:
+        pairs = sky_radius_join(pointings, part.select(source, "ra", "dec"), radius_deg, hot_rows=hot_rows)
+        by_field = pairs.groupBy(source, "field_name").agg(F.collect_list(F.struct(*beam)).alias("beams"))
+        out = out.unionByName(by_field.groupBy(source).agg(F.collect_list(F.struct("field_name", "beams")).alias("pointings")))
+    return out
 
 
 def source_fields(
@@ -499,9 +551,12 @@ def source_fields(
 ) -> DataFrame:
     """One row per (source, field): beam list, distinct SBIDs and the DR1 flag.
 
-    This is the normalised storage form.  ``tiles`` lists the catalogue's tiles.
+    This is the normalised storage form.  ``tiles`` lists the catalogue's tiles.  Nested pairs give one row
+    per source, with these rows in ``fields``; ``field_rows`` takes them out.
     """
     known = tiles.select(normalise_field_name(tile_col, epoch).alias("field_name")).distinct()
+    if "pointings" in pairs.columns:
+        return _nested_fields(pairs, known, epoch, source)
     grouped = (
         pairs.withColumn("field_name", normalise_field_name("field_name", epoch))
         .groupBy(source, "field_name")
@@ -518,8 +573,49 @@ def source_fields(
     )
 
 
+def _nested_fields(pairs: DataFrame, known: DataFrame, epoch: int, source: str) -> DataFrame:
+    """``source, fields`` of nested pairs, row by row; the known tiles are one list."""
+    rows = with_scalars(pairs, known.agg(F.collect_set("field_name").alias("_known")))
+    named = F.transform("pointings", lambda f: F.struct(normalise_field_name(f["field_name"], epoch).alias("field_name"), f["beams"].alias("beams")))
+    rows = rows.withColumn("_named", named)
+
+    def all_of(name: Column) -> Column:
+        same = F.filter("_named", lambda f: f["field_name"].eqNullSafe(name))
+        return F.struct(name.alias("field_name"), F.flatten(F.transform(same, lambda f: f["beams"])).alias("beams"))
+
+    # names that differ in their epoch's infix alone are one field
+    merged = F.transform(F.array_distinct(F.transform("_named", lambda f: f["field_name"])), all_of)
+    rows = rows.withColumn("_merged", F.when(F.size("_named") == F.size(F.array_distinct(F.transform("_named", lambda f: f["field_name"]))), F.col("_named")).otherwise(merged))
+
+    def values(f: Column, c: str) -> Column:
+        return F.filter(F.transform(f["beams"], lambda b: b[c]), lambda v: v.isNotNull())
+
+    def entry(f: Column) -> Column:
+        return F.struct(
+            f["field_name"].alias("field_name"),
+            F.sort_array(values(f, "beam_num")).alias("beam_list"),
+            F.sort_array(F.array_distinct(values(f, "sbid"))).alias("sbids"),
+            F.coalesce(F.array_contains("_known", f["field_name"]), F.lit(False)).alias("dr1"),
+        )
+
+    return rows.select(source, F.transform("_merged", entry).alias("fields"))
+
+
+def field_rows(per_field: DataFrame, source: str = "source_id") -> DataFrame:
+    """One row per (source, field) of the nested form."""
+    return per_field.select(source, F.explode("fields").alias("_f")).select(source, "_f.*")
+
+
 def source_beams(per_field: DataFrame, source: str = "source_id") -> DataFrame:
     """Nested form: one row per source with a map field -> struct and counts."""
+    if "fields" in per_field.columns:
+        inner = F.transform("fields", lambda f: F.struct(f["field_name"].alias("field_name"), F.struct(*[f[c].alias(c) for c in ("beam_list", "sbids", "dr1")])))
+        return per_field.select(
+            source,
+            F.size("fields").cast("long").alias("n_fields"),
+            F.size(F.filter("fields", lambda f: f["dr1"])).cast("long").alias("n_fields_dr1"),
+            F.map_from_entries(F.sort_array(inner)).alias("beams"),
+        )
     entry = F.struct("beam_list", "sbids", "dr1")
     return per_field.groupBy(source).agg(
         F.count(F.lit(1)).alias("n_fields"),
@@ -531,10 +627,17 @@ def source_beams(per_field: DataFrame, source: str = "source_id") -> DataFrame:
 def split_by_field_count(per_field: DataFrame, wanted: Sequence[str], source: str = "source_id") -> DataFrame:
     """Sources of the wanted DR1 fields, labelled single or multiple by the
     number of DR1 fields they have overall."""
-    counts = per_field.groupBy(source).agg(
-        F.count_if("dr1").alias("n_fields_dr1"),
-        F.max(F.col("dr1") & F.col("field_name").isin(list(wanted))).alias("_wanted"),
-    )
+    if "fields" in per_field.columns:
+        counts = per_field.select(
+            source,
+            F.size(F.filter("fields", lambda f: f["dr1"])).cast("long").alias("n_fields_dr1"),
+            F.exists("fields", lambda f: f["dr1"] & f["field_name"].isin(list(wanted))).alias("_wanted"),
+        )
+    else:
+        counts = per_field.groupBy(source).agg(
+            F.count_if("dr1").alias("n_fields_dr1"),
+            F.max(F.col("dr1") & F.col("field_name").isin(list(wanted))).alias("_wanted"),
+        )
     return counts.where("_wanted").select(
         source, "n_fields_dr1", F.when(F.col("n_fields_dr1") == 1, "single").otherwise("multiple").alias("kind")
     )

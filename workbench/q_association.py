@@ -169,7 +169,7 @@ def _(spark, d):
 
 def _per_field(spark, d, radius=3.0):
     islands = view(spark, d, "fx_islands").select("source_id", "ra", "dec")
-    pairs = association.beam_pairs(islands, view(spark, d, "fx_beam_inf"), radius)
+    pairs = association.beam_pairs(islands, view(spark, d, "fx_beam_inf"), radius, nested=True)
     tiles = view(spark, d, "fx_fields").where("sel = 1").select(F.col("field_name").alias("tile_id"))
     return association.source_fields(pairs, tiles, epoch=1)
 
@@ -187,7 +187,7 @@ PER_FIELD = f"""pf AS (SELECT i.source_id, b.field_name, MAX(CASE WHEN f.sel=1 T
     f"""WITH {PER_FIELD} SELECT source_id, field_name, beams, sbids, dr1=1 AS dr1 FROM pf""",
 )
 def _(spark, d):
-    return _per_field(spark, d).select(
+    return association.field_rows(_per_field(spark, d)).select(
         "source_id",
         "field_name",
         F.array_join(F.col("beam_list").cast("array<string>"), ",").alias("beams"),
@@ -241,7 +241,7 @@ def _(spark, d):
 @check("distinct_beams", f"""WITH {PER_FIELD.replace('pf AS', 'pg AS')} SELECT DISTINCT b.beam_num FROM fx_beam_inf b
     WHERE EXISTS (SELECT 1 FROM fx_islands i WHERE {s_sep('b.ra','b.dec','i.ra','i.dec')} < 3.0)""")
 def _(spark, d):
-    return release.distinct_beams(_per_field(spark, d))
+    return release.distinct_beams(association.field_rows(_per_field(spark, d)))
 
 
 @check(
@@ -263,7 +263,7 @@ def _(spark, d):
 def _(spark, d):
     out = fields.components_of_islands(
         view(spark, d, "fx_components").select("source_id", "cat_id"),
-        _per_field(spark, d),
+        association.field_rows(_per_field(spark, d)),
         view(spark, d, "fx_islands").select("source_id", "n_rows"),
     )
     return out.select("cat_id", "field_name", "n_rows")
