@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stokesweave.llm.common import map_texts, pieces_of, text_of
 from stokesweave.llm.components import components
@@ -62,36 +63,51 @@ def fingerprints(df: DataFrame, width: int = 3, key: str = "doc_id", text: str =
     return map_texts(df, run, f"`{key}` {df.schema[key].dataType.simpleString()}, fp bigint", key, text)
 
 
-def bit_counts(fps: DataFrame) -> tuple[int, np.ndarray]:
-    """Number of fingerprints and, for each pair of bits, how many have both set."""
+def bits_of(batch: pa.RecordBatch, words: list[str]) -> np.ndarray:
+    """The bits of the fingerprints in these columns, a row each."""
+    raw = np.stack([batch.column(w).to_numpy(zero_copy_only=False).astype("<i8") for w in words], axis=1)
+    return np.unpackbits(np.ascontiguousarray(raw).view(np.uint8), axis=1, bitorder="little")
+
+
+def bit_counts(fps: DataFrame, words: list[str] | None = None, block: int = 256) -> tuple[int, np.ndarray]:
+    """Number of fingerprints and, for each pair of bits, how many have both set.
+
+    Fingerprints longer than ``block`` bits are counted block by block; bits of different blocks are taken as independent.
+    """
+    words = words or ["fp"]
+    long = BITS * len(words)
+    starts = range(0, long, block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = np.zeros((BITS, BITS)), 0
+        total, n = [np.zeros((min(block, long - at),) * 2) for at in starts], 0
         for batch in batches:
-            raw = np.ascontiguousarray(batch.column(0).to_numpy(zero_copy_only=False).astype("<i8"))
-            bits = np.unpackbits(raw.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.float32)
-            total, n = total + bits.T @ bits, n + len(raw)
-        i, j = np.indices((BITS, BITS)).reshape(2, -1)
-        yield pa.RecordBatch.from_pydict({"i": [*i.tolist(), -1], "j": [*j.tolist(), -1], "n": [*total.astype(np.int64).ravel().tolist(), n]}, schema=pa.schema([("i", pa.int32()), ("j", pa.int32()), ("n", pa.int64())]))
-
-    both, size = np.zeros((BITS, BITS)), 0
-    for row in fps.select("fp").mapInArrow(run, "i int, j int, n bigint").groupBy("i", "j").agg(F.sum("n").alias("n")).collect():
+            bits = bits_of(batch, words).astype(np.float32)
+            total, n = [t + bits[:, at : at + block].T @ bits[:, at : at + block] for at, t in zip(starts, total)], n + len(bits)
+        schema = pa.schema([("i", pa.int32()), ("j", pa.int32()), ("n", pa.int64())])
+        for at, t in zip(starts, total):
+            i, j = np.indices(t.shape).reshape(2, -1) + at
+            yield pa.RecordBatch.from_pydict({"i": i, "j": j, "n": t.astype(np.int64).ravel()}, schema=schema)
+        yield pa.RecordBatch.from_pydict({"i": [-1], "j": [-1], "n": [n]}, schema=schema)
+
+    both, size = np.full((long, long), np.nan), 0
+    for row in fps.select(*words).mapInArrow(run, "i int, j int, n bigint").groupBy("i", "j").agg(F.sum("n").alias("n")).collect():
         if row["i"] < 0:
             size = row["n"]
         else:
             both[row["i"], row["j"]] = row["n"]
-    return size, both
+    one = np.nan_to_num(np.diag(both))
+    return size, np.where(np.isnan(both), np.outer(one, one) / max(size, 1), both)
 
 
-def group_bits(n: int, both: np.ndarray, parts: int) -> list[list[int]]:
-    """Bits in ``parts`` groups of nearly equal size; correlated bits go together."""
+def group_bits(n: int, both: np.ndarray, parts: int, width: int | None = None) -> list[list[int]]:
+    """Bits in ``parts`` groups of nearly equal size, or of ``width`` bits each; correlated bits go together."""
     p = np.diag(both) / max(n, 1)
     spread = np.sqrt(np.maximum(p * (1 - p), 1e-12))
     corr = np.abs((both / max(n, 1) - np.outer(p, p)) / np.outer(spread, spread))
     np.fill_diagonal(corr, 0)
-    free, groups = set(range(BITS)), []
+    free, groups = set(range(len(both))), []
     for g in range(parts):
-        size = (BITS - sum(map(len, groups))) // (parts - g)
+        size = width or (len(both) - sum(map(len, groups))) // (parts - g)
         left = sorted(free)
         group = [left[int(np.argmax(corr[np.ix_(left, left)].sum(axis=1)))]]
         free.discard(group[0])
@@ -224,6 +240,8 @@ def near_duplicates(df: DataFrame, width: int = 3, radius: int = 2, key: str = "
 
 
 WORDS64 = 4  # 64-bit words of a fingerprint that are compared, and of a parity map
+MOST = 2  # bits that two values of a part may differ in at most
+GAIN_STEPS = 12
 RECALL = 0.99  # chance that two texts at the similarity meet in some part, whatever the number of texts
 
 
@@ -245,6 +263,76 @@ def layout(nodes: int, similarity: float, recall: float = RECALL) -> tuple[int,
     return bits, max(WORDS64 * BITS // bits, needed)
 
 
+def allocate_for(cost: list[list[float]], gain: list[int], goal: int) -> tuple[float, list[int]] | None:
+    """Thresholds of least total cost whose gains sum to ``goal`` or more; none if no thresholds do.
+
+    ``cost[part][t + 1]`` and ``gain[t + 1]`` for t from -1, which skips the part.
+    """
+    best: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
+    for part in cost:
+        after: dict[int, tuple[float, list[int]]] = {}
+        for got, (total, chosen) in best.items():
+            for more, (c, g) in enumerate(zip(part, gain)):
+                at = min(goal, got + g)
+                if at not in after or total + c < after[at][0]:
+                    after[at] = (total + c, [*chosen, more - 1])
+        best = after
+    return best.get(goal)
+
+
+def with_slots(df: DataFrame, words: list[str], marked: list[tuple[int, list[int]]]) -> DataFrame:
+    """Rows with ``slots``: for each mark and group of bits the value of the fingerprint's part, plus the mark."""
+    schema = T.StructType([*df.schema.fields, T.StructField("slots", T.ArrayType(T.LongType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = bits_of(batch, words)
+            values = np.empty((len(bits), len(marked)), dtype=np.int64)
+            for at, (mark, group) in enumerate(marked):
+                values[:, at] = bits[:, group] @ (np.int64(1) << np.arange(len(group))) + mark
+            ends = np.arange(len(bits) + 1, dtype=np.int32) * len(marked)
+            slots = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.ravel(), pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, slots], names=[*batch.schema.names, "slots"])
+
+    return df.mapInArrow(run, schema)
+
+
+def choose_similar_parts(fps: DataFrame, words: list[str], nodes: int, similarity: float) -> list[tuple[list[int], int]]:
+    """Parts and thresholds of long fingerprints: as ``choose_parts``, for a chance to meet in place of a radius.
+
+    Two texts at the similarity meet with at least the chance that ``layout`` gives with one bit in each of its parts. For
+    that width of a part, one narrower and one wider, thresholds up to two bits come by dynamic programming over the parts: each is priced
+    by its signatures and its pairs, counted over all fingerprints, and gains what it takes off the logarithm of the
+    chance to miss, in steps of a twelfth of a part with one bit, rounded down. The cheapest width is taken.
+    """
+    n, both = bit_counts(fps, words)
+    one = np.diag(both) / max(n, 1)
+    differ = 2 * one * (1 - one)
+    bits, parts = layout(nodes, similarity)
+
+    def hit(width: int) -> np.ndarray:
+        return -np.log1p(-near_probability(np.full(width, bits_apart(similarity)), MOST))
+
+    step = hit(bits)[1] / GAIN_STEPS
+    layouts = [group_bits(n, both, min(parts if w == bits else len(both), len(both) // w), w) for w in (bits, bits - 2, bits + 2) if 12 <= w <= 30]
+    marked = [(i << 32, g) for i, g in enumerate(g for groups in layouts for g in groups)]
+    slot = with_slots(fps.select(*words), words, marked).select(F.explode("slots").alias("slot"))
+    pairs = slot.groupBy("slot").count().groupBy(F.shiftright("slot", 32).alias("part")).agg(F.sum(F.col("count") * (F.col("count") - 1) / 2).alias("n"))
+    equal = {r["part"]: r["n"] for r in pairs.collect()}
+    plans, at = [], 0
+    for groups in layouts:
+        costs = []
+        for g in groups:
+            near = near_probability(differ[g], MOST)
+            costs.append([0.0] + [n * (1.0 + sum(comb(len(g), i) for i in range(t + 1))) + equal.get(at, 0.0) * near[t] / max(near[0], 1e-30) for t in range(MOST + 1)])
+            at += 1
+        gain = [0, *(int(h / step + 1e-6) for h in hit(len(groups[0])))]
+        found = allocate_for(costs, gain, GAIN_STEPS * parts)
+        if found is not None:
+            plans.append((found[0], [(g, t) for g, t in zip(groups, found[1]) if t >= 0]))
+    return min(plans, key=lambda p: p[0])[1]
+
+
 def words_needed(nodes: int, similarity: float) -> int:
     """64-bit words that the parts of this or any smaller number of nodes take."""
     sizes = {1 << e for e in range(1, max(2, nodes).bit_length())} | {nodes}
@@ -286,7 +374,8 @@ def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowd
     ``component_id`` is the group's smallest key, and ``component_hash`` the hash of its text, as two texts may share a key.
 
     Texts of the same shingle set are one node.  Fingerprints are cut into parts of about log2(number of nodes)
-    bits; nodes that agree on a part, or differ there in one bit, are compared.  They are
+    bits, correlated bits together, and each part gets a threshold by dynamic programming (``choose_similar_parts``); nodes that differ
+    on a part in no more bits than its threshold are compared.  They are
     candidates if their shingle counts and parity maps allow the similarity (which no pair at the
     similarity fails) and the first 256 bits of the fingerprints differ in no more bits than the similarity makes likely, and
     links if their shingle sets are as similar.  Fingerprints are longer the more nodes there are (``layout``), so two texts at
@@ -314,20 +403,15 @@ def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowd
     longs = ", ".join(f"{c} bigint" for c in stored)
     rows = stages.cut(map_texts(known, run, f"key {kind}, text_hash bigint, {longs}", key, text))
     lowest_row = F.min(F.struct("key", "text_hash")).alias("row")
-    nodes = stages.cut(rows.groupBy("node").agg(lowest_row, *[F.first(c).alias(c) for c in stored[1:]]))
-    bits, parts = layout(nodes.count(), similarity)
-    # a part is a run of bits, taken from one or two words
-    own = []
-    for i in range(parts):
-        word, shift = divmod(i * bits, BITS)
-        value = F.shiftrightunsigned(F.col(all_words[word]), shift)
-        if shift + bits > BITS:
-            value = value.bitwiseOR(F.shiftleft(F.col(all_words[word + 1]), BITS - shift))
-        own.append(value.bitwiseAND(F.lit((1 << bits) - 1)).bitwiseXOR(F.lit(i << 32)))
+    unsliced = stages.cut(rows.groupBy("node").agg(lowest_row, *[F.first(c).alias(c) for c in stored[1:]]))
+    chosen_parts = choose_similar_parts(unsliced.filter("n > 0"), all_words, unsliced.count(), similarity)
+    # a slot is a part's number, its threshold in bits 30 and 31, and the value
+    nodes = stages.cut(with_slots(unsliced, all_words, [(i << 32 | t << 30, g) for i, (g, t) in enumerate(chosen_parts)]).select("node", "row", "n", *FP, *ODD, "slots"))
+    stages.drop(unsliced)
 
     def slots(of: DataFrame, *more: str) -> DataFrame:
         """A row for each part of a node's fingerprint; only the columns named travel with it."""
-        return of.filter("n > 0").select("node", *more, F.explode(F.array(*own)).alias("slot"))
+        return of.filter("n > 0").select("node", *more, F.explode("slots").alias("slot"))
 
     narrow = slots(nodes)
     counts = stages.cut(narrow.groupBy("slot").agg(F.count("*").alias("members")))
@@ -354,12 +438,15 @@ def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowd
         )
 
     pair = [F.least("node", "node_2").alias("a"), F.greatest("node", "node_2").alias("b")]
-    ones = [1 << b for b in range(bits)]
+    bits, thresholds = len(chosen_parts[0][0]), {t for _, t in chosen_parts}
+    flips = [sum(1 << b for b in c) for size in range(1, max(thresholds) + 1) for c in combinations(range(bits), size)]
 
     def probes(of: DataFrame, flips: list[int], when: Callable[[Column], Column]) -> DataFrame:
-        """Rows at the values that ``flips`` lead to from their own, where ``when(flip)`` holds."""
-        some = F.filter(F.array(*[F.lit(f).cast("bigint") for f in flips]), when)
-        return of.withColumn("slot", F.explode(F.transform(some, lambda f: F.col("slot").bitwiseXOR(f))))
+        """Rows at the values that ``flips`` lead to from their own within the part's threshold, where ``when(value)`` holds."""
+        most = F.shiftright("slot", 30).bitwiseAND(F.lit(3).cast("bigint"))
+        listed = F.array(*[F.lit(f).cast("bigint") for f in flips]).cast("array<bigint>")
+        some = listed if len(thresholds) == 1 else F.filter(listed, lambda f: F.bit_count(f) <= most)
+        return of.withColumn("slot", F.explode(F.filter(F.transform(some, lambda f: F.col("slot").bitwiseXOR(f)), when)))
 
     def other(of: DataFrame) -> DataFrame:
         return of.select("slot", *[F.col(c).alias(f"{c}_2") for c in of.columns if c != "slot"])
@@ -388,37 +475,37 @@ def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowd
         stages.drop(pairs, texts)
         return similar
 
-    # crowded values first: their leaders go to all values within one bit
+    # crowded values first: their leaders go to all values within the part's threshold
     members = narrow.join(full, "slot")
     weight = stages.cut(members.groupBy("node").agg(F.sum("members").alias("weight")))
     rank = F.row_number().over(Window.partitionBy("slot").orderBy(F.desc("weight"), "node"))
     chosen = stages.cut(members.join(weight, "node").withColumn("rank", rank).filter(F.col("rank") <= leaders).select("slot", "node"))
     heads = stages.cut(chosen.join(nodes.select(*CARRIED), "node"))
-    led = links(slots(nodes, *CARRIED[1:]).join(other(probes(heads, [0, *ones], lambda f: F.lit(True))), "slot").filter(alike(FP, ODD)).select(*pair))
+    led = links(slots(nodes, *CARRIED[1:]).join(other(probes(heads, [0, *flips], lambda v: F.lit(True))), "slot").filter(alike(FP, ODD)).select(*pair))
     stages.drop(weight, chosen, heads)
 
     # then all others that are not in the same group yet; of a crowded value those outside its largest group.
     # half of the fingerprint and of a parity map of half as many buckets travel, the whole is compared afterwards
     joined = components(led).withColumnRenamed("component", "group")
     half = [F.col(ODD[w]).bitwiseXOR(F.col(ODD[w + WORDS64 // 2])).alias(f"q{w}") for w in range(WORDS64 // 2)]
-    grouped = stages.cut(nodes.join(joined, "node", "left").withColumn("group", F.coalesce("group", "node")).select("node", "group", "n", *all_words, *half))
+    grouped = stages.cut(nodes.join(joined, "node", "left").withColumn("group", F.coalesce("group", "node")).select("node", "group", "n", *FP[: WORDS64 // 2], "slots", *half))
     light = ["group", "n", *FP[: WORDS64 // 2], *[f"q{w}" for w in range(WORDS64 // 2)]]
     largest = stages.cut(
         slots(grouped, "group").join(full.select("slot"), "slot", "left_semi").groupBy("slot", "group").agg(F.count("*").alias("n")).groupBy("slot").agg(F.max_by("group", F.struct("n", "group")).alias("main"), F.max("n").alias("held"))
     )
     mains = largest.select("slot", "main")
     rest = slots(grouped, *light).join(mains, "slot", "left").filter("main is null or group <> main").drop("main")
-    # of two values a bit apart the one without the bit asks; in the largest group of a crowded value, which is not asked, both do
-    asks = probes(slots(grouped, *light), [0, *ones], lambda f: F.col("slot").bitwiseAND(f) == 0)
+    # of two values apart the smaller asks; in the largest group of a crowded value, which is not asked, both do
+    asks = probes(slots(grouped, *light), [0, *flips], lambda v: v >= F.col("slot"))
     main = slots(grouped, *light).join(mains, "slot").filter("group = main").drop("main")
-    asks = asks.unionByName(probes(main, ones, lambda f: F.col("slot").bitwiseAND(f) != 0))
+    asks = asks.unionByName(probes(main, flips, lambda v: v < F.col("slot")))
 
     def meeting(asking: DataFrame, asked: DataFrame) -> DataFrame:
         return asking.join(other(asked), "slot").filter(alike(light[2 : 2 + WORDS64 // 2], light[2 + WORDS64 // 2 :]) & (F.col("group") != F.col("group_2"))).select(*pair)
 
     found = meeting(asks, rest)
-    # the largest groups of two crowded values a bit apart are asked by neither; where they differ, the larger asks the smaller
-    near_by = probes(largest.withColumn("at", F.col("slot")), ones, lambda f: F.col("slot").bitwiseAND(f) == 0).join(other(largest), "slot").filter("main <> main_2")
+    # the largest groups of two crowded values within a part's threshold are asked by neither; where they differ, the larger asks the smaller
+    near_by = probes(largest.withColumn("at", F.col("slot")), flips, lambda v: v > F.col("slot")).join(other(largest), "slot").filter("main <> main_2")
     first = F.col("held") >= F.col("held_2")
     bridges = stages.cut(near_by.select(F.when(first, F.col("at")).otherwise(F.col("slot")).alias("from"), F.when(first, F.col("slot")).otherwise(F.col("at")).alias("to")))
     if not bridges.isEmpty():

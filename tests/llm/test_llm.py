@@ -259,6 +259,43 @@ def test_similar_texts_meet_whatever_the_size():
         assert met >= 0.97 * 400, nodes
 
 
+def test_thresholds_of_least_cost():
+    rng = random.Random(5)
+    gain = [0, 2, 12, 31]
+    for _ in range(20):
+        cost = [[0.0] + sorted(rng.random() * 100 for _ in range(3)) for _ in range(4)]
+        total, chosen = simhash.allocate_for(cost, gain, 48)
+        best = min(
+            sum(c[t + 1] for c, t in zip(cost, ts)) for ts in itertools.product(range(-1, 3), repeat=4) if sum(gain[t + 1] for t in ts) >= 48
+        )
+        assert abs(total - best) < 1e-9 and abs(sum(c[t + 1] for c, t in zip(cost, chosen)) - best) < 1e-9
+    assert simhash.allocate_for([[0.0, 1.0, 2.0, 3.0]], gain, 48) is None
+
+
+def test_parts_of_similar_texts(spark):
+    """Bits that go together share a part, which so many pairs agree on that it gets less than the others."""
+    rng = np.random.default_rng(3)
+    bits = rng.integers(0, 2, (4000, 256), dtype=np.uint8)
+    alike = list(range(0, 240, 10))
+    bits[:, alike] = (rng.random((4000, 1)) < 0.5) ^ (rng.random((4000, len(alike))) < 0.002)
+    words = [f"f{w}" for w in range(4)]
+    packed = np.packbits(bits, axis=1, bitorder="little").view("<i8")
+    df = spark.createDataFrame([tuple(r) for r in packed.tolist()], ", ".join(f"{w} long" for w in words))
+    chosen = simhash.choose_similar_parts(df, words, 4000, 0.8)
+    width, parts = simhash.layout(4000, 0.8)
+    apart = simhash.bits_apart(0.8)
+    missed = np.prod([1 - simhash.near_probability(np.full(len(g), apart), 2)[t] for g, t in chosen])
+    assert missed <= (1 - simhash.near_probability(np.full(width, apart), 1)[1]) ** parts * (1 + 1e-6)
+    used = [b for g, _ in chosen for b in g]
+    assert len(used) == len(set(used))
+    together = [t for g, t in chosen if len(set(g) & set(alike)) > len(g) // 2]
+    assert max(together, default=-1) < max(t for _, t in chosen)
+    # the values that the parts are joined on are the bits of the groups
+    row = simhash.with_slots(df, words, [(i << 32 | t << 30, g) for i, (g, t) in enumerate(chosen)]).first()
+    mine = bits[(packed == [row[w] for w in words]).all(axis=1)][0]
+    assert row["slots"] == [(i << 32 | t << 30) + sum(int(mine[b]) << at for at, b in enumerate(g)) for i, (g, t) in enumerate(chosen)]
+
+
 def test_crowded_values_a_bit_apart(spark, monkeypatch):
     """Two groups, each at one crowded value, a bit apart; the only pair that links them agrees nowhere else."""
     import xxhash
