@@ -496,15 +496,20 @@ def beam_pairs(
     nested: bool = False,
     source: str = "source_id",
     longest: int = LONGEST_LIST,
+    epoch: int | None = None,
 ) -> DataFrame:
     """(source, beam pointing) pairs within a radius; columns of both tables.
 
     ``nested`` gives one row per source instead, with its pointings by field: ``source, pointings``.  A cell's pointings then
     travel as one list to the sources of the cell, so no pair is a row and none is shuffled.  Sources that have several rows, and those in
-    cells with more than ``longest`` pointings, take the way over pairs.
+    cells with more than ``longest`` pointings, take the way over pairs.  With an ``epoch`` fields go by their normalised names, which are
+    made once per pointing and not once per source: ``source, named``.
     """
     if not nested:
         return sky_radius_join(pointings, islands, radius_deg, hot_rows=hot_rows)
+    listed = "pointings"
+    if epoch is not None:
+        listed, pointings = "named", pointings.withColumn("field_name", normalise_field_name("field_name", epoch))
     size = F.lit(max(0.5 * radius_deg, 1e-4))
     beam = ["beam_num", "sbid"]
     rows = islands.select(source, "ra", "dec").withColumn("_cell", home_cell("ra", "dec", size))
@@ -538,11 +543,12 @@ def beam_pairs(
         return F.struct(f["field_name"].alias("field_name"), found.alias("beams"))
 
     met = F.filter(F.transform("_lists", near), lambda f: F.size(f["beams"]) > 0)
-    out = rows.join(lists, "_cell").select(source, met.alias("pointings")).where(F.size("pointings") > 0)
+    # a filter on the list would work it out a second time
+    out = rows.join(lists, "_cell").select(source, F.explode(F.filter(F.array(met), lambda m: F.size(m) > 0)).alias(listed))
     for part in apart:
         pairs = sky_radius_join(pointings, part.select(source, "ra", "dec"), radius_deg, hot_rows=hot_rows)
         by_field = pairs.groupBy(source, "field_name").agg(F.collect_list(F.struct(*beam)).alias("beams"))
-        out = out.unionByName(by_field.groupBy(source).agg(F.collect_list(F.struct("field_name", "beams")).alias("pointings")))
+        out = out.unionByName(by_field.groupBy(source).agg(F.collect_list(F.struct("field_name", "beams")).alias(listed)))
     return out
 
 
@@ -552,10 +558,10 @@ def source_fields(
     """One row per (source, field): beam list, distinct SBIDs and the DR1 flag.
 
     This is the normalised storage form.  ``tiles`` lists the catalogue's tiles.  Nested pairs give one row
-    per source, with these rows in ``fields``; ``field_rows`` takes them out.
+    per source, with these rows in ``fields``, under the epoch they were named for, if any; ``field_rows`` takes them out.
     """
     known = tiles.select(normalise_field_name(tile_col, epoch).alias("field_name")).distinct()
-    if "pointings" in pairs.columns:
+    if "pointings" in pairs.columns or "named" in pairs.columns:
         return _nested_fields(pairs, known, epoch, source)
     grouped = (
         pairs.withColumn("field_name", normalise_field_name("field_name", epoch))
@@ -576,16 +582,8 @@ def source_fields(
 def _nested_fields(pairs: DataFrame, known: DataFrame, epoch: int, source: str) -> DataFrame:
     """``source, fields`` of nested pairs, row by row; the known tiles are one list."""
     rows = with_scalars(pairs, known.agg(F.collect_set("field_name").alias("_known")))
-    named = F.transform("pointings", lambda f: F.struct(normalise_field_name(f["field_name"], epoch).alias("field_name"), f["beams"].alias("beams")))
-    rows = rows.withColumn("_named", named)
-
-    def all_of(name: Column) -> Column:
-        same = F.filter("_named", lambda f: f["field_name"].eqNullSafe(name))
-        return F.struct(name.alias("field_name"), F.flatten(F.transform(same, lambda f: f["beams"])).alias("beams"))
-
-    # names that differ in their epoch's infix alone are one field
-    merged = F.transform(F.array_distinct(F.transform("_named", lambda f: f["field_name"])), all_of)
-    rows = rows.withColumn("_merged", F.when(F.size("_named") == F.size(F.array_distinct(F.transform("_named", lambda f: f["field_name"]))), F.col("_named")).otherwise(merged))
+    if "pointings" in rows.columns:
+        rows = _merged_by_name(rows, epoch)
 
     def values(f: Column, c: str) -> Column:
         return F.filter(F.transform(f["beams"], lambda b: b[c]), lambda v: v.isNotNull())
@@ -598,12 +596,27 @@ def _nested_fields(pairs: DataFrame, known: DataFrame, epoch: int, source: str)
             F.coalesce(F.array_contains("_known", f["field_name"]), F.lit(False)).alias("dr1"),
         )
 
-    return rows.select(source, F.transform("_merged", entry).alias("fields"))
+    return rows.select(source, F.transform("named", entry).alias("fields"))
+
+
+def _merged_by_name(rows: DataFrame, epoch: int) -> DataFrame:
+    """``named``: the pointings by the normalised names of their fields."""
+    named = F.transform("pointings", lambda f: F.struct(normalise_field_name(f["field_name"], epoch).alias("field_name"), f["beams"].alias("beams")))
+    rows = rows.withColumn("_named", named)
+
+    def all_of(name: Column) -> Column:
+        same = F.filter("_named", lambda f: f["field_name"].eqNullSafe(name))
+        return F.struct(name.alias("field_name"), F.flatten(F.transform(same, lambda f: f["beams"])).alias("beams"))
+
+    # names that differ in their epoch's infix alone are one field
+    merged = F.transform(F.array_distinct(F.transform("_named", lambda f: f["field_name"])), all_of)
+    return rows.withColumn("named", F.when(F.size("_named") == F.size(F.array_distinct(F.transform("_named", lambda f: f["field_name"]))), F.col("_named")).otherwise(merged))
 
 
 def field_rows(per_field: DataFrame, source: str = "source_id") -> DataFrame:
     """One row per (source, field) of the nested form."""
-    return per_field.select(source, F.explode("fields").alias("_f")).select(source, "_f.*")
+    # ``explode`` would work the list out twice, once to filter empty ones
+    return per_field.select(source, F.explode_outer("fields").alias("_f")).where("_f is not null").select(source, "_f.*")
 
 
 def source_beams(per_field: DataFrame, source: str = "source_id") -> DataFrame:

@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stokesweave.operators.association import beam_pairs, source_beams, source_fields
+from stokesweave.operators.association import beam_pairs, field_rows, source_beams, source_fields
 from stokesweave.sources.tables import read_beam_pointings, read_catalogue, read_field_table, replace_table, valid_sbid
 
 
 def associate(
     islands: DataFrame, pointings: DataFrame, epoch: int = 0, radius_deg: float = 1.0, tile_col: str = "tile_id"
 ) -> DataFrame:
-    """(source, field) rows of every island near a beam pointing."""
-    pairs = beam_pairs(islands.select("source_id", "ra", "dec"), pointings, radius_deg)
-    return source_fields(pairs, islands.select(tile_col), epoch, tile_col=tile_col)
+    """(source, field) rows of every island near a beam pointing; no pair of source and beam is a row or shuffled."""
+    pairs = beam_pairs(islands.select("source_id", "ra", "dec"), pointings, radius_deg, nested=True, epoch=epoch)
+    return field_rows(source_fields(pairs, islands.select(tile_col), epoch, tile_col=tile_col))
 
 
 def ingest(

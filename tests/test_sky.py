@@ -213,3 +213,23 @@ def test_nested_beam_pairs_are_the_pairs(spark, monkeypatch):
 
     monkeypatch.setattr(association, "sky_radius_join", no_pairs)
     assert rows(islands, 1, nested=True) == plain
+
+
+def test_associate_shuffles_no_pairs(spark):
+    """Sources meet lists of pointings; fields that differ in their test infix alone are one, named once per pointing."""
+    from stokesweave.plans.ingest import associate
+
+    rng = np.random.default_rng(9)
+    beams = [(f"F_{'test4_1.05_' * (i % 2)}{i % 3}", 8000 + i % 5, i % 7, float(rng.uniform(0, 8)), float(rng.uniform(-4, 4))) for i in range(60)]
+    pointings = spark.createDataFrame(beams, "field_name string, sbid long, beam_num int, ra double, dec double")
+    rows = [(i, float(rng.uniform(0, 8)), float(rng.uniform(-4, 4)), f"F_{i % 2}") for i in range(50)] + [(50, 200.0, 0.0, "F_1"), (51, None, 0.0, "F_1")]
+    islands = spark.createDataFrame(rows, "source_id long, ra double, dec double, tile_id string")
+
+    def as_rows(df):
+        return sorted((r["source_id"], r["field_name"], tuple(r["beam_list"]), tuple(r["sbids"]), r["dr1"]) for r in df.collect())
+
+    for epoch in (0, 1):
+        out = associate(islands, pointings, epoch, 2.0)
+        pairs = association.beam_pairs(islands.drop("tile_id"), pointings, 2.0)
+        assert as_rows(out) == as_rows(association.source_fields(pairs, islands.select("tile_id"), epoch))
+        assert "hashpartitioning(source_id" not in out._jdf.queryExecution().executedPlan().toString()

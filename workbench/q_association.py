@@ -169,7 +169,7 @@ def _(spark, d):
 
 def _per_field(spark, d, radius=3.0):
     islands = view(spark, d, "fx_islands").select("source_id", "ra", "dec")
-    pairs = association.beam_pairs(islands, view(spark, d, "fx_beam_inf"), radius, nested=True)
+    pairs = association.beam_pairs(islands, view(spark, d, "fx_beam_inf"), radius, nested=True, epoch=1)
     tiles = view(spark, d, "fx_fields").where("sel = 1").select(F.col("field_name").alias("tile_id"))
     return association.source_fields(pairs, tiles, epoch=1)
 
