@@ -493,11 +493,13 @@ def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowd
     largest = stages.cut(
         slots(grouped, "group").join(full.select("slot"), "slot", "left_semi").groupBy("slot", "group").agg(F.count("*").alias("n")).groupBy("slot").agg(F.max_by("group", F.struct("n", "group")).alias("main"), F.max("n").alias("held"))
     )
-    mains = largest.select("slot", "main")
-    rest = slots(grouped, *light).join(mains, "slot", "left").filter("main is null or group <> main").drop("main")
+    # every part of every node is listed once, with the largest group of its value if that is crowded; all joins below read this list
+    listed = stages.cut(slots(grouped, *light).join(largest.select("slot", "main"), "slot", "left"))
+    stages.drop(grouped)
+    rest = listed.filter("main is null or group <> main").drop("main")
+    main = listed.filter("group = main").drop("main")
     # of two values apart the smaller asks; in the largest group of a crowded value, which is not asked, both do
-    asks = probes(slots(grouped, *light), [0, *flips], lambda v: v >= F.col("slot"))
-    main = slots(grouped, *light).join(mains, "slot").filter("group = main").drop("main")
+    asks = probes(listed.drop("main"), [0, *flips], lambda v: v >= F.col("slot"))
     asks = asks.unionByName(probes(main, flips, lambda v: v < F.col("slot")))
 
     def meeting(asking: DataFrame, asked: DataFrame) -> DataFrame:
@@ -512,7 +514,7 @@ def similar_groups(df: DataFrame, width: int = 5, similarity: float = 0.8, crowd
         across = main.join(bridges, F.col("slot") == F.col("from")).withColumn("slot", F.col("to")).drop("from", "to")
         found = found.unionByName(meeting(across, main.join(bridges.select(F.col("to").alias("slot")).distinct(), "slot", "left_semi")))
     met = stages.cut(found.distinct())
-    stages.drop(grouped, largest, full, bridges)
+    stages.drop(listed, largest, full, bridges)
     signs = nodes.select(*CARRIED)
     whole = met.join(signs.withColumnRenamed("node", "a"), "a").join(signs.select(*[F.col(c).alias("b" if c == "node" else f"{c}_2") for c in CARRIED]), "b")
     near = links(whole.withColumns({"node": F.col("a"), "node_2": F.col("b")}).filter(alike(FP, ODD)).select("a", "b"))

@@ -237,6 +237,23 @@ def test_similar_groups_keep_one(spark, nothing):
     assert simhash.similar_groups(nothing).count() == 0
 
 
+def test_parts_are_listed_once(spark, monkeypatch):
+    """The joins on crowded and other values read one list of the parts, whatever their number."""
+    plans, cut = [], simhash.Stages.cut
+
+    def noted(self, df):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return cut(self, df)
+
+    monkeypatch.setattr(simhash.Stages, "cut", noted)
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(words[:i] + [f"edit{i}"] + words[i + 1 :])) for i in range(30)] + [(50 + i, f"other {i} " * 9) for i in range(5)]
+    got = simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"), crowded=4)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == {i: 0 if i < 30 else i for i, _ in rows}
+    lists = [line for plan in plans for line in plan.splitlines() if "Generate explode(slots" in line and "group" in line and "q0" in line]
+    assert len(lists) == 1
+
+
 def test_texts_that_share_a_key(spark):
     one, two = (" ".join(f"{name}{i}" for i in range(60)) for name in ("one", "twoä"))
     rows = [(1, one), (1, two), (1, two), (2, one + " more"), (0, two + " more"), (3, None), (3, "other")]
