@@ -23,6 +23,7 @@ from stokesweave.session import Stages, cut_lineage
 
 PAD = 1e-9
 ROW_BITS = 1 << 32
+SMALL_GROUP = 32  # rows of a group whose pairs are formed without cells
 LONGEST_LIST = 20_000  # pointings that travel to the sources of a cell as one list
 
 
@@ -351,15 +352,27 @@ def close_pairs(
 ) -> DataFrame:
     """Unordered pairs (first < second) of one group within a radius.
 
-    Pairs are only ever formed between touching cells, never over a whole group.
+    Groups of up to ``SMALL_GROUP`` rows meet as they are. In larger ones pairs are only ever formed between
+    touching cells, never over a whole group.  The columns are written once, as all steps read them.
+    Rows without a finite position have no pairs and would touch every cell.
     """
-    size = F.lit(max(2.0 * radius_deg, 1e-4))
-    base = df.select(group, ident, *pos)
-    probe = base.withColumn("_cell", F.explode(touched_cells(*pos, F.lit(float(radius_deg)), size)))
-    home = base.select(
-        group, home_cell(*pos, size).alias("_cell"), *[F.col(c).alias(f"{c}_2") for c in (ident, *pos)]
-    )
-    pairs = skew_join(probe, home, [group, "_cell"], F.col(ident) < F.col(f"{ident}_2"), hot_rows)
+    base = cut_lineage(df.select(group, ident, *pos).where(finite(pos[0]) & finite(pos[1])))
+    sizes = base.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    large = cut_lineage(sizes.where(F.col("_n") > SMALL_GROUP).select(group))
+
+    def second(rows: DataFrame, *keys: Column) -> DataFrame:
+        return rows.select(group, *keys, *[F.col(c).alias(f"{c}_2") for c in (ident, *pos)])
+
+    none = large.isEmpty()
+    small = base if none else base.join(large, group, "left_anti")
+    ordered = F.col(ident) < F.col(f"{ident}_2")
+    pairs = small.join(second(small), group).where(ordered)
+    if not none:
+        size = F.lit(max(2.0 * radius_deg, 1e-4))
+        rest = base.join(large, group, "left_semi")
+        probe = rest.withColumn("_cell", F.explode(touched_cells(*pos, F.lit(float(radius_deg)), size)))
+        home = second(rest, home_cell(*pos, size).alias("_cell"))
+        pairs = pairs.unionByName(skew_join(probe, home, [group, "_cell"], ordered, hot_rows).drop("_cell"))
     sep = sep_deg(*pos, *[f"{c}_2" for c in pos])
     return pairs.withColumn("sep", sep).where(F.col("sep") < radius_deg).select(group, ident, f"{ident}_2", "sep")
 

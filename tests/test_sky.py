@@ -233,3 +233,27 @@ def test_associate_shuffles_no_pairs(spark):
         pairs = association.beam_pairs(islands.drop("tile_id"), pointings, 2.0)
         assert as_rows(out) == as_rows(association.source_fields(pairs, islands.select("tile_id"), epoch))
         assert "hashpartitioning(source_id" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("hot_rows", [association.HOT_ROWS, 5])
+def test_close_pairs_of_small_and_large_groups(spark, monkeypatch, hot_rows):
+    """Only groups with many rows go over cells; both ways give all pairs, with repeated, null and missing values."""
+    rng = np.random.default_rng(5)
+    sizes = {1: 1, 2: 7, 3: association.SMALL_GROUP, 4: association.SMALL_GROUP + 1, 5: 150}
+    rows = [(g, g * 1000 + i, float(rng.uniform(-0.05, 0.05) % 360), float(60 + rng.uniform(-0.03, 0.03))) for g, n in sizes.items() for i in range(n)]
+    rows += [rows[1], rows[2], (None, 1, 0.0, 60.0), (None, 2, 0.0, 60.0), (2, 1, None, 60.0), (5, 2, 0.0, float("nan")), (2, None, 0.0, 60.0)]
+    joined, skew_join = [], association.skew_join
+
+    def noted(left, right, *rest):
+        joined.extend(r["g"] for r in left.select("g").distinct().collect())
+        return skew_join(left, right, *rest)
+
+    monkeypatch.setattr(association, "skew_join", noted)
+    got = association.close_pairs(spark.createDataFrame(rows, "g long, id long, ra double, dec double"), "g", "id", 0.03, hot_rows=hot_rows)
+    want = []
+    for a in rows:
+        for b in rows:
+            if None not in (*a, *b) and a[0] == b[0] and a[1] < b[1] and haversine(a[2], a[3], b[2], b[3]) < 0.03:
+                want.append((a[0], a[1], b[1]))
+    assert sorted((r["g"], r["id"], r["id_2"]) for r in got.collect()) == sorted(want)
+    assert set(joined) == {4, 5}
