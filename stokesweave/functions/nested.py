@@ -87,7 +87,8 @@ def reset_status(df: DataFrame, selected: DataFrame, key: str, arr: str, save_na
 
 def explode_beams(df: DataFrame, beams: str = "beams", field: str | None = None) -> DataFrame:
     """One row per (source, field, beam) of the nested beam map."""
-    rows = df.select("*", F.explode(beams).alias("field_name", "_entry")).drop(beams)
+    # ``explode`` would work the map out twice, once to filter empty ones
+    rows = df.select("*", F.explode_outer(beams).alias("field_name", "_entry")).where("_entry is not null").drop(beams)
     if field is not None:
         rows = rows.where(F.col("field_name") == field)
     return rows.select("*", F.explode(F.array_distinct("_entry.beam_list")).alias("beam_num")).drop("_entry")

@@ -9,8 +9,11 @@ join is an equi-join on the cell, and the exact separation filters the rest.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +27,9 @@ from stokesweave.session import Stages, cut_lineage
 PAD = 1e-9
 ROW_BITS = 1 << 32
 SMALL_GROUP = 32  # rows of a group whose pairs are formed without cells
-LONGEST_LIST = 20_000  # pointings that travel to the sources of a cell as one list
+LONGEST_LIST = 20_000  # pointings that meet the sources of a cell as one list
+SLICE = 4096  # sources of a cell that meet its pointings as one list
+PAIRS = 2_000_000  # pairs of the two lists that are looked at at once
 
 
 def _zone_of(dec: Column, height: Column) -> Column:
@@ -510,22 +515,25 @@ def beam_pairs(
     source: str = "source_id",
     longest: int = LONGEST_LIST,
     epoch: int | None = None,
+    tiles: DataFrame | None = None,
+    tile_col: str = "tile_id",
 ) -> DataFrame:
     """(source, beam pointing) pairs within a radius; columns of both tables.
 
-    ``nested`` gives one row per source instead, with its pointings by field: ``source, pointings``.  A cell's pointings then
-    travel as one list to the sources of the cell, so no pair is a row and none is shuffled.  Sources that have several rows, and those in
+    ``nested`` gives one row per source instead, with the beams and blocks of its fields: ``source, pointings``.  The sources of a cell and the
+    pointings that may touch it then meet as two lists, so no pair is a row and none is shuffled.  Sources that have several rows, and those in
     cells with more than ``longest`` pointings, take the way over pairs.  With an ``epoch`` fields go by their normalised names, which are
-    made once per pointing and not once per source: ``source, named``.
+    made once per pointing and not once per source: ``source, named``; so does the DR1 flag of the fields where ``tiles`` are given too.
     """
     if not nested:
         return sky_radius_join(pointings, islands, radius_deg, hot_rows=hot_rows)
-    listed = "pointings"
+    listed, told = "pointings", ["beam_num", "sbid"]
     if epoch is not None:
         listed, pointings = "named", pointings.withColumn("field_name", normalise_field_name("field_name", epoch))
+        if tiles is not None:
+            told, pointings = [*told, "dr1"], _with_dr1(pointings, _known_fields(tiles, epoch, tile_col))
     size = F.lit(max(0.5 * radius_deg, 1e-4))
-    beam = ["beam_num", "sbid"]
-    rows = islands.select(source, "ra", "dec").withColumn("_cell", home_cell("ra", "dec", size))
+    rows = cut_lineage(islands.select(source, "ra", "dec")).withColumn("_cell", home_cell("ra", "dec", size))
     reached = pointings.withColumn("_cell", F.explode(touched_cells("ra", "dec", F.lit(float(radius_deg)), size)))
     again = cut_lineage(rows.groupBy(source).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col(source).alias("_again")))
     hot = cut_lineage(reached.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > longest).select("_cell"))
@@ -538,33 +546,117 @@ def beam_pairs(
         apart.append(rows.join(hot, "_cell", "left_semi").select(source, "ra", "dec", "_cell"))
         rows = rows.join(hot, "_cell", "left_anti")
         reached = reached.join(hot, "_cell", "left_anti")
-    # the cosine of the separation settles all pairs but those next to the radius
-    unit = nearest.unit_vector("ra", "dec")
-    rows = rows.withColumns({f"_{a}": c for a, c in unit.items()})
-    place = [*[c.alias(f"_{a}") for a, c in unit.items()], "ra", "dec"]
-    limit = math.cos(math.radians(radius_deg))
-    lists = reached.groupBy("_cell", "field_name").agg(F.collect_list(F.struct(*beam, *place)).alias("beams"))
-    lists = lists.groupBy("_cell").agg(F.collect_list(F.struct("field_name", "beams")).alias("_lists"))
-
-    def close(b: Column) -> Column:
-        cosine = sum(b[f"_{a}"] * F.col(f"_{a}") for a in unit)
-        inside = (cosine > limit + PAD) & (cosine < 2.0)  # NaN is neither
-        return inside | ((cosine > limit - PAD) & (sep_deg(b["ra"], b["dec"], "ra", "dec") < radius_deg))
-
-    def near(f: Column) -> Column:
-        found = F.transform(F.filter(f["beams"], close), lambda b: F.struct(*[b[c].alias(c) for c in beam]))
-        return F.struct(f["field_name"].alias("field_name"), found.alias("beams"))
-
-    met = F.filter(F.transform("_lists", near), lambda f: F.size(f["beams"]) > 0)
-    # a filter on the list would work it out a second time
-    out = rows.join(lists, "_cell").select(source, F.explode(F.filter(F.array(met), lambda m: F.size(m) > 0)).alias(listed))
+    place = [F.col(c).cast("double").alias(c) for c in ("ra", "dec")]
+    beams = F.sort_array(F.collect_list(F.struct("field_name", *told, *place)))
+    lists = reached.groupBy("_cell").agg(beams.alias("_beams"))
+    # a list of sources is short whatever their number
+    slices = rows.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / SLICE).alias("_slices"))
+    own = rows.join(slices, "_cell").withColumn("_slice", F.pmod(F.xxhash64(source), F.col("_slices")))
+    own = own.groupBy("_cell", "_slice").agg(F.collect_list(F.struct(source, *place)).alias("_sources"))
+    kinds = {f.name: f.dataType.simpleString() for f in [islands.schema[source], *pointings.schema.fields]}
+    element = f"array<struct<field_name: {kinds['field_name']}, beam_list: array<{kinds['beam_num']}>, sbids: array<{kinds['sbid']}>{', dr1: boolean' if 'dr1' in told else ''}>>"
+    out = own.join(lists, "_cell").select("_sources", "_beams").mapInArrow(_meet_lists(radius_deg), f"`{source}` {kinds[source]}, {listed} {element}")
     for part in apart:
         pairs = sky_radius_join(pointings, part.select(source, "ra", "dec"), radius_deg, hot_rows=hot_rows)
-        by_field = pairs.groupBy(source, "field_name").agg(F.collect_list(F.struct(*beam)).alias("beams"))
-        out = out.unionByName(by_field.groupBy(source).agg(F.collect_list(F.struct("field_name", "beams")).alias(listed)))
+        flag = [F.max("dr1").alias("dr1")] if "dr1" in told else []
+        by_field = pairs.groupBy(source, "field_name").agg(*_beam_lists(), *flag)
+        entry = F.struct(*[c for c in by_field.columns if c != source])
+        out = out.unionByName(by_field.groupBy(source).agg(F.sort_array(F.collect_list(entry)).alias(listed)))
     return out
 
 
+def _beam_lists() -> list[Column]:
+    return [F.sort_array(F.collect_list("beam_num")).alias("beam_list"), F.sort_array(F.collect_set("sbid")).alias("sbids")]
+
+
+def _known_fields(tiles: DataFrame, epoch: int, tile_col: str) -> DataFrame:
+    return tiles.select(normalise_field_name(tile_col, epoch).alias("field_name")).distinct()
+
+
+def _with_dr1(rows: DataFrame, known: DataFrame) -> DataFrame:
+    flagged = known.withColumn("_known", F.lit(True))
+    return rows.join(flagged, "field_name", "left").withColumn("dr1", F.coalesce("_known", F.lit(False))).drop("_known")
+
+
+def _unit_vectors(ra: np.ndarray, dec: np.ndarray) -> np.ndarray:
+    a, d = np.radians(ra), np.radians(dec)
+    return np.stack([np.cos(d) * np.cos(a), np.cos(d) * np.sin(a), np.sin(d)], axis=1)
+
+
+def _separations(ra1: np.ndarray, dec1: np.ndarray, ra2: np.ndarray, dec2: np.ndarray) -> np.ndarray:
+    """As ``sep_deg``."""
+    half_dec, half_ra = np.sin(np.radians(dec2 - dec1) / 2.0), np.sin(np.radians(ra2 - ra1) / 2.0)
+    hav = half_dec * half_dec + np.cos(np.radians(dec1)) * np.cos(np.radians(dec2)) * half_ra * half_ra
+    return np.degrees(2.0 * np.arcsin(np.sqrt(np.minimum(1.0, hav))))
+
+
+def _meet_lists(radius_deg: float):
+    """Sources of a list of sources with what they meet of a list of pointings, which is in order of field, beam and block."""
+    limit = math.cos(math.radians(radius_deg))
+
+    def within(lists: tuple, own: slice) -> np.ndarray:
+        ra, dec, vectors, beam_ra, beam_dec, beam_vectors = lists
+        cosine = vectors[own] @ beam_vectors.T
+        met = cosine > limit + PAD
+        # the cosine of the separation settles all pairs but those next to the radius
+        i, j = np.nonzero((cosine > limit - PAD) & ~met)
+        met[i, j] = _separations(beam_ra[j], beam_dec[j], ra[own][i], dec[own][i]) < radius_deg
+        return met
+
+    def meet(sources: pa.StructArray, beams: pa.StructArray) -> Iterator[list[pa.Array]]:
+        ids, *own = sources.flatten()
+        names = [f.name for f in beams.type]
+        part = dict(zip(names, beams.flatten()))
+        ra, dec, beam_ra, beam_dec = (np.asarray(c.to_numpy(zero_copy_only=False), dtype=float) for c in (*own, part["ra"], part["dec"]))
+        lists = (ra, dec, _unit_vectors(ra, dec), beam_ra, beam_dec, _unit_vectors(beam_ra, beam_dec))
+        fields = part["field_name"].dictionary_encode(null_encoding="encode")
+        field, n_fields = fields.indices.to_numpy(), len(fields.dictionary)
+        first = np.searchsorted(field, np.arange(n_fields))  # a pointing of each field
+        blocks = part["sbid"].dictionary_encode()
+        n_blocks = len(blocks.dictionary)
+        rank = np.argsort(pc.sort_indices(blocks.dictionary).to_numpy())
+        has_beam, has_block = (np.asarray(part[c].is_valid()) for c in ("beam_num", "sbid"))
+        block = rank[blocks.indices.fill_null(0).to_numpy()] if n_blocks else np.zeros(len(field), np.int64)
+        in_order = blocks.dictionary.take(pc.sort_indices(blocks.dictionary))
+        codes, code = np.unique(field * max(n_blocks, 1) + block, return_inverse=True)  # fields with their blocks, in order
+        step = max(1, PAIRS // max(1, len(field)))
+        for at in range(0, len(ids), step):
+            met = within(lists, slice(at, at + step))
+            some = np.nonzero(met.any(axis=1))[0]
+            i, j = np.nonzero(met[some])
+            shape = (len(some), n_fields)
+
+            def count(rows: np.ndarray, of: np.ndarray) -> np.ndarray:
+                return np.bincount(rows * n_fields + of, minlength=shape[0] * n_fields).reshape(shape)
+
+            where, which = np.nonzero(count(i, field[j]))
+            known = has_beam[j]
+            beam_list = pa.ListArray.from_arrays(_offsets(count(i[known], field[j[known]])[where, which]), part["beam_num"].take(pa.array(j[known])))
+            known = has_block[j]
+            met_codes = np.bincount(i[known] * len(codes) + code[j[known]], minlength=shape[0] * len(codes)).reshape(shape[0], len(codes))
+            rows, c = np.nonzero(met_codes)
+            of_field, of_block = np.divmod(codes[c], max(n_blocks, 1))
+            sbids = pa.ListArray.from_arrays(_offsets(count(rows, of_field)[where, which]), in_order.take(pa.array(of_block)))
+            entry = {"field_name": fields.dictionary.take(pa.array(which)), "beam_list": beam_list, "sbids": sbids}
+            if "dr1" in part:
+                entry["dr1"] = part["dr1"].take(pa.array(first[which]))
+            entries = pa.StructArray.from_arrays([*entry.values()], names=[*entry])
+            yield [ids.take(pa.array(at + some)), pa.ListArray.from_arrays(_offsets(np.bincount(where, minlength=len(some))), entries)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                for columns in meet(batch.column(0)[k].values, batch.column(1)[k].values):
+                    if len(columns[0]):
+                        yield pa.RecordBatch.from_arrays(columns, names=["source", "fields"])
+
+    return run
+
+
+def _offsets(lengths: np.ndarray) -> pa.Array:
+    return pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+
+
 def source_fields(
     pairs: DataFrame, tiles: DataFrame, epoch: int = 0, source: str = "source_id", tile_col: str = "tile_id"
 ) -> DataFrame:
@@ -573,53 +665,48 @@ def source_fields(
     This is the normalised storage form.  ``tiles`` lists the catalogue's tiles.  Nested pairs give one row
     per source, with these rows in ``fields``, under the epoch they were named for, if any; ``field_rows`` takes them out.
     """
-    known = tiles.select(normalise_field_name(tile_col, epoch).alias("field_name")).distinct()
+    known = _known_fields(tiles, epoch, tile_col)
     if "pointings" in pairs.columns or "named" in pairs.columns:
         return _nested_fields(pairs, known, epoch, source)
     grouped = (
         pairs.withColumn("field_name", normalise_field_name("field_name", epoch))
         .groupBy(source, "field_name")
-        .agg(
-            F.sort_array(F.collect_list("beam_num")).alias("beam_list"),
-            F.sort_array(F.collect_set("sbid")).alias("sbids"),
-        )
-    )
-    flagged = known.withColumn("_known", F.lit(True))
-    return (
-        grouped.join(flagged, "field_name", "left")
-        .withColumn("dr1", F.coalesce("_known", F.lit(False)))
-        .select(source, "field_name", "beam_list", "sbids", "dr1")
+        .agg(*_beam_lists())
     )
+    return _with_dr1(grouped, known).select(source, "field_name", "beam_list", "sbids", "dr1")
 
 
 def _nested_fields(pairs: DataFrame, known: DataFrame, epoch: int, source: str) -> DataFrame:
-    """``source, fields`` of nested pairs, row by row; the known tiles are one list."""
+    """``source, fields`` of nested pairs, row by row; the known tiles are one list, unless the pairs have the flag."""
+    if "named" in pairs.columns and "dr1" in pairs.schema["named"].dataType.elementType.names:
+        return pairs.select(source, F.col("named").alias("fields"))
     rows = with_scalars(pairs, known.agg(F.collect_set("field_name").alias("_known")))
     if "pointings" in rows.columns:
         rows = _merged_by_name(rows, epoch)
 
-    def values(f: Column, c: str) -> Column:
-        return F.filter(F.transform(f["beams"], lambda b: b[c]), lambda v: v.isNotNull())
-
     def entry(f: Column) -> Column:
         return F.struct(
-            f["field_name"].alias("field_name"),
-            F.sort_array(values(f, "beam_num")).alias("beam_list"),
-            F.sort_array(F.array_distinct(values(f, "sbid"))).alias("sbids"),
+            *[f[c].alias(c) for c in ("field_name", "beam_list", "sbids")],
             F.coalesce(F.array_contains("_known", f["field_name"]), F.lit(False)).alias("dr1"),
         )
 
     return rows.select(source, F.transform("named", entry).alias("fields"))
 
 
+def _members(entries: Column, name: str) -> Column:
+    return F.transform(entries, lambda f: f[name])
+
+
 def _merged_by_name(rows: DataFrame, epoch: int) -> DataFrame:
     """``named``: the pointings by the normalised names of their fields."""
-    named = F.transform("pointings", lambda f: F.struct(normalise_field_name(f["field_name"], epoch).alias("field_name"), f["beams"].alias("beams")))
+    lists = ("beam_list", "sbids")
+    named = F.transform("pointings", lambda f: F.struct(normalise_field_name(f["field_name"], epoch).alias("field_name"), *[f[c].alias(c) for c in lists]))
     rows = rows.withColumn("_named", named)
 
     def all_of(name: Column) -> Column:
         same = F.filter("_named", lambda f: f["field_name"].eqNullSafe(name))
-        return F.struct(name.alias("field_name"), F.flatten(F.transform(same, lambda f: f["beams"])).alias("beams"))
+        beams, sbids = (F.flatten(_members(same, c)) for c in lists)
+        return F.struct(name.alias("field_name"), F.sort_array(beams).alias("beam_list"), F.sort_array(F.array_distinct(sbids)).alias("sbids"))
 
     # names that differ in their epoch's infix alone are one field
     merged = F.transform(F.array_distinct(F.transform("_named", lambda f: f["field_name"])), all_of)
@@ -627,9 +714,10 @@ def _merged_by_name(rows: DataFrame, epoch: int) -> DataFrame:
 
 
 def field_rows(per_field: DataFrame, source: str = "source_id") -> DataFrame:
-    """One row per (source, field) of the nested form."""
+    """One row per (source, field) of the nested form, beside what else a row has."""
+    rest = [c for c in per_field.columns if c not in (source, "fields")]
     # ``explode`` would work the list out twice, once to filter empty ones
-    return per_field.select(source, F.explode_outer("fields").alias("_f")).where("_f is not null").select(source, "_f.*")
+    return per_field.select(source, *rest, F.explode_outer("fields").alias("_f")).where("_f is not null").select(source, *rest, "_f.*")
 
 
 def source_beams(per_field: DataFrame, source: str = "source_id") -> DataFrame:

@@ -221,7 +221,7 @@ def fields_not_in(cat: DataFrame, wanted: DataFrame, tile: str = "tile_id") -> D
 
 
 def components_of_islands(components: DataFrame, per_field: DataFrame, islands: DataFrame | None = None, source: str = "source_id") -> DataFrame:
-    """Component rows beside their source's beam entry (and island row)."""
+    """Component rows beside their source's beam entry (and island row); beside its ``fields`` as one list if these are nested."""
     out = components.join(per_field, source)
     return out if islands is None else out.join(islands, source)
 

@@ -13,7 +13,7 @@ def associate(
     islands: DataFrame, pointings: DataFrame, epoch: int = 0, radius_deg: float = 1.0, tile_col: str = "tile_id"
 ) -> DataFrame:
     """(source, field) rows of every island near a beam pointing; no pair of source and beam is a row or shuffled."""
-    pairs = beam_pairs(islands.select("source_id", "ra", "dec"), pointings, radius_deg, nested=True, epoch=epoch)
+    pairs = beam_pairs(islands.select("source_id", "ra", "dec"), pointings, radius_deg, nested=True, epoch=epoch, tiles=islands.select(tile_col), tile_col=tile_col)
     return field_rows(source_fields(pairs, islands.select(tile_col), epoch, tile_col=tile_col))
 
 

@@ -169,8 +169,8 @@ def _(spark, d):
 
 def _per_field(spark, d, radius=3.0):
     islands = view(spark, d, "fx_islands").select("source_id", "ra", "dec")
-    pairs = association.beam_pairs(islands, view(spark, d, "fx_beam_inf"), radius, nested=True, epoch=1)
     tiles = view(spark, d, "fx_fields").where("sel = 1").select(F.col("field_name").alias("tile_id"))
+    pairs = association.beam_pairs(islands, view(spark, d, "fx_beam_inf"), radius, nested=True, epoch=1, tiles=tiles)
     return association.source_fields(pairs, tiles, epoch=1)
 
 
@@ -263,10 +263,11 @@ def _(spark, d):
 def _(spark, d):
     out = fields.components_of_islands(
         view(spark, d, "fx_components").select("source_id", "cat_id"),
-        association.field_rows(_per_field(spark, d)),
+        _per_field(spark, d),
         view(spark, d, "fx_islands").select("source_id", "n_rows"),
     )
-    return out.select("cat_id", "field_name", "n_rows")
+    # the rows of a source and its fields come last: each is joined with lists that are shuffled once
+    return association.field_rows(out).select("cat_id", "field_name", "n_rows")
 
 
 # --- scalar geometry ---------------------------------------------------------
