@@ -54,3 +54,28 @@ def test_lists_of_sources_meet_lists_of_pointings(spark, monkeypatch):
     late = association.field_rows(components_of_islands(comps, nested, n_rows))
     columns = ["cat_id", "n", "field_name", "beam_list"]
     assert sorted(map(repr, late.select(columns).collect())) == sorted(map(repr, plain.select(columns).collect())) and not plain.isEmpty()
+
+
+def test_sigma_add_draws_the_same_in_small_blocks(spark, monkeypatch):
+    """Draws, medians and deviations are those of the definition, also where squares overflow; few rows are drawn for at once."""
+    import pandas as pd
+
+    from stokesweave.operators import complexity
+
+    rng = np.random.default_rng(6)
+    n = 200
+    seeds = rng.integers(-(2**62), 2**62, n)
+    par = [rng.uniform(0.05, 2.0, n) for _ in range(4)]
+    for draws, scale in ((1000, 1.0), (7, 1.0), (1000, 1e155), (1000, 1e-200)):
+        shape_q, scale_q, shape_u, scale_u = par[0], par[1] * scale, par[2], par[3] * scale
+        u = complexity.uniforms(seeds, 2 * draws)
+        radius, angle = np.sqrt(-2.0 * np.log(u[:, :draws])), 2.0 * np.pi * u[:, draws:]
+        p = np.hypot(scale_q[:, None] * np.exp(shape_q[:, None] * radius * np.cos(angle)), scale_u[:, None] * np.exp(shape_u[:, None] * radius * np.sin(angle)))
+        got = complexity.combined_moments(seeds, shape_q, scale_q, shape_u, scale_u, draws)
+        assert np.allclose(got[0], np.median(p, axis=1), rtol=1e-12, atol=0)
+        assert scale != 1.0 or np.allclose(got[1], p.std(axis=1), rtol=1e-12)
+    sizes = []
+    moments = complexity.combined_moments
+    monkeypatch.setattr(complexity, "combined_moments", lambda s, *rest: sizes.append(len(s)) or moments(s, *rest))
+    out = complexity._moments_udf(50).func(*[pd.Series(x) for x in (seeds, *par)])
+    assert len(out) == n and sum(sizes) == n and max(sizes) <= 64  # 500 before
