@@ -79,3 +79,58 @@ def test_sigma_add_draws_the_same_in_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(complexity, "combined_moments", lambda s, *rest: sizes.append(len(s)) or moments(s, *rest))
     out = complexity._moments_udf(50).func(*[pd.Series(x) for x in (seeds, *par)])
     assert len(out) == n and sum(sizes) == n and max(sizes) <= 64  # 500 before
+
+
+def test_gridded_map_builds_no_levels_it_does_not_reach(spark, monkeypatch):
+    """Fine levels of the pyramid, as many cells as points each, are made when a tile goes down to them."""
+    from stokesweave.operators import maps, nearest
+
+    rng = np.random.default_rng(2)
+    rows = [(i, float(x), float(y), float(i)) for i, (x, y) in enumerate(rng.uniform(10, 14, (400, 2)))]
+    deepest, pyramid = [], nearest.pyramid
+    monkeypatch.setattr(nearest, "pyramid", lambda points, lo, side, depth, *first: deepest.append(depth) or pyramid(points, lo, side, depth, *first))
+    cat = spark.createDataFrame(rows, "id long, ra double, dec double, v double")
+    got = maps.gridded_map(cat, "v", "id", npix=64, map_size=6.0, limit=500).where("value is not null").count()
+    assert got > 500 and max(deepest) == 4  # 14 before
+
+
+def test_binned_map_reads_its_input_once_for_its_bins(spark):
+    from stokesweave.operators import maps
+
+    rng = np.random.default_rng(3)
+    rows = [(float(x), float(y), float(v)) for x, y, v in zip(rng.uniform(0, 2, 500), rng.uniform(0, 2, 500), rng.normal(0, 1, 500))]
+    reads = spark.sparkContext.accumulator(0)
+
+    def noted(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame(rows, "ra double, dec double, v double").repartition(1).mapInArrow(noted, "ra double, dec double, v double")
+    out = maps.binned_map(df, "v", 3).collect()
+    assert len(out) == 9 and all(r["n"] > 0 for r in out)
+    assert reads.value <= 6 * 500  # centre, box and bins
+
+
+def test_holography_shuffles_no_sources_for_small_tables(spark, monkeypatch):
+    """Beams and model are broadcast when counted small, whatever Spark estimates; larger ones are joined as before."""
+    from stokesweave.operators import keyed, pixels
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rng = np.random.default_rng(4)
+        sources = spark.createDataFrame([(i, i % 3, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(-1, 1, (40, 2)))], "cat_id long, beam int, ra double, dec double")
+        beams = spark.createDataFrame([(b, 0.0, 0.0) for b in (0, 1, 1)], "beam int, beam_ra double, beam_dec double")
+        model = spark.createDataFrame([(b, "q", c, y, x, float((b or 0) + c + x * y)) for b in (0, 1, 2, None) for c in (0, 1) for y in range(5) for x in range(5)], "beam int, stokes string, chan int, y int, x int, value double")
+
+        def looked_up():
+            out = pixels.holography_lookup(pixels.holography_pixel(sources, beams, 0.01, 0.01, 2, 2), model).select("cat_id", "chan", "leakage")
+            return out._jdf.queryExecution().toString(), sorted(map(tuple, out.collect()))
+
+        plan, rows = looked_up()
+        monkeypatch.setattr(keyed, "BROADCAST_KEYS", 1)
+        other, same = looked_up()
+        assert "SortMergeJoin" not in plan and "SortMergeJoin" in other and rows == same and len(rows) > 40
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
